@@ -9,7 +9,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ingot import schemas
+from ingot.functions import columns as C
+from ingot.operators import constraints as V
+from ingot.operators import keys as K
+from ingot.operators import partitions as P
+from ingot.operators import quality as Q
+from ingot.operators import transforms as T
 from ingot.sources import testbed as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,3 +40,195 @@ def q_silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("dim_products")
 def q_dim_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tb.dim_products(spark, sf_dir)
+
+
+# --- T-operators and the fact -------------------------------------------------
+
+@register("split_category")
+def q_split_category(spark, sf_dir):
+    b = tb.bronze(spark, sf_dir).select("category_code")
+    return T.split_category(b)
+
+
+@register("fill_unknown")
+def q_fill_unknown(spark, sf_dir):
+    b = tb.bronze(spark, sf_dir)
+    return b.select(
+        F.col("brand").alias("brand_source"),
+        C.fill_unknown("brand").alias("brand"),
+        F.col("user_session").alias("user_session_source"),
+        C.fill_unknown("user_session").alias("user_session"),
+    )
+
+
+@register("fact_ecommerce")
+def q_fact_ecommerce(spark, sf_dir):
+    return T.to_fact_columns(tb.silver(spark, sf_dir))
+
+
+def _keyed_fact(spark, sf_dir):
+    return K.with_surrogate_key(T.to_fact_columns(tb.silver(spark, sf_dir)))
+
+
+@register("fact_key_stats")
+def q_fact_key_stats(spark, sf_dir):
+    f = _keyed_fact(spark, sf_dir)
+    return f.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.min("event_key").alias("min_key"),
+        F.max("event_key").alias("max_key"),
+        F.countDistinct("event_key").alias("distinct_keys"),
+    )
+
+
+# --- data-quality checks --------------------------------------------------------
+
+@register("dq_invalid_ids")
+def q_dq_invalid_ids(spark, sf_dir):
+    return Q.invalid_ids(tb.bronze(spark, sf_dir))
+
+
+@register("dq_nulls_bronze")
+def q_dq_nulls_bronze(spark, sf_dir):
+    return Q.bronze_profile(tb.bronze(spark, sf_dir))
+
+
+@register("dq_duplicate_products_bronze")
+def q_dq_duplicate_products_bronze(spark, sf_dir):
+    return Q.duplicate_products(tb.bronze(spark, sf_dir))
+
+
+@register("dq_nulls_silver")
+def q_dq_nulls_silver(spark, sf_dir):
+    return Q.silver_profile(tb.silver(spark, sf_dir))
+
+
+@register("dq_unknowns_silver")
+def q_dq_unknowns_silver(spark, sf_dir):
+    return Q.silver_unknowns(tb.silver(spark, sf_dir))
+
+
+@register("dq_duplicate_products_silver")
+def q_dq_duplicate_products_silver(spark, sf_dir):
+    return Q.duplicate_products(tb.silver(spark, sf_dir))
+
+
+@register("dq_event_key_duplicates")
+def q_dq_event_key_duplicates(spark, sf_dir):
+    """The fact loaded twice with the key counter restarted (keys 1..n twice):
+    every key must be reported with a count of 2."""
+    keyed = _keyed_fact(spark, sf_dir)
+    return Q.event_key_duplicates(keyed.unionByName(keyed))
+
+
+@register("dq_nulls_fact")
+def q_dq_nulls_fact(spark, sf_dir):
+    return Q.fact_profile(_keyed_fact(spark, sf_dir))
+
+
+@register("dq_report_fact")
+def q_dq_report_fact(spark, sf_dir):
+    return Q.report(Q.fact_profile(_keyed_fact(spark, sf_dir)), "gold", "fact_nulls_unknowns")
+
+
+@register("dq_referential_integrity")
+def q_dq_referential_integrity(spark, sf_dir):
+    silver = tb.silver(spark, sf_dir)
+    return Q.referential_integrity(T.to_fact_columns(silver), T.to_dim_products(silver))
+
+
+def _consistency(spark, sf_dir):
+    silver = tb.silver(spark, sf_dir)
+    return Q.consistency(silver, T.to_dim_products(silver))
+
+
+@register("dq_brand_mismatch_silver")
+def q_dq_brand_mismatch_silver(spark, sf_dir):
+    return _consistency(spark, sf_dir).select(F.col("mismatched_brands_silver").alias("mismatched_brands"))
+
+
+@register("dq_brand_mismatch_dim")
+def q_dq_brand_mismatch_dim(spark, sf_dir):
+    return _consistency(spark, sf_dir).select(F.col("mismatched_brands_dim").alias("mismatched_brands"))
+
+
+@register("dq_category_mismatch_silver")
+def q_dq_category_mismatch_silver(spark, sf_dir):
+    return _consistency(spark, sf_dir).select(
+        F.col("mismatched_categories_silver").alias("mismatched_categories"))
+
+
+@register("dq_category_mismatch_dim")
+def q_dq_category_mismatch_dim(spark, sf_dir):
+    return _consistency(spark, sf_dir).select(
+        F.col("mismatched_categories_dim").alias("mismatched_categories"))
+
+
+@register("dq_consistency")
+def q_dq_consistency(spark, sf_dir):
+    return _consistency(spark, sf_dir)
+
+
+@register("dq_summary")
+def q_dq_summary(spark, sf_dir):
+    bronze = tb.bronze(spark, sf_dir)
+    silver = T.to_silver(bronze)
+    dim = T.to_dim_products(silver)
+    fact = K.with_surrogate_key(T.to_fact_columns(silver))
+    return Q.summary(bronze, silver, dim, fact)
+
+
+@register("dq_preview")
+def q_dq_preview(spark, sf_dir):
+    return Q.preview(Q.invalid_ids(tb.bronze_src(spark, sf_dir)), ["event_id"], 20)
+
+
+# --- ingest-side operators (text normalisation, parsing, constraints) ----------
+
+@register("null_tokens")
+def q_null_tokens(spark, sf_dir):
+    r = tb.raw_text(spark, sf_dir)
+    return r.select("event_id", C.null_tokens("brand").alias("brand"))
+
+
+@register("parse_event_time")
+def q_parse_event_time(spark, sf_dir):
+    r = tb.raw_text(spark, sf_dir)
+    return r.select("event_id", C.parse_event_time("event_time").alias("event_time"))
+
+
+@register("not_null_rejects")
+def q_not_null_rejects(spark, sf_dir):
+    r = tb.raw_text(spark, sf_dir).select(
+        "event_id",
+        F.col("event_time").alias("event_time_text"),
+        C.parse_event_time("event_time").alias("event_time"),
+    )
+    _, rejects = V.not_null_split(r, ["event_time"])
+    return rejects.select("event_id", "event_time_text", "reject_reason")
+
+
+# Target widths of the length check: the bronze table's, with category_code
+# narrowed to 12 characters (a target too narrow for the longer paths).
+LENGTH_CHECK_WIDTHS = dict(schemas.BRONZE_WIDTHS, category_code=12)
+
+
+@register("length_rejects")
+def q_length_rejects(spark, sf_dir):
+    _, rejects = V.length_split(tb.bronze(spark, sf_dir), LENGTH_CHECK_WIDTHS)
+    return rejects
+
+
+# --- partitions -------------------------------------------------------------------
+
+@register("month_bucket")
+def q_month_bucket(spark, sf_dir):
+    o = tb.orders_dated(spark, sf_dir)
+    return P.with_month_partition(
+        o, "d", bounds=tb.ORDER_YEAR_BOUNDS, bucket_col="month_bucket", group_col="storage_group"
+    )
+
+
+@register("partition_inventory")
+def q_partition_inventory(spark, sf_dir):
+    return P.partition_inventory(tb.orders_dated(spark, sf_dir), "d", tb.ORDER_YEAR_BOUNDS)
