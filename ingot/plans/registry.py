@@ -17,7 +17,9 @@ from ingot.operators import constraints as V
 from ingot.operators import keys as K
 from ingot.operators import partitions as P
 from ingot.operators import quality as Q
+from ingot.operators import sessions as X
 from ingot.operators import transforms as T
+from ingot.sources import csv as CSV
 from ingot.sources import testbed as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -232,3 +234,39 @@ def q_month_bucket(spark, sf_dir):
 @register("partition_inventory")
 def q_partition_inventory(spark, sf_dir):
     return P.partition_inventory(tb.orders_dated(spark, sf_dir), "d", tb.ORDER_YEAR_BOUNDS)
+
+
+# --- source-side operators over the driver's files ---------------------------------
+
+@register("head_n_per_file")
+def q_head_n_per_file(spark, sf_dir):
+    """First 500 rows of each events file, in file order."""
+    ev = tb.table(spark, sf_dir, "events")
+    return CSV.head_n_per_file(ev, 500, parquet=True).drop(CSV.ROW_INDEX)
+
+
+@register("load_counts")
+def q_load_counts(spark, sf_dir):
+    return CSV.load_counts(tb.table(spark, sf_dir, "events"))
+
+
+# --- sessions (README-described behaviour) --------------------------------------------
+
+def _sessions(spark, sf_dir):
+    ev = tb.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    return X.sessionize(ev, tie="event_id")
+
+
+@register("sessionize")
+def q_sessionize(spark, sf_dir):
+    return _sessions(spark, sf_dir).select("event_id", "user_id", "ts", "session_seq")
+
+
+@register("user_journey")
+def q_user_journey(spark, sf_dir):
+    return X.journeys(_sessions(spark, sf_dir))
+
+
+@register("event_type_counts")
+def q_event_type_counts(spark, sf_dir):
+    return X.event_type_counts(tb.silver(spark, sf_dir))
