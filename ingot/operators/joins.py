@@ -10,6 +10,7 @@ they cannot pile up in one reducer.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,14 +26,23 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
 
 
 def bounded_broadcast(
-    df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
+    df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, cache: bool = True
 ) -> tuple[DataFrame, bool]:
     """Return (`broadcast(df)`, True) if its row count is proven small.
 
     Otherwise return (`df`, False) unchanged so the caller's join shuffles.
+    With `cache` the side is persisted first, so the rows counted by the
+    check are the rows broadcast, computed once (a derived dimension is not
+    recomputed by the join).  Plain table scans need no such check: the
+    planner broadcasts them only below `spark.sql.autoBroadcastJoinThreshold`
+    from their file sizes.
     """
+    if cache:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
     if has_at_most(df, max_rows):
         return F.broadcast(df), True
+    if cache:
+        df = df.unpersist()
     return df, False
 
 

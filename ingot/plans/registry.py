@@ -19,6 +19,7 @@ from ingot.operators import partitions as P
 from ingot.operators import quality as Q
 from ingot.operators import sessions as X
 from ingot.operators import transforms as T
+from ingot.session import reliable_checkpoint
 from ingot.sources import csv as CSV
 from ingot.sources import testbed as tb
 
@@ -173,10 +174,12 @@ def q_dq_consistency(spark, sf_dir):
 
 @register("dq_summary")
 def q_dq_summary(spark, sf_dir):
-    bronze = tb.bronze(spark, sf_dir)
+    # bronze is materialised once in the checkpoint folder; silver, the
+    # dimension and the keyed fact are derived from that stable copy
+    bronze = reliable_checkpoint(tb.bronze(spark, sf_dir))
     silver = T.to_silver(bronze)
     dim = T.to_dim_products(silver)
-    fact = K.with_surrogate_key(T.to_fact_columns(silver))
+    fact = K.with_surrogate_key(T.to_fact_columns(silver), stable_input=True)
     return Q.summary(bronze, silver, dim, fact)
 
 

@@ -81,3 +81,18 @@ def reliable_checkpoint(df, eager: bool = True):
     """`DataFrame.checkpoint` into the session's shared checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def spread_small_scan(df, min_partitions: int | None = None):
+    """Round-robin a scan that yields fewer partitions than the session can run.
+
+    A file stored as one large row group is read by a single task; spreading
+    it lets the narrow work that follows use every core.  On large inputs the
+    scan already has enough splits and this returns `df` unchanged (no
+    shuffle is added).
+    """
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)

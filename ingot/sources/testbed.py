@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ingot import schemas
-from ingot.operators.joins import bounded_broadcast
 from ingot.operators.transforms import to_dim_products, to_silver
+from ingot.session import spread_small_scan
 
 # Fixed values of the stand-in (id rules and base category id).
 CATEGORY_ID_BASE = 2053013555631882655
@@ -27,24 +27,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _events_with_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events joined to the part row named by `props` ("k": n)."""
-    events = table(spark, sf_dir, "events").withColumn(
+    events = spread_small_scan(table(spark, sf_dir, "events")).withColumn(
         "_k", F.regexp_extract("props", "([0-9]+)", 1).cast("long")
     )
     part = table(spark, sf_dir, "part").select(
         "p_partkey", "p_name", "p_brand", "p_type", "p_size"
     )
-    # `part` grows with the data: broadcast it only when a bounded count
-    # says it is small; otherwise the join shuffles and AQE splits the few
-    # hot part keys.
-    part_side, _ = bounded_broadcast(part)
-    return events.join(part_side, events["_k"] == part_side["p_partkey"], "inner")
+    # `part` grows with the data.  As a plain table scan its size is known
+    # from its files, so the planner broadcasts it only while it is under
+    # spark.sql.autoBroadcastJoinThreshold; beyond that the join shuffles and
+    # AQE's skew-join handling splits the few hot part keys (`k` takes only
+    # 100 values).
+    return events.join(part, events["_k"] == part["p_partkey"], "inner")
 
 
 def bronze_src(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze columns plus the source `event_id` (for ordering / variants)."""
     e = _events_with_part(spark, sf_dir)
     eid = F.col("event_id")
-    dotted_name = F.regexp_replace("p_name", " ", ".")
+    dotted_name = F.translate("p_name", " ", ".")
     return e.select(
         eid,
         F.col("ts").alias("event_time"),
