@@ -95,21 +95,28 @@ def load_dim_products(lh: S.Lakehouse, collation: str | None = None, strict: boo
     they are summarised in the dim rejects table (or raise with strict).
     Returns the number of such events.
     """
-    silver = lh.table(S.SILVER)
+    # the events without a product id are profiled while the dimension is
+    # written (one pass over silver)
+    missing = F.col("product_id").isNull()
+    obs = Observation("dim_missing_product")
+    silver = lh.table(S.SILVER).observe(
+        obs,
+        F.sum(F.when(missing, 1).otherwise(0)).alias("events"),
+        F.max(F.when(missing, F.col("category_id"))).alias("category_id"),
+        F.max(F.when(missing, F.col("brand"))).alias("brand"),
+    )
     lh.overwrite(to_dim_products(silver, collation=collation), S.DIM_PRODUCTS)
-    missing = silver.where(F.col("product_id").isNull())
-    summary = missing.agg(
-        F.max("category_id").alias("category_id"),
-        F.max("brand").alias("brand"),
-        F.count(F.lit(1)).alias("events"),
-    ).where(F.col("events") > 0)
-    summary = summary.withColumn("reject_reason", F.lit("product_id is null"))
-    rows = summary.collect()  # at most one row
-    if rows and strict:
-        raise ValueError(f"{rows[0]['events']} silver events have no product_id")
-    if rows:
+    m = obs.get
+    events = int(m.get("events") or 0)
+    if events and strict:
+        raise ValueError(f"{events} silver events have no product_id")
+    if events:
+        row = [(m.get("category_id"), m.get("brand"), events, "product_id is null")]
+        summary = lh.spark.createDataFrame(
+            row, "category_id bigint, brand string, events bigint, reject_reason string"
+        )
         lh.append(S.stamp(summary), S.DIM_REJECTS)
-    return int(rows[0]["events"]) if rows else 0
+    return events
 
 
 def load_fact(lh: S.Lakehouse, mode: str = "append") -> int:

@@ -84,11 +84,12 @@ class Lakehouse:
                 f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet{part} "
                 f"LOCATION '{self.path(table)}'"
             )
-            if recreate:  # DROP keeps an external table's files: empty it
+            if recreate and self.spark.table(table).inputFiles():
+                # DROP keeps an external table's files: empty it
                 empty = self.spark.createDataFrame([], self.spark.table(table).schema)
                 empty.write.insertInto(table, overwrite=True)
                 self.spark.sql(f"REFRESH TABLE {table}")
-            elif table in _PARTITIONED:
+            elif table in _PARTITIONED and not recreate:
                 try:  # re-attach partition folders written by earlier sessions
                     self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
                 except Exception:  # folder not created yet: nothing to recover

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ingot import schemas
 from ingot.functions import columns as C
-from ingot.operators.constraints import split_rejects
+from ingot.operators.constraints import ConstraintViolation
 from ingot.operators.joins import bounded_broadcast
 
 SOURCE_FILE = "source_file"
@@ -77,14 +77,14 @@ def with_row_in_file(df: DataFrame, parquet: bool = False) -> DataFrame:
     """
     if parquet:
         return df.withColumn(ROW_INDEX, F.col("_metadata.row_index"))
+    from pyspark.sql import Window
+
     tagged = df.withColumn("_rf_mid", F.monotonically_increasing_id()).withColumn(
         "_rf_block", F.col("_metadata.file_block_start")
     )
     splits = tagged.groupBy(SOURCE_FILE, "_rf_block").agg(
         F.min("_rf_mid").alias("_rf_first"), F.count(F.lit(1)).alias("_rf_n")
     )
-    from pyspark.sql import Window
-
     before = (
         Window.partitionBy(SOURCE_FILE)
         .orderBy("_rf_block")
@@ -162,22 +162,24 @@ def to_bronze_rows(
     on_error='fail': raise if any row is bad.
     """
     typed = type_events(text, session_tz)
-    accepted, rejects = split_rejects(
-        typed, F.col("reject_reason"), strict=(on_error == "fail"), reason_col="_reason"
-    )
-    accepted = accepted.drop("reject_reason", CORRUPT)
-    rejects = rejects.drop("reject_reason").withColumnRenamed("_reason", "reject_reason")
+    reason = F.col("reject_reason")
+    bad_row = reason != ""
+    if on_error == "fail":
+        sample = typed.where(bad_row).limit(5).collect()
+        if sample:
+            raise ConstraintViolation(f"rows violate the bronze schema, e.g. {sample}")
+    reason_out = reason
     if on_error == "skip_file":
-        # one row per input file at most: a bound known from the listing
-        bad_files = rejects.select(SOURCE_FILE).distinct()
-        bad_side, _ = bounded_broadcast(bad_files)
-        held = accepted.join(bad_side, SOURCE_FILE, "left_semi").withColumn(
-            "reject_reason", F.lit("file has rejected rows")
-        )
-        accepted = accepted.join(bad_side, SOURCE_FILE, "left_anti")
-        rejects = rejects.drop(CORRUPT).unionByName(held)
-    else:
-        rejects = rejects.drop(CORRUPT)
+        # Files with any rejected row: at most one name per input file (a
+        # bound known from the listing), found in one pass; both outputs
+        # then filter by name instead of joining back.
+        bad = [r[0] for r in typed.where(bad_row).select(SOURCE_FILE).distinct().collect()]
+        if bad:
+            in_bad = F.col(SOURCE_FILE).isin(bad)
+            reason_out = F.when(bad_row, reason).otherwise(F.lit("file has rejected rows"))
+            bad_row = bad_row | in_bad
+    accepted = typed.where(~bad_row).drop("reject_reason", CORRUPT)
+    rejects = typed.where(bad_row).withColumn("reject_reason", reason_out).drop(CORRUPT)
     return accepted, rejects
 
 
