@@ -105,11 +105,17 @@ class Lakehouse:
     def append(self, df: DataFrame, table: str) -> None:
         """INSERT INTO (L1, L4)."""
         self._ordered(df, table).write.insertInto(table)
+        self.refresh(table)
+
+    def refresh(self, *tables: str) -> None:
+        """Drop cached file listings (writes from another session, e.g. a stream)."""
+        for t in tables or tuple(_DDL):
+            self.spark.catalog.refreshTable(t)
 
     def overwrite(self, df: DataFrame, table: str) -> None:
         """TRUNCATE + INSERT ... SELECT as one overwrite (L3)."""
         self._ordered(df, table).write.insertInto(table, overwrite=True)
-        self.spark.sql(f"REFRESH TABLE {table}")
+        self.refresh(table)
 
 
 def silver_rows(silver: DataFrame) -> DataFrame:
