@@ -182,6 +182,9 @@ def consistency(
     j = silver.select("product_id", "brand", "category_id").join(d, "product_id", "inner")
     brand_diff = F.col("brand") != F.col("_dim_brand")
     cat_diff = F.col("category_id") != F.col("_dim_category_id")
+    # only differing rows can count: filter before the distinct aggregation,
+    # whose Expand would otherwise replicate every joined row five times
+    j = j.where(brand_diff | cat_diff)
     return j.agg(
         F.countDistinct(F.when(brand_diff, F.col("brand"))).alias("mismatched_brands_silver"),
         F.countDistinct(F.when(brand_diff, F.col("_dim_brand"))).alias("mismatched_brands_dim"),
