@@ -119,6 +119,26 @@ def load_dim_products(lh: S.Lakehouse, collation: str | None = None, strict: boo
     return events
 
 
+def _ledger_key_start(lh: S.Lakehouse) -> int | None:
+    """Last key of the stored fact according to the load log, or None.
+
+    The log has one row per load (a few per day at most).  It is trusted
+    only when its row total since the last overwrite equals the fact's row
+    count (answered from file footers), i.e. nobody wrote the fact around
+    the pipeline; otherwise the caller scans the key column.
+    """
+    log = lh.table(S.FACT_LOADS).select("run_at", "mode", "rows", "last_key").collect()
+    if not log:
+        return None
+    log.sort(key=lambda r: r["run_at"])
+    since = [r for r in log if r["mode"] == "overwrite"][-1:]
+    current = log[log.index(since[0]):] if since else log
+    expected = sum(int(r["rows"]) for r in current)
+    if expected != lh.table(S.FACT).count():
+        return None
+    return max((int(r["last_key"]) for r in current if r["rows"]), default=0)
+
+
 def load_fact(lh: S.Lakehouse, mode: str = "append") -> int:
     """Load the fact from silver with dense surrogate keys (T8 + K1 + L4).
 
@@ -126,9 +146,15 @@ def load_fact(lh: S.Lakehouse, mode: str = "append") -> int:
     again under new keys continuing after the largest stored key.
     mode='overwrite': idempotent reruns, keys restart at 1.
     Silver is read straight from its files, a deterministic scan, so the
-    key assignment needs no extra checkpoint.
+    key assignment needs no extra checkpoint.  The largest stored key comes
+    from the load log (O(1)), or from a scan of the key column when the
+    log does not account for every stored row.
     """
-    start = next_key_start(lh.table(S.FACT)) if mode == "append" else 0
+    start = 0
+    if mode == "append":
+        start = _ledger_key_start(lh)
+        if start is None:
+            start = next_key_start(lh.table(S.FACT))
     silver = lh.table(S.SILVER)
     fact = with_surrogate_key(to_fact_columns(silver), start=start, stable_input=True)
     fact = with_month_partition(fact, "event_date")
@@ -138,7 +164,13 @@ def load_fact(lh: S.Lakehouse, mode: str = "append") -> int:
         lh.append(fact, S.FACT)
     else:
         lh.overwrite(fact, S.FACT)
-    return int(obs.get.get("n", 0))
+    n = int(obs.get.get("n", 0))
+    entry = lh.spark.createDataFrame(
+        [(mode, n, start + 1, start + n)],
+        "mode string, rows bigint, first_key bigint, last_key bigint",
+    ).withColumn("run_at", F.current_timestamp())
+    lh.append(entry, S.FACT_LOADS)
+    return n
 
 
 def gold_checks(lh: S.Lakehouse) -> dict[str, DataFrame]:

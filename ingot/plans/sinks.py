@@ -23,6 +23,7 @@ DIM_PRODUCTS = "gold.dim_products"
 DIM_REJECTS = "gold.dim_products_rejects"
 FACT = "gold.fact_ecommerce"
 DQ_RESULTS = "gold.dq_results"
+FACT_LOADS = "gold.fact_load_log"
 
 _DDL = {
     BRONZE: """
@@ -53,6 +54,8 @@ _DDL = {
     DQ_RESULTS: """
         run_at TIMESTAMP, layer STRING, check_name STRING, violations BIGINT,
         status STRING""",
+    FACT_LOADS: """
+        run_at TIMESTAMP, mode STRING, rows BIGINT, first_key BIGINT, last_key BIGINT""",
 }
 _PARTITIONED = {SILVER, FACT}
 

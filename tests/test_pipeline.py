@@ -143,3 +143,17 @@ def test_recreate_empties_tables(spark, src, tmp_path):
     lh = S.Lakehouse(spark, root)
     lh.create(recreate=True)
     assert lh.table(S.BRONZE).count() == 0 and lh.table(S.FACT).count() == 0
+
+
+def test_fact_keys_stay_unique_when_fact_written_outside_pipeline(spark, src, tmp_path):
+    root = str(tmp_path / "lake5")
+    M.run_medallion(spark, f"{src}/*.csv", root, recreate=True)
+    lh = S.Lakehouse(spark, root)
+    assert M._ledger_key_start(lh) == 35
+    # a stray append the log does not know about (keys 1000..1001)
+    stray = lh.table(S.FACT).limit(2).withColumn("event_key", F.col("event_key") + 999)
+    lh.append(spark.createDataFrame(stray.collect(), stray.schema), S.FACT)
+    assert M._ledger_key_start(lh) is None            # log no longer accounts for all rows
+    M.load_fact(lh)                                   # falls back to max(event_key)
+    keys = lh.table(S.FACT).agg(F.count("*"), F.countDistinct("event_key"), F.max("event_key")).first()
+    assert tuple(keys) == (35 + 2 + 35, 72, 1001 + 35)
