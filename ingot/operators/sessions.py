@@ -2,10 +2,10 @@
 
 A new session starts when a user has been inactive for more than two hours.
 `sessionize` numbers sessions per user without ever ordering all of one
-user's events in a single task: events are cut into (user, day) chunks,
-numbered locally with `lag` and a running sum, and the chunks are stitched
-by a small per-chunk summary (first/last time, local starts).  A hot user
-is therefore spread over as many tasks as it has active days.
+user's events in a single task: events are cut into chunks of a user's
+timeline (range partitions of (user, ts), or calendar days), numbered
+locally with `lag` and a running sum, and the chunks are stitched by a small
+per-chunk summary (first/last time, local starts).
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ingot import schemas
 from ingot.operators.joins import bounded_broadcast
+from ingot.session import reliable_checkpoint
 
 # Event types of the clickstream (fixed values).
 EVENT_TYPES = ("view", "cart", "remove_from_cart", "purchase")
@@ -31,16 +32,39 @@ def sessionize(
     gap_seconds: int = schemas.SESSION_GAP_SECONDS,
     tie: str | None = None,
     out: str = "session_seq",
+    chunking: str = "range",
+    num_chunks: int | None = None,
 ) -> DataFrame:
     """Add `out` = 1, 2, ... per user; a gap above `gap_seconds` starts a new one.
 
     A gap of exactly `gap_seconds` stays in the same session.  `tie` names
     a column that orders events with equal timestamps (it cannot change the
     numbering, only make the plan deterministic).
+
+    chunking='range' (default): `repartitionByRange(user, ts)` picks
+    boundaries from a sample, so every partition holds a similar number of
+    rows whatever the skew, and each partition's slice of a user's timeline
+    is one chunk.  A user with a third of all events is cut into many
+    chunks, even inside one busy hour.
+    chunking='day': chunks are (user, calendar day); no range sampling and
+    no checkpoint, but a single user-day is handled by one task.
     """
     order = [F.col(ts)] + ([F.col(tie)] if tie else [])
-    chunk = F.to_date(F.col(ts))
-    e = events.withColumn("_ss_chunk", chunk)
+    if chunking == "range":
+        n = num_chunks or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # The chunk id is the range partition's index.  It is stored once
+        # in the checkpoint folder: the two plan branches below (per-chunk
+        # summary, per-row numbering) must see the same id for a row, and
+        # AQE may coalesce each branch's read of a shuffle differently.
+        e = reliable_checkpoint(
+            events.repartitionByRange(n, F.col(user), *order).withColumn(
+                "_ss_chunk", F.spark_partition_id()
+            )
+        )
+    elif chunking == "day":
+        e = events.withColumn("_ss_chunk", F.to_date(F.col(ts)))
+    else:
+        raise ValueError(f"unknown chunking {chunking!r}")
 
     local = Window.partitionBy(user, "_ss_chunk").orderBy(*order)
     prev = F.lag(ts).over(local)

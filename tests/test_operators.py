@@ -95,8 +95,11 @@ def test_session_gap_boundary(spark):
         (7, 3, _ts(22)), (8, 3, _ts(1, 0, 0, day=2)),  # 3 h over midnight: new
     ]
     ev = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz")
-    got = {r.event_id: r.session_seq for r in X.sessionize(ev, tie="event_id").collect()}
-    assert got == {1: 1, 2: 1, 3: 2, 4: 1, 5: 1, 6: 2, 7: 1, 8: 2}
+    want = {1: 1, 2: 1, 3: 2, 4: 1, 5: 1, 6: 2, 7: 1, 8: 2}
+    for chunking in ("range", "day"):
+        got = {r.event_id: r.session_seq
+               for r in X.sessionize(ev, tie="event_id", chunking=chunking, num_chunks=5).collect()}
+        assert got == want, chunking
 
 
 def test_sessionize_matches_brute_force(spark):
@@ -118,7 +121,23 @@ def test_sessionize_matches_brute_force(spark):
         last[u] = (n, t)
         expected[e] = n
     ev = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz, event_type string")
-    got = {r.event_id: r.session_seq for r in X.sessionize(ev, tie="event_id").collect()}
-    assert got == expected
+    for chunking, n in (("range", 8), ("range", 37), ("day", None)):
+        got = {r.event_id: r.session_seq
+               for r in X.sessionize(ev, tie="event_id", chunking=chunking, num_chunks=n).collect()}
+        assert got == expected, chunking
     j = X.journeys(X.sessionize(ev)).agg(F.sum("n_events")).first()[0]
     assert j == len(rows)
+
+
+def test_sessionize_hot_user_single_day_is_split(spark):
+    # one user with most events inside one day: range chunks still split it
+    rows = [(i, 1, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=7 * i)) for i in range(5000)]
+    rows += [(10_000 + i, 2 + i % 3, dt.datetime(2024, 1, 1, 5) + dt.timedelta(hours=3 * i)) for i in range(30)]
+    ev = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz")
+    s = X.sessionize(ev, tie="event_id", num_chunks=16)
+    hot_chunks = (ev.repartitionByRange(16, "user_id", "ts", "event_id")
+                  .where("user_id = 1").select(F.spark_partition_id()).distinct().count())
+    assert hot_chunks > 4
+    got = {r.event_id: r.session_seq for r in s.collect()}
+    assert all(got[i] == 1 for i in range(5000))      # 7 s gaps: one session
+    assert max(got[10_000 + i] for i in range(30)) == 10  # 9 h gaps per user: all new
