@@ -58,6 +58,9 @@ _DDL = {
         run_at TIMESTAMP, mode STRING, rows BIGINT, first_key BIGINT, last_key BIGINT""",
 }
 _PARTITIONED = {SILVER, FACT}
+# Writes into a partitioned table from more input partitions than this are
+# rebalanced by partition value (fewer, larger files).
+REBALANCE_ABOVE_PARTITIONS = 32
 
 
 @dataclass
@@ -103,7 +106,14 @@ class Lakehouse:
 
     def _ordered(self, df: DataFrame, table: str) -> DataFrame:
         cols = self.spark.table(table).columns
-        return df.select(*cols)
+        out = df.select(*cols)
+        if table in _PARTITIONED and out.rdd.getNumPartitions() > REBALANCE_ABOVE_PARTITIONS:
+            # many writers would each write a file per month: group rows by
+            # partition value first, so each writer holds about one month;
+            # AQE splits a heavy month into advisory-size pieces (no task
+            # gets a whole hot partition).  Few writers need no extra shuffle.
+            out = out.hint("rebalance", PARTITION_COLUMN)
+        return out
 
     def append(self, df: DataFrame, table: str) -> None:
         """INSERT INTO (L1, L4)."""

@@ -59,3 +59,25 @@ def test_data_inventory_matches_counts(spark):
         .select(F.col("s").cast("date").alias("d"))
     inv = {r.month_bucket: (r.storage_group, r.row_count) for r in P.partition_inventory(df).collect()}
     assert inv == {1: ("FG_201911", 2), 2: ("FG_201912", 1), 7: ("FG_Extra", 1)}
+
+
+def test_partitioned_writes_rebalance_only_when_many_writers(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "lake_rb")
+    lh = S.Lakehouse(spark, root)
+    lh.create(recreate=True)
+    rows = spark.range(4000).select(
+        F.expr("date_add(DATE'2019-11-01', CAST(id % 120 AS INT))").alias("event_date"),
+        F.lit("12:00:00").alias("event_time_only"), F.lit("view").alias("event_type"),
+        F.col("id").alias("product_id"), F.lit(1).cast("long").alias("category_id"),
+        F.lit("a").alias("category"), F.lit("b").alias("subcategory"), F.lit("x").alias("brand"),
+        F.lit(1).cast("decimal(10,2)").alias("price"), F.col("id").alias("user_id"),
+        F.lit("s").alias("user_session"))
+    many = P.with_month_partition(rows.repartition(64), "event_date")
+    plan = S.Lakehouse._ordered(lh, many, S.SILVER)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan
+    few = P.with_month_partition(rows.coalesce(4), "event_date")
+    plan = S.Lakehouse._ordered(lh, few, S.SILVER)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" not in plan
+    lh.overwrite(many, S.SILVER)
+    files = lh.table(S.SILVER).inputFiles()
+    assert lh.table(S.SILVER).count() == 4000 and len(files) < 64 * 5
