@@ -183,6 +183,25 @@ def gold_checks(lh: S.Lakehouse) -> dict[str, DataFrame]:
     }
 
 
+def dq_metrics(lh: S.Lakehouse) -> DataFrame:
+    """R1 over all layers: every profile value as (layer, check, metric, value, status).
+
+    The printed profiles of the source's DQ flows, as one relation: four
+    one-row aggregations (one pass each over bronze, silver, silver, fact).
+    """
+    b, s, f = lh.table(S.BRONZE), lh.table(S.SILVER), lh.table(S.FACT)
+    parts = [
+        Q.report(Q.bronze_profile(b), "bronze", "nulls_and_distincts"),
+        Q.report(Q.silver_profile(s), "silver", "nulls_and_distincts"),
+        Q.report(Q.silver_unknowns(s), "silver", "unknown_values"),
+        Q.report(Q.fact_profile(f), "gold", "fact_nulls_unknowns"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def dq_summary(lh: S.Lakehouse) -> DataFrame:
     return Q.summary(
         lh.table(S.BRONZE), lh.table(S.SILVER), lh.table(S.DIM_PRODUCTS), lh.table(S.FACT)
@@ -220,6 +239,9 @@ def run_medallion(
     verdicts = verdicts.select("run_at", "layer", "check_name", "violations", "status")
     rows = verdicts.collect()  # one row per check
     lh.append(spark.createDataFrame(rows, verdicts.schema), S.DQ_RESULTS)
+    metrics = dq_metrics(lh).withColumn("run_at", F.lit(rows[0]["run_at"]) if rows
+                                        else F.current_timestamp())
+    lh.append(metrics, S.DQ_METRICS)
     result = {
         "bronze_rows": bronze.rows_loaded,
         "bronze_rejects": bronze.rows_rejected,

@@ -273,3 +273,16 @@ def q_user_journey(spark, sf_dir):
 @register("event_type_counts")
 def q_event_type_counts(spark, sf_dir):
     return X.event_type_counts(tb.silver(spark, sf_dir))
+
+
+@register("dq_report_bronze")
+def q_dq_report_bronze(spark, sf_dir):
+    return Q.report(Q.bronze_profile(tb.bronze(spark, sf_dir)), "bronze", "nulls_and_distincts")
+
+
+@register("dq_report_silver")
+def q_dq_report_silver(spark, sf_dir):
+    silver = tb.silver(spark, sf_dir)
+    return Q.report(Q.silver_profile(silver), "silver", "nulls_and_distincts").unionByName(
+        Q.report(Q.silver_unknowns(silver), "silver", "unknown_values")
+    )

@@ -24,6 +24,7 @@ DIM_REJECTS = "gold.dim_products_rejects"
 FACT = "gold.fact_ecommerce"
 DQ_RESULTS = "gold.dq_results"
 FACT_LOADS = "gold.fact_load_log"
+DQ_METRICS = "gold.dq_metrics"
 
 _DDL = {
     BRONZE: """
@@ -54,6 +55,9 @@ _DDL = {
     DQ_RESULTS: """
         run_at TIMESTAMP, layer STRING, check_name STRING, violations BIGINT,
         status STRING""",
+    DQ_METRICS: """
+        run_at TIMESTAMP, layer STRING, check_name STRING, metric STRING, value BIGINT,
+        status STRING""",
     FACT_LOADS: """
         run_at TIMESTAMP, mode STRING, rows BIGINT, first_key BIGINT, last_key BIGINT""",
 }

@@ -109,6 +109,10 @@ def test_pipeline_rerun_semantics(spark, src, tmp_path):
     assert tuple(stats) == (35 + 70, 1, 105, 105)       # fact appends all of silver again
     assert r2["checks"][("gold", "event_key_duplicates")] == (0, "PASS")
     assert lh.table(S.DQ_RESULTS).count() == 2 * len(r1["checks"])
+    m = {(r.layer, r.metric): (r.value, r.status)
+         for r in lh.table(S.DQ_METRICS).where("run_at = (SELECT max(run_at) FROM gold.dq_metrics)").collect()}
+    assert m[("bronze", "total_rows")] == (70, "OK") and m[("gold", "total_rows")] == (105, "OK")
+    assert m[("silver", "null_brand")] == (0, "OK") and m[("silver", "brand_unknowns")][1] == "WARN"
     parts = {r.event_month for r in lh.table(S.SILVER).select("event_month").distinct().collect()}
     assert parts == {"FG_201911"}
     # a fresh session re-attaches the stored tables
