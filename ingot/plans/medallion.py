@@ -12,7 +12,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ingot import schemas
 from ingot.operators import quality as Q
+from ingot.operators.constraints import length_reasons
 from ingot.operators.keys import next_key_start, with_surrogate_key
 from ingot.operators.partitions import with_month_partition
 from ingot.operators.transforms import to_dim_products, to_fact_columns, to_silver
@@ -71,10 +73,29 @@ def bronze_checks(lh: S.Lakehouse) -> dict[str, DataFrame]:
 
 # --- W3 / W4: silver --------------------------------------------------------------
 
-def load_silver(lh: S.Lakehouse) -> None:
-    """Full refresh of silver from bronze (T7 + L3), partitioned by month."""
-    silver = to_silver(lh.table(S.BRONZE))
-    lh.overwrite(with_month_partition(silver, "event_date"), S.SILVER)
+def load_silver(lh: S.Lakehouse) -> int:
+    """Full refresh of silver from bronze (T7 + L3), partitioned by month.
+
+    Rows whose split category or other text exceeds the silver widths
+    (VARCHAR(50) category/subcategory from a VARCHAR(100) code) cannot be
+    stored; they are kept out of the overwrite (a failing overwrite would
+    leave silver empty) and written to the silver rejects table.  Their
+    count is observed during the write, so the second pass only runs when
+    there is something to reject.  Returns that count.
+    """
+    silver = to_silver(lh.table(S.BRONZE)).withColumn(
+        "reject_reason", length_reasons(schemas.SILVER_WIDTHS)
+    )
+    obs = Observation("silver_width_rejects")
+    silver = silver.observe(
+        obs, F.sum(F.when(F.col("reject_reason") != "", 1).otherwise(0)).alias("n")
+    )
+    ok = silver.where(F.col("reject_reason") == "").drop("reject_reason")
+    lh.overwrite(with_month_partition(ok, "event_date"), S.SILVER)
+    rejected = int(obs.get.get("n") or 0)
+    if rejected:
+        lh.append(S.stamp(silver.where(F.col("reject_reason") != "")), S.SILVER_REJECTS)
+    return rejected
 
 
 def silver_checks(lh: S.Lakehouse) -> dict[str, DataFrame]:

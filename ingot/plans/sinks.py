@@ -13,12 +13,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingot import schemas
-from ingot.operators.partitions import PARTITION_COLUMN, with_month_partition
+from ingot.operators.partitions import PARTITION_COLUMN
 
 BRONZE = "bronze.ecommerce_behavior"
 BRONZE_REJECTS = "bronze.ecommerce_behavior_rejects"
 SILVER = "silver.ecommerce_behavior"
+SILVER_REJECTS = "silver.ecommerce_behavior_rejects"
 DIM_PRODUCTS = "gold.dim_products"
 DIM_REJECTS = "gold.dim_products_rejects"
 FACT = "gold.fact_ecommerce"
@@ -42,6 +42,11 @@ _DDL = {
         product_id BIGINT, category_id BIGINT, category VARCHAR(50),
         subcategory VARCHAR(50), brand VARCHAR(50), price DECIMAL(10,2),
         user_id BIGINT, user_session VARCHAR(36), event_month STRING""",
+    SILVER_REJECTS: """
+        event_date DATE, event_time_only STRING, event_type STRING, product_id BIGINT,
+        category_id BIGINT, category STRING, subcategory STRING, brand STRING,
+        price DECIMAL(10,2), user_id BIGINT, user_session STRING, reject_reason STRING,
+        loaded_at TIMESTAMP""",
     DIM_PRODUCTS: """
         product_id BIGINT, category_id BIGINT, brand VARCHAR(50)""",
     DIM_REJECTS: """
@@ -135,10 +140,5 @@ class Lakehouse:
         self.refresh(table)
 
 
-def silver_rows(silver: DataFrame) -> DataFrame:
-    """Silver rows with their storage-group partition column (M1, M2)."""
-    return with_month_partition(silver, "event_date", schemas.MONTH_BOUNDS)
-
-
 def stamp(df: DataFrame, col: str = "loaded_at") -> DataFrame:
     return df.withColumn(col, F.current_timestamp())

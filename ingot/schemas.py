@@ -45,9 +45,6 @@ MONTH_BOUNDS = (
 # "FG_" + yyyyMM of their bound.
 EXTRA_GROUP = "FG_Extra"
 
-# Rows read per source file by the reference loader in its test mode.
-REFERENCE_ROWS_PER_FILE = 10_000
-
 # Inactivity gap that starts a new user session.
 SESSION_GAP_SECONDS = 2 * 60 * 60
 
@@ -67,12 +64,6 @@ SILVER_WIDTHS = {
     "brand": 50,
     "user_session": 36,
 }
-FACT_WIDTHS = {
-    "event_type": 50,
-    "category": 50,
-    "subcategory": 50,
-    "user_session": 36,
-}
 
 PRICE_TYPE = T.DecimalType(10, 2)
 

@@ -161,3 +161,31 @@ def test_fact_keys_stay_unique_when_fact_written_outside_pipeline(spark, src, tm
     M.load_fact(lh)                                   # falls back to max(event_key)
     keys = lh.table(S.FACT).agg(F.count("*"), F.countDistinct("event_key"), F.max("event_key")).first()
     assert tuple(keys) == (35 + 2 + 35, 72, 1001 + 35)
+
+
+def test_silver_width_rejects_and_schema_conformance(spark, tmp_path):
+    from ingot import schemas
+    from ingot.operators.keys import with_surrogate_key
+    from ingot.operators.transforms import to_dim_products, to_fact_columns, to_silver
+
+    d = tmp_path / "wide"
+    d.mkdir()
+    rows = _rows(6)
+    rows[2][4] = "a." + "b" * 60          # subcategory of 60 chars: over VARCHAR(50)
+    _write(d / "w.csv", rows)
+    root = str(tmp_path / "lake6")
+    r = M.run_medallion(spark, str(d), root, recreate=True)
+    lh = S.Lakehouse(spark, root)
+    assert r["bronze_rows"] == 6 and lh.table(S.SILVER).count() == 5
+    rej = lh.table(S.SILVER_REJECTS).collect()
+    assert len(rej) == 1 and rej[0].reject_reason == "subcategory>50"
+    # transform outputs carry the declared names and types
+    bronze = lh.table(S.BRONZE)
+    silver = to_silver(bronze)
+    assert [(f.name, f.dataType) for f in silver.schema] == \
+        [(f.name, f.dataType) for f in schemas.SILVER_SCHEMA]
+    assert [(f.name, f.dataType) for f in to_dim_products(silver).schema] == \
+        [(f.name, f.dataType) for f in schemas.DIM_PRODUCTS_SCHEMA]
+    fact = with_surrogate_key(to_fact_columns(silver))
+    assert [(f.name, f.dataType) for f in fact.schema] == [(f.name, f.dataType) for f in schemas.FACT_SCHEMA]
+    assert [f.name for f in bronze.schema][:10] == [f.name for f in schemas.BRONZE_SCHEMA]
