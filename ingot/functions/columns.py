@@ -30,10 +30,12 @@ def time_of_day(ts) -> Column:
 
     The cast rounds half up to the second and wraps 23:59:59.5 and later to
     00:00:00 without touching the date (the date is a separate cast).
-    Adding 500 ms and printing only hours, minutes and seconds does both;
-    on a TIMESTAMP_NTZ no time zone is involved.
+    Adding 500 ms and keeping only hours, minutes and seconds of the text
+    form does both; the text form of a TIMESTAMP_NTZ involves no time zone,
+    so the result does not depend on the session's zone.
     """
-    return F.date_format(_col(ts) + F.expr("INTERVAL 500 MILLISECONDS"), "HH:mm:ss")
+    shifted = (_col(ts) + F.expr("INTERVAL 500 MILLISECONDS")).cast("string")
+    return F.substr(shifted, F.lit(12), F.lit(8))
 
 
 # --- T3 / T4: category path split at the first separator ------------------
@@ -75,19 +77,26 @@ def null_tokens(c, tokens: Iterable[str] = schemas.NA_TOKENS) -> Column:
     return F.when(~c.isin(*tokens), c)
 
 
-def parse_event_time(c, session_tz: str = "UTC") -> Column:
-    """Parse zoned text (``2019-11-01 00:00:00 UTC``) to a UTC wall clock.
+# A zone at the end of a time text: Z, UTC/GMT, +hh:mm / +hhmm / +hh, or a
+# region id such as Europe/Paris.
+_ZONE_SUFFIX = r"(?i)(z|utc|gmt|[+-]\d{2}(:?\d{2})?|[a-z]+/[a-z_]+)$"
+_EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
-    The text is read as an instant (its zone suffix honoured), turned into
-    the session's wall clock and moved to UTC; unparsable text gives NULL
-    (rejected later by the NOT NULL check) instead of failing the load.
+
+def parse_event_time(c) -> Column:
+    """Parse time text to its UTC wall clock as TIMESTAMP_NTZ (NULL if bad).
+
+    Text with a zone (``2019-11-01 00:00:00 UTC``, ``...+02:00``) is read as
+    an instant and moved to UTC exactly (epoch microseconds added to the
+    epoch); text without a zone is taken as UTC already, as a UTC-localising
+    CSV reader does.  Neither path depends on the session's time zone.
+    Unparsable text gives NULL (rejected later by the NOT NULL check).
     """
-    instant = F.expr(f"try_cast({_sql_name(c)} AS TIMESTAMP)") if isinstance(c, str) \
-        else _col(c).try_cast("timestamp")
-    wall = instant.cast("timestamp_ntz")
-    if session_tz.upper() in ("UTC", "Z", "+00:00", "ETC/UTC", "GMT"):
-        return wall
-    return F.convert_timezone(F.lit(session_tz), F.lit("UTC"), wall)
+    text = F.trim(_col(c))
+    instant = text.try_cast("timestamp")
+    utc_wall = F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.expr(_EPOCH_NTZ))
+    naive = text.try_cast("timestamp_ntz")
+    return F.when(text.rlike(_ZONE_SUFFIX), utc_wall).otherwise(naive)
 
 
 def _sql_name(c: str) -> str:

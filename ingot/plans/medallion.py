@@ -45,10 +45,9 @@ def load_bronze(
     writes, without another scan.
     """
     spark = lh.spark
-    tz = spark.conf.get("spark.sql.session.timeZone", "UTC")
     text = CSV.read_events_text(spark, source)
     text = CSV.head_n_per_file(text, limit_per_file)
-    accepted, rejects = CSV.to_bronze_rows(text, on_error=on_error, session_tz=tz)
+    accepted, rejects = CSV.to_bronze_rows(text, on_error=on_error)
     ok_obs, bad_obs = Observation("bronze_ok"), Observation("bronze_rejects")
     accepted = CSV.with_load_stamp(accepted).observe(ok_obs, F.count(F.lit(1)).alias("n"))
     rejects = CSV.with_load_stamp(rejects).observe(bad_obs, F.count(F.lit(1)).alias("n"))

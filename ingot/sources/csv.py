@@ -111,7 +111,7 @@ def head_n_per_file(df: DataFrame, n: int | None, parquet: bool = False) -> Data
     return indexed.where(F.col(ROW_INDEX) < n)
 
 
-def type_events(text: DataFrame, session_tz: str = "UTC") -> DataFrame:
+def type_events(text: DataFrame) -> DataFrame:
     """Text columns -> bronze types plus a `reject_reason` ('' when clean).
 
     NA tokens become NULL first (S5); `event_time` is parsed as a zoned
@@ -122,7 +122,7 @@ def type_events(text: DataFrame, session_tz: str = "UTC") -> DataFrame:
     """
     clean = {c: C.null_tokens(c) for c in schemas.CSV_COLUMNS}
     typed = {
-        "event_time": C.parse_event_time(clean["event_time"], session_tz),
+        "event_time": C.parse_event_time(clean["event_time"]),
         "price": clean["price"].try_cast(schemas.PRICE_TYPE),
     }
     for c in _LONG_COLS:
@@ -152,7 +152,6 @@ def type_events(text: DataFrame, session_tz: str = "UTC") -> DataFrame:
 def to_bronze_rows(
     text: DataFrame,
     on_error: str = "skip_file",
-    session_tz: str = "UTC",
 ) -> tuple[DataFrame, DataFrame]:
     """(accepted bronze rows, rejected rows) from the text scan.
 
@@ -161,7 +160,7 @@ def to_bronze_rows(
     on_error='quarantine': only the bad rows are held back.
     on_error='fail': raise if any row is bad.
     """
-    typed = type_events(text, session_tz)
+    typed = type_events(text)
     reason = F.col("reject_reason")
     bad_row = reason != ""
     if on_error == "fail":

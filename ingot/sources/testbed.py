@@ -104,7 +104,7 @@ def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         eid,
         F.when(eid % 37 == 0, F.lit("bad-time"))
-        .otherwise(F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC")))
+        .otherwise(F.concat(F.substr(F.col("ts").cast("string"), F.lit(1), F.lit(19)), F.lit(" UTC")))
         .alias("event_time"),
         F.when(eid % 5 == 0, F.lit("NA"))
         .when(eid % 7 == 0, F.lit("null"))

@@ -55,7 +55,6 @@ def ingest_new_files(
     skip-file policy works per batch as in the batch loader.
     """
     spark = lh.spark
-    tz = spark.conf.get("spark.sql.session.timeZone", "UTC")
     checkpoint = checkpoint or f"{lh.root.rstrip('/')}/_checkpoints/bronze_ingest"
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
@@ -63,7 +62,7 @@ def ingest_new_files(
         # reject scan and the two writes instead of re-reading its files
         batch = batch.persist()
         try:
-            accepted, rejects = CSV.to_bronze_rows(batch, on_error=on_error, session_tz=tz)
+            accepted, rejects = CSV.to_bronze_rows(batch, on_error=on_error)
             lh.append(CSV.with_load_stamp(accepted), S.BRONZE)
             lh.append(CSV.with_load_stamp(rejects), S.BRONZE_REJECTS)
         finally:

@@ -62,10 +62,29 @@ def test_null_tokens_each_token(spark):
 
 def test_parse_event_time(spark):
     df = spark.createDataFrame(
-        [("2019-11-01 00:00:00 UTC",), ("bad-time",), ("2019-11-01 02:00:00+02:00",)], "s string"
+        [("2019-11-01 00:00:00 UTC",), ("bad-time",), ("2019-11-01 02:00:00+02:00",),
+         ("2019-11-01 00:00:00",), ("2020-03-08 02:30:00 UTC",)], "s string"
     )
-    got = [r[0] for r in df.select(C.parse_event_time("s")).collect()]
-    assert got == [dt.datetime(2019, 11, 1, 0, 0), None, dt.datetime(2019, 11, 1, 0, 0)]
+    want = [dt.datetime(2019, 11, 1, 0, 0), None, dt.datetime(2019, 11, 1, 0, 0),
+            dt.datetime(2019, 11, 1, 0, 0), dt.datetime(2020, 3, 8, 2, 30)]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            assert [r[0] for r in df.select(C.parse_event_time("s")).collect()] == want, tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_time_of_day_ignores_session_zone(spark):
+    # 02:30 on 2020-03-08 does not exist in New York: must stay 02:30 anyway
+    df = spark.createDataFrame([(dt.datetime(2020, 3, 8, 2, 29, 59, 600000),)], "ts timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert df.select(C.time_of_day("ts")).first()[0] == "02:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
 
 
 def test_decimal_rounds_half_up_and_overflow_is_null(spark):
