@@ -189,3 +189,17 @@ def test_silver_width_rejects_and_schema_conformance(spark, tmp_path):
     fact = with_surrogate_key(to_fact_columns(silver))
     assert [(f.name, f.dataType) for f in fact.schema] == [(f.name, f.dataType) for f in schemas.FACT_SCHEMA]
     assert [f.name for f in bronze.schema][:10] == [f.name for f in schemas.BRONZE_SCHEMA]
+
+
+def test_cli_run_and_dq(spark, src, tmp_path, capsys):
+    from ingot.__main__ import main
+
+    root = str(tmp_path / "lake_cli")
+    assert main(["run", "--source", f"{src}/*.csv", "--root", root, "--recreate"]) == 0
+    out = capsys.readouterr().out
+    assert '"bronze_rows": 35' in out and '"fact_rows": 35' in out
+    assert main(["dq", "--root", root, "--layer", "gold", "--preview", "3"]) == 0
+    out = capsys.readouterr().out
+    assert "referential_integrity" in out and "event_key_duplicates" in out
+    assert main(["silver", "--root", root]) == 0
+    assert "silver: refreshed" in capsys.readouterr().out
