@@ -72,6 +72,13 @@ _PARTITIONED = {SILVER, FACT}
 REBALANCE_ABOVE_PARTITIONS = 32
 
 
+def _num_partitions(df: DataFrame) -> int:
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (Spark Connect): assume many writers
+        return REBALANCE_ABOVE_PARTITIONS + 1
+
+
 @dataclass
 class Lakehouse:
     """Catalog tables of the pipeline under `root` (a shared folder)."""
@@ -116,7 +123,7 @@ class Lakehouse:
     def _ordered(self, df: DataFrame, table: str) -> DataFrame:
         cols = self.spark.table(table).columns
         out = df.select(*cols)
-        if table in _PARTITIONED and out.rdd.getNumPartitions() > REBALANCE_ABOVE_PARTITIONS:
+        if table in _PARTITIONED and _num_partitions(out) > REBALANCE_ABOVE_PARTITIONS:
             # many writers would each write a file per month: group rows by
             # partition value first, so each writer holds about one month;
             # AQE splits a heavy month into advisory-size pieces (no task

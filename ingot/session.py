@@ -57,7 +57,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     file system); it is only read here.  A folder of our own is created
     solely for local-mode sessions where nothing is configured (tests).
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -91,8 +94,11 @@ def spread_small_scan(df, min_partitions: int | None = None):
     scan already has enough splits and this returns `df` unchanged (no
     shuffle is added).
     """
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (Spark Connect): leave the scan as it is
+        return df
+    if have >= want:
         return df
     return df.repartition(want)
