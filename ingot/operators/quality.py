@@ -33,11 +33,22 @@ def count_equal(c: str, value: str) -> Column:
     return F.sum(F.when(F.col(c) == F.lit(value), 1).otherwise(0)).cast("long")
 
 
-def count_distinct(c: str, exact: bool = True) -> Column:
-    """`COUNT(DISTINCT c)` (NULL not counted); HLL sketch if not exact."""
+def _collated(c: str, collation: str | None) -> Column:
+    col = F.col(c)
+    if collation and isinstance(collation, str):
+        return F.collate(col, collation)
+    return col
+
+
+def count_distinct(c: str, exact: bool = True, collation: str | None = None) -> Column:
+    """`COUNT(DISTINCT c)` (NULL not counted); HLL sketch if not exact.
+
+    `collation='UTF8_LCASE'` counts text case-insensitively (the usual
+    default collation of the source database); numbers are unaffected.
+    """
     if exact:
-        return F.countDistinct(F.col(c))
-    return F.approx_count_distinct(F.col(c))
+        return F.countDistinct(_collated(c, collation))
+    return F.approx_count_distinct(_collated(c, collation))
 
 
 def profile(
@@ -47,17 +58,22 @@ def profile(
     distincts: Sequence[tuple[str, str]] = (),
     total: str | None = "total_rows",
     exact: bool = True,
+    collation: str | None = None,
 ) -> DataFrame:
     """One-row profile in a single aggregation pass.
 
-    `nulls`, `unknowns`, `distincts` are (column, output name) pairs.
+    `nulls`, `unknowns`, `distincts` are (column, output name) pairs;
+    `collation` applies to the distinct counts of text columns.
     """
+    text = {f.name for f in df.schema if f.dataType.typeName() == "string"}
     aggs = []
     if total:
         aggs.append(F.count(F.lit(1)).alias(total))
     aggs += [count_nulls(c).alias(n) for c, n in nulls]
     aggs += [count_equal(c, schemas.UNKNOWN).alias(n) for c, n in unknowns]
-    aggs += [count_distinct(c, exact).alias(n) for c, n in distincts]
+    aggs += [
+        count_distinct(c, exact, collation if c in text else None).alias(n) for c, n in distincts
+    ]
     return df.agg(*aggs)
 
 
@@ -165,13 +181,17 @@ def referential_integrity(
 
 
 def consistency(
-    silver: DataFrame, dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
+    silver: DataFrame,
+    dim: DataFrame,
+    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    collation: str | None = None,
 ) -> DataFrame:
     """Q10, both copies fused into one join and one aggregation.
 
     Counts distinct brands / category ids on rows whose value differs from
     the dimension's, taken from the silver side (pipeline copy) and from the
     dimension side (standalone copy).  NULLs never count as mismatches.
+    `collation='UTF8_LCASE'` compares brands case-insensitively.
     """
     d = dim.select(
         "product_id",
@@ -180,14 +200,16 @@ def consistency(
     )
     d, _ = bounded_broadcast(d, max_rows)
     j = silver.select("product_id", "brand", "category_id").join(d, "product_id", "inner")
-    brand_diff = F.col("brand") != F.col("_dim_brand")
+    brand_diff = _collated("brand", collation) != _collated("_dim_brand", collation)
     cat_diff = F.col("category_id") != F.col("_dim_category_id")
     # only differing rows can count: filter before the distinct aggregation,
     # whose Expand would otherwise replicate every joined row five times
     j = j.where(brand_diff | cat_diff)
     return j.agg(
-        F.countDistinct(F.when(brand_diff, F.col("brand"))).alias("mismatched_brands_silver"),
-        F.countDistinct(F.when(brand_diff, F.col("_dim_brand"))).alias("mismatched_brands_dim"),
+        F.countDistinct(F.when(brand_diff, _collated("brand", collation)))
+        .alias("mismatched_brands_silver"),
+        F.countDistinct(F.when(brand_diff, _collated("_dim_brand", collation)))
+        .alias("mismatched_brands_dim"),
         F.countDistinct(F.when(cat_diff, F.col("category_id"))).alias("mismatched_categories_silver"),
         F.countDistinct(F.when(cat_diff, F.col("_dim_category_id"))).alias("mismatched_categories_dim"),
     )

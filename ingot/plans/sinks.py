@@ -117,6 +117,10 @@ class Lakehouse:
                 except Exception:  # folder not created yet: nothing to recover
                     pass
 
+    def partitions(self, table: str) -> DataFrame:
+        """`SHOW PARTITIONS` of a partitioned table (M3)."""
+        return self.spark.sql(f"SHOW PARTITIONS {table}")
+
     def table(self, name: str) -> DataFrame:
         return self.spark.table(name)
 

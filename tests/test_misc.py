@@ -63,3 +63,17 @@ def test_preview_is_ordered_top_k(spark):
     df = spark.range(1000).withColumn("product_id", -F.col("id"))
     rows = Q.preview(Q.invalid_ids(df.withColumn("category_id", F.lit(1))), ["id"], 5).collect()
     assert [r.id for r in rows] == [0, 1, 2, 3, 4]
+
+
+def test_collation_option_on_checks(spark):
+    silver = spark.createDataFrame(
+        [(1, 10, "Apple"), (1, 10, "apple"), (2, 5, "Sony")],
+        "product_id long, category_id long, brand string")
+    dim = spark.createDataFrame([(1, 10, "apple"), (2, 5, "sony")],
+                                "product_id long, category_id long, brand string")
+    binary = Q.consistency(silver, dim).first()
+    lcase = Q.consistency(silver, dim, collation="UTF8_LCASE").first()
+    assert binary.mismatched_brands_silver == 2 and lcase.mismatched_brands_silver == 0
+    p = Q.profile(silver, distincts=[("brand", "d"), ("product_id", "p")], collation="UTF8_LCASE").first()
+    assert p.d == 2 and p.p == 2
+    assert Q.profile(silver, distincts=[("brand", "d")]).first().d == 3
