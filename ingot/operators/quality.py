@@ -121,9 +121,13 @@ def duplicate_products(df: DataFrame) -> DataFrame:
 
 # --- silver checks -----------------------------------------------------------
 
-def silver_profile(silver: DataFrame, exact: bool = True) -> DataFrame:
+SILVER_UNKNOWN_COLS = ("category", "subcategory", "brand", "user_session")
+
+
+def silver_profile(silver: DataFrame, exact: bool = True, with_unknowns: bool = False) -> DataFrame:
     """Q4: total, nine NULL counts (event time means the time-of-day column),
-    four distinct counts."""
+    four distinct counts; with `with_unknowns` also Q5's four UNKNOWN
+    counts in the same pass."""
     nulls = [("event_time_only", "null_event_time"), ("event_date", "null_event_date")] + [
         (c, f"null_{c}")
         for c in ("event_type", "product_id", "category_id", "brand", "price",
@@ -132,6 +136,7 @@ def silver_profile(silver: DataFrame, exact: bool = True) -> DataFrame:
     return profile(
         silver,
         nulls=nulls,
+        unknowns=[(c, f"{c}_unknowns") for c in SILVER_UNKNOWN_COLS] if with_unknowns else (),
         distincts=[(c, f"total_distinct_{c}")
                    for c in ("category", "subcategory", "brand", "product_id")],
         exact=exact,
@@ -142,8 +147,7 @@ def silver_unknowns(silver: DataFrame) -> DataFrame:
     """Q5: UNKNOWN filler counts of four columns."""
     return profile(
         silver,
-        unknowns=[(c, f"{c}_unknowns")
-                  for c in ("category", "subcategory", "brand", "user_session")],
+        unknowns=[(c, f"{c}_unknowns") for c in SILVER_UNKNOWN_COLS],
         total=None,
     )
 
@@ -227,11 +231,13 @@ def report(
     layer: str,
     check: str,
     warn_words: Sequence[str] = ("null", "unknown"),
+    checks: dict[str, str] | None = None,
 ) -> DataFrame:
     """Wide one-row profile -> (layer, check_name, metric, value, status).
 
     status is WARN when the value is above 0 and the metric name mentions a
     NULL or UNKNOWN count; NULL sums (empty table) are reported as 0.
+    `checks` names a different check for some metrics (a fused profile).
     """
     metrics = one_row.columns
     longs = one_row.select(*[F.col(c).cast("long").alias(c) for c in metrics])
@@ -241,9 +247,12 @@ def report(
     flagged = F.lit(False)
     for w in warn_words:
         flagged = flagged | name.contains(w)
+    check_name = F.lit(check)
+    for metric, other in (checks or {}).items():
+        check_name = F.when(F.col("metric") == metric, F.lit(other)).otherwise(check_name)
     return tall.select(
         F.lit(layer).alias("layer"),
-        F.lit(check).alias("check_name"),
+        check_name.alias("check_name"),
         F.col("metric"),
         value.alias("value"),
         F.when((value > 0) & flagged, F.lit(WARN)).otherwise(F.lit(OK)).alias("status"),

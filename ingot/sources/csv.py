@@ -11,7 +11,7 @@ becomes a reject reason instead of an exception.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -152,6 +152,7 @@ def type_events(text: DataFrame) -> DataFrame:
 def to_bronze_rows(
     text: DataFrame,
     on_error: str = "skip_file",
+    reject_counter: Observation | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(accepted bronze rows, rejected rows) from the text scan.
 
@@ -159,6 +160,10 @@ def to_bronze_rows(
     not loaded at all; its rows are all returned as rejects.
     on_error='quarantine': only the bad rows are held back.
     on_error='fail': raise if any row is bad.
+
+    With `reject_counter`, the number of rejected rows (metric `rejected`)
+    is observed while the accepted rows are written, so a caller can skip
+    writing an empty rejects table without another pass.
     """
     typed = type_events(text)
     reason = F.col("reject_reason")
@@ -177,6 +182,10 @@ def to_bronze_rows(
             in_bad = F.col(SOURCE_FILE).isin(bad)
             reason_out = F.when(bad_row, reason).otherwise(F.lit("file has rejected rows"))
             bad_row = bad_row | in_bad
+    if reject_counter is not None:
+        typed = typed.observe(
+            reject_counter, F.sum(F.when(bad_row, 1).otherwise(0)).alias("rejected")
+        )
     accepted = typed.where(~bad_row).drop("reject_reason", CORRUPT)
     rejects = typed.where(bad_row).withColumn("reject_reason", reason_out).drop(CORRUPT)
     return accepted, rejects
