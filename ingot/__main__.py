@@ -19,6 +19,7 @@ import sys
 from pyspark.sql import functions as F
 
 from ingot.operators import quality as Q
+from ingot.operators.joins import release_broadcast_caches
 from ingot.plans import medallion as M
 from ingot.plans import sinks as S
 from ingot.session import build_session
@@ -79,6 +80,7 @@ def main(argv: list[str] | None = None) -> int:
         for layer in layers:
             _show_checks(flows[layer](lh), layer, args.preview)
         M.dq_summary(lh).orderBy(F.col("layer"), F.col("check_name")).show(truncate=False)
+    release_broadcast_caches()
     return 0
 
 

@@ -40,12 +40,27 @@ def bounded_broadcast(
     if cache:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     if has_at_most(df, max_rows):
+        if cache:
+            _CACHED.append(df)
         return F.broadcast(df), True
     if cache:
         df = df.unpersist()
     return df, False
 
 
+# Sides persisted by `bounded_broadcast` and still in use by lazy plans.
+_CACHED: list[DataFrame] = []
+
+
+def release_broadcast_caches() -> int:
+    """Unpersist every side cached by `bounded_broadcast` (after the actions
+    that use them); returns how many were released."""
+    n = len(_CACHED)
+    while _CACHED:
+        _CACHED.pop().unpersist()
+    return n
+
+
 def join_dimension(
     facts: DataFrame,
     dim: DataFrame,

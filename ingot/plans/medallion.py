@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ingot import schemas
 from ingot.operators import quality as Q
 from ingot.operators.constraints import length_reasons
+from ingot.operators.joins import release_broadcast_caches
 from ingot.operators.keys import next_key_start, with_surrogate_key
 from ingot.operators.partitions import with_month_partition
 from ingot.operators.transforms import to_dim_products, to_fact_columns, to_silver
@@ -267,6 +268,7 @@ def run_medallion(
     metrics = dq_metrics(lh).withColumn("run_at", F.lit(rows[0]["run_at"]) if rows
                                         else F.current_timestamp())
     lh.append(metrics, S.DQ_METRICS)
+    release_broadcast_caches()
     result = {
         "bronze_rows": bronze.rows_loaded,
         "bronze_rejects": bronze.rows_rejected,

@@ -77,3 +77,15 @@ def test_collation_option_on_checks(spark):
     p = Q.profile(silver, distincts=[("brand", "d"), ("product_id", "p")], collation="UTF8_LCASE").first()
     assert p.d == 2 and p.p == 2
     assert Q.profile(silver, distincts=[("brand", "d")]).first().d == 3
+
+
+def test_broadcast_caches_are_released(spark):
+    from ingot.operators.joins import release_broadcast_caches
+
+    release_broadcast_caches()
+    dim = spark.range(10).withColumnRenamed("id", "k")
+    side, ok = bounded_broadcast(dim, max_rows=100)
+    assert ok and side.storageLevel.useMemory
+    assert spark.range(50).withColumnRenamed("id", "k").join(side, "k").count() == 10
+    assert release_broadcast_caches() == 1
+    assert not dim.storageLevel.useMemory
