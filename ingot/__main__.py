@@ -3,6 +3,8 @@
     python -m ingot run          --source 'in/*.csv' --root LAKE
     spark-submit --py-files ingot.zip ingot/__main__.py run --source 's3://b/in/*.csv' --root s3://b/lake
     python -m ingot bronze       --source DIR_OR_GLOB --root LAKE [--limit-per-file 10000]
+    python -m ingot increment    --source DIR_OR_GLOB --root LAKE   (only these files, all layers)
+    python -m ingot stream       --source DIR --root LAKE           (new files since last run)
     python -m ingot silver|gold  --root LAKE
     python -m ingot dq           --root LAKE [--layer bronze|silver|gold] [--preview 20]
 
@@ -42,7 +44,7 @@ def _show_checks(checks: dict, layer: str, preview: int) -> None:
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="ingot")
-    ap.add_argument("command", choices=["run", "bronze", "silver", "gold", "dq"])
+    ap.add_argument("command", choices=["run", "increment", "stream", "bronze", "silver", "gold", "dq"])
     ap.add_argument("--source", help="CSV file, folder or glob (run, bronze)")
     ap.add_argument("--root", required=True, help="shared folder holding the tables")
     ap.add_argument("--limit-per-file", type=int, default=None)
@@ -65,7 +67,15 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(result, default=str, indent=2))
         return 0
     lh.create(recreate=args.recreate)
-    if args.command == "bronze":
+    if args.command == "increment":
+        print(json.dumps(M.load_bronze_increment(lh, args.source, args.limit_per_file,
+                                                 args.on_error), indent=2))
+    elif args.command == "stream":
+        from ingot.streaming.incremental import ingest_new_files
+
+        ingest_new_files(lh, args.source, on_error=args.on_error, downstream=True)
+        print(f"bronze now holds {lh.table(S.BRONZE).count()} rows")
+    elif args.command == "bronze":
         rep = M.load_bronze(lh, args.source, args.limit_per_file, args.on_error)
         print(f"bronze: {rep.rows_loaded} rows appended, {rep.rows_rejected} rejected")
         M.bronze_file_counts(lh).orderBy("source_file").show(truncate=False)

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ingot import schemas
+from ingot.plans import medallion as M
 from ingot.plans import sinks as S
 from ingot.sources import csv as CSV
 
@@ -47,12 +48,17 @@ def ingest_new_files(
     on_error: str = "skip_file",
     max_files_per_trigger: int | None = None,
     wait: bool = True,
+    downstream: bool = False,
 ) -> StreamingQuery:
     """Append the CSV files not loaded before to bronze (and its rejects).
 
     `checkpoint` must be on shared storage; by default it lives under the
     lakehouse root.  A whole file always falls into one micro-batch, so the
     skip-file policy works per batch as in the batch loader.
+
+    `downstream=True` also carries each micro-batch on to silver, the
+    product dimension and the fact (`medallion.process_new_bronze`), so a
+    run costs the new files plus the dimension, not the whole history.
     """
     spark = lh.spark
     checkpoint = checkpoint or f"{lh.root.rstrip('/')}/_checkpoints/bronze_ingest"
@@ -62,9 +68,12 @@ def ingest_new_files(
         # reject scan and the two writes instead of re-reading its files
         batch = batch.persist()
         try:
-            accepted, rejects = CSV.to_bronze_rows(batch, on_error=on_error)
-            lh.append(CSV.with_load_stamp(accepted), S.BRONZE)
-            lh.append(CSV.with_load_stamp(rejects), S.BRONZE_REJECTS)
+            if downstream:
+                M.increment_from_text(lh, batch, on_error)
+            else:
+                accepted, rejects = CSV.to_bronze_rows(batch, on_error=on_error)
+                lh.append(CSV.with_load_stamp(accepted), S.BRONZE)
+                lh.append(CSV.with_load_stamp(rejects), S.BRONZE_REJECTS)
         finally:
             batch.unpersist()
 
@@ -78,5 +87,5 @@ def ingest_new_files(
     )
     if wait:
         query.awaitTermination()
-        lh.refresh(S.BRONZE, S.BRONZE_REJECTS)
+        lh.refresh()
     return query

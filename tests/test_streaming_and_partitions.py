@@ -81,3 +81,19 @@ def test_partitioned_writes_rebalance_only_when_many_writers(spark, tmp_path, mo
     lh.overwrite(many, S.SILVER)
     files = lh.table(S.SILVER).inputFiles()
     assert lh.table(S.SILVER).count() == 4000 and len(files) < 64 * 5
+
+
+def test_streaming_increment_runs_downstream(spark, tmp_path):
+    src = tmp_path / "incoming2"
+    src.mkdir()
+    _write(src / "day1.csv", _rows(20))
+    lh = S.Lakehouse(spark, str(tmp_path / "lake_sd"))
+    lh.create(recreate=True)
+    ingest_new_files(lh, str(src), downstream=True)
+    _write(src / "day2.csv", _rows(7, start=40))
+    ingest_new_files(lh, str(src), downstream=True)
+    ingest_new_files(lh, str(src), downstream=True)   # nothing new
+    assert lh.table(S.BRONZE).count() == 27 and lh.table(S.SILVER).count() == 27
+    stats = lh.table(S.FACT).agg(F.count("*"), F.max("event_key"), F.countDistinct("event_key")).first()
+    assert tuple(stats) == (27, 27, 27)
+    assert lh.table(S.DIM_PRODUCTS).count() == 7
