@@ -200,46 +200,57 @@ def load_fact(lh: S.Lakehouse, mode: str = "append", silver_rows: DataFrame | No
     return n
 
 
-def process_new_bronze(lh: S.Lakehouse, new_bronze: DataFrame) -> dict:
+def process_new_bronze(lh: S.Lakehouse, new_bronze: DataFrame, stable: bool = False) -> dict:
     """Incremental silver, dimension and fact for newly appended bronze rows.
 
     Equivalent to the full refresh when bronze is append-only, at the cost
     of the new rows plus the dimension instead of the whole history:
-    the new rows are transformed once into a checkpointed copy, appended to
-    silver (width rejects held back), merged into the dimension (MAX is
-    associative: MAX over old dimension and new rows is the MAX over all
-    rows), and appended to the fact under keys that continue the stored
-    ones.  The merged dimension is checkpointed before it replaces the
-    stored one, which it reads.
+    the new rows are appended to silver (width rejects held back), merged
+    into the dimension (MAX is associative: MAX over old dimension and new
+    rows is the MAX over all rows), and appended to the fact under keys that
+    continue the stored ones.  Reject and missing-product counts are
+    observed during the silver append.  `stable=True` says `new_bronze` is
+    already a deterministic copy (stored files or a checkpoint); otherwise it
+    is checkpointed first, as the fact keys need two identical passes.  The
+    merged dimension is checkpointed before it replaces the stored one,
+    which it reads.
     """
     silver_new = to_silver(new_bronze).withColumn(
         "reject_reason", length_reasons(schemas.SILVER_WIDTHS)
     )
-    silver_new = reliable_checkpoint(silver_new)
-    ok = silver_new.where(F.col("reject_reason") == "").drop("reject_reason")
-    bad = silver_new.where(F.col("reject_reason") != "")
-    rejected = bad.count()
+    if not stable:
+        silver_new = reliable_checkpoint(silver_new)
+    is_bad = F.col("reject_reason") != ""
+    no_product = ~is_bad & F.col("product_id").isNull()
+    obs = Observation("silver_increment")
+    observed = silver_new.observe(
+        obs,
+        F.sum(F.when(is_bad, 1).otherwise(0)).alias("rejected"),
+        F.sum(F.when(no_product, 1).otherwise(0)).alias("events"),
+        F.max(F.when(no_product, F.col("category_id"))).alias("category_id"),
+        F.max(F.when(no_product, F.col("brand"))).alias("brand"),
+    )
+    lh.append(with_month_partition(observed.where(~is_bad).drop("reject_reason"), "event_date"),
+              S.SILVER)
+    m = obs.get
+    rejected, missing = int(m.get("rejected") or 0), int(m.get("events") or 0)
     if rejected:
-        lh.append(S.stamp(bad), S.SILVER_REJECTS)
-    lh.append(with_month_partition(ok, "event_date"), S.SILVER)
-
-    merged = to_dim_products(lh.table(S.DIM_PRODUCTS).unionByName(
-        to_dim_products(ok)))
-    missing = ok.where(F.col("product_id").isNull()).agg(
-        F.max("category_id").alias("category_id"),
-        F.max("brand").alias("brand"),
-        F.count(F.lit(1)).alias("events"),
-    ).where(F.col("events") > 0).withColumn("reject_reason", F.lit("product_id is null"))
+        lh.append(S.stamp(silver_new.where(is_bad)), S.SILVER_REJECTS)
+    if missing:
+        row = [(m.get("category_id"), m.get("brand"), missing, "product_id is null")]
+        lh.append(S.stamp(lh.spark.createDataFrame(
+            row, "category_id bigint, brand string, events bigint, reject_reason string")),
+            S.DIM_REJECTS)
+
+    ok = silver_new.where(~is_bad).drop("reject_reason")
+    merged = to_dim_products(lh.table(S.DIM_PRODUCTS).unionByName(to_dim_products(ok)))
     lh.overwrite(reliable_checkpoint(merged), S.DIM_PRODUCTS)
-    n_missing = missing.collect()  # at most one row
-    if n_missing:
-        lh.append(S.stamp(lh.spark.createDataFrame(n_missing, missing.schema)), S.DIM_REJECTS)
 
     fact_rows = load_fact(lh, "append", silver_rows=ok)
     return {
         "silver_rows": fact_rows,
         "silver_rejects": rejected,
-        "dim_events_without_product": int(n_missing[0]["events"]) if n_missing else 0,
+        "dim_events_without_product": missing,
     }
 
 
@@ -265,7 +276,9 @@ def increment_from_text(lh: S.Lakehouse, text: DataFrame, on_error: str = "skip_
     rejected = int(counter.get.get("rejected") or 0)
     if rejected:
         lh.append(CSV.with_load_stamp(rejects), S.BRONZE_REJECTS)
-    out = process_new_bronze(lh, accepted.drop("loaded_at", CSV.SOURCE_FILE, CSV.ROW_INDEX))
+    out = process_new_bronze(
+        lh, accepted.drop("loaded_at", CSV.SOURCE_FILE, CSV.ROW_INDEX), stable=True
+    )
     out.update(bronze_rejects=rejected)
     return out
 
