@@ -293,7 +293,7 @@ def gold_checks(lh: S.Lakehouse) -> dict[str, DataFrame]:
     }
 
 
-def dq_metrics(lh: S.Lakehouse) -> DataFrame:
+def dq_metrics(lh: S.Lakehouse, exact: bool = True) -> DataFrame:
     """R1 over all layers: every profile value as (layer, check, metric, value, status).
 
     The printed profiles of the source's DQ flows, as one relation: one
@@ -301,13 +301,13 @@ def dq_metrics(lh: S.Lakehouse) -> DataFrame:
     fused) and the fact.
     """
     b, s, f = lh.table(S.BRONZE), lh.table(S.SILVER), lh.table(S.FACT)
-    silver_both = Q.silver_profile(s, with_unknowns=True)
+    silver_both = Q.silver_profile(s, exact=exact, with_unknowns=True)
     unknown_metrics = [c for c in silver_both.columns if c.endswith("_unknowns")]
     parts = [
-        Q.report(Q.bronze_profile(b), "bronze", "nulls_and_distincts"),
+        Q.report(Q.bronze_profile(b, exact=exact), "bronze", "nulls_and_distincts"),
         Q.report(silver_both, "silver", "nulls_and_distincts",
                  checks={m: "unknown_values" for m in unknown_metrics}),
-        Q.report(Q.fact_profile(f), "gold", "fact_nulls_unknowns"),
+        Q.report(Q.fact_profile(f, exact=exact), "gold", "fact_nulls_unknowns"),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -336,11 +336,14 @@ def run_medallion(
     fact_mode: str = "append",
     fail_on: tuple[str, ...] | None = None,
     recreate: bool = False,
+    exact_distinct: bool = True,
 ) -> dict:
     """Bronze load, silver, dimension and fact, then record all checks.
 
     `fail_on` lists check names whose WARN verdict should stop the run
     (after recording it); by default nothing gates, as in the source.
+    `exact_distinct=False` computes the profiles' distinct counts with HLL
+    sketches (no Expand of every row) when exact counts are not needed.
     """
     lh = S.Lakehouse(spark, root)
     lh.create(recreate=recreate)
@@ -352,7 +355,7 @@ def run_medallion(
     verdicts = verdicts.select("run_at", "layer", "check_name", "violations", "status")
     rows = verdicts.collect()  # one row per check
     lh.append(spark.createDataFrame(rows, verdicts.schema), S.DQ_RESULTS)
-    metrics = dq_metrics(lh).withColumn("run_at", F.lit(rows[0]["run_at"]) if rows
+    metrics = dq_metrics(lh, exact=exact_distinct).withColumn("run_at", F.lit(rows[0]["run_at"]) if rows
                                         else F.current_timestamp())
     lh.append(metrics, S.DQ_METRICS)
     release_broadcast_caches()

@@ -16,9 +16,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # let the planner prune `row_number() <= N` per partition before the
-    # shuffle for head-N windows up to the loader's 10,000 rows
-    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
