@@ -234,3 +234,19 @@ def test_incremental_path_equals_full_refresh(spark, tmp_path):
     stats = lh.table(S.FACT).agg(F.count("*"), F.min("event_key"), F.max("event_key"),
                                  F.countDistinct("event_key")).first()
     assert tuple(stats) == (44, 1, 44, 44)
+
+
+def test_cli_increment_and_stream(spark, tmp_path, capsys):
+    from ingot.__main__ import main
+
+    a, b = tmp_path / "a", tmp_path / "b"
+    a.mkdir(), b.mkdir()
+    _write(a / "x.csv", _rows(12))
+    _write(b / "y.csv", _rows(4, start=70))
+    root = str(tmp_path / "lake_cli2")
+    assert main(["increment", "--source", str(a), "--root", root, "--recreate"]) == 0
+    assert '"silver_rows": 12' in capsys.readouterr().out
+    assert main(["stream", "--source", str(b), "--root", root]) == 0
+    assert "bronze now holds 16 rows" in capsys.readouterr().out
+    lh = S.Lakehouse(spark, root)
+    assert tuple(lh.table(S.FACT).agg(F.count("*"), F.max("event_key")).first()) == (16, 16)
