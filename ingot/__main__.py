@@ -54,9 +54,11 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--layer", default=None, choices=["bronze", "silver", "gold"])
     ap.add_argument("--preview", type=int, default=20)
     ap.add_argument("--recreate", action="store_true")
+    ap.add_argument("--input-bytes", type=int, default=None,
+                    help="size of the input; sizes shuffle partitions and splits")
     args = ap.parse_args(argv)
 
-    spark = build_session()
+    spark = build_session(input_bytes=args.input_bytes)
     lh = S.Lakehouse(spark, args.root)
     if args.command == "run":
         result = M.run_medallion(

@@ -21,17 +21,46 @@ DEFAULT_CONF = {
 }
 
 
+# Target bytes per shuffle partition / scan split: small enough to sort and
+# aggregate in executor memory without heavy spill, large enough to keep
+# task overhead low.
+PARTITION_BYTES = 128 * 1024 * 1024
+SPLIT_BYTES = 256 * 1024 * 1024
+
+
+def shuffle_partitions_for(input_bytes: int, partition_bytes: int = PARTITION_BYTES) -> int:
+    """Initial shuffle partition count for a job reading `input_bytes`.
+
+    One partition per `partition_bytes` of input (an upper bound on what a
+    shuffle carries), at least 8; AQE coalesces the ones that turn out small.
+    100 TB gives about 800,000.
+    """
+    return max(8, -(-int(input_bytes) // partition_bytes))
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "ingot",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    input_bytes: int | None = None,
 ) -> SparkSession:
-    """Create (or reuse) a session with the package defaults."""
+    """Create (or reuse) a session with the package defaults.
+
+    `input_bytes` (the size of the data a job reads) sizes the shuffles:
+    `spark.sql.shuffle.partitions` from `shuffle_partitions_for`, AQE's
+    advisory partition size and the scan split size, so partitions fit in
+    executor memory at any scale.  `shuffle_partitions` sets the count
+    directly (tests, local runs).
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if input_bytes:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions_for(input_bytes))
+        conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(PARTITION_BYTES)
+        conf["spark.sql.files.maxPartitionBytes"] = str(SPLIT_BYTES)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -89,3 +89,10 @@ def test_broadcast_caches_are_released(spark):
     assert spark.range(50).withColumnRenamed("id", "k").join(side, "k").count() == 10
     assert release_broadcast_caches() == 1
     assert not dim.storageLevel.useMemory
+
+
+def test_shuffle_sizing():
+    from ingot.session import shuffle_partitions_for
+
+    assert shuffle_partitions_for(10) == 8
+    assert shuffle_partitions_for(100 * 1024**4) == 819_200
