@@ -250,3 +250,11 @@ def test_cli_increment_and_stream(spark, tmp_path, capsys):
     assert "bronze now holds 16 rows" in capsys.readouterr().out
     lh = S.Lakehouse(spark, root)
     assert tuple(lh.table(S.FACT).agg(F.count("*"), F.max("event_key")).first()) == (16, 16)
+
+
+def test_parallel_gold_loads(spark, src, tmp_path):
+    root = str(tmp_path / "lake_par")
+    r = M.run_medallion(spark, f"{src}/*.csv", root, recreate=True, parallel_gold=True)
+    lh = S.Lakehouse(spark, root)
+    assert r["fact_rows"] == 35 and lh.table(S.DIM_PRODUCTS).count() == 7
+    assert r["checks"][("gold", "referential_integrity")] == (0, "PASS")
