@@ -67,15 +67,21 @@ _DDL = {
         run_at TIMESTAMP, mode STRING, rows BIGINT, first_key BIGINT, last_key BIGINT""",
 }
 _PARTITIONED = {SILVER, FACT}
-# Writes into a partitioned table from more input partitions than this are
+# Writes into a partitioned table whose input spans more files than this are
 # rebalanced by partition value (fewer, larger files).
 REBALANCE_ABOVE_PARTITIONS = 32
 
 
 def _num_partitions(df: DataFrame) -> int:
+    """Lower bound on the writers of `df`: the files its scans read.
+
+    Taken from the plan's file listing, which runs no job.  (`df.rdd` would
+    make AQE run every shuffle stage of the plan just to count partitions,
+    and the write would then run them again.)
+    """
     try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (Spark Connect): assume many writers
+        return len(df.inputFiles())
+    except Exception:  # listing unavailable: assume many writers
         return REBALANCE_ABOVE_PARTITIONS + 1
 
 

@@ -118,7 +118,9 @@ def spread_small_scan(df, min_partitions: int | None = None):
     A file stored as one large row group is read by a single task; spreading
     it lets the narrow work that follows use every core.  On large inputs the
     scan already has enough splits and this returns `df` unchanged (no
-    shuffle is added).
+    shuffle is added).  Meant for plain file scans: their partition count
+    comes from the file splits without running a job (on a plan with
+    shuffles AQE would execute them to answer).
     """
     try:
         want = min_partitions or df.sparkSession.sparkContext.defaultParallelism

@@ -72,10 +72,12 @@ def test_partitioned_writes_rebalance_only_when_many_writers(spark, tmp_path, mo
         F.lit("a").alias("category"), F.lit("b").alias("subcategory"), F.lit("x").alias("brand"),
         F.lit(1).cast("decimal(10,2)").alias("price"), F.col("id").alias("user_id"),
         F.lit("s").alias("user_session"))
-    many = P.with_month_partition(rows.repartition(64), "event_date")
+    rows.repartition(64).write.parquet(str(tmp_path / "many"))
+    rows.coalesce(4).write.parquet(str(tmp_path / "few"))
+    many = P.with_month_partition(spark.read.parquet(str(tmp_path / "many")), "event_date")
     plan = S.Lakehouse._ordered(lh, many, S.SILVER)._jdf.queryExecution().optimizedPlan().toString()
     assert "RebalancePartitions" in plan
-    few = P.with_month_partition(rows.coalesce(4), "event_date")
+    few = P.with_month_partition(spark.read.parquet(str(tmp_path / "few")), "event_date")
     plan = S.Lakehouse._ordered(lh, few, S.SILVER)._jdf.queryExecution().optimizedPlan().toString()
     assert "RebalancePartitions" not in plan
     lh.overwrite(many, S.SILVER)
