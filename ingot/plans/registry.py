@@ -282,7 +282,7 @@ def q_dq_report_bronze(spark, sf_dir):
 
 @register("dq_report_silver")
 def q_dq_report_silver(spark, sf_dir):
-    silver = tb.silver(spark, sf_dir)
-    return Q.report(Q.silver_profile(silver), "silver", "nulls_and_distincts").unionByName(
-        Q.report(Q.silver_unknowns(silver), "silver", "unknown_values")
-    )
+    # profile and UNKNOWN counts in one aggregation pass over silver
+    both = Q.silver_profile(tb.silver(spark, sf_dir), with_unknowns=True)
+    unknowns = {c: "unknown_values" for c in both.columns if c.endswith("_unknowns")}
+    return Q.report(both, "silver", "nulls_and_distincts", checks=unknowns)
