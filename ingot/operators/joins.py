@@ -16,8 +16,20 @@ from pyspark.sql import functions as F
 
 # Upper bound on rows shipped to every executor.  Dimension rows here are a
 # few narrow columns (~40-60 bytes), so 2M rows stay well below the default
-# 8 GB broadcast limit and typically around 100 MB.
+# 8 GB broadcast limit and typically around 100 MB.  A session can change it
+# with the `ingot.broadcast.maxRows` setting (0 forces every shuffle path).
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+MAX_ROWS_CONF = "ingot.broadcast.maxRows"
+
+
+def broadcast_row_bound(df: DataFrame, max_rows: int | None = None) -> int:
+    """The row bound in force: the argument, else the session setting."""
+    if max_rows is not None:
+        return max_rows
+    try:
+        return int(df.sparkSession.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_BROADCAST_ROWS)))
+    except Exception:
+        return DEFAULT_MAX_BROADCAST_ROWS
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -26,7 +38,7 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
 
 
 def bounded_broadcast(
-    df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, cache: bool = True
+    df: DataFrame, max_rows: int | None = None, cache: bool = True
 ) -> tuple[DataFrame, bool]:
     """Return (`broadcast(df)`, True) if its row count is proven small.
 
@@ -37,6 +49,7 @@ def bounded_broadcast(
     planner broadcasts them only below `spark.sql.autoBroadcastJoinThreshold`
     from their file sizes.
     """
+    max_rows = broadcast_row_bound(df, max_rows)
     if cache:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     if has_at_most(df, max_rows):
@@ -66,7 +79,7 @@ def join_dimension(
     dim: DataFrame,
     on: str | list[str],
     how: str = "inner",
-    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Join a large relation to a dimension; broadcast the dimension if small."""
     dim_side, _ = bounded_broadcast(dim, max_rows)
@@ -77,7 +90,7 @@ def anti_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
-    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Rows of `left` whose `key` has no match in `right` (NOT EXISTS).
 

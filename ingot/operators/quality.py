@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ingot import schemas
-from ingot.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, anti_join, bounded_broadcast
+from ingot.operators.joins import anti_join, bounded_broadcast
 
 # Status words of the report tables.
 WARN, PASS, OK = "WARN", "PASS", "OK"
@@ -177,7 +177,7 @@ def fact_profile(fact: DataFrame, exact: bool = True) -> DataFrame:
 
 
 def referential_integrity(
-    fact: DataFrame, dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
+    fact: DataFrame, dim: DataFrame, max_rows: int | None = None
 ) -> DataFrame:
     """Q9: fact product ids with no dimension row (NULL ids included,
     duplicates kept), i.e. `LEFT JOIN ... WHERE p.product_id IS NULL`."""
@@ -187,7 +187,7 @@ def referential_integrity(
 def consistency(
     silver: DataFrame,
     dim: DataFrame,
-    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_rows: int | None = None,
     collation: str | None = None,
 ) -> DataFrame:
     """Q10, both copies fused into one join and one aggregation.
@@ -281,7 +281,7 @@ def summary(
     silver: DataFrame,
     dim: DataFrame,
     fact: DataFrame,
-    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """R2 over all layers: one verdict row per check.
 
