@@ -7,9 +7,9 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job in this package relies on.  Time zone UTC makes the
-# zoned CSV timestamps and the date casts agree with the source; AQE
-# re-plans joins from measured sizes and splits skewed partitions.
+# Defaults for the jobs of this package.  UTC is the display zone only (no
+# result depends on the session zone); AQE re-plans joins from measured
+# sizes, coalesces small partitions and splits skewed ones.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
