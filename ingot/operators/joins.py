@@ -80,10 +80,28 @@ def join_dimension(
     on: str | list[str],
     how: str = "inner",
     max_rows: int | None = None,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
-    """Join a large relation to a dimension; broadcast the dimension if small."""
-    dim_side, _ = bounded_broadcast(dim, max_rows)
-    return facts.join(dim_side, on=on, how=how)
+    """Join a large relation to a dimension; broadcast the dimension if small.
+
+    Beyond the bound the join shuffles.  With `salt_buckets=S` a hot key is
+    spread over S reducers: each fact row gets a salt in [0, S) and every
+    dimension row is repeated once per salt, so each fact row meets exactly
+    one copy of its match.  The salt may be random (a retried task may draw
+    another one) because every salt exists for every key.  Costs S copies of
+    the dimension in the shuffle; for inner / left / semi / anti joins.
+    """
+    dim_side, small = bounded_broadcast(dim, max_rows)
+    if small or not salt_buckets or salt_buckets <= 1:
+        return facts.join(dim_side, on=on, how=how)
+    keys = [on] if isinstance(on, str) else list(on)
+    salted_facts = facts.withColumn(
+        "_salt", (F.rand() * salt_buckets).cast("int")
+    )
+    salted_dim = dim_side.withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
+    )
+    return salted_facts.join(salted_dim, on=keys + ["_salt"], how=how).drop("_salt")
 
 
 def anti_join(
