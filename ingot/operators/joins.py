@@ -92,13 +92,20 @@ def join_dimension(
     the dimension in the shuffle; for inner / left / semi / anti joins.
     """
     dim_side, small = bounded_broadcast(dim, max_rows)
-    if small or not salt_buckets or salt_buckets <= 1:
+    if small:
         return facts.join(dim_side, on=on, how=how)
+    return _shuffle_join(facts, dim_side, on, how, salt_buckets)
+
+
+def _shuffle_join(
+    facts: DataFrame, dim: DataFrame, on, how: str, salt_buckets: int | None
+) -> DataFrame:
+    """Shuffled join, salted when `salt_buckets` > 1 (see `join_dimension`)."""
+    if not salt_buckets or salt_buckets <= 1:
+        return facts.join(dim, on=on, how=how)
     keys = [on] if isinstance(on, str) else list(on)
-    salted_facts = facts.withColumn(
-        "_salt", (F.rand() * salt_buckets).cast("int")
-    )
-    salted_dim = dim_side.withColumn(
+    salted_facts = facts.withColumn("_salt", (F.rand() * salt_buckets).cast("int"))
+    salted_dim = dim.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
     )
     return salted_facts.join(salted_dim, on=keys + ["_salt"], how=how).drop("_salt")
@@ -109,18 +116,22 @@ def anti_join(
     right: DataFrame,
     key: str,
     max_rows: int | None = None,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
     """Rows of `left` whose `key` has no match in `right` (NOT EXISTS).
 
     Rows with a NULL key never match and are kept, duplicates are kept.
     With a small `right` this is one broadcast anti-join and no shuffle of
     `left`.  Otherwise NULL keys are split off first: in a shuffle they
-    would all hash to one reducer.
+    would all hash to one reducer; `salt_buckets` also spreads a hot
+    non-NULL key (see `join_dimension`).
     """
     keys = right.select(key)
     keys_side, small = bounded_broadcast(keys, max_rows)
     if small:
         return left.join(keys_side, on=key, how="left_anti")
     nulls = left.where(F.col(key).isNull())
-    rest = left.where(F.col(key).isNotNull()).join(keys.distinct(), on=key, how="left_anti")
+    rest = _shuffle_join(
+        left.where(F.col(key).isNotNull()), keys.distinct(), key, "left_anti", salt_buckets
+    )
     return rest.unionByName(nulls)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ingot import schemas
-from ingot.operators.joins import anti_join, bounded_broadcast
+from ingot.operators.joins import anti_join, join_dimension
 
 # Status words of the report tables.
 WARN, PASS, OK = "WARN", "PASS", "OK"
@@ -177,11 +177,12 @@ def fact_profile(fact: DataFrame, exact: bool = True) -> DataFrame:
 
 
 def referential_integrity(
-    fact: DataFrame, dim: DataFrame, max_rows: int | None = None
+    fact: DataFrame, dim: DataFrame, max_rows: int | None = None,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
     """Q9: fact product ids with no dimension row (NULL ids included,
     duplicates kept), i.e. `LEFT JOIN ... WHERE p.product_id IS NULL`."""
-    return anti_join(fact.select("product_id"), dim, "product_id", max_rows)
+    return anti_join(fact.select("product_id"), dim, "product_id", max_rows, salt_buckets)
 
 
 def consistency(
@@ -189,6 +190,7 @@ def consistency(
     dim: DataFrame,
     max_rows: int | None = None,
     collation: str | None = None,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
     """Q10, both copies fused into one join and one aggregation.
 
@@ -202,8 +204,10 @@ def consistency(
         F.col("brand").alias("_dim_brand"),
         F.col("category_id").alias("_dim_category_id"),
     )
-    d, _ = bounded_broadcast(d, max_rows)
-    j = silver.select("product_id", "brand", "category_id").join(d, "product_id", "inner")
+    j = join_dimension(
+        silver.select("product_id", "brand", "category_id"), d, "product_id", "inner",
+        max_rows, salt_buckets,
+    )
     brand_diff = _collated("brand", collation) != _collated("_dim_brand", collation)
     cat_diff = F.col("category_id") != F.col("_dim_category_id")
     # only differing rows can count: filter before the distinct aggregation,

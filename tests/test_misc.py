@@ -110,3 +110,20 @@ def test_salted_dimension_join_is_exact(spark):
         plain = facts.join(dim, "k", how)
         salted = join_dimension(facts, dim, "k", how=how, max_rows=0, salt_buckets=8)
         assert rows(salted.select(*plain.columns)) == rows(plain), how
+
+
+def test_salted_dq_joins_match(spark):
+    silver = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 11 == 0, F.lit(None))
+        .otherwise(F.col("id") % 100).alias("product_id"),
+        F.when(F.col("id") % 5 == 0, F.lit("a")).otherwise(F.lit("b")).alias("brand"),
+        (F.col("id") % 4).alias("category_id"))
+    dim = spark.range(90).select(F.col("id").alias("product_id"), F.lit("b").alias("brand"),
+                                 F.lit(1).cast("long").alias("category_id"))
+    plain = Q.consistency(silver, dim).first()
+    salted = Q.consistency(silver, dim, max_rows=0, salt_buckets=6).first()
+    assert tuple(plain) == tuple(salted)
+    a = sorted(r[0] for r in Q.referential_integrity(silver, dim).collect() if r[0] is not None)
+    b = Q.referential_integrity(silver, dim, max_rows=0, salt_buckets=6).collect()
+    assert a == sorted(r[0] for r in b if r[0] is not None)
+    assert sum(r[0] is None for r in b) == silver.where("product_id IS NULL").count()
