@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingot.llm import decontaminate, simhash
+from ingot.llm import bpe, decontaminate, simhash
 from ingot.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +66,16 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN cover USING (rid) LEFT JOIN own USING (rid)
 """
+
+
+@register
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts by the 50k multilingual ranks, then back from the ids."""
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    return coded.select(
+        "row.doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
