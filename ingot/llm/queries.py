@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingot.llm import bpe, decontaminate, simhash
+from ingot.llm import arrow_store, bpe, decontaminate, simhash
 from ingot.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,3 +79,11 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@register
+def op8_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the 49k word vocabulary, end id 2, written and read back."""
+    docs = read_table(spark, sf_dir, "documents")
+    manifest = arrow_store.write_sequences(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return arrow_store.read_digests(manifest, arrow_store.id_type_of(docs))
