@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingot.llm import arrow_store, bpe, decontaminate, simhash
+from ingot.llm import arrow_store, bpe, decontaminate, simhash, topk
 from ingot.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +87,23 @@ def op8_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     manifest = arrow_store.write_sequences(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return arrow_store.read_digests(manifest, arrow_store.id_type_of(docs))
+
+
+@register
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best of all other vectors for every 50th id."""
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5, scale=256)
+
+
+SQL["op9_exact_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
