@@ -14,6 +14,9 @@ from ingot.session import ensure_checkpoint_dir, reliable_checkpoint
 
 #: Rows a side may have before a join ships it to every executor.
 BROADCAST_ROWS = 200_000
+#: Rows that one pass over a large table broadcasts, where the table's tokens
+#: must not be shuffled; a larger side takes more passes.
+BLOCK_ROWS = 50_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +39,12 @@ def small_side(df: DataFrame, rows: int, max_rows: int = BROADCAST_ROWS) -> Data
     return F.broadcast(df) if rows <= max_rows else df
 
 
+def in_blocks(df: DataFrame, rows: int, key: str, block_rows: int | None = None) -> list[DataFrame]:
+    """`df` in parts of about `block_rows` rows by a hash of `key`."""
+    n = -(-rows // (block_rows or BLOCK_ROWS))
+    return [df] if n <= 1 else [df.where(F.pmod(F.xxhash64(key), F.lit(n)) == i) for i in range(n)]
+
+
 def col(name: str):
     """Column by its exact name (dots and blanks allowed)."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -8,8 +8,8 @@ keeps the ones where every other offset holds the window's word as well.
 
 Only DataFrame functions run here.  The corpus is read three times (term
 counts, postings, word counts), its tokens are never shuffled: they meet the
-benchmark's terms by a broadcast join, in blocks of at most `BLOCK_ROWS`
-index rows, so a benchmark of any size takes more passes, not more memory.
+benchmark's terms by a broadcast join, in blocks of about `common.BLOCK_ROWS`
+rows, so a benchmark of any size takes more passes, not more memory.
 
 Null texts have no words.  Repeated rows (same id and text) each get a result
 row.  Items with a null id mark words as hit but are not listed.
@@ -22,13 +22,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ingot.llm.common import BROADCAST_ROWS, col, small_side, stable, whole_row
+from ingot.llm.common import BROADCAST_ROWS, col, in_blocks, small_side, stable, whole_row
 
 #: Words of a window, and the share of hit words that contaminates (1 / 20).
 WINDOW = 13
 HIT_SHARE = 20
-#: Benchmark rows (terms or windows) that one pass over the corpus broadcasts.
-BLOCK_ROWS = 50_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -40,12 +38,6 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(lowered, F.lit(_WORD), F.lit(0))
 
 
-def _blocks(df: DataFrame, rows: int, key: str) -> list[DataFrame]:
-    """`df` in parts of about `BLOCK_ROWS` rows by a hash of `key`."""
-    n = -(-rows // BLOCK_ROWS)
-    return [df] if n <= 1 else [df.where(F.pmod(F.xxhash64(key), F.lit(n)) == i) for i in range(n)]
-
-
 def windows_of(items: DataFrame, id_col: str = "item_id", text_col: str = "text", width: int = WINDOW) -> DataFrame:
     """`window` (array of words) and `item_id` of every benchmark window; an
     item of fewer words, but not none, is one window."""
@@ -57,7 +49,7 @@ def windows_of(items: DataFrame, id_col: str = "item_id", text_col: str = "text"
 def term_counts(docs: DataFrame, terms: DataFrame, n_terms: int) -> DataFrame:
     """`term`, `count`: occurrences in the corpus of each of `terms`."""
     tokens = docs.select(F.explode("words").alias("term"))
-    counted = [tokens.join(F.broadcast(part), "term").groupBy("term").agg(F.count(F.lit(1)).alias("count")) for part in _blocks(terms, n_terms, "term")]
+    counted = [tokens.join(F.broadcast(part), "term").groupBy("term").agg(F.count(F.lit(1)).alias("count")) for part in in_blocks(terms, n_terms, "term")]
     return reduce(DataFrame.unionByName, counted)
 
 
@@ -76,7 +68,7 @@ def postings(docs: DataFrame, anchors: DataFrame, n_anchors: int, width: int = W
     and `around`, the words at most `width` - 1 before and after it, of which
     `before` come first."""
     tokens = docs.select("key", "words", F.posexplode("words").alias("pos", "term"))
-    parts = [tokens.join(F.broadcast(part), "term") for part in _blocks(anchors, n_anchors, "term")]
+    parts = [tokens.join(F.broadcast(part), "term") for part in in_blocks(anchors, n_anchors, "term")]
     before = F.least(F.col("pos"), F.lit(width - 1))
     return reduce(DataFrame.unionByName, parts).select("term", "key", "pos", before.alias("before"), F.expr(f"slice(words, pos - least(pos, {width - 1}) + 1, least(pos, {width - 1}) + {width})").alias("around"))
 
@@ -84,7 +76,7 @@ def postings(docs: DataFrame, anchors: DataFrame, n_anchors: int, width: int = W
 def phrase_matches(index: DataFrame, rare: DataFrame, n_rare: int) -> DataFrame:
     """Exact matches: `window`, `key`, `start` (word position), `length`."""
     hit = F.expr("before >= at AND slice(around, before - at + 1, size(window)) = window")
-    parts = [index.join(F.broadcast(part), "term").where(hit) for part in _blocks(rare, n_rare, "term")]
+    parts = [index.join(F.broadcast(part), "term").where(hit) for part in in_blocks(rare, n_rare, "term")]
     return reduce(DataFrame.unionByName, parts).select("window", "key", (F.col("pos") - F.col("at")).alias("start"), F.size("window").alias("length"))
 
 
@@ -93,7 +85,7 @@ def proximity_matches(index: DataFrame, rare: DataFrame, n_rare: int, share: flo
     stand within `width` - 1 words of its rarest term, in any order:
     `window`, `key`, `pos` (of the rarest term), `found` (distinct words)."""
     found = F.size(F.array_intersect("window", "around"))
-    parts = [index.join(F.broadcast(part), "term") for part in _blocks(rare, n_rare, "term")]
+    parts = [index.join(F.broadcast(part), "term") for part in in_blocks(rare, n_rare, "term")]
     near = reduce(DataFrame.unionByName, parts).select("window", "key", "pos", found.alias("found"), F.size(F.array_distinct("window")).alias("need"))
     return near.where(F.col("found") >= F.ceil(F.lit(share) * F.col("need"))).drop("need")
 
