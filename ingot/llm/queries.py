@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingot.llm import arrow_store, bpe, decontaminate, pii, simhash, topk
+from ingot.llm import arrow_store, bpe, decontaminate, pii, simhash, token_counts, topk, url_rules
 from ingot.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,3 +119,46 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.spans_of(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [F.expr(f"size(filter(base, s -> s.kind = '{k}'))").cast("long").alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(_span_list("base"), 256).alias("base_sha256"), _span_list("spans").alias("spans"))
+
+
+#: Site rules of the contract.
+SITE_RULES = (
+    url_rules.site_rule("allow", "org/"), url_rules.site_rule("block", "example.org/es/"), url_rules.site_rule("block", "example.org/en/1"),
+    url_rules.site_rule("allow", "com/fr/"), url_rules.site_rule("block", "com/de/"),
+)
+
+
+@register
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five site rules, then the word rules, on every url."""
+    return url_rules.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"), (*SITE_RULES, *url_rules.WORD_RULES))
+
+
+SQL["op3_url_filters"] = r"""
+WITH u AS (
+  SELECT page_id, CASE WHEN position('://' IN coalesce(url, '')) = 0 THEN '' ELSE substr(url, position('://' IN url) + 3) END AS rest
+  FROM pages),
+h AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM u),
+r(verdict, rhost, rpath) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+                                    ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+w AS (
+  SELECT page_id, host, path, r.verdict, rhost || rpath AS rule
+  FROM h LEFT JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+  QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rhost || rpath) DESC NULLS LAST) = 1)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IS NOT NULL THEN verdict
+            WHEN regexp_matches('/' || translate(host || path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || '/',
+                 '[./_-](spam|cheap[./_-]+pills|casino|viagra|porn|xxx|malware|phishing)[./_-]') THEN 'block'
+            ELSE 'allow' END AS verdict
+FROM w
+"""
+
+
+@register
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy lengths in the 50k multilingual byte vocabulary."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
