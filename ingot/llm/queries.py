@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingot.llm import arrow_store, bpe, decontaminate, pii, simhash, token_counts, topk, url_rules
+import corpus_pipeline
+from ingot.llm import arrow_store, bpe, decontaminate, html_extract, pii, quality, simhash, token_counts, topk, url_rules
 from ingot.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,3 +163,26 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy lengths in the 50k multilingual byte vocabulary."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@register
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
+@register
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and verdict of every document (site: source and language)."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return quality.judge(docs, labels, host_col="source", path_col="lang")
+
+
+@register
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of `corpus_pipeline`."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
