@@ -16,8 +16,8 @@ Words are exchanged as one packed row per block and bucket, not as one row
 per occurrence: the shuffles carry a fraction of the input, and a word that is
 in every document is one entry per block.  Blocks are read in the order of the
 input's partitions; if a lost executor makes a partition run again on an input
-whose order is not fixed, `crc` tells the old and the new block apart and the
-job fails instead of mixing them.  Stored tables have a fixed order.
+whose order is not fixed, a checksum tells the old and the new block apart and
+the job fails instead of mixing them.  Stored tables have a fixed order.
 
 Decoding joins each id with its bytes in the token table.
 
@@ -37,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,7 +51,7 @@ MAX_BUCKETS = 4096
 #: Distinct words whose ids a task remembers at a time.
 MEMORY_WORDS = 1_000_000
 #: Documents a result batch holds, and ids after which it is sent on.
-BATCH_IDS = 2_000_000
+BATCH_IDS = 1_000_000
 
 
 # --- vocabulary -----------------------------------------------------------------
@@ -86,22 +87,48 @@ def token_table(path: str) -> list[bytes]:
 
 # --- packed columns -----------------------------------------------------------------
 
-def _pack(**arrays) -> bytes:
-    batch = pa.RecordBatch.from_pydict(arrays)
+def _pack_numbers(x: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers, byte plane by byte plane, compressed."""
+    planes = np.ascontiguousarray(x, "<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(planes.tobytes(), 3)
+
+
+def _unpack_numbers(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
+def _pack_words(words: list[bytes]) -> bytes:
+    sizes = _pack_numbers(np.fromiter(map(len, words), np.uint32, len(words)))
+    return len(sizes).to_bytes(4, "little") + sizes + zstandard.compress(b"".join(words), 3)
+
+
+def _unpack_words(data: bytes) -> list[bytes]:
+    at = 4 + int.from_bytes(data[:4], "little")
+    ends = np.cumsum(_unpack_numbers(data[4:at]), dtype=np.int64).tolist()
+    raw = zstandard.decompress(data[at:])
+    return [raw[i:j] for i, j in zip([0, *ends], ends)]
+
+
+def _pack_rows(rows: pa.Array) -> bytes:
     out = io.BytesIO()
+    batch = pa.RecordBatch.from_arrays([rows], names=["row"])
     with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
         w.write_batch(batch)
     return out.getvalue()
 
 
-def _unpack(data: bytes) -> pa.RecordBatch:
-    return pa.ipc.open_stream(data).read_next_batch()
+def _unpack_rows(data: bytes) -> pa.Array:
+    return pa.ipc.open_stream(data).read_next_batch().column(0)
 
 
 _ROW = T.StructType([
     T.StructField("key", T.LongType()),  # where the row goes: a bucket, or the block (negative)
     T.StructField("block", T.LongType()), T.StructField("bucket", T.IntegerType()), T.StructField("crc", T.LongType()),
-    T.StructField("words", T.BinaryType()), T.StructField("codes", T.BinaryType()), T.StructField("docs", T.BinaryType()),
+    T.StructField("words", T.BinaryType()),  # of a bucket, until they are encoded
+    T.StructField("numbers", T.BinaryType()),  # the ids of its words, or the codes of the texts
+    T.StructField("sizes", T.BinaryType()),  # ids a word, or words a text
+    T.StructField("docs", T.BinaryType()),
 ])
 
 
@@ -113,63 +140,70 @@ def _arrow(schema: T.StructType) -> pa.Schema:
 
 # --- 1: blocks ------------------------------------------------------------------
 
+class _Block:
+    """Dictionary and sequences of the texts of one block."""
+
+    def __init__(self, split):
+        self.split, self.code = split, defaultdict()
+        self.code.default_factory = self.code.__len__  # a new word gets the next number
+        self.codes: list[np.ndarray] = []
+        self.rows: list[pa.Array] = []
+        self.chars = 0
+
+    def add(self, text: str) -> None:
+        words = self.split(text)
+        self.codes.append(np.fromiter(map(self.code.__getitem__, words), np.uint32, len(words)))
+        self.chars += len(text)
+
+    def emit(self, block: int, buckets: int) -> Iterator[dict]:
+        """The bucket rows, then the row of the documents."""
+        words = [w.encode() for w in self.code]
+        self.code.clear()
+        sizes = np.fromiter(map(len, self.codes), np.uint32, len(self.codes))
+        codes = np.concatenate([np.empty(0, np.uint32), *self.codes])
+        self.codes.clear()
+        # frequent words get small numbers, which pack best
+        often = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
+        place = np.empty(len(words), np.uint32)
+        place[often] = np.arange(len(words), dtype=np.uint32)
+        codes = place[codes]
+        # the words leave by bucket, the frequent ones first: the bucket of each
+        # word by frequency is all it takes to put their ids in order again
+        bucket = np.fromiter((zlib.crc32(words[i]) % buckets for i in often), np.uint32, len(words))
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.flatnonzero(np.diff(bucket[order].astype(np.int64), prepend=-1, append=buckets))
+        parts = [order[i:j] for i, j in zip(cuts[:-1], cuts[1:])]
+        crc = zlib.crc32(codes.tobytes())
+        for part in parts:
+            yield {"key": int(bucket[part[0]]), "block": block, "bucket": int(bucket[part[0]]), "crc": crc, "words": _pack_words([words[i] for i in often[part]])}
+        del words
+        yield {"key": -1 - block, "block": block, "bucket": len(parts), "crc": crc, "words": _pack_numbers(bucket),
+               "numbers": _pack_numbers(codes), "sizes": _pack_numbers(sizes), "docs": _pack_rows(pa.concat_arrays(self.rows))}
+
+
 def _blocks(pattern: str, buckets: int, block_chars: int):
     """Rows of `_ROW` for the blocks of one partition (input: text, row)."""
     schema = _arrow(_ROW)
 
-    def emit(block: int, texts: list[str], rows: list[pa.Array]) -> Iterator[pa.RecordBatch]:
-        split, code, sequence, ends = regex.compile(pattern).findall, defaultdict(), [], []
-        code.default_factory = code.__len__  # a new word gets the next number
-        total = 0
-        for t in texts:
-            words = split(t)
-            sequence.append(np.fromiter(map(code.__getitem__, words), dtype=np.uint32, count=len(words)))
-            total += len(words)
-            ends.append(total)
-        del texts
-        # words by bucket, then by their bytes; `place` is a code's new number
-        keyed = sorted((zlib.crc32(raw := w.encode()) % buckets, raw, c) for w, c in code.items())
-        del code
-        place = np.empty(len(keyed), np.uint32)
-        place[np.fromiter((c for _, _, c in keyed), dtype=np.int64, count=len(keyed))] = np.arange(len(keyed), dtype=np.uint32)
-        crc = 0
-        packed = []
-        at = 0
-        while at < len(keyed):
-            bucket, to = keyed[at][0], at
-            while to < len(keyed) and keyed[to][0] == bucket:
-                to += 1
-            words = [w for _, w, _ in keyed[at:to]]
-            crc = zlib.crc32(b"\0".join(words), crc)
-            packed.append((bucket, _pack(w=pa.array(words, pa.binary()))))
-            at = to
-        del keyed
-        for bucket, words in packed:
-            yield pa.RecordBatch.from_pylist([{"key": bucket, "block": block, "bucket": bucket, "crc": crc, "words": words, "codes": None, "docs": None}], schema)
-        codes = place[np.concatenate([np.empty(0, np.uint32), *sequence])]
-        docs = pa.concat_arrays(rows)
-        yield pa.RecordBatch.from_pylist([{
-            "key": -1 - block, "block": block, "bucket": len(packed), "crc": crc, "words": None,
-            "codes": _pack(c=pa.array(codes)), "docs": _pack(end=pa.array(ends, pa.int64()), row=docs),
-        }], schema)
-
     def run(batches):
         from pyspark import TaskContext
 
-        first, k, size, texts, rows = TaskContext.get().partitionId() << 32, 0, 0, [], []
+        split, number = regex.compile(pattern).findall, TaskContext.get().partitionId() << 32
+        block = _Block(split)
         for b in batches:
             start = 0
             for i, t in enumerate(b.column(0)):
                 t = t.as_py() or ""
-                if texts and size + len(t) > block_chars:
-                    rows.append(b.column(1).slice(start, i - start))
-                    yield from emit(first + k, texts, rows)
-                    k, size, texts, rows, start = k + 1, 0, [], [], i
-                texts.append(t)
-                size += len(t)
-            rows.append(b.column(1).slice(start))
-        if texts:
-            yield from emit(first + k, texts, rows)
+                if block.codes and block.chars + len(t) > block_chars:
+                    block.rows.append(b.column(1).slice(start, i - start))
+                    for row in block.emit(number, buckets):
+                        yield pa.RecordBatch.from_pylist([row], schema)
+                    block, number, start = _Block(split), number + 1, i
+                block.add(t)
+            block.rows.append(b.column(1).slice(start))
+        if block.codes:
+            for row in block.emit(number, buckets):
+                yield pa.RecordBatch.from_pylist([row], schema)
 
     return run
 
@@ -184,14 +218,13 @@ def _encode_buckets(path: str, pattern: str):
         encode, known, now = word_encoder(path, pattern), {}, None
         for b in batches:
             for r in b.to_pylist():
-                if r["words"] is not None:
+                if r["key"] >= 0:
                     if r["bucket"] != now or len(known) > MEMORY_WORDS:
                         now, known = r["bucket"], {}
-                    words = _unpack(r["words"]).column(0).to_pylist()
+                    words = _unpack_words(r["words"])
                     known.update((w, np.array(encode(w), np.uint32)) for w in words if w not in known)
                     ids = [known[w] for w in words]
-                    n = np.fromiter(map(len, ids), dtype=np.uint32, count=len(ids))
-                    r |= {"words": None, "codes": _pack(c=pa.array(np.concatenate(ids))), "docs": _pack(n=pa.array(n))}
+                    r |= {"words": None, "numbers": _pack_numbers(np.concatenate(ids)), "sizes": _pack_numbers(np.fromiter(map(len, ids), np.uint32, len(ids)))}
                 yield pa.RecordBatch.from_pylist([r], schema)
 
     return run
@@ -218,12 +251,19 @@ def _reassemble(out: pa.Schema):
                     continue
                 if len(parts) != r["bucket"] or any(p["crc"] != r["crc"] for p in parts):
                     raise RuntimeError("a block was read again in another order; write the input to a table first")
-                ids = np.concatenate([np.empty(0, np.uint32)] + [_unpack(p["codes"]).column(0).to_numpy() for p in parts])
-                n = np.concatenate([np.empty(0, np.uint32)] + [_unpack(p["docs"]).column(0).to_numpy() for p in parts]).astype(np.int64)
+                none = np.empty(0, np.uint32)
+                ids = np.concatenate([none] + [_unpack_numbers(p["numbers"]) for p in parts])
+                n = np.concatenate([none] + [_unpack_numbers(p["sizes"]) for p in parts]).astype(np.int64)
                 first = np.cumsum(n) - n
-                codes, docs = _unpack(r["codes"]).column(0).to_numpy(), _unpack(r["docs"])
-                ends = docs.column(0).to_numpy()
-                parts, ready, at, sent, waiting = [], [], 0, 0, 0
+                order = np.argsort(_unpack_numbers(r["words"]), kind="stable")
+                back = np.empty(len(order), np.int64)
+                back[order] = np.arange(len(order))
+                n, first = n[back], first[back]  # by the codes of the texts
+                codes, docs = _unpack_numbers(r["numbers"]), _unpack_rows(r["docs"])
+                if zlib.crc32(codes.tobytes()) != r["crc"]:
+                    raise RuntimeError("the codes of a block were damaged")
+                ends = np.cumsum(_unpack_numbers(r["sizes"]), dtype=np.int64).tolist()
+                parts, ready, at, done, waiting = [], [], 0, 0, 0
                 for d, end in enumerate(ends):
                     c = codes[at:end]
                     each = n[c]
@@ -232,10 +272,10 @@ def _reassemble(out: pa.Schema):
                     waiting += len(place)
                     at = end
                     if waiting > BATCH_IDS:
-                        yield batch(docs.column(1).slice(sent, d + 1 - sent), ready)
-                        ready, sent, waiting = [], d + 1, 0
+                        yield batch(docs.slice(done, d + 1 - done), ready)
+                        ready, done, waiting = [], d + 1, 0
                 if ready:
-                    yield batch(docs.column(1).slice(sent), ready)
+                    yield batch(docs.slice(done), ready)
 
     return run
 
