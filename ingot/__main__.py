@@ -21,7 +21,6 @@ import sys
 from pyspark.sql import functions as F
 
 from ingot.operators import quality as Q
-from ingot.operators.joins import release_broadcast_caches
 from ingot.plans import medallion as M
 from ingot.plans import sinks as S
 from ingot.session import build_session
@@ -48,7 +47,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--source", help="CSV file, folder or glob (run, bronze)")
     ap.add_argument("--root", required=True, help="shared folder holding the tables")
     ap.add_argument("--limit-per-file", type=int, default=None)
-    ap.add_argument("--on-error", default="skip_file", choices=["skip_file", "quarantine", "fail"])
+    ap.add_argument("--on-error", default="quarantine", choices=["quarantine", "skip_file", "fail"])
     ap.add_argument("--fact-mode", default="append", choices=["append", "overwrite"])
     ap.add_argument("--fail-on", default="", help="comma list of check names that gate the run")
     ap.add_argument("--layer", default=None, choices=["bronze", "silver", "gold"])
@@ -82,7 +81,8 @@ def main(argv: list[str] | None = None) -> int:
         print(f"bronze: {rep.rows_loaded} rows appended, {rep.rows_rejected} rejected")
         M.bronze_file_counts(lh).orderBy("source_file").show(truncate=False)
     elif args.command == "silver":
-        print(f"silver: refreshed, {M.load_silver(lh)} rows over column widths rejected")
+        M.load_silver(lh)
+        print(f"silver: refreshed, {lh.table(S.SILVER).count()} rows")
     elif args.command == "gold":
         print(f"dim_products: refreshed, {M.load_dim_products(lh)} events without product id")
         print(f"fact_ecommerce: {M.load_fact(lh, args.fact_mode)} rows loaded")
@@ -92,7 +92,6 @@ def main(argv: list[str] | None = None) -> int:
         for layer in layers:
             _show_checks(flows[layer](lh), layer, args.preview)
         M.dq_summary(lh).orderBy(F.col("layer"), F.col("check_name")).show(truncate=False)
-    release_broadcast_caches()
     return 0
 
 

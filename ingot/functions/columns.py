@@ -77,9 +77,12 @@ def null_tokens(c, tokens: Iterable[str] = schemas.NA_TOKENS) -> Column:
     return F.when(~c.isin(*tokens), c)
 
 
-# A zone at the end of a time text: Z, UTC/GMT, +hh:mm / +hhmm / +hh, or a
-# region id such as Europe/Paris.
-_ZONE_SUFFIX = r"(?i)(z|utc|gmt|[+-]\d{2}(:?\d{2})?|[a-z]+/[a-z_]+)$"
+# A zone behind the time of day: Z, UTC/GMT, +hh:mm / +hhmm / +hh, or a region
+# id such as Europe/Paris.  Without a time of day there is no zone: the end of
+# a plain date such as 2019-11-01 is not an offset.
+_ZONE_SUFFIX = r"(?i)\d:\d{2}(:\d{2}(\.\d+)?)?\s*(z|utc|gmt|[+-]\d{2}(:?\d{2})?|[a-z]+/[a-z_]+)$"
+# +hhmm, which the cast does not read, beside +hh:mm, which it does
+_SHORT_OFFSET = r"(:\d{2}(?:\.\d+)?\s*[+-]\d{2})(\d{2})$"
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
@@ -92,17 +95,13 @@ def parse_event_time(c) -> Column:
     CSV reader does.  Neither path depends on the session's time zone.
     Unparsable text gives NULL (rejected later by the NOT NULL check).
     """
-    text = F.trim(_col(c))
+    text = F.regexp_replace(F.trim(_col(c)), _SHORT_OFFSET, "$1:$2")
     instant = text.try_cast("timestamp")
     utc_wall = F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.expr(_EPOCH_NTZ))
     naive = text.try_cast("timestamp_ntz")
     return F.when(text.rlike(_ZONE_SUFFIX), utc_wall).otherwise(naive)
 
 
-def _sql_name(c: str) -> str:
-    return "`" + c.replace("`", "``") + "`"
-
-
 # --- M1 / M2: RANGE LEFT buckets and their storage groups --------------------
 
 def range_left_bucket(d, bounds=schemas.MONTH_BOUNDS) -> Column:

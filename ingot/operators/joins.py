@@ -1,137 +1,31 @@
-"""Join helpers: broadcast only behind a measured size bound.
+"""Join helpers.
 
-A side is broadcast only after a bounded count proves it has at most
-``max_rows`` rows (the count reads at most ``max_rows + 1`` rows per
-partition, so it stays cheap even when the side turns out to be huge).
-Beyond the bound the join is left to a shuffle, where AQE's skew handling
-splits hot keys; NULL keys are taken out before an anti-join shuffle so
-they cannot pile up in one reducer.
+Joins are plain: the planner broadcasts a table scan below
+`spark.sql.autoBroadcastJoinThreshold`, and AQE turns a shuffled join into a
+broadcast once it has measured that a side is small.  Beyond that the join is
+a shuffle whose hot keys AQE's skew handling splits.  Nothing is counted,
+hinted or cached here, so no result can outlive its input.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound on rows shipped to every executor.  Dimension rows here are a
-# few narrow columns (~40-60 bytes), so 2M rows stay well below the default
-# 8 GB broadcast limit and typically around 100 MB.  A session can change it
-# with the `ingot.broadcast.maxRows` setting (0 forces every shuffle path).
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-MAX_ROWS_CONF = "ingot.broadcast.maxRows"
 
+def join_dimension(facts: DataFrame, dim: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """Join a large relation to a dimension on equal keys."""
+    return facts.join(dim, on=on, how=how)
 
-def broadcast_row_bound(df: DataFrame, max_rows: int | None = None) -> int:
-    """The row bound in force: the argument, else the session setting."""
-    if max_rows is not None:
-        return max_rows
-    try:
-        return int(df.sparkSession.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_BROADCAST_ROWS)))
-    except Exception:
-        return DEFAULT_MAX_BROADCAST_ROWS
 
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when `df` has at most `max_rows` rows (bounded scan)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(
-    df: DataFrame, max_rows: int | None = None, cache: bool = True
-) -> tuple[DataFrame, bool]:
-    """Return (`broadcast(df)`, True) if its row count is proven small.
-
-    Otherwise return (`df`, False) unchanged so the caller's join shuffles.
-    With `cache` the side is persisted first, so the rows counted by the
-    check are the rows broadcast, computed once (a derived dimension is not
-    recomputed by the join).  Plain table scans need no such check: the
-    planner broadcasts them only below `spark.sql.autoBroadcastJoinThreshold`
-    from their file sizes.
-    """
-    max_rows = broadcast_row_bound(df, max_rows)
-    if cache:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if has_at_most(df, max_rows):
-        if cache:
-            _CACHED.append(df)
-        return F.broadcast(df), True
-    if cache:
-        df = df.unpersist()
-    return df, False
-
-
-# Sides persisted by `bounded_broadcast` and still in use by lazy plans.
-_CACHED: list[DataFrame] = []
-
-
-def release_broadcast_caches() -> int:
-    """Unpersist every side cached by `bounded_broadcast` (after the actions
-    that use them); returns how many were released."""
-    n = len(_CACHED)
-    while _CACHED:
-        _CACHED.pop().unpersist()
-    return n
-
-
-def join_dimension(
-    facts: DataFrame,
-    dim: DataFrame,
-    on: str | list[str],
-    how: str = "inner",
-    max_rows: int | None = None,
-    salt_buckets: int | None = None,
-) -> DataFrame:
-    """Join a large relation to a dimension; broadcast the dimension if small.
-
-    Beyond the bound the join shuffles.  With `salt_buckets=S` a hot key is
-    spread over S reducers: each fact row gets a salt in [0, S) and every
-    dimension row is repeated once per salt, so each fact row meets exactly
-    one copy of its match.  The salt may be random (a retried task may draw
-    another one) because every salt exists for every key.  Costs S copies of
-    the dimension in the shuffle; for inner / left / semi / anti joins.
-    """
-    dim_side, small = bounded_broadcast(dim, max_rows)
-    if small:
-        return facts.join(dim_side, on=on, how=how)
-    return _shuffle_join(facts, dim_side, on, how, salt_buckets)
-
-
-def _shuffle_join(
-    facts: DataFrame, dim: DataFrame, on, how: str, salt_buckets: int | None
-) -> DataFrame:
-    """Shuffled join, salted when `salt_buckets` > 1 (see `join_dimension`)."""
-    if not salt_buckets or salt_buckets <= 1:
-        return facts.join(dim, on=on, how=how)
-    keys = [on] if isinstance(on, str) else list(on)
-    salted_facts = facts.withColumn("_salt", (F.rand() * salt_buckets).cast("int"))
-    salted_dim = dim.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
-    )
-    return salted_facts.join(salted_dim, on=keys + ["_salt"], how=how).drop("_salt")
-
-
-def anti_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    max_rows: int | None = None,
-    salt_buckets: int | None = None,
-) -> DataFrame:
+def anti_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Rows of `left` whose `key` has no match in `right` (NOT EXISTS).
 
-    Rows with a NULL key never match and are kept, duplicates are kept.
-    With a small `right` this is one broadcast anti-join and no shuffle of
-    `left`.  Otherwise NULL keys are split off first: in a shuffle they
-    would all hash to one reducer; `salt_buckets` also spreads a hot
-    non-NULL key (see `join_dimension`).
+    Rows with a NULL key never match and are kept, duplicates are kept.  NULL
+    keys are split off before the join: shuffled, they would all hash to one
+    reducer.
     """
-    keys = right.select(key)
-    keys_side, small = bounded_broadcast(keys, max_rows)
-    if small:
-        return left.join(keys_side, on=key, how="left_anti")
     nulls = left.where(F.col(key).isNull())
-    rest = _shuffle_join(
-        left.where(F.col(key).isNotNull()), keys.distinct(), key, "left_anti", salt_buckets
-    )
+    keys = right.select(key).where(F.col(key).isNotNull()).distinct()
+    rest = left.where(F.col(key).isNotNull()).join(keys, key, "left_anti")
     return rest.unionByName(nulls)

@@ -1,9 +1,11 @@
 """Monthly range partitioning (M1-M3).
 
 The source defines a RANGE LEFT partition function over six month-end
-dates and maps its seven buckets to named storage groups.  Here the
-bucket's group name becomes a Hive-style partition column, so writes use
-`partitionBy(...)` and reads with a predicate on it prune whole folders.
+dates and maps its seven buckets to named storage groups.  Both are functions
+here (`with_month_partition`).  The stored tables are partitioned by calendar
+month unless a lakehouse is given such bounds, so that dates beyond the last
+bound do not all fall into one partition; reads with a predicate on it prune
+whole folders.
 """
 
 from __future__ import annotations
@@ -50,24 +52,37 @@ def groups_for_dates(
     return names[first - 1:last]
 
 
+def with_partition(df: DataFrame, date_col: str = "event_date", bounds=None, group_col: str = PARTITION_COLUMN) -> DataFrame:
+    """Add the partition column of the stored tables: the calendar month
+    (`yyyy-MM`) by default, or the storage group for the given bounds."""
+    if bounds is not None:
+        return with_month_partition(df, date_col, bounds, group_col=group_col)
+    return df.withColumn(group_col, F.date_format(F.col(date_col), "yyyy-MM"))
+
+
 def where_dates(
     df: DataFrame,
     lo: str | None,
     hi: str | None,
     date_col: str = "event_date",
     group_col: str = PARTITION_COLUMN,
-    bounds=schemas.MONTH_BOUNDS,
+    bounds=None,
 ) -> DataFrame:
     """Date-range filter that also names the partitions to read.
 
     A predicate on `event_date` alone does not prune folders partitioned by
-    `event_month`; the added `event_month IN (...)` does.
+    `event_month`; the added predicate on the month (or storage group) does.
     """
-    cond = F.col(group_col).isin(groups_for_dates(lo, hi, bounds))
+    month = F.col(group_col)
+    cond = F.lit(True)
+    if bounds is not None:
+        cond = month.isin(groups_for_dates(lo, hi, bounds))
     if lo is not None:
         cond = cond & (F.col(date_col) >= F.lit(lo).cast("date"))
+        cond = cond & (month >= F.lit(str(lo)[:7])) if bounds is None else cond
     if hi is not None:
         cond = cond & (F.col(date_col) <= F.lit(hi).cast("date"))
+        cond = cond & (month <= F.lit(str(hi)[:7])) if bounds is None else cond
     return df.where(cond)
 
 

@@ -1,10 +1,10 @@
 """Data-quality checks of the three layers, as DataFrames.
 
 Every check returns a DataFrame (violation rows, or a one-row profile)
-instead of printing.  Profiles are single aggregation passes (partial
-aggregation on the map side, one small shuffle); joins go through the
-size-checked broadcast of `ingot.operators.joins`.  `report` and
-`summary` turn results into (metric, value, status) rows.
+instead of printing.  Profiles read their table once: rows are first reduced
+to the distinct combinations of the columns to be counted (partial aggregation
+on the map side), distinct counts run over that.  `report` and `summary` turn
+results into (metric, value, status) rows.
 """
 
 from __future__ import annotations
@@ -60,21 +60,28 @@ def profile(
     exact: bool = True,
     collation: str | None = None,
 ) -> DataFrame:
-    """One-row profile in a single aggregation pass.
+    """One-row profile in one pass over the table.
 
     `nulls`, `unknowns`, `distincts` are (column, output name) pairs;
     `collation` applies to the distinct counts of text columns.
+
+    Exact distinct counts are taken in two levels: the counters are summed per
+    combination of the counted columns, then the combinations are counted, so
+    the copies that several distinct counts need are of the reduced rows.
     """
     text = {f.name for f in df.schema if f.dataType.typeName() == "string"}
-    aggs = []
-    if total:
-        aggs.append(F.count(F.lit(1)).alias(total))
-    aggs += [count_nulls(c).alias(n) for c, n in nulls]
-    aggs += [count_equal(c, schemas.UNKNOWN).alias(n) for c, n in unknowns]
-    aggs += [
-        count_distinct(c, exact, collation if c in text else None).alias(n) for c, n in distincts
-    ]
-    return df.agg(*aggs)
+    counters = [F.count(F.lit(1)).alias(total)] if total else []
+    counters += [count_nulls(c).alias(n) for c, n in nulls]
+    counters += [count_equal(c, schemas.UNKNOWN).alias(n) for c, n in unknowns]
+    distinct = [count_distinct(c, exact, collation if c in text else None).alias(n) for c, n in distincts]
+    if not exact or not distincts:
+        return df.agg(*counters, *distinct)
+    names = ([total] if total else []) + [n for _, n in (*nulls, *unknowns)]
+    combinations = df.groupBy(*[c for c, _ in distincts]).agg(*counters)
+    sums = [F.sum(n).cast("long").alias(n) for n in names]
+    if total:  # a table without rows has none, not NULL
+        sums[0] = F.coalesce(F.sum(total), F.lit(0)).cast("long").alias(total)
+    return combinations.agg(*sums, *distinct)
 
 
 def repeated_keys(df: DataFrame, key: str, count_name: str = "duplicate_count") -> DataFrame:
@@ -177,50 +184,52 @@ def fact_profile(fact: DataFrame, exact: bool = True) -> DataFrame:
 
 
 def referential_integrity(
-    fact: DataFrame, dim: DataFrame, max_rows: int | None = None,
-    salt_buckets: int | None = None,
+    fact: DataFrame, dim: DataFrame,
 ) -> DataFrame:
     """Q9: fact product ids with no dimension row (NULL ids included,
     duplicates kept), i.e. `LEFT JOIN ... WHERE p.product_id IS NULL`."""
-    return anti_join(fact.select("product_id"), dim, "product_id", max_rows, salt_buckets)
+    return anti_join(fact.select("product_id"), dim, "product_id")
 
 
 def consistency(
     silver: DataFrame,
     dim: DataFrame,
-    max_rows: int | None = None,
     collation: str | None = None,
-    salt_buckets: int | None = None,
+    checks: Sequence[str] = ("brand", "category"),
 ) -> DataFrame:
     """Q10, both copies fused into one join and one aggregation.
 
     Counts distinct brands / category ids on rows whose value differs from
     the dimension's, taken from the silver side (pipeline copy) and from the
     dimension side (standalone copy).  NULLs never count as mismatches.
-    `collation='UTF8_LCASE'` compares brands case-insensitively.
+    `collation='UTF8_LCASE'` compares brands case-insensitively; `checks`
+    names the differences asked for, and only rows with one of them go on.
     """
     d = dim.select(
         "product_id",
         F.col("brand").alias("_dim_brand"),
         F.col("category_id").alias("_dim_category_id"),
     )
-    j = join_dimension(
-        silver.select("product_id", "brand", "category_id"), d, "product_id", "inner",
-        max_rows, salt_buckets,
-    )
+    j = join_dimension(silver.select("product_id", "brand", "category_id"), d, "product_id")
     brand_diff = _collated("brand", collation) != _collated("_dim_brand", collation)
     cat_diff = F.col("category_id") != F.col("_dim_category_id")
-    # only differing rows can count: filter before the distinct aggregation,
-    # whose Expand would otherwise replicate every joined row five times
-    j = j.where(brand_diff | cat_diff)
-    return j.agg(
-        F.countDistinct(F.when(brand_diff, _collated("brand", collation)))
-        .alias("mismatched_brands_silver"),
-        F.countDistinct(F.when(brand_diff, _collated("_dim_brand", collation)))
-        .alias("mismatched_brands_dim"),
-        F.countDistinct(F.when(cat_diff, F.col("category_id"))).alias("mismatched_categories_silver"),
-        F.countDistinct(F.when(cat_diff, F.col("_dim_category_id"))).alias("mismatched_categories_dim"),
-    )
+    differs, counts = F.lit(False), []
+    if "brand" in checks:
+        differs = differs | brand_diff
+        counts += [
+            F.countDistinct(F.when(brand_diff, _collated("brand", collation))).alias("mismatched_brands_silver"),
+            F.countDistinct(F.when(brand_diff, _collated("_dim_brand", collation))).alias("mismatched_brands_dim"),
+        ]
+    if "category" in checks:
+        differs = differs | cat_diff
+        counts += [
+            F.countDistinct(F.when(cat_diff, F.col("category_id"))).alias("mismatched_categories_silver"),
+            F.countDistinct(F.when(cat_diff, F.col("_dim_category_id"))).alias("mismatched_categories_dim"),
+        ]
+    # only differing rows can count, and each pair of values once: what the
+    # distinct counts copy is the reduced relation
+    pairs = j.where(differs).select("brand", "category_id", "_dim_brand", "_dim_category_id").distinct()
+    return pairs.agg(*counts)
 
 
 # --- previews and reports (B1, R1, R2) -----------------------------------------
@@ -274,48 +283,36 @@ def verdicts(counts: DataFrame) -> DataFrame:
     )
 
 
-def _tag(count_df: DataFrame, layer: str, check: str, column: str) -> DataFrame:
-    return count_df.select(
-        F.lit(layer).alias("layer"), F.lit(check).alias("check_name"), F.col(column).alias("n")
-    )
+def _stack(one_row: DataFrame, checks: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """One row of counts -> (layer, check_name, n) rows."""
+    rows = ", ".join(f"'{layer}', '{check}', CAST({column} AS BIGINT)" for layer, check, column in checks)
+    return one_row.select(F.expr(f"stack({len(checks)}, {rows}) AS (layer, check_name, n)"))
 
 
-def summary(
-    bronze: DataFrame,
-    silver: DataFrame,
-    dim: DataFrame,
-    fact: DataFrame,
-    max_rows: int | None = None,
-) -> DataFrame:
+def summary(bronze: DataFrame, silver: DataFrame, dim: DataFrame, fact: DataFrame) -> DataFrame:
     """R2 over all layers: one verdict row per check.
 
-    Each check is one aggregation branch of a single union; the
-    consistency join runs once and yields both of its rows.
+    Bronze and the fact are read once each, silver twice (its own checks, and
+    the consistency join).
     """
-    n_invalid = invalid_ids(bronze).agg(F.count(F.lit(1)).alias("n"))
-    n_orphans = referential_integrity(fact, dim, max_rows).agg(F.count(F.lit(1)).alias("n"))
-    n_dup_keys = event_key_duplicates(fact).agg(F.count(F.lit(1)).alias("n"))
-    unk = silver_unknowns(silver)
-    unk_total = unk.select(
-        sum((F.coalesce(F.col(c), F.lit(0)) for c in unk.columns), F.lit(0)).alias("n")
-    )
-    cons = consistency(silver, dim, max_rows).select(
-        F.lit("gold").alias("layer"),
-        F.expr(
-            "stack(2, 'brand_mismatches', mismatched_brands_silver, "
-            "'category_mismatches', mismatched_categories_silver) AS (check_name, n)"
-        ),
-    )
-    parts = [
-        _tag(n_invalid, "bronze", "invalid_ids", "n"),
-        _tag(duplicate_products(bronze), "bronze", "duplicate_product_ids", "total_duplicates"),
-        _tag(duplicate_products(silver), "silver", "duplicate_product_ids", "total_duplicates"),
-        _tag(unk_total, "silver", "unknown_values", "n"),
-        _tag(n_dup_keys, "gold", "event_key_duplicates", "n"),
-        _tag(n_orphans, "gold", "referential_integrity", "n"),
-        cons,
+    repeated = F.sum(F.when(F.col("_rows") > 1, 1).otherwise(0))
+    invalid = (F.col("product_id") <= 0) | (F.col("category_id") <= 0)
+    b = bronze.groupBy("product_id").agg(F.count(F.lit(1)).alias("_rows"), F.sum(F.when(invalid, 1).otherwise(0)).alias("_bad"))
+    b = b.agg(F.sum("_bad").alias("invalid"), repeated.alias("repeated"))
+    unknown = sum((F.when(F.col(c) == schemas.UNKNOWN, 1).otherwise(0) for c in SILVER_UNKNOWN_COLS), F.lit(0))
+    s = silver.groupBy("product_id").agg(F.count(F.lit(1)).alias("_rows"), F.sum(unknown).alias("_unknown"))
+    s = s.agg(F.sum("_unknown").alias("unknown"), repeated.alias("repeated"))
+    keys = dim.select(F.col("product_id").alias("_known")).distinct()
+    f = join_dimension(fact.select("event_key", "product_id"), keys, F.col("product_id") == F.col("_known"), "left")
+    f = f.groupBy("event_key").agg(F.count(F.lit(1)).alias("_rows"), F.sum(F.when(F.col("_known").isNull(), 1).otherwise(0)).alias("_orphans"))
+    f = f.agg(F.sum("_orphans").alias("orphans"), repeated.alias("repeated"))
+    counts = [
+        _stack(b, [("bronze", "invalid_ids", "invalid"), ("bronze", "duplicate_product_ids", "repeated")]),
+        _stack(s, [("silver", "duplicate_product_ids", "repeated"), ("silver", "unknown_values", "unknown")]),
+        _stack(f, [("gold", "event_key_duplicates", "repeated"), ("gold", "referential_integrity", "orphans")]),
+        _stack(consistency(silver, dim), [("gold", "brand_mismatches", "mismatched_brands_silver"), ("gold", "category_mismatches", "mismatched_categories_silver")]),
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    out = counts[0]
+    for part in counts[1:]:
+        out = out.unionByName(part)
     return verdicts(out)

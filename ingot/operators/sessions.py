@@ -2,10 +2,9 @@
 
 A new session starts when a user has been inactive for more than two hours.
 `sessionize` numbers sessions per user without ever ordering all of one
-user's events in a single task: events are cut into chunks of a user's
-timeline (range partitions of (user, ts), or calendar days), numbered
-locally with `lag` and a running sum, and the chunks are stitched by a small
-per-chunk summary (first/last time, local starts).
+user's events in a single task: a user's timeline is cut into chunks of fixed
+length, numbered locally with `lag` and a running sum, and the chunks are
+stitched by a small per-chunk summary (first/last time, local starts).
 """
 
 from __future__ import annotations
@@ -14,8 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ingot import schemas
-from ingot.operators.joins import bounded_broadcast
-from ingot.session import reliable_checkpoint
+
+# Length of a chunk: what one task orders is one user's events within it.
+CHUNK_SECONDS = 900
 
 # Event types of the clickstream (fixed values).
 EVENT_TYPES = ("view", "cart", "remove_from_cart", "purchase")
@@ -32,46 +32,30 @@ def sessionize(
     gap_seconds: int = schemas.SESSION_GAP_SECONDS,
     tie: str | None = None,
     out: str = "session_seq",
-    chunking: str = "range",
-    num_chunks: int | None = None,
+    chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
     """Add `out` = 1, 2, ... per user; a gap above `gap_seconds` starts a new one.
 
     A gap of exactly `gap_seconds` stays in the same session.  `tie` names
     a column that orders events with equal timestamps (it cannot change the
-    numbering, only make the plan deterministic).
-
-    chunking='range' (default): `repartitionByRange(user, ts)` picks
-    boundaries from a sample, so every partition holds a similar number of
-    rows whatever the skew, and each partition's slice of a user's timeline
-    is one chunk.  A user with a third of all events is cut into many
-    chunks, even inside one busy hour.
-    chunking='day': chunks are (user, calendar day); no range sampling and
-    no checkpoint, but a single user-day is handled by one task.
+    numbering, only make the plan deterministic).  Events without a user are
+    one user of their own; events without a time come first in their user's
+    first session.
+
+    The chunk of an event is an expression of its time, so both branches of
+    the plan (per-chunk summary, per-row numbering) agree without a stored
+    copy.  They share one hash layout on (user, chunk); a user with a third of
+    all events is spread over the chunks of their timeline.
     """
     order = [F.col(ts)] + ([F.col(tie)] if tie else [])
-    if chunking == "range":
-        n = num_chunks or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        # The chunk id is the range partition's index.  It is stored once
-        # in the checkpoint folder: the two plan branches below (per-chunk
-        # summary, per-row numbering) must see the same id for a row, and
-        # AQE may coalesce each branch's read of a shuffle differently.
-        e = reliable_checkpoint(
-            events.repartitionByRange(n, F.col(user), *order).withColumn(
-                "_ss_chunk", F.spark_partition_id()
-            )
-        )
-    elif chunking == "day":
-        e = events.withColumn("_ss_chunk", F.to_date(F.col(ts)))
-    else:
-        raise ValueError(f"unknown chunking {chunking!r}")
+    seconds = F.unix_micros(F.col(ts).cast("timestamp")) if dict(events.dtypes)[ts] == "timestamp" else F.timestamp_diff(
+        "MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col(ts).cast("timestamp_ntz"))
+    e = events.withColumn("_ss_chunk", F.floor(seconds / F.lit(chunk_seconds * 1_000_000)).cast("long"))
 
     local = Window.partitionBy(user, "_ss_chunk").orderBy(*order)
     prev = F.lag(ts).over(local)
-    e = e.withColumn(
-        "_ss_flag",
-        F.when(prev.isNull() | ((F.col(ts) - prev) > _gap(gap_seconds)), 1).otherwise(0),
-    )
+    first = F.row_number().over(local) == 1
+    e = e.withColumn("_ss_flag", F.when(first | ((F.col(ts) - prev) > _gap(gap_seconds)), 1).otherwise(0))
     e = e.withColumn(
         "_ss_local",
         F.sum("_ss_flag").over(local.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
@@ -82,26 +66,24 @@ def sessionize(
         F.max(ts).alias("_ss_last"),
         F.sum("_ss_flag").alias("_ss_starts"),
     )
-    by_user = Window.partitionBy(user).orderBy("_ss_chunk")
+    by_user = Window.partitionBy(user).orderBy(F.col("_ss_chunk").asc_nulls_first())
     prev_last = F.lag("_ss_last").over(by_user)
+    follows = F.lag(F.lit(1)).over(by_user).isNotNull()
     chunks = chunks.withColumn(
         "_ss_cont",
-        F.when(
-            prev_last.isNotNull() & ((F.col("_ss_first") - prev_last) <= _gap(gap_seconds)), 1
-        ).otherwise(0),
+        F.when(follows & (prev_last.isNull() | ((F.col("_ss_first") - prev_last) <= _gap(gap_seconds))), 1).otherwise(0),
     ).withColumn("_ss_adj", F.col("_ss_starts") - F.col("_ss_cont"))
     chunks = chunks.withColumn(
         "_ss_off",
         F.coalesce(
             F.sum("_ss_adj").over(by_user.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ),
-    ).select(user, "_ss_chunk", "_ss_off", "_ss_cont")
+    ).select(F.col(user).alias("_ss_user"), F.col("_ss_chunk").alias("_ss_key"), "_ss_off", "_ss_cont")
 
-    chunks, _ = bounded_broadcast(chunks)
-    joined = e.join(chunks, [user, "_ss_chunk"], "inner")
+    same = F.col(user).eqNullSafe(F.col("_ss_user")) & F.col("_ss_chunk").eqNullSafe(F.col("_ss_key"))
     seq = (F.col("_ss_off") + F.col("_ss_local") - F.col("_ss_cont")).cast("long")
-    return joined.withColumn(out, seq).drop(
-        "_ss_chunk", "_ss_flag", "_ss_local", "_ss_off", "_ss_cont"
+    return e.join(chunks, same, "inner").withColumn(out, seq).drop(
+        "_ss_chunk", "_ss_flag", "_ss_local", "_ss_off", "_ss_cont", "_ss_user", "_ss_key"
     )
 
 
@@ -111,8 +93,10 @@ def journeys(
     session: str = "session_seq",
     ts: str = "ts",
     event_type: str = "event_type",
+    tie: str | None = None,
 ) -> DataFrame:
-    """One row per session: span, event counts by type, first/last event type.
+    """One row per session: span, event counts by type, first/last event type
+    (ties of `ts` by the column `tie`).
 
     Plain aggregates (partial on the map side), so a long session is
     reduced before the shuffle rather than gathered as a list.
@@ -122,16 +106,31 @@ def journeys(
         F.sum(F.when(et == F.lit(t), 1).otherwise(0)).cast("long").alias(f"n_{t}")
         for t in EVENT_TYPES
     ]
+    order = F.struct(ts, tie) if tie else F.col(ts)
     return sessions.groupBy(user, session).agg(
         F.min(ts).alias("session_start"),
         F.max(ts).alias("session_end"),
         F.count(F.lit(1)).alias("n_events"),
         *counts,
-        F.min_by(event_type, ts).alias("first_event_type"),
-        F.max_by(event_type, ts).alias("last_event_type"),
+        F.min_by(event_type, order).alias("first_event_type"),
+        F.max_by(event_type, order).alias("last_event_type"),
     ).withColumn("converted", F.col("n_purchase") > 0)
 
 
+def journey_steps(
+    sessions: DataFrame,
+    user: str = "user_id",
+    session: str = "session_seq",
+    ts: str = "ts",
+    tie: str = "event_id",
+    columns: tuple[str, ...] = ("event_type", "product_id"),
+) -> DataFrame:
+    """The journey step by step: `step` = 1, 2, ... within each session, with
+    the named columns.  A row stays a row: no session is gathered as a list."""
+    w = Window.partitionBy(user, session).orderBy(F.col(ts), F.col(tie))
+    return sessions.select(user, session, F.row_number().over(w).alias("step"), ts, tie, *columns)
+
+
 def event_type_counts(silver: DataFrame) -> DataFrame:
     """Events per day and type."""
     return silver.groupBy("event_date", "event_type").agg(F.count(F.lit(1)).alias("events"))

@@ -19,11 +19,12 @@ def split_category(df: DataFrame, code: str = "category_code") -> DataFrame:
     )
 
 
-def to_silver(bronze: DataFrame) -> DataFrame:
+def to_silver(bronze: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Bronze -> silver (T7): one narrow projection, every row kept.
 
     date and rounded time of day from `event_time`, category path split,
-    UNKNOWN for missing brand and session, five columns passed through.
+    UNKNOWN for missing brand and session, five columns (and those named in
+    `keep`) passed through.
     """
     return bronze.select(
         C.event_date("event_time").alias("event_date"),
@@ -37,6 +38,7 @@ def to_silver(bronze: DataFrame) -> DataFrame:
         F.col("price"),
         F.col("user_id"),
         C.fill_unknown("user_session").alias("user_session"),
+        *keep,
     )
 
 

@@ -7,21 +7,18 @@ table.  Nothing gates on a check unless `fail_on` asks for it.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ingot import schemas
 from ingot.operators import quality as Q
-from ingot.operators.constraints import length_reasons
-from ingot.operators.joins import release_broadcast_caches
 from ingot.operators.keys import next_key_start, with_surrogate_key
-from ingot.operators.partitions import with_month_partition
 from ingot.operators.transforms import to_dim_products, to_fact_columns, to_silver
 from ingot.plans import sinks as S
-from ingot.session import reliable_checkpoint
 from ingot.sources import csv as CSV
 
 
@@ -29,7 +26,6 @@ from ingot.sources import csv as CSV
 class LoadReport:
     rows_loaded: int = 0
     rows_rejected: int = 0
-    extra: dict = field(default_factory=dict)
 
 
 # --- W1 / W2: bronze ------------------------------------------------------------
@@ -38,27 +34,29 @@ def load_bronze(
     lh: S.Lakehouse,
     source: str | list[str],
     limit_per_file: int | None = None,
-    on_error: str = "skip_file",
+    on_error: str = "quarantine",
 ) -> LoadReport:
     """Append every CSV matching `source` to bronze.
 
     `limit_per_file=10_000` reproduces the source loader's test mode (first
     chunk of each file); the default loads whole files.  Rejected rows go to
-    the rejects table with their reason.  Row counts are observed during the
-    writes, without another scan.
+    the rejects table with their reason; `on_error='skip_file'` rejects the
+    whole file with them, as the source does.  The text is parsed once; row
+    counts are observed during the writes, without another scan.
     """
-    spark = lh.spark
-    text = CSV.read_events_text(spark, source)
-    text = CSV.head_n_per_file(text, limit_per_file)
-    counter = Observation("bronze_rejected")
+    text = CSV.head_n_per_file(CSV.read_events_text(lh.spark, source), limit_per_file)
+    return _append_bronze(lh, text, on_error, uuid.uuid4().hex)
+
+
+def _append_bronze(lh: S.Lakehouse, text: DataFrame, on_error: str, load_id: str) -> LoadReport:
+    counter, ok = Observation(f"bronze_rejected_{load_id}"), Observation(f"bronze_ok_{load_id}")
     accepted, rejects = CSV.to_bronze_rows(text, on_error=on_error, reject_counter=counter)
-    ok_obs = Observation("bronze_ok")
-    accepted = CSV.with_load_stamp(accepted).observe(ok_obs, F.count(F.lit(1)).alias("n"))
+    accepted = CSV.with_load_stamp(accepted, load_id).observe(ok, F.count(F.lit(1)).alias("n"))
     lh.append(accepted, S.BRONZE)
     rejected = int(counter.get.get("rejected") or 0)
     if rejected:  # the rejects pass only runs when something was rejected
-        lh.append(CSV.with_load_stamp(rejects), S.BRONZE_REJECTS)
-    return LoadReport(int(ok_obs.get.get("n", 0)), rejected)
+        lh.append(CSV.with_load_stamp(rejects, load_id), S.BRONZE_REJECTS)
+    return LoadReport(int(ok.get.get("n", 0)), rejected)
 
 
 def bronze_file_counts(lh: S.Lakehouse) -> DataFrame:
@@ -77,29 +75,12 @@ def bronze_checks(lh: S.Lakehouse) -> dict[str, DataFrame]:
 
 # --- W3 / W4: silver --------------------------------------------------------------
 
-def load_silver(lh: S.Lakehouse) -> int:
+def load_silver(lh: S.Lakehouse) -> None:
     """Full refresh of silver from bronze (T7 + L3), partitioned by month.
-
-    Rows whose split category or other text exceeds the silver widths
-    (VARCHAR(50) category/subcategory from a VARCHAR(100) code) cannot be
-    stored; they are kept out of the overwrite (a failing overwrite would
-    leave silver empty) and written to the silver rejects table.  Their
-    count is observed during the write, so the second pass only runs when
-    there is something to reject.  Returns that count.
-    """
-    silver = to_silver(lh.table(S.BRONZE)).withColumn(
-        "reject_reason", length_reasons(schemas.SILVER_WIDTHS)
-    )
-    obs = Observation("silver_width_rejects")
-    silver = silver.observe(
-        obs, F.sum(F.when(F.col("reject_reason") != "", 1).otherwise(0)).alias("n")
-    )
-    ok = silver.where(F.col("reject_reason") == "").drop("reject_reason")
-    lh.overwrite(with_month_partition(ok, "event_date"), S.SILVER)
-    rejected = int(obs.get.get("n") or 0)
-    if rejected:
-        lh.append(S.stamp(silver.where(F.col("reject_reason") != "")), S.SILVER_REJECTS)
-    return rejected
+    Every bronze row is kept: the split columns are as wide as the code."""
+    bronze = lh.table(S.BRONZE)
+    silver = to_silver(bronze, keep=("load_id",))
+    lh.overwrite(lh.partitioned(silver), S.SILVER)
 
 
 def silver_checks(lh: S.Lakehouse) -> dict[str, DataFrame]:
@@ -123,7 +104,7 @@ def load_dim_products(lh: S.Lakehouse, collation: str | None = None, strict: boo
     # the events without a product id are profiled while the dimension is
     # written (one pass over silver)
     missing = F.col("product_id").isNull()
-    obs = Observation("dim_missing_product")
+    obs = Observation(f"dim_missing_{uuid.uuid4().hex}")
     silver = lh.table(S.SILVER).observe(
         obs,
         F.sum(F.when(missing, 1).otherwise(0)).alias("events"),
@@ -136,152 +117,152 @@ def load_dim_products(lh: S.Lakehouse, collation: str | None = None, strict: boo
     if events and strict:
         raise ValueError(f"{events} silver events have no product_id")
     if events:
-        row = [(m.get("category_id"), m.get("brand"), events, "product_id is null")]
-        summary = lh.spark.createDataFrame(
-            row, "category_id bigint, brand string, events bigint, reject_reason string"
-        )
-        lh.append(S.stamp(summary), S.DIM_REJECTS)
+        _note_missing(lh, m)
     return events
 
 
-def _ledger_key_start(lh: S.Lakehouse) -> int | None:
-    """Last key of the stored fact according to the load log, or None.
+def _fact_log(lh: S.Lakehouse) -> DataFrame:
+    """Log rows of the loads since the last overwrite."""
+    log = lh.table(S.FACT_LOADS)
+    cut = log.where("mode = 'overwrite'").agg(F.max("run_at").alias("_cut"))
+    return log.join(cut, F.col("_cut").isNull() | (F.col("run_at") >= F.col("_cut")))
+
+
+def logged_key(lh: S.Lakehouse, verify: bool = False) -> int:
+    """Last key of the stored fact according to the load log.
 
-    The log has one row per load (a few per day at most).  It is trusted
-    only when its row total since the last overwrite equals the fact's row
-    count (answered from file footers), i.e. nobody wrote the fact around
-    the pipeline; otherwise the caller scans the key column.
+    `verify=True` compares the log with the stored rows and takes the largest
+    stored key instead if somebody wrote the fact around the pipeline; that
+    opens every fact file, so it is done on demand only.
     """
-    log = lh.table(S.FACT_LOADS).select("run_at", "mode", "rows", "last_key").collect()
-    if not log:
-        return None
-    log.sort(key=lambda r: r["run_at"])
-    since = [r for r in log if r["mode"] == "overwrite"][-1:]
-    current = log[log.index(since[0]):] if since else log
-    expected = sum(int(r["rows"]) for r in current)
-    if expected != lh.table(S.FACT).count():
-        return None
-    return max((int(r["last_key"]) for r in current if r["rows"]), default=0)
-
-
-def load_fact(lh: S.Lakehouse, mode: str = "append", silver_rows: DataFrame | None = None) -> int:
+    log = _fact_log(lh).agg(F.coalesce(F.sum("rows"), F.lit(0)), F.max(F.when(F.col("rows") > 0, F.col("last_key")))).first()
+    if verify and log[0] != lh.table(S.FACT).count():
+        return next_key_start(lh.table(S.FACT))
+    return int(log[1] or 0)
+
+
+def load_fact(lh: S.Lakehouse, mode: str = "append", silver_rows: DataFrame | None = None, load_id: str | None = None, verify: bool = False) -> int:
     """Load the fact from silver with dense surrogate keys (T8 + K1 + L4).
 
     mode='append' (the source's behaviour): every run adds all of silver
-    again under new keys continuing after the largest stored key.
+    again under new keys continuing after the largest logged key.
     mode='overwrite': idempotent reruns, keys restart at 1.
     Silver is read straight from its files, a deterministic scan, so the
-    key assignment needs no extra checkpoint.  The largest stored key comes
-    from the load log (O(1)), or from a scan of the key column when the
-    log does not account for every stored row.
+    key assignment needs no extra checkpoint.
 
     `silver_rows` loads only those rows (the incremental path); they must be
     a deterministic relation (stored files or a checkpoint).
     """
-    start = 0
-    if mode == "append":
-        start = _ledger_key_start(lh)
-        if start is None:
-            start = next_key_start(lh.table(S.FACT))
+    start = logged_key(lh, verify) if mode == "append" else 0
     silver = lh.table(S.SILVER) if silver_rows is None else silver_rows
     fact = with_surrogate_key(to_fact_columns(silver), start=start, stable_input=True)
-    fact = with_month_partition(fact, "event_date")
-    obs = Observation("fact_rows")
-    fact = fact.observe(obs, F.count(F.lit(1)).alias("n"))
+    obs = Observation(f"fact_rows_{uuid.uuid4().hex}")
+    fact = lh.partitioned(fact).withColumn("load_id", F.lit(load_id).cast("string")).observe(obs, F.count(F.lit(1)).alias("n"))
     if mode == "append":
         lh.append(fact, S.FACT)
     else:
         lh.overwrite(fact, S.FACT)
     n = int(obs.get.get("n", 0))
-    entry = lh.spark.createDataFrame(
-        [(mode, n, start + 1, start + n)],
-        "mode string, rows bigint, first_key bigint, last_key bigint",
-    ).withColumn("run_at", F.current_timestamp())
-    lh.append(entry, S.FACT_LOADS)
+    _log_fact(lh, mode, n, start, load_id)
     return n
 
 
-def process_new_bronze(lh: S.Lakehouse, new_bronze: DataFrame, stable: bool = False) -> dict:
-    """Incremental silver, dimension and fact for newly appended bronze rows.
-
-    Equivalent to the full refresh when bronze is append-only, at the cost
-    of the new rows plus the dimension instead of the whole history:
-    the new rows are appended to silver (width rejects held back), merged
-    into the dimension (MAX is associative: MAX over old dimension and new
-    rows is the MAX over all rows), and appended to the fact under keys that
-    continue the stored ones.  Reject and missing-product counts are
-    observed during the silver append.  `stable=True` says `new_bronze` is
-    already a deterministic copy (stored files or a checkpoint); otherwise it
-    is checkpointed first, as the fact keys need two identical passes.  The
-    merged dimension is checkpointed before it replaces the stored one,
-    which it reads.
+def _log_fact(lh: S.Lakehouse, mode: str, n: int, start: int, load_id: str | None) -> None:
+    row = lh.spark.createDataFrame([(mode, n, start + 1, start + n, load_id)], "mode string, rows bigint, first_key bigint, last_key bigint, load_id string")
+    lh.append(S.stamp(row, "run_at"), S.FACT_LOADS)
+
+
+# --- increments -------------------------------------------------------------------------
+
+def _once(lh: S.Lakehouse, load_id: str, step: str, table: str, write: Callable[[], object]) -> bool:
+    """Run `write` unless this load's step is done; True if it ran.
+
+    A step is noted before and after.  One that was begun but not ended is
+    done if the table holds rows of the load: an append is one job commit, all
+    of its rows or none.
     """
-    silver_new = to_silver(new_bronze).withColumn(
-        "reject_reason", length_reasons(schemas.SILVER_WIDTHS)
-    )
-    if not stable:
-        silver_new = reliable_checkpoint(silver_new)
-    is_bad = F.col("reject_reason") != ""
-    no_product = ~is_bad & F.col("product_id").isNull()
-    obs = Observation("silver_increment")
-    observed = silver_new.observe(
-        obs,
-        F.sum(F.when(is_bad, 1).otherwise(0)).alias("rejected"),
-        F.sum(F.when(no_product, 1).otherwise(0)).alias("events"),
-        F.max(F.when(no_product, F.col("category_id"))).alias("category_id"),
-        F.max(F.when(no_product, F.col("brand"))).alias("brand"),
-    )
-    lh.append(with_month_partition(observed.where(~is_bad).drop("reject_reason"), "event_date"),
-              S.SILVER)
-    m = obs.get
-    rejected, missing = int(m.get("rejected") or 0), int(m.get("events") or 0)
-    if rejected:
-        lh.append(S.stamp(silver_new.where(is_bad)), S.SILVER_REJECTS)
-    if missing:
-        row = [(m.get("category_id"), m.get("brand"), missing, "product_id is null")]
-        lh.append(S.stamp(lh.spark.createDataFrame(
-            row, "category_id bigint, brand string, events bigint, reject_reason string")),
-            S.DIM_REJECTS)
-
-    ok = silver_new.where(~is_bad).drop("reject_reason")
-    merged = to_dim_products(lh.table(S.DIM_PRODUCTS).unionByName(to_dim_products(ok)))
-    lh.overwrite(reliable_checkpoint(merged), S.DIM_PRODUCTS)
-
-    fact_rows = load_fact(lh, "append", silver_rows=ok)
-    return {
-        "silver_rows": fact_rows,
-        "silver_rejects": rejected,
-        "dim_events_without_product": missing,
-    }
+    steps = lh.table(S.LOAD_STEPS).where((F.col("load_id") == load_id) & (F.col("step") == step))
+    states = {r["state"] for r in steps.select("state").distinct().collect()}
+    if "done" in states:
+        return False
+    ran = not states or lh.table(table).where(F.col("load_id") == load_id).isEmpty()
+    note = lambda state: lh.append(S.stamp(lh.spark.createDataFrame([(load_id, step, state)], "load_id string, step string, state string"), "run_at"), S.LOAD_STEPS)
+    if ran:
+        if not states:
+            note("begun")
+        write()
+    note("done")
+    return ran
 
 
 def load_bronze_increment(
     lh: S.Lakehouse,
     source: str | list[str],
     limit_per_file: int | None = None,
-    on_error: str = "skip_file",
+    on_error: str = "quarantine",
+    load_id: str | None = None,
 ) -> dict:
     """Batch flavour of the incremental path: load the files into bronze and
     carry exactly those rows on to silver, the dimension and the fact."""
     text = CSV.head_n_per_file(CSV.read_events_text(lh.spark, source), limit_per_file)
-    return increment_from_text(lh, text, on_error)
+    return increment_from_text(lh, text, on_error, load_id)
 
 
-def increment_from_text(lh: S.Lakehouse, text: DataFrame, on_error: str = "skip_file") -> dict:
-    """Type and append a text scan (or a stream's micro-batch) to bronze,
-    then run `process_new_bronze` on exactly the appended rows."""
-    counter = Observation("bronze_rejected")
-    accepted, rejects = CSV.to_bronze_rows(text, on_error=on_error, reject_counter=counter)
-    accepted = reliable_checkpoint(CSV.with_load_stamp(accepted))
-    lh.append(accepted, S.BRONZE)
-    rejected = int(counter.get.get("rejected") or 0)
-    if rejected:
-        lh.append(CSV.with_load_stamp(rejects), S.BRONZE_REJECTS)
-    out = process_new_bronze(
-        lh, accepted.drop("loaded_at", CSV.SOURCE_FILE, CSV.ROW_INDEX), stable=True
-    )
-    out.update(bronze_rejects=rejected)
-    return out
+def bronze_from_text(lh: S.Lakehouse, text: DataFrame, on_error: str = "quarantine", load_id: str | None = None) -> str:
+    """Append a text scan to bronze and its rejects, once per `load_id`."""
+    load_id = load_id or uuid.uuid4().hex
+    accepted, rejects = CSV.to_bronze_rows(text, on_error=on_error)
+    _once(lh, load_id, "bronze", S.BRONZE, lambda: lh.append(CSV.with_load_stamp(accepted, load_id), S.BRONZE))
+    _once(lh, load_id, "bronze rejects", S.BRONZE_REJECTS, lambda: lh.append(CSV.with_load_stamp(rejects, load_id), S.BRONZE_REJECTS))
+    return load_id
+
+
+def increment_from_text(lh: S.Lakehouse, text: DataFrame, on_error: str = "quarantine", load_id: str | None = None) -> dict:
+    """Carry a text scan (or a stream's micro-batch) through all layers.
+
+    Equivalent to the full refresh when bronze is append-only, at the cost of
+    the new rows plus the dimension: the load's stored bronze rows are appended
+    to silver, merged into the dimension (MAX over old dimension and new rows
+    is the MAX over all rows) and appended to the fact under keys that
+    continue the logged ones.  Each step is done once per `load_id`, so a
+    load that broke off can be run again under its id.
+    """
+    load_id = bronze_from_text(lh, text, on_error, load_id)
+    mine = F.col("load_id") == load_id
+    new = lh.table(S.BRONZE).where(mine)
+    _once(lh, load_id, "silver", S.SILVER, lambda: lh.append(lh.partitioned(to_silver(new, keep=("load_id",))), S.SILVER))
+    silver = lh.table(S.SILVER).where(mine)
+    missing = _merge_dim(lh, silver, load_id)
+    _once(lh, load_id, "fact", S.FACT, lambda: load_fact(lh, "append", silver_rows=silver, load_id=load_id))
+    if lh.table(S.FACT_LOADS).where(mine).isEmpty():  # broke off between the append and its log entry
+        n, first = lh.table(S.FACT).where(mine).agg(F.count(F.lit(1)), F.min("event_key")).first()
+        _log_fact(lh, "append", n, (first or 1) - 1, load_id)
+    return {
+        "load_id": load_id,
+        "silver_rows": silver.count(),
+        "dim_events_without_product": missing,
+        "bronze_rejects": lh.table(S.BRONZE_REJECTS).where(mine).count(),
+    }
+
+
+def _merge_dim(lh: S.Lakehouse, silver: DataFrame, load_id: str) -> int:
+    """MAX over the stored dimension and new silver rows; a repeat changes
+    nothing.  The refresh writes a new version, so it may read the old one."""
+    missing = F.col("product_id").isNull()
+    obs = Observation(f"dim_missing_{uuid.uuid4().hex}")
+    seen = silver.observe(obs, F.sum(F.when(missing, 1).otherwise(0)).alias("events"),
+                          F.max(F.when(missing, F.col("category_id"))).alias("category_id"), F.max(F.when(missing, F.col("brand"))).alias("brand"))
+    lh.overwrite(to_dim_products(lh.table(S.DIM_PRODUCTS).unionByName(to_dim_products(seen))), S.DIM_PRODUCTS)
+    m = obs.get
+    events = int(m.get("events") or 0)
+    if events:
+        _once(lh, load_id, "dim rejects", S.DIM_REJECTS, lambda: _note_missing(lh, m, load_id))
+    return events
+
+
+def _note_missing(lh: S.Lakehouse, m: dict, load_id: str | None = None) -> None:
+    row = [(m.get("category_id"), m.get("brand"), int(m["events"]), "product_id is null", load_id)]
+    lh.append(S.stamp(lh.spark.createDataFrame(row, "category_id bigint, brand string, events bigint, reject_reason string, load_id string")), S.DIM_REJECTS)
 
 
 def gold_checks(lh: S.Lakehouse) -> dict[str, DataFrame]:
@@ -333,12 +314,13 @@ def run_medallion(
     source: str | list[str],
     root: str,
     limit_per_file: int | None = None,
-    on_error: str = "skip_file",
+    on_error: str = "quarantine",
     fact_mode: str = "append",
     fail_on: tuple[str, ...] | None = None,
     recreate: bool = False,
     exact_distinct: bool = True,
     parallel_gold: bool = False,
+    bounds: tuple[str, ...] | None = None,
 ) -> dict:
     """Bronze load, silver, dimension and fact, then record all checks.
 
@@ -347,9 +329,10 @@ def run_medallion(
     `parallel_gold=True` submits the dimension and fact loads (independent:
     both only read silver) as concurrent jobs.
     `exact_distinct=False` computes the profiles' distinct counts with HLL
-    sketches (no Expand of every row) when exact counts are not needed.
+    sketches when exact counts are not needed.  `bounds` partitions silver and
+    the fact by those month ends instead of calendar months.
     """
-    lh = S.Lakehouse(spark, root)
+    lh = S.Lakehouse(spark, root, bounds)
     lh.create(recreate=recreate)
     bronze = load_bronze(lh, source, limit_per_file, on_error)
     load_silver(lh)
@@ -370,7 +353,6 @@ def run_medallion(
     metrics = dq_metrics(lh, exact=exact_distinct).withColumn("run_at", F.lit(rows[0]["run_at"]) if rows
                                         else F.current_timestamp())
     lh.append(metrics, S.DQ_METRICS)
-    release_broadcast_caches()
     result = {
         "bronze_rows": bronze.rows_loaded,
         "bronze_rejects": bronze.rows_rejected,

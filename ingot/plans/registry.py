@@ -6,6 +6,7 @@ of `ingot.sources.testbed` and runs one operator of the pipeline.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,9 @@ from ingot.operators import partitions as P
 from ingot.operators import quality as Q
 from ingot.operators import sessions as X
 from ingot.operators import transforms as T
-from ingot.session import reliable_checkpoint
+from ingot.plans import medallion as M
+from ingot.plans import sinks as S
+from ingot.session import ensure_checkpoint_dir, reliable_checkpoint
 from ingot.sources import csv as CSV
 from ingot.sources import testbed as tb
 
@@ -116,12 +119,20 @@ def q_dq_duplicate_products_silver(spark, sf_dir):
     return Q.duplicate_products(tb.silver(spark, sf_dir))
 
 
+# The type reloaded by mistake in the duplicate-key check.
+RELOADED_TYPE = "purchase"
+# The dimension of the integrity check was last built, from purchases alone,
+# before this date.
+STALE_DIM_DATE = "2024-01-02"
+
+
 @register("dq_event_key_duplicates")
 def q_dq_event_key_duplicates(spark, sf_dir):
-    """The fact loaded twice with the key counter restarted (keys 1..n twice):
-    every key must be reported with a count of 2."""
-    keyed = _keyed_fact(spark, sf_dir)
-    return Q.event_key_duplicates(keyed.unionByName(keyed))
+    """The fact loaded, then one event type reloaded with the key counter
+    restarted: with m such rows the keys 1..m must be reported, no others."""
+    rows = T.to_fact_columns(tb.silver(spark, sf_dir))
+    again = K.with_surrogate_key(rows.where(F.col("event_type") == RELOADED_TYPE))
+    return Q.event_key_duplicates(K.with_surrogate_key(rows).select("event_key").unionByName(again.select("event_key")))
 
 
 @register("dq_nulls_fact")
@@ -136,34 +147,38 @@ def q_dq_report_fact(spark, sf_dir):
 
 @register("dq_referential_integrity")
 def q_dq_referential_integrity(spark, sf_dir):
+    """Fact against a stale dimension: products first seen since then, and
+    NULL ids, are orphans."""
     silver = tb.silver(spark, sf_dir)
-    return Q.referential_integrity(T.to_fact_columns(silver), T.to_dim_products(silver))
+    old = (F.col("event_date") < F.lit(STALE_DIM_DATE).cast("date")) & (F.col("event_type") == "purchase")
+    stale = T.to_dim_products(silver.where(old))
+    return Q.referential_integrity(T.to_fact_columns(silver), stale)
 
 
-def _consistency(spark, sf_dir):
+def _consistency(spark, sf_dir, *checks):
     silver = tb.silver(spark, sf_dir)
-    return Q.consistency(silver, T.to_dim_products(silver))
+    return Q.consistency(silver, T.to_dim_products(silver), checks=checks or ("brand", "category"))
 
 
 @register("dq_brand_mismatch_silver")
 def q_dq_brand_mismatch_silver(spark, sf_dir):
-    return _consistency(spark, sf_dir).select(F.col("mismatched_brands_silver").alias("mismatched_brands"))
+    return _consistency(spark, sf_dir, "brand").select(F.col("mismatched_brands_silver").alias("mismatched_brands"))
 
 
 @register("dq_brand_mismatch_dim")
 def q_dq_brand_mismatch_dim(spark, sf_dir):
-    return _consistency(spark, sf_dir).select(F.col("mismatched_brands_dim").alias("mismatched_brands"))
+    return _consistency(spark, sf_dir, "brand").select(F.col("mismatched_brands_dim").alias("mismatched_brands"))
 
 
 @register("dq_category_mismatch_silver")
 def q_dq_category_mismatch_silver(spark, sf_dir):
-    return _consistency(spark, sf_dir).select(
+    return _consistency(spark, sf_dir, "category").select(
         F.col("mismatched_categories_silver").alias("mismatched_categories"))
 
 
 @register("dq_category_mismatch_dim")
 def q_dq_category_mismatch_dim(spark, sf_dir):
-    return _consistency(spark, sf_dir).select(
+    return _consistency(spark, sf_dir, "category").select(
         F.col("mismatched_categories_dim").alias("mismatched_categories"))
 
 
@@ -256,8 +271,7 @@ def q_load_counts(spark, sf_dir):
 # --- sessions (README-described behaviour) --------------------------------------------
 
 def _sessions(spark, sf_dir):
-    ev = tb.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
-    return X.sessionize(ev, tie="event_id")
+    return X.sessionize(tb.session_events(spark, sf_dir), tie="event_id")
 
 
 @register("sessionize")
@@ -267,7 +281,12 @@ def q_sessionize(spark, sf_dir):
 
 @register("user_journey")
 def q_user_journey(spark, sf_dir):
-    return X.journeys(_sessions(spark, sf_dir))
+    return X.journeys(_sessions(spark, sf_dir), tie="event_id")
+
+
+@register("journey_steps")
+def q_journey_steps(spark, sf_dir):
+    return X.journey_steps(_sessions(spark, sf_dir))
 
 
 @register("event_type_counts")
@@ -286,3 +305,65 @@ def q_dq_report_silver(spark, sf_dir):
     both = Q.silver_profile(tb.silver(spark, sf_dir), with_unknowns=True)
     unknowns = {c: "unknown_values" for c in both.columns if c.endswith("_unknowns")}
     return Q.report(both, "silver", "nulls_and_distincts", checks=unknowns)
+
+
+# --- long codes, stored tables and CSV files -----------------------------------------------
+
+@register("silver_long_codes")
+def q_silver_long_codes(spark, sf_dir):
+    """Codes of up to 100 characters pass through silver whole."""
+    b = tb.bronze_src(spark, sf_dir)
+    code = F.rpad(F.coalesce("category_code", F.lit("none")), 100, ".x")
+    long_ = b.withColumn("category_code", F.when(F.col("event_id") % 3 == 0, code).otherwise(F.col("category_code")))
+    return T.to_silver(long_, keep=("event_id",)).select("event_id", "category", "subcategory")
+
+
+@register("stored_inventory")
+def q_stored_inventory(spark, sf_dir):
+    """M3 over silver written by month to the shared folder."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored-inventory-{uuid.uuid4().hex}"
+    P.with_partition(tb.silver(spark, sf_dir)).hint("rebalance", P.PARTITION_COLUMN).write.partitionBy(P.PARTITION_COLUMN).parquet(path)
+    found = P.stored_partition_inventory(spark.read.parquet(path))
+    # files and their size vary with the cluster; that there are some does not
+    return found.select(F.col(P.PARTITION_COLUMN).cast("string").alias(P.PARTITION_COLUMN), "row_count", (F.col("file_count") >= 1).alias("has_files"))
+
+
+def _csv_text(spark, sf_dir):
+    return CSV.read_events_text(spark, tb.write_csv_files(spark, sf_dir))
+
+
+@register("csv_ingest")
+def q_csv_ingest(spark, sf_dir):
+    """Rows accepted from CSV files of several layouts."""
+    accepted, _ = CSV.to_bronze_rows(_csv_text(spark, sf_dir))
+    return accepted.drop(CSV.SOURCE_FILE)
+
+
+@register("csv_rejects")
+def q_csv_rejects(spark, sf_dir):
+    """Rows rejected from the same files, by reason."""
+    _, rejects = CSV.to_bronze_rows(_csv_text(spark, sf_dir))
+    return rejects.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("medallion_layers")
+def q_medallion_layers(spark, sf_dir):
+    """The whole run (W1-W8) on those files, then one more file as an increment
+    (run twice under one load id): rows and key checks of every table."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lake-{uuid.uuid4().hex}"
+    files = tb.write_csv_files(spark, sf_dir)
+    lh = S.Lakehouse(spark, root)
+    M.run_medallion(spark, files[:-1], root, recreate=True)
+    for _ in range(2):
+        M.load_bronze_increment(lh, files[-1:], load_id="again")
+    counts = []
+    for name in (S.BRONZE, S.BRONZE_REJECTS, S.SILVER, S.DIM_PRODUCTS, S.FACT):
+        t = spark.read.parquet(lh.current_folder(name))  # the files: the table may be switched later
+        ids = F.sum("product_id").cast("long") if name != S.BRONZE_REJECTS else F.lit(None).cast("long")
+        key = F.max("event_key") if name == S.FACT else F.lit(None).cast("long")
+        keys = F.countDistinct("event_key") if name == S.FACT else F.lit(None).cast("long")
+        counts.append(t.agg(F.count(F.lit(1)).alias("rows"), ids.alias("sum_product_id"), key.alias("max_key"), keys.alias("distinct_keys")).withColumn("table_name", F.lit(name)))
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out

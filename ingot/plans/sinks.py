@@ -1,62 +1,61 @@
 """Tables of the lakehouse and the ways rows reach them.
 
 Three databases (bronze, silver, gold) of Parquet tables under one root
-folder.  Silver and the fact are partitioned by storage group
-(`event_month`), so date-bounded reads prune folders.  Writes are plain
-`insertInto` (append) or `insertInto(overwrite=True)` (full refresh).
+folder.  Silver and the fact are partitioned by month (`event_month`), so
+date-bounded reads prune folders.  Appends are plain `insertInto`.  A full
+refresh writes a new version folder and switches the table to it once the
+write has succeeded, so a failed refresh leaves the table as it was, and a
+query may read the table it refreshes.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingot.operators.partitions import PARTITION_COLUMN
+from ingot.operators.partitions import PARTITION_COLUMN, with_partition
 
 BRONZE = "bronze.ecommerce_behavior"
 BRONZE_REJECTS = "bronze.ecommerce_behavior_rejects"
 SILVER = "silver.ecommerce_behavior"
-SILVER_REJECTS = "silver.ecommerce_behavior_rejects"
 DIM_PRODUCTS = "gold.dim_products"
 DIM_REJECTS = "gold.dim_products_rejects"
 FACT = "gold.fact_ecommerce"
 DQ_RESULTS = "gold.dq_results"
 FACT_LOADS = "gold.fact_load_log"
 DQ_METRICS = "gold.dq_metrics"
+LOAD_STEPS = "gold.load_steps"
 
 _DDL = {
     BRONZE: """
         event_time TIMESTAMP_NTZ, event_type VARCHAR(50), product_id BIGINT,
         category_id BIGINT, category_code VARCHAR(100), brand VARCHAR(50),
         price DECIMAL(10,2), user_id BIGINT, user_session VARCHAR(36),
-        loaded_at TIMESTAMP, source_file STRING""",
+        loaded_at TIMESTAMP, source_file STRING, load_id STRING""",
     BRONZE_REJECTS: """
         event_time TIMESTAMP_NTZ, event_type STRING, product_id BIGINT,
         category_id BIGINT, category_code STRING, brand STRING,
         price DECIMAL(10,2), user_id BIGINT, user_session STRING,
-        source_file STRING, reject_reason STRING, loaded_at TIMESTAMP""",
+        source_file STRING, reject_reason STRING, loaded_at TIMESTAMP, load_id STRING""",
     SILVER: """
         event_date DATE, event_time_only STRING, event_type VARCHAR(50),
-        product_id BIGINT, category_id BIGINT, category VARCHAR(50),
-        subcategory VARCHAR(50), brand VARCHAR(50), price DECIMAL(10,2),
-        user_id BIGINT, user_session VARCHAR(36), event_month STRING""",
-    SILVER_REJECTS: """
-        event_date DATE, event_time_only STRING, event_type STRING, product_id BIGINT,
-        category_id BIGINT, category STRING, subcategory STRING, brand STRING,
-        price DECIMAL(10,2), user_id BIGINT, user_session STRING, reject_reason STRING,
-        loaded_at TIMESTAMP""",
+        product_id BIGINT, category_id BIGINT, category VARCHAR(100),
+        subcategory VARCHAR(100), brand VARCHAR(50), price DECIMAL(10,2),
+        user_id BIGINT, user_session VARCHAR(36), load_id STRING, event_month STRING""",
     DIM_PRODUCTS: """
         product_id BIGINT, category_id BIGINT, brand VARCHAR(50)""",
     DIM_REJECTS: """
         category_id BIGINT, brand STRING, events BIGINT, reject_reason STRING,
-        loaded_at TIMESTAMP""",
+        loaded_at TIMESTAMP, load_id STRING""",
     FACT: """
         event_key BIGINT, event_date DATE, event_time_only STRING,
-        event_type VARCHAR(50), product_id BIGINT, category VARCHAR(50),
-        subcategory VARCHAR(50), price DECIMAL(10,2), user_id BIGINT,
-        user_session VARCHAR(36), event_month STRING""",
+        event_type VARCHAR(50), product_id BIGINT, category VARCHAR(100),
+        subcategory VARCHAR(100), price DECIMAL(10,2), user_id BIGINT,
+        user_session VARCHAR(36), load_id STRING, event_month STRING""",
     DQ_RESULTS: """
         run_at TIMESTAMP, layer STRING, check_name STRING, violations BIGINT,
         status STRING""",
@@ -64,64 +63,76 @@ _DDL = {
         run_at TIMESTAMP, layer STRING, check_name STRING, metric STRING, value BIGINT,
         status STRING""",
     FACT_LOADS: """
-        run_at TIMESTAMP, mode STRING, rows BIGINT, first_key BIGINT, last_key BIGINT""",
+        run_at TIMESTAMP, mode STRING, rows BIGINT, first_key BIGINT, last_key BIGINT,
+        load_id STRING""",
+    LOAD_STEPS: """
+        run_at TIMESTAMP, load_id STRING, step STRING, state STRING""",
 }
 _PARTITIONED = {SILVER, FACT}
-# Writes into a partitioned table whose input spans more files than this are
-# rebalanced by partition value (fewer, larger files).
-REBALANCE_ABOVE_PARTITIONS = 32
-
-
-def _num_partitions(df: DataFrame) -> int:
-    """Lower bound on the writers of `df`: the files its scans read.
-
-    Taken from the plan's file listing, which runs no job.  (`df.rdd` would
-    make AQE run every shuffle stage of the plan just to count partitions,
-    and the write would then run them again.)
-    """
-    try:
-        return len(df.inputFiles())
-    except Exception:  # listing unavailable: assume many writers
-        return REBALANCE_ABOVE_PARTITIONS + 1
-
-
 @dataclass
 class Lakehouse:
-    """Catalog tables of the pipeline under `root` (a shared folder)."""
+    """Catalog tables of the pipeline under `root` (a shared folder).
+
+    `bounds`: RANGE LEFT month ends to partition by; calendar months if None.
+    """
 
     spark: SparkSession
     root: str
+    bounds: tuple[str, ...] | None = None
 
     def path(self, table: str) -> str:
         db, name = table.split(".")
         return f"{self.root.rstrip('/')}/{db}/{name}"
 
+    # --- versions ---------------------------------------------------------------
+
+    def _pointers(self, table: str) -> str:
+        return f"{self.root.rstrip('/')}/_versions/{table}"
+
+    def current_folder(self, table: str) -> str:
+        """Folder of the version in use (the last one switched to)."""
+        try:
+            last = self.spark.read.parquet(self._pointers(table)).agg(F.max_by("folder", "at")).first()[0]
+        except AnalysisException:  # never refreshed
+            last = None
+        return last or f"{self.path(table)}/v-0"
+
+    def _attach(self, table: str, folder: str) -> None:
+        part = f" PARTITIONED BY ({PARTITION_COLUMN})" if table in _PARTITIONED else ""
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_DDL[table]}) USING parquet{part} LOCATION '{folder}'")
+        if part:
+            try:  # partition folders written before
+                self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+            except Exception:  # folder not created yet: nothing to recover
+                pass
+
+    def _switch(self, table: str, folder: str) -> None:
+        """Make `folder` the table's version: for later sessions by a pointer
+        row, for this one by attaching it anew."""
+        pointer = self.spark.range(1).select(F.current_timestamp().alias("at"), F.lit(folder).alias("folder"))
+        pointer.coalesce(1).write.mode("append").parquet(self._pointers(table))
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self._attach(table, folder)
+        self.refresh(table)
+
+    def _new_folder(self, table: str) -> str:
+        return f"{self.path(table)}/v-{uuid.uuid4().hex}"
+
+    # --- tables -----------------------------------------------------------------
+
     def create(self, recreate: bool = False) -> None:
-        """CREATE DATABASE/TABLE IF NOT EXISTS (L5); drop first on recreate.
+        """CREATE DATABASE/TABLE IF NOT EXISTS (L5); fresh versions on recreate.
 
-        Tables point at fixed folders, so a new session re-attaches the
-        stored data (partition folders are recovered).
+        A new session re-attaches the stored data.  `recreate` switches every
+        table to an empty folder: no file of an earlier run can come back.
         """
         for db in ("bronze", "silver", "gold"):
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-        for table, cols in _DDL.items():
+        for table in _DDL:
             if recreate:
-                self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-            part = f" PARTITIONED BY ({PARTITION_COLUMN})" if table in _PARTITIONED else ""
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet{part} "
-                f"LOCATION '{self.path(table)}'"
-            )
-            if recreate and self.spark.table(table).inputFiles():
-                # DROP keeps an external table's files: empty it
-                empty = self.spark.createDataFrame([], self.spark.table(table).schema)
-                empty.write.insertInto(table, overwrite=True)
-                self.spark.sql(f"REFRESH TABLE {table}")
-            elif table in _PARTITIONED and not recreate:
-                try:  # re-attach partition folders written by earlier sessions
-                    self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-                except Exception:  # folder not created yet: nothing to recover
-                    pass
+                self._switch(table, self._new_folder(table))
+            else:
+                self._attach(table, self.current_folder(table))
 
     def partitions(self, table: str) -> DataFrame:
         """`SHOW PARTITIONS` of a partitioned table (M3)."""
@@ -130,14 +141,17 @@ class Lakehouse:
     def table(self, name: str) -> DataFrame:
         return self.spark.table(name)
 
+    def partitioned(self, df: DataFrame) -> DataFrame:
+        """`df` with the partition column of its `event_date`."""
+        return with_partition(df, "event_date", self.bounds)
+
     def _ordered(self, df: DataFrame, table: str) -> DataFrame:
         cols = self.spark.table(table).columns
-        out = df.select(*cols)
-        if table in _PARTITIONED and _num_partitions(out) > REBALANCE_ABOVE_PARTITIONS:
-            # many writers would each write a file per month: group rows by
-            # partition value first, so each writer holds about one month;
-            # AQE splits a heavy month into advisory-size pieces (no task
-            # gets a whole hot partition).  Few writers need no extra shuffle.
+        out = df.select(*[c if c in df.columns else F.lit(None).cast("string").alias(c) for c in cols])
+        if table in _PARTITIONED:
+            # each writer would else write a file per month: rows are grouped
+            # by month first, and AQE splits a heavy month into
+            # advisory-size pieces, so no task gets a whole hot partition
             out = out.hint("rebalance", PARTITION_COLUMN)
         return out
 
@@ -152,9 +166,26 @@ class Lakehouse:
             self.spark.catalog.refreshTable(t)
 
     def overwrite(self, df: DataFrame, table: str) -> None:
-        """TRUNCATE + INSERT ... SELECT as one overwrite (L3)."""
-        self._ordered(df, table).write.insertInto(table, overwrite=True)
-        self.refresh(table)
+        """TRUNCATE + INSERT ... SELECT (L3): all of `df` and nothing else,
+        whatever the session's partition overwrite mode.  The old version
+        stays in its folder until `vacuum`."""
+        folder = self._new_folder(table)
+        schema = self.spark.table(table).schema
+        out = self._ordered(df, table)
+        out = out.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+        writer = out.write.partitionBy(PARTITION_COLUMN) if table in _PARTITIONED else out.write
+        writer.parquet(folder)
+        self._switch(table, folder)
+
+    def vacuum(self, table: str) -> int:
+        """Delete the folders of versions no longer in use; returns how many."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        keep, top = self.current_folder(table), jvm.org.apache.hadoop.fs.Path(self.path(table))
+        fs, n = top.getFileSystem(conf), 0
+        for status in fs.listStatus(top) if fs.exists(top) else []:
+            if status.getPath().getName() != keep.rsplit("/", 1)[-1]:
+                n += bool(fs.delete(status.getPath(), True))
+        return n
 
 
 def stamp(df: DataFrame, col: str = "loaded_at") -> DataFrame:

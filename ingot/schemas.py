@@ -50,7 +50,9 @@ SESSION_GAP_SECONDS = 2 * 60 * 60
 
 # Column widths of the target tables (VARCHAR(n)).  event_type is widened
 # from 10 to 50 in bronze and fact: the source's own `remove_from_cart`
-# event does not fit in 10 characters.
+# event does not fit in 10 characters.  category and subcategory are widened
+# from 50 to 100: they are parts of a category_code of up to 100 characters,
+# and no row may be cut for its width.
 BRONZE_WIDTHS = {
     "event_type": 50,
     "category_code": 100,
@@ -59,8 +61,8 @@ BRONZE_WIDTHS = {
 }
 SILVER_WIDTHS = {
     "event_type": 50,
-    "category": 50,
-    "subcategory": 50,
+    "category": 100,
+    "subcategory": 100,
     "brand": 50,
     "user_session": 36,
 }

@@ -113,23 +113,3 @@ def reliable_checkpoint(df, eager: bool = True):
     """`DataFrame.checkpoint` into the session's shared checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
-
-
-def spread_small_scan(df, min_partitions: int | None = None):
-    """Round-robin a scan that yields fewer partitions than the session can run.
-
-    A file stored as one large row group is read by a single task; spreading
-    it lets the narrow work that follows use every core.  On large inputs the
-    scan already has enough splits and this returns `df` unchanged (no
-    shuffle is added).  Meant for plain file scans: their partition count
-    comes from the file splits without running a job (on a plan with
-    shuffles AQE would execute them to answer).
-    """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (Spark Connect): leave the scan as it is
-        return df
-    if have >= want:
-        return df
-    return df.repartition(want)

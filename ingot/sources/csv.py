@@ -2,32 +2,68 @@
 
 One `spark.read.csv` covers a single file or a glob (S1/S2): the files are
 split and read in parallel, and each row keeps its source file through the
-scan's `_metadata` column, so nothing loops over files on the driver.
-Every column is read as text; missing-value tokens, numbers, decimals and
-zoned times are then typed by Spark expressions, and any value that fails
-becomes a reject reason instead of an exception.
+scan's `_metadata` column, so nothing loops over files on the driver.  The
+text is parsed once, into a staging table in the shared checkpoint folder;
+headers, counts, accepted and rejected rows all come from there.
+
+Columns are bound by the header of each file, as a CSV reader with named
+columns does: order does not matter, a column that a file lacks is NULL, short
+rows are padded with NULL.  Missing-value tokens, numbers, decimals and zoned
+times are typed by Spark expressions, and any value that fails becomes a reject
+reason instead of an exception.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ingot import schemas
 from ingot.functions import columns as C
 from ingot.operators.constraints import ConstraintViolation
-from ingot.operators.joins import bounded_broadcast
+from ingot.session import ensure_checkpoint_dir
 
 SOURCE_FILE = "source_file"
 ROW_INDEX = "_row_in_file"
-CORRUPT = "_corrupt_record"
+BLOCK = "_rf_block"
+#: Most columns a file may have.
+MAX_COLUMNS = 40
+FIELDS_SCHEMA = T.StructType([T.StructField(f"_f{i}", T.StringType(), True) for i in range(MAX_COLUMNS)])
+#: Reason of a file-level problem, beside the rows' own ones.
+HEADER_REASON = "_header_reason"
 
 _LONG_COLS = ("product_id", "category_id", "user_id")
 _TEXT_COLS = ("event_type", "category_code", "brand", "user_session")
 
 
+# --- scan and staging ---------------------------------------------------------
+
+def csv_options(reader):
+    """Options of the text scan: every line is a row, the header included."""
+    return reader.schema(FIELDS_SCHEMA).option("header", "false").option("mode", "PERMISSIVE").option("enforceSchema", "true")
+
+
+def with_source(df: DataFrame) -> DataFrame:
+    """`fields` (array of text), source file and block start of each line."""
+    fields = F.array(*[F.col(f.name) for f in FIELDS_SCHEMA])
+    return df.select(fields.alias("fields"), F.col("_metadata.file_path").alias(SOURCE_FILE), F.col("_metadata.file_block_start").alias(BLOCK))
+
+
+def stage(lines: DataFrame) -> DataFrame:
+    """The parsed lines, written once to the shared checkpoint folder, with a
+    number `_line` that follows the file order within a block."""
+    spark = lines.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-staging-{uuid.uuid4().hex}"
+    used = F.expr("filter(transform(fields, (x, i) -> if(x IS NULL, -1, i)), i -> i >= 0)")
+    width = F.coalesce(F.array_max(used), F.lit(-1)) + 1  # trailing NULLs are not stored
+    lines.withColumn("fields", F.slice("fields", F.lit(1), width)).withColumn("_line", F.monotonically_increasing_id()).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def read_events_text(
     spark: SparkSession,
     path: str | list[str],
@@ -36,71 +72,67 @@ def read_events_text(
 ) -> DataFrame:
     """Scan CSV file(s) with a header as nine text columns.
 
-    Malformed lines are kept with their text in `_corrupt_record`
-    (PERMISSIVE mode) so they can be rejected per row or per file.  A path
-    that matches nothing gives an empty frame (`on_missing='empty'`, as the
-    source loader reports and carries on) or raises (`'raise'`).
+    Besides them: the source file, its block and line, and `_header_reason`
+    for files whose columns cannot be bound.  A path that matches nothing
+    gives an empty frame (`on_missing='empty'`, as the source loader reports
+    and carries on) or raises (`'raise'`).
     """
-    schema = T.StructType(
-        list(schemas.CSV_TEXT_SCHEMA.fields) + [T.StructField(CORRUPT, T.StringType(), True)]
-    )
-    reader = (
-        spark.read.schema(schema)
-        .option("header", "true")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("ignoreMissingFiles", "true")
-    )
+    reader = csv_options(spark.read).option("ignoreMissingFiles", "true")
     for k, v in options.items():
         reader = reader.option(k, v)
     try:
-        df = reader.csv(path)
+        lines = with_source(reader.csv(path))
     except AnalysisException as e:
         if on_missing == "empty" and "PATH_NOT_FOUND" in str(e):
-            return spark.createDataFrame([], schema).withColumn(
-                SOURCE_FILE, F.lit(None).cast("string")
-            )
-        raise
-    return df.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+            empty = T.StructType([T.StructField("fields", T.ArrayType(T.StringType())), T.StructField(SOURCE_FILE, T.StringType()), T.StructField(BLOCK, T.LongType())])
+            lines = spark.createDataFrame([], empty)
+        else:
+            raise
+    return bind_columns(stage(lines))
+
 
+def bind_columns(staged: DataFrame) -> DataFrame:
+    """Lines -> the nine columns by the name in their file's header.
+
+    The header is the first line of a file's first block.  An unknown or
+    repeated column is a problem of the whole file, more fields than the
+    header names one of the row; both become reject reasons.
+    """
+    first = staged.where(F.col(BLOCK) == 0).groupBy(SOURCE_FILE).agg(F.min_by("fields", "_line").alias("_names"), F.min("_line").alias("_header_line"))
+    names = F.transform("_names", lambda x: F.trim(F.regexp_replace(F.coalesce(x, F.lit("")), "^\ufeff", "")))
+    known = F.array(*[F.lit(c) for c in schemas.CSV_COLUMNS])
+    unknown = F.array_except(names, known)
+    reason = F.when(F.size(unknown) > 0, F.concat(F.lit("unknown column "), F.array_join(unknown, ", "))).when(
+        F.size(F.array_distinct(names)) < F.size(names), F.lit("repeated column"))
+    header = first.select(F.col(SOURCE_FILE).alias("_hfile"), "_header_line", F.size("_names").alias("_width"), reason.alias(HEADER_REASON),
+                          *[F.array_position(names, c).cast("int").alias(f"_at_{c}") for c in schemas.CSV_COLUMNS])
+    rows = staged.join(header, staged[SOURCE_FILE] == header["_hfile"], "left").where("_line <> _header_line OR _header_line IS NULL")
+    cols = [F.when(F.col(f"_at_{c}") > 0, F.get("fields", F.col(f"_at_{c}") - 1)).alias(c) for c in schemas.CSV_COLUMNS]
+    wide = F.when(F.size("fields") > F.col("_width"), F.lit("more fields than the header"))
+    problem = F.coalesce(F.col(HEADER_REASON), wide)
+    return rows.select(*cols, SOURCE_FILE, BLOCK, "_line", problem.alias(HEADER_REASON))
+
+
+# --- head-N ---------------------------------------------------------------------
 
 def with_row_in_file(df: DataFrame, parquet: bool = False) -> DataFrame:
-    """Add the 0-based position of each row inside its source file.
-
-    Parquet has it in `_metadata.row_index`.  For text sources it is built
-    exactly in two passes over the same deterministic scan: rows are tagged
-    with `monotonically_increasing_id()` (consecutive inside a split); a
-    table with one row per split (file, block start) gets each split's
-    first id and row count; running counts per file give the split's first
-    row number; a join on the split adds it back.  The only shuffle is that
-    per-split table, so a huge or hot file is never gathered in one task.
+    """Add the 0-based position of each data row inside its source file.
+
+    Parquet has it in `_metadata.row_index`.  For staged text it is built
+    from the line numbers: a table with one row per block gives each block's
+    first line and row count, running counts per file its first row number.
+    The blocks' rows are counted, not their lines, so a window over one
+    block's rows numbers them; a block is one split, so a huge file is never
+    gathered in one task.
     """
     if parquet:
         return df.withColumn(ROW_INDEX, F.col("_metadata.row_index"))
-    from pyspark.sql import Window
-
-    tagged = df.withColumn("_rf_mid", F.monotonically_increasing_id()).withColumn(
-        "_rf_block", F.col("_metadata.file_block_start")
-    )
-    splits = tagged.groupBy(SOURCE_FILE, "_rf_block").agg(
-        F.min("_rf_mid").alias("_rf_first"), F.count(F.lit(1)).alias("_rf_n")
-    )
-    before = (
-        Window.partitionBy(SOURCE_FILE)
-        .orderBy("_rf_block")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = splits.select(
-        SOURCE_FILE,
-        "_rf_block",
-        "_rf_first",
-        F.coalesce(F.sum("_rf_n").over(before), F.lit(0)).alias("_rf_off"),
-    )
-    offsets, _ = bounded_broadcast(offsets)
-    out = tagged.join(offsets, [SOURCE_FILE, "_rf_block"], "inner")
-    return out.withColumn(
-        ROW_INDEX, F.col("_rf_off") + F.col("_rf_mid") - F.col("_rf_first")
-    ).drop("_rf_mid", "_rf_block", "_rf_first", "_rf_off")
+    in_block = F.row_number().over(Window.partitionBy(SOURCE_FILE, BLOCK).orderBy("_line"))
+    blocks = df.groupBy(SOURCE_FILE, BLOCK).agg(F.count(F.lit(1)).alias("_rf_n"))
+    before = Window.partitionBy(SOURCE_FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select(SOURCE_FILE, BLOCK, F.coalesce(F.sum("_rf_n").over(before), F.lit(0)).alias("_rf_off"))
+    out = df.withColumn("_rf_in", in_block).join(offsets, [SOURCE_FILE, BLOCK], "inner")
+    return out.withColumn(ROW_INDEX, F.col("_rf_off") + F.col("_rf_in") - 1).drop("_rf_in", "_rf_off")
 
 
 def head_n_per_file(df: DataFrame, n: int | None, parquet: bool = False) -> DataFrame:
@@ -111,6 +143,15 @@ def head_n_per_file(df: DataFrame, n: int | None, parquet: bool = False) -> Data
     return indexed.where(F.col(ROW_INDEX) < n)
 
 
+# --- typing and rejects ------------------------------------------------------------
+
+def _whole_number(text):
+    """Text -> BIGINT: an integer, or a number without a fraction (`1.0`,
+    `1e3`), exactly to 19 digits; else NULL."""
+    number = text.try_cast("decimal(38,6)")
+    return F.when(number == F.floor(number), number).try_cast("long")
+
+
 def type_events(text: DataFrame) -> DataFrame:
     """Text columns -> bronze types plus a `reject_reason` ('' when clean).
 
@@ -126,11 +167,11 @@ def type_events(text: DataFrame) -> DataFrame:
         "price": clean["price"].try_cast(schemas.PRICE_TYPE),
     }
     for c in _LONG_COLS:
-        typed[c] = clean[c].try_cast("long")
+        typed[c] = _whole_number(clean[c])
     for c in _TEXT_COLS:
         typed[c] = clean[c]
 
-    reasons = [F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed line"))]
+    reasons = [F.col(HEADER_REASON)] if HEADER_REASON in text.columns else []
     reasons.append(F.when(typed["event_time"].isNull(), F.lit("event_time is null or unparsable")))
     for c in _LONG_COLS + ("price",):
         reasons.append(
@@ -141,24 +182,20 @@ def type_events(text: DataFrame) -> DataFrame:
 
     cols = [typed[c].alias(c) for c in schemas.CSV_COLUMNS]
     extra = [c for c in text.columns if c in (SOURCE_FILE, ROW_INDEX)]
-    return text.select(
-        *cols,
-        *extra,
-        F.col(CORRUPT),
-        F.concat_ws("; ", *reasons).alias("reject_reason"),
-    )
+    return text.select(*cols, *extra, F.concat_ws("; ", *reasons).alias("reject_reason"))
 
 
 def to_bronze_rows(
     text: DataFrame,
-    on_error: str = "skip_file",
+    on_error: str = "quarantine",
     reject_counter: Observation | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(accepted bronze rows, rejected rows) from the text scan.
 
-    on_error='skip_file' (the source's policy): a file with any bad row is
-    not loaded at all; its rows are all returned as rejects.
     on_error='quarantine': only the bad rows are held back.
+    on_error='skip_file' (the source's policy, where a file is at most one
+    chunk): a file with any bad row is not loaded at all; its rows are all
+    returned as rejects.
     on_error='fail': raise if any row is bad.
 
     With `reject_counter`, the number of rejected rows (metric `rejected`)
@@ -174,30 +211,26 @@ def to_bronze_rows(
             raise ConstraintViolation(f"rows violate the bronze schema, e.g. {sample}")
     reason_out = reason
     if on_error == "skip_file":
-        # Files with any rejected row: at most one name per input file (a
-        # bound known from the listing), found in one pass; both outputs
-        # then filter by name instead of joining back.
-        bad = [r[0] for r in typed.where(bad_row).select(SOURCE_FILE).distinct().collect()]
-        if bad:
-            in_bad = F.col(SOURCE_FILE).isin(bad)
-            reason_out = F.when(bad_row, reason).otherwise(F.lit("file has rejected rows"))
-            bad_row = bad_row | in_bad
+        bad = typed.where(bad_row).select(F.col(SOURCE_FILE).alias("_bad_file")).distinct()
+        typed = typed.join(bad, typed[SOURCE_FILE] == bad["_bad_file"], "left")
+        in_bad = F.col("_bad_file").isNotNull()
+        reason_out = F.when(bad_row, reason).otherwise(F.lit("file has rejected rows"))
+        bad_row = bad_row | in_bad
     if reject_counter is not None:
         typed = typed.observe(
             reject_counter, F.sum(F.when(bad_row, 1).otherwise(0)).alias("rejected")
         )
-    accepted = typed.where(~bad_row).drop("reject_reason", CORRUPT)
-    rejects = typed.where(bad_row).withColumn("reject_reason", reason_out).drop(CORRUPT)
+    accepted = typed.where(~bad_row).drop("reject_reason", "_bad_file")
+    rejects = typed.where(bad_row).withColumn("reject_reason", reason_out).drop("_bad_file")
     return accepted, rejects
 
 
-def with_load_stamp(df: DataFrame) -> DataFrame:
-    """`loaded_at DEFAULT GETDATE()` (L2)."""
-    return df.withColumn("loaded_at", F.current_timestamp())
+def with_load_stamp(df: DataFrame, load_id: str | None = None) -> DataFrame:
+    """`loaded_at DEFAULT GETDATE()` (L2) and the id of the load."""
+    return df.withColumn("loaded_at", F.current_timestamp()).withColumn("load_id", F.lit(load_id).cast("string"))
 
 
 def load_counts(df: DataFrame) -> DataFrame:
-    """Rows per source file."""
-    return df.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(
-        F.count(F.lit(1)).alias("rows_loaded")
-    )
+    """Rows per source file (L6); files of one name in two folders stay apart."""
+    counts = df.groupBy(F.col("_metadata.file_path").alias("_path")).agg(F.count(F.lit(1)).alias("rows_loaded"))
+    return counts.select(F.element_at(F.split("_path", "/"), -1).alias("file_name"), "rows_loaded")

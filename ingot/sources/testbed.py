@@ -10,12 +10,14 @@ ingest and partition operators.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ingot import schemas
 from ingot.operators.transforms import to_dim_products, to_silver
-from ingot.session import spread_small_scan
+from ingot.session import ensure_checkpoint_dir
 
 # Fixed values of the stand-in (id rules and base category id).
 CATEGORY_ID_BASE = 2053013555631882655
@@ -27,8 +29,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _events_with_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events joined to the part row named by `props` ("k": n)."""
-    events = spread_small_scan(table(spark, sf_dir, "events")).withColumn(
-        "_k", F.regexp_extract("props", "([0-9]+)", 1).cast("long")
+    events = table(spark, sf_dir, "events").withColumn(
+        "_k", F.regexp_extract("props", "([0-9]+)", 1).try_cast("long")
     )
     part = table(spark, sf_dir, "part").select(
         "p_partkey", "p_name", "p_brand", "p_type", "p_size"
@@ -38,7 +40,8 @@ def _events_with_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     # spark.sql.autoBroadcastJoinThreshold; beyond that the join shuffles and
     # AQE's skew-join handling splits the few hot part keys (`k` takes only
     # 100 values).
-    return events.join(part, events["_k"] == part["p_partkey"], "inner")
+    # An event without a part stays, with empty product columns.
+    return events.join(part, events["_k"] == part["p_partkey"], "left")
 
 
 def bronze_src(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +73,7 @@ def bronze_src(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(eid % 31 == 0, F.lit(None).cast(schemas.PRICE_TYPE))
         .otherwise(F.col("value").cast(schemas.PRICE_TYPE))
         .alias("price"),
-        F.col("user_id"),
+        F.when(eid % 29 == 0, F.lit(None).cast("long")).otherwise(F.col("user_id")).alias("user_id"),
         F.when(eid % 23 == 0, F.lit(None).cast("string"))
         .otherwise(
             F.concat(
@@ -115,6 +118,49 @@ def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events for sessions: some without a user, some with tied times."""
+    e = table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    return e.select(
+        eid,
+        F.when(eid % 29 != 0, F.col("user_id")).alias("user_id"),
+        F.when(eid % 3 == 0, F.date_trunc("hour", "ts").cast(e.schema["ts"].dataType)).otherwise(F.col("ts")).alias("ts"),
+        "event_type",
+        F.regexp_extract("props", "([0-9]+)", 1).try_cast("long").alias("product_id"),
+    )
+
+
+def csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stand-in as CSV text: times with a zone, dates alone, bad ids."""
+    b = bronze_src(spark, sf_dir)
+    eid = F.col("event_id")
+    text = F.substr(F.col("event_time").cast("string"), F.lit(1), F.lit(19))
+    time = F.when(eid % 41 == 0, F.substr(text, F.lit(1), F.lit(10))).otherwise(F.concat(text, F.lit(" UTC")))
+    product = F.when(eid % 43 == 0, F.concat(F.col("product_id").cast("string"), F.lit(".0"))).when(eid % 47 == 0, F.lit("n1")).otherwise(F.col("product_id").cast("string"))
+    rest = [F.col(c).cast("string").alias(c) for c in schemas.CSV_COLUMNS if c not in ("event_time", "product_id")]
+    return b.select("event_id", time.alias("event_time"), product.alias("product_id"), *rest)
+
+
+#: Layouts of the CSV files, by event_id % 3: the usual columns; ids swapped and
+#: no session column; prices and everything behind them absent.
+CSV_LAYOUTS = (
+    schemas.CSV_COLUMNS,
+    ("category_id", "product_id", "event_time", "event_type", "category_code", "brand", "price", "user_id"),
+    ("event_time", "event_type", "product_id", "category_id", "category_code", "brand"),
+)
+
+
+def write_csv_files(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The rows as CSV under the shared checkpoint folder; a folder a layout."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    rows, out = csv_rows(spark, sf_dir), []
+    for i, columns in enumerate(CSV_LAYOUTS):
+        out.append(f"{root}/layout{i}")
+        rows.where(F.col("event_id") % len(CSV_LAYOUTS) == i).select(*columns).write.option("header", "true").csv(out[-1])
+    return out
+
+
 def orders_dated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order dates spanning several years (some NULL) for range buckets."""
     o = table(spark, sf_dir, "orders")

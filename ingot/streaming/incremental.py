@@ -7,46 +7,36 @@ everything new and stops, so a rerun adds only files that arrived since.
 Each micro-batch goes through the same typing and reject split as the
 batch loader and is appended to the bronze and rejects tables.
 
-Delivery is at-least-once per micro-batch (foreachBatch into Parquet
-tables): a crash after a batch's write but before its commit repeats that
-batch on restart.
+A micro-batch is a load with an id of its own (stream and batch number): after
+a crash between its writes and its commit it runs again, and every step that
+was done before is left out (`medallion._once`), so its rows are stored once.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ingot import schemas
 from ingot.plans import medallion as M
 from ingot.plans import sinks as S
 from ingot.sources import csv as CSV
 
+#: Files of a micro-batch: bounds its work, whatever has piled up.
+MAX_FILES_PER_TRIGGER = 1000
 
-def events_text_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """CSV files arriving in `folder` as a stream of nine text columns."""
-    schema = T.StructType(
-        list(schemas.CSV_TEXT_SCHEMA.fields) + [T.StructField(CSV.CORRUPT, T.StringType(), True)]
-    )
-    reader = (
-        spark.readStream.schema(schema)
-        .option("header", "true")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CSV.CORRUPT)
-    )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.csv(folder).withColumn(CSV.SOURCE_FILE, F.col("_metadata.file_path"))
+
+def events_text_stream(spark: SparkSession, folder: str, max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
+    """Lines of the CSV files arriving in `folder`, as a stream."""
+    reader = CSV.csv_options(spark.readStream).option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return CSV.with_source(reader.csv(folder))
 
 
 def ingest_new_files(
     lh: S.Lakehouse,
     folder: str,
     checkpoint: str | None = None,
-    on_error: str = "skip_file",
-    max_files_per_trigger: int | None = None,
+    on_error: str = "quarantine",
+    max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
     wait: bool = True,
     downstream: bool = False,
 ) -> StreamingQuery:
@@ -57,28 +47,17 @@ def ingest_new_files(
     skip-file policy works per batch as in the batch loader.
 
     `downstream=True` also carries each micro-batch on to silver, the
-    product dimension and the fact (`medallion.process_new_bronze`), so a
+    product dimension and the fact (`medallion.increment_from_text`), so a
     run costs the new files plus the dimension, not the whole history.
     """
-    spark = lh.spark
     checkpoint = checkpoint or f"{lh.root.rstrip('/')}/_checkpoints/bronze_ingest"
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        # a micro-batch is bounded by maxFilesPerTrigger: keep it for the
-        # reject scan and the two writes instead of re-reading its files
-        batch = batch.persist()
-        try:
-            if downstream:
-                M.increment_from_text(lh, batch, on_error)
-            else:
-                accepted, rejects = CSV.to_bronze_rows(batch, on_error=on_error)
-                lh.append(CSV.with_load_stamp(accepted), S.BRONZE)
-                lh.append(CSV.with_load_stamp(rejects), S.BRONZE_REJECTS)
-        finally:
-            batch.unpersist()
+        load = M.increment_from_text if downstream else M.bronze_from_text
+        load(lh, CSV.bind_columns(CSV.stage(batch)), on_error, load_id=f"{checkpoint}#{batch_id}")
 
     query = (
-        events_text_stream(spark, folder, max_files_per_trigger)
+        events_text_stream(lh.spark, folder, max_files_per_trigger)
         .writeStream.foreachBatch(load_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from ingot.operators import quality as Q
 from ingot.operators.constraints import ConstraintViolation, assert_unique
-from ingot.operators.joins import bounded_broadcast, has_at_most, join_dimension
+from ingot.operators.joins import join_dimension
 from ingot.sources.jdbc import jdbc_options
 from ingot.sources import csv as CSV
 
@@ -19,19 +19,6 @@ def test_approximate_profile_is_close(spark):
     assert abs(approx.total_distinct_product_id - 1000) < 60
 
 
-def test_broadcast_only_below_bound(spark):
-    small = spark.range(10)
-    side, ok = bounded_broadcast(small, max_rows=10)
-    assert ok and has_at_most(small, 10) and not has_at_most(small, 9)
-    side, ok = bounded_broadcast(small, max_rows=5)
-    assert not ok
-    facts = spark.range(100).withColumnRenamed("id", "k")
-    dim = spark.range(10).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 2)
-    plan_small = join_dimension(facts, dim, "k")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan_small
-    assert join_dimension(facts, dim, "k", max_rows=3).count() == 10
-
-
 def test_assert_unique(spark):
     assert_unique(spark.range(5), "id")
     with pytest.raises(ConstraintViolation):
@@ -79,18 +66,6 @@ def test_collation_option_on_checks(spark):
     assert Q.profile(silver, distincts=[("brand", "d")]).first().d == 3
 
 
-def test_broadcast_caches_are_released(spark):
-    from ingot.operators.joins import release_broadcast_caches
-
-    release_broadcast_caches()
-    dim = spark.range(10).withColumnRenamed("id", "k")
-    side, ok = bounded_broadcast(dim, max_rows=100)
-    assert ok and side.storageLevel.useMemory
-    assert spark.range(50).withColumnRenamed("id", "k").join(side, "k").count() == 10
-    assert release_broadcast_caches() == 1
-    assert not dim.storageLevel.useMemory
-
-
 def test_shuffle_sizing():
     from ingot.session import shuffle_partitions_for
 
@@ -98,21 +73,28 @@ def test_shuffle_sizing():
     assert shuffle_partitions_for(100 * 1024**4) == 819_200
 
 
-def test_salted_dimension_join_is_exact(spark):
+def test_replaced_files_give_new_answers(spark, tmp_path):
+    """No result outlives its input: the dimension is not kept anywhere."""
+    from ingot.plans.registry import QUERIES
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    answers = []
+    for keep in (F.lit(True), F.col("event_id") % 3 == 0):
+        rows = events.where(keep).collect()  # the folder is replaced under the query
+        spark.createDataFrame(rows, events.schema).write.mode("overwrite").parquet(str(tmp_path / "events.parquet"))
+        part.write.mode("overwrite").parquet(str(tmp_path / "part.parquet"))
+        spark.catalog.refreshByPath(str(tmp_path))
+        answers.append(tuple(QUERIES["dq_consistency"](spark, str(tmp_path)).first()))
+    assert answers[0] != answers[1]
+    fresh = tmp_path / "fresh"
+    spark.createDataFrame(rows, events.schema).write.parquet(str(fresh / "events.parquet"))
+    part.write.parquet(str(fresh / "part.parquet"))
+    assert answers[1] == tuple(QUERIES["dq_consistency"](spark, str(fresh)).first())
+
+
+def test_joins_with_a_hot_key(spark):
     # one key holds a third of the rows
-    facts = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 100).alias("k"),
-        F.col("id").alias("v"))
-    dim = spark.range(90).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
-    def rows(df):
-        return sorted(tuple(r) for r in df.collect())
-    for how in ("inner", "left", "left_semi", "left_anti"):
-        plain = facts.join(dim, "k", how)
-        salted = join_dimension(facts, dim, "k", how=how, max_rows=0, salt_buckets=8)
-        assert rows(salted.select(*plain.columns)) == rows(plain), how
-
-
-def test_salted_dq_joins_match(spark):
     silver = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 11 == 0, F.lit(None))
         .otherwise(F.col("id") % 100).alias("product_id"),
@@ -120,10 +102,58 @@ def test_salted_dq_joins_match(spark):
         (F.col("id") % 4).alias("category_id"))
     dim = spark.range(90).select(F.col("id").alias("product_id"), F.lit("b").alias("brand"),
                                  F.lit(1).cast("long").alias("category_id"))
-    plain = Q.consistency(silver, dim).first()
-    salted = Q.consistency(silver, dim, max_rows=0, salt_buckets=6).first()
-    assert tuple(plain) == tuple(salted)
-    a = sorted(r[0] for r in Q.referential_integrity(silver, dim).collect() if r[0] is not None)
-    b = Q.referential_integrity(silver, dim, max_rows=0, salt_buckets=6).collect()
-    assert a == sorted(r[0] for r in b if r[0] is not None)
+    assert tuple(Q.consistency(silver, dim).first()) == (1, 1, 3, 1)
+    assert Q.consistency(silver, dim, checks=("brand",)).columns == ["mismatched_brands_silver", "mismatched_brands_dim"]
+    b = Q.referential_integrity(silver, dim).collect()
     assert sum(r[0] is None for r in b) == silver.where("product_id IS NULL").count()
+    assert {r[0] for r in b} - {None} == set(range(90, 100))
+    assert join_dimension(silver, dim.select("product_id"), "product_id", "left_semi").count() == silver.where("product_id < 90").count()
+
+
+def test_summary_reads_each_table_once_or_twice(spark, tmp_path):
+    """Bronze and the fact once, silver at most twice."""
+    from ingot.operators import transforms as T
+    from ingot.sources import testbed as tb
+
+    bronze = tb.bronze(spark, "/root/testdata/sf0.001")
+    bronze.write.parquet(str(tmp_path / "bronze"))
+    bronze = spark.read.parquet(str(tmp_path / "bronze"))
+    tables = {"silver": T.to_silver(bronze), "dim": T.to_dim_products(T.to_silver(bronze)), "fact": T.to_fact_columns(T.to_silver(bronze)).withColumn("event_key", F.monotonically_increasing_id())}
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    out = Q.summary(bronze, **tables)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    scans = [str(x) for x in out._jdf.queryExecution().executedPlan().toString().split("FileScan parquet")[1:]]
+    reads = {n: sum(f"/{n}]" in x.split("PartitionFilters")[0] for x in scans) for n in ("bronze", "silver", "fact")}
+    assert reads["bronze"] == 1 and reads["fact"] == 1 and reads["silver"] <= 2, reads
+    assert "Expand" not in plan.split("Union")[0]
+    assert out.count() == 8
+
+
+def test_csv_columns_are_bound_by_name(spark, tmp_path):
+    (tmp_path / "a").mkdir(), (tmp_path / "b").mkdir()
+    (tmp_path / "a" / "x.csv").write_text("category_id,product_id,event_time,brand\n999,1.0,2019-11-01,apple\n998,1e3,2019-11-01 05:00:00+02:00\n")
+    (tmp_path / "b" / "x.csv").write_text("event_time,product_id\n2019-11-01 00:00:00 UTC,12345678901234567\n2019-11-01 00:00:00 UTC,1.5\n,7\n2019-11-02 00:00:00 UTC,3,4\n")
+    (tmp_path / "b" / "y.csv").write_text("event_time,colour\n2019-11-01 00:00:00 UTC,red\n")
+    text = CSV.read_events_text(spark, [str(tmp_path / "a"), str(tmp_path / "b")])
+    ok, bad = CSV.to_bronze_rows(text)
+    got = sorted((r.product_id, r.category_id, str(r.event_time), r.brand, r.price) for r in ok.collect())
+    assert got == [(1, 999, "2019-11-01 00:00:00", "apple", None), (1000, 998, "2019-11-01 03:00:00", None, None), (12345678901234567, None, "2019-11-01 00:00:00", None, None)]
+    assert sorted(r.reject_reason for r in bad.collect()) == ["event_time is null or unparsable", "more fields than the header", "product_id is not a valid number", "unknown column colour"]
+    ok, bad = CSV.to_bronze_rows(text, on_error="skip_file")
+    assert ok.count() == 2 and bad.count() == 5
+
+
+def test_date_alone_is_the_same_in_any_zone(spark):
+    from ingot.functions import columns as C
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    df = spark.createDataFrame([("2019-11-01",), ("2019-11-01 10:00:00 +0230",), ("2019-11-01 10:00:00.5Z",)], "t string")
+    try:
+        for zone in ("America/New_York", "UTC", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = [str(r[0]) for r in df.select(C.parse_event_time("t")).collect()]
+            assert got == ["2019-11-01 00:00:00", "2019-11-01 07:30:00", "2019-11-01 10:00:00.500000"], zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
