@@ -29,13 +29,15 @@ WINDOW = 13
 HIT_SHARE = 20
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def words_of(text: Column) -> Column:
     """Words of a text: A-Z lowered, runs of digits, a-z and non-ASCII."""
-    lowered = F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER)
-    return F.regexp_extract_all(lowered, F.lit(_WORD), F.lit(0))
+    text = F.coalesce(text, F.lit(""))
+    # of an ASCII text, lower() changes A-Z only, and reads it faster
+    lowered = F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
+    return F.array_remove(F.split(lowered, _GAP), "")
 
 
 def windows_of(items: DataFrame, id_col: str = "item_id", text_col: str = "text", width: int = WINDOW) -> DataFrame:
@@ -53,13 +55,17 @@ def term_counts(docs: DataFrame, terms: DataFrame, n_terms: int) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
-def rarest_terms(windows: DataFrame, counts: DataFrame, n_terms: int) -> DataFrame:
+def rarest_terms(windows: DataFrame, counts: DataFrame, n_terms: int, share: float = 1.0) -> DataFrame:
     """`window`, `term` (its rarest, ties by the term), `at` (its first offset
-    in the window).  Windows with a term the corpus lacks are left out: they
-    occur nowhere."""
+    in the window).  A match may lack a part of the words if `share` is below
+    one: then so many more of the rarest terms are given that each match holds
+    one of them.  Terms that the corpus lacks occur nowhere and are left out."""
     terms = windows.select("window").distinct().select("window", F.posexplode("window").alias("at", "term"))
     known = terms.join(small_side(counts, n_terms, BROADCAST_ROWS), "term", "left")
-    rare = known.groupBy("window").agg(F.min(F.struct(F.coalesce("count", F.lit(0)).alias("count"), "term", "at")).alias("r"))
+    words = known.groupBy("window", "term").agg(F.coalesce(F.max("count"), F.lit(0)).alias("count"), F.min("at").alias("at"))
+    ranked = words.groupBy("window").agg(F.array_sort(F.collect_list(F.struct("count", "term", "at"))).alias("r"))
+    may_lack = F.size("r") - F.ceil(F.lit(share) * F.size("r")).cast("int")
+    rare = ranked.select("window", F.explode(F.slice("r", F.lit(1), 1 + may_lack)).alias("r"))
     return rare.where("r.count > 0").select("window", F.col("r.term").alias("term"), F.col("r.at").alias("at"))
 
 
@@ -82,20 +88,21 @@ def phrase_matches(index: DataFrame, rare: DataFrame, n_rare: int) -> DataFrame:
 
 def proximity_matches(index: DataFrame, rare: DataFrame, n_rare: int, share: float = 0.8, width: int = WINDOW) -> DataFrame:
     """Near matches: places where at least `share` of a window's distinct words
-    stand within `width` - 1 words of its rarest term, in any order:
-    `window`, `key`, `pos` (of the rarest term), `found` (distinct words)."""
+    stand within `width` - 1 words of one of its rarest terms, in any order:
+    `window`, `key`, `pos` (of that term), `found` (distinct words).  The
+    index must have been built with the same `share`."""
     found = F.size(F.array_intersect("window", "around"))
     parts = [index.join(F.broadcast(part), "term") for part in in_blocks(rare, n_rare, "term")]
-    near = reduce(DataFrame.unionByName, parts).select("window", "key", "pos", found.alias("found"), F.size(F.array_distinct("window")).alias("need"))
+    near = reduce(DataFrame.unionByName, parts).select("window", "key", "pos", found.alias("found"), F.size(F.array_distinct("window")).alias("need")).distinct()
     return near.where(F.col("found") >= F.ceil(F.lit(share) * F.col("need"))).drop("need")
 
 
-def build_index(docs: DataFrame, items: DataFrame, id_col: str = "item_id", text_col: str = "text", width: int = WINDOW):
+def build_index(docs: DataFrame, items: DataFrame, id_col: str = "item_id", text_col: str = "text", width: int = WINDOW, share: float = 1.0):
     """(postings, rarest terms, their number, item windows) for `docs(key, words)`."""
     windows = stable(windows_of(items, id_col, text_col, width))
     terms = stable(windows.select(F.explode("window").alias("term")).distinct())
     n_terms = terms.count()
-    rare = stable(rarest_terms(windows, term_counts(docs, terms, n_terms), n_terms))
+    rare = stable(rarest_terms(windows, term_counts(docs, terms, n_terms), n_terms, share))
     anchors = rare.select("term").distinct()
     return stable(postings(docs, anchors, anchors.count(), width)), rare, rare.count(), windows
 
