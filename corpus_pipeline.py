@@ -38,7 +38,7 @@ def pii_sanitisation(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with `ids`, `n_tokens` and the text decoded from the ids."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    coded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True)
     return coded.select("row.*", F.col("decoded").cast("string").alias("text"), F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 

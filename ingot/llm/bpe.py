@@ -199,6 +199,7 @@ def _blocks(pattern: str, buckets: int, block_chars: int):
                     for row in block.emit(number, buckets):
                         yield pa.RecordBatch.from_pylist([row], schema)
                     block, number, start = _Block(split), number + 1, i
+                    pa.default_memory_pool().release_unused()
                 block.add(t)
             block.rows.append(b.column(1).slice(start))
         if block.codes:
@@ -282,9 +283,10 @@ def _reassemble(out: pa.Schema):
 
 # --- the operator -------------------------------------------------------------------
 
-def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", keep: list[str] | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", keep: list[str] | None = None, block_chars: int = BLOCK_CHARS, decoded: bool = False) -> DataFrame:
     """`row` (a struct of the columns `keep`, all but the text by default) and
-    `ids` (array of int) of every row of `docs`."""
+    `ids` (array of int) of every row of `docs`; with `decoded` also what
+    `decode` makes of the ids, in the same task."""
     spark = docs.sparkSession
     keep = [c for c in docs.columns if c != text_col] if keep is None else keep
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -295,13 +297,15 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", kee
     dealt = blocks.repartition(partitions, "key").sortWithinPartitions("key")
     encoded = dealt.mapInArrow(_encode_buckets(path, pattern), _ROW)
     gathered = encoded.repartition(partitions, "block").sortWithinPartitions("block", F.col("key") < 0, "bucket")
-    return gathered.mapInArrow(_reassemble(_arrow(out)), out)
+    whole = _reassemble(_arrow(out))
+    if not decoded:
+        return gathered.mapInArrow(whole, out)
+    back = _decode(path, "ids", "decoded")
+    return gathered.mapInArrow(lambda batches: back(whole(batches)), T.StructType([*out.fields, T.StructField("decoded", T.BinaryType())]))
 
 
-def decode(rows: DataFrame, path: str, ids_col: str = "ids", as_col: str = "decoded") -> DataFrame:
-    """`rows` with the bytes of their ids as a binary column `as_col`; null
-    ids give null."""
-    schema = T.StructType([*rows.schema.fields, T.StructField(as_col, T.BinaryType())])
+def _decode(path: str, ids_col: str, as_col: str):
+    """Adds the bytes of the ids to each batch."""
 
     def run(batches):
         table = token_table(path)
@@ -310,7 +314,14 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids", as_col: str = "deco
             done = [None if v is None else b"".join(map(table.__getitem__, v)) for v in _lists(b.column(at))]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(done, pa.binary())], names=[*b.schema.names, as_col])
 
-    return rows.mapInArrow(run, schema)
+    return run
+
+
+def decode(rows: DataFrame, path: str, ids_col: str = "ids", as_col: str = "decoded") -> DataFrame:
+    """`rows` with the bytes of their ids as a binary column `as_col`; null
+    ids give null."""
+    schema = T.StructType([*rows.schema.fields, T.StructField(as_col, T.BinaryType())])
+    return rows.mapInArrow(_decode(path, ids_col, as_col), schema)
 
 
 def _lists(column: pa.ListArray) -> Iterator[list[int] | None]:

@@ -74,7 +74,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts by the 50k multilingual ranks, then back from the ids."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True)
     return coded.select(
         "row.doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
