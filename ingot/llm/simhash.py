@@ -264,7 +264,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     (null ids last; equal ids by row hash; wholly equal rows count once)."""
     found = near_duplicates(docs, id_col, text_col, **options)
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("doc_id"), F.col("row_hash").alias("row_hash"))
-    keep = found.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.row_hash").alias("_hash"))
-    rows = docs.select(F.struct(*[col(c).alias(c) for c in docs.columns]).alias("_row"), row_hash(docs).alias("_hash"), col(id_col).alias("_id"))
-    kept = rows.join(keep, (rows["_hash"] == keep["_hash"]) & rows["_id"].eqNullSafe(keep["_id"]), "left_semi")
-    return kept.dropDuplicates(["_hash", "_id"]).select("_row.*")
+    keep = found.groupBy("root").agg(F.min(order).alias("k")).select(F.concat_ws(":", "k.row_hash", "k.doc_id").alias("_kept"))
+    # one key for the join and for wholly equal rows: the texts are shuffled once
+    key = F.concat_ws(":", row_hash(docs), col(id_col))
+    rows = docs.select(F.struct(*[col(c).alias(c) for c in docs.columns]).alias("_row"), key.alias("_key"))
+    return rows.join(keep, rows["_key"] == keep["_kept"], "left_semi").dropDuplicates(["_key"]).select("_row.*")
