@@ -116,8 +116,12 @@ class Model:
 
 
 def fit(found: DataFrame, labels: DataFrame, label_id_col: str = "doc_id", label_col: str = "quality", train_rows: int = TRAIN_ROWS) -> Model:
-    """The classifier, from a bounded sample of labelled documents."""
+    """The classifier, from a bounded sample of labelled documents: of the
+    labels, by hash, about half as many again as wanted go into the join, so
+    that no task sends its own `train_rows` rows to be cut down later."""
     known = labels.select(col(label_id_col).alias("doc_id"), col(label_col).cast("double").alias("y")).where("y IN (0, 1)")
+    part = -(-1_500_000 * train_rows // max(1, known.count()))
+    known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < part)
     sample = found.join(known, "doc_id").select("y", "f").orderBy(F.xxhash64("doc_id"), "doc_id", "row_hash").limit(train_rows).toPandas()
     return Model(np.array(sample["f"].tolist(), np.float64).reshape(-1, len(FEATURES)), sample["y"].to_numpy(np.float64))
 
@@ -205,12 +209,12 @@ def filter_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     more beside the text, which is cheaper than to shuffle the texts."""
     _, model, sites = _learn(docs, labels, id_col, text_col, host_col, path_col, label_id_col, label_col, train_rows)
     cast = lambda c, name: col(c).cast("string").alias(name)
-    rows = docs.select(whole_row(docs).alias("row"), cast(host_col, "host"), cast(path_col, "path"), cast(text_col, "text"))
-    schema = T.StructType([*rows.schema.fields[:3], T.StructField("log_odds", T.DoubleType())])
+    rows = docs.select(whole_row(docs).alias("row"), cast(host_col, "host"), cast(path_col, "path"))
+    schema = T.StructType([*rows.schema.fields, T.StructField("log_odds", T.DoubleType())])
 
     def run(batches):
         for b in batches:
-            x = np.array([features(t or "") for t in texts(b.column(3))], np.float64).reshape(-1, len(FEATURES))
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(model.log_odds(x))], names=schema.names)
+            x = np.array([features(t or "") for t in texts(b.column(0).field(text_col))], np.float64).reshape(-1, len(FEATURES))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(model.log_odds(x))], names=schema.names)
 
     return with_score(rows.mapInArrow(run, schema), sites, threshold).where("keep").select("row.*")
