@@ -127,7 +127,7 @@ class Lakehouse:
         table to an empty folder: no file of an earlier run can come back.
         """
         for db in ("bronze", "silver", "gold"):
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{self.root.rstrip('/')}/{db}'")
         for table in _DDL:
             if recreate:
                 self._switch(table, self._new_folder(table))
