@@ -98,9 +98,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def contexts(text: str, spans: list[tuple[int, int, int]], width: int = CONTEXT_WORDS) -> list[dict]:
     """Terms within `width` words of a span and outside all spans: `term`
-    (A-Z lowered), `start`, `end`, `kind`, `context` (a hash of all its terms)."""
+    (A-Z lowered), `start`, `end`, `kind`, `context` (a hash of all its terms),
+    `once` (1 for the first entry of a place and kind, else 0)."""
     taken = [(s, e) for s, _, e in spans]
-    out = []
+    out, seen = [], set()
     for start, kind, end in spans:
         # as far as 64 characters a word; a word that this would cut is left out
         lo, hi = max(0, start - 64 * width), min(len(text), end + 64 * width)
@@ -108,7 +109,23 @@ def contexts(text: str, spans: list[tuple[int, int, int]], width: int = CONTEXT_
         right = [m.span() for m in _WORDS.finditer(text, end, hi) if m.end() < hi or hi == len(text) or not text[hi].isalnum()][:width]
         near = [(a, b, text[a:b].translate(_TO_LOWER)) for a, b in left + right if not any(a < e and s < b for s, e in taken[_first(taken, a) :][:8])]
         mark = zlib.crc32(" ".join(t for _, _, t in near).encode())
-        out += [{"term": t, "start": a, "end": b, "kind": kind, "context": mark} for a, b, t in near]
+        for a, b, t in near:
+            out.append({"term": t, "start": a, "end": b, "kind": kind, "context": mark, "once": int((a, kind) not in seen)})
+            seen.add((a, kind))
+    return out
+
+
+def inside(text: str, spans: list[tuple[int, int, int]]) -> list[str]:
+    """Terms (A-Z lowered) of the words that overlap a span, one per place."""
+    out, i, reach = [], 0, 0
+    for m in _WORDS.finditer(text) if spans else ():
+        while i < len(spans) and spans[i][0] < m.end():
+            reach = max(reach, spans[i][2])
+            i += 1
+        if reach > m.start():
+            out.append(m[0].translate(_TO_LOWER))
+        elif i == len(spans):
+            break
     return out
 
 
@@ -124,26 +141,29 @@ def _first(spans: list[tuple[int, int]], at: int) -> int:
 
 _FOUND = T.ArrayType(T.StructType([T.StructField(c, T.IntegerType()) for c in ("start", "kind", "end")]))
 _NEAR = T.ArrayType(T.StructType([T.StructField("term", T.StringType())] + [T.StructField(c, t) for c, t in (
-    ("start", T.IntegerType()), ("end", T.IntegerType()), ("kind", T.IntegerType()), ("context", T.LongType()))]))
+    ("start", T.IntegerType()), ("end", T.IntegerType()), ("kind", T.IntegerType()), ("context", T.LongType()), ("once", T.IntegerType()))]))
 
 
 def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = CONTEXT_WORDS) -> DataFrame:
-    """Per row: `doc_id`, `hash` (of the text), `found` (base spans) and `near`
-    (context terms)."""
-    schema = T.StructType([field(docs, id_col, "doc_id"), T.StructField("hash", T.LongType()), T.StructField("found", _FOUND), T.StructField("near", _NEAR)])
+    """Per row: `doc_id`, `hash` (of the text), `found` (base spans), `near`
+    (context terms) and `inside` (terms in base spans)."""
+    schema = T.StructType([field(docs, id_col, "doc_id"), T.StructField("hash", T.LongType()), T.StructField("found", _FOUND), T.StructField("near", _NEAR),
+                           T.StructField("inside", T.ArrayType(T.StringType()))])
 
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(schema)
         for b in batches:
-            found, near = [], []
+            found, near, within = [], [], []
             for t in b.column(2):
                 t = t.as_py() or ""
                 spans = base_spans(t)
                 found.append([{"start": s, "kind": k, "end": e} for s, k, e in spans])
                 near.append(contexts(t, spans, width) if spans else [])
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(arrow.field(0).type), b.column(1), pa.array(found, arrow.field(2).type), pa.array(near, arrow.field(3).type)], schema=arrow)
+                within.append(inside(t, spans))
+            made = [pa.array(v, arrow.field(2 + i).type) for i, v in enumerate((found, near, within))]
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(arrow.field(0).type), b.column(1), *made], schema=arrow)
 
     text = col(text_col).cast("string")
     return docs.select(col(id_col).alias("doc_id"), F.xxhash64(text).alias("hash"), text.alias("text")).mapInArrow(run, schema)
@@ -151,28 +171,34 @@ def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
 
 # --- corpus statistics ------------------------------------------------------------------
 
-def disclosing_terms(docs: DataFrame, near: DataFrame, text_col: str = "text", support: int = SUPPORT, hidden_bits: float = HIDDEN_BITS) -> DataFrame:
-    """`term`, `kind`, `hidden` (bits) of the terms that disclose a kind."""
-    # a term may stand near several entities of a kind: count its place once
-    places = near.groupBy("doc_id", "hash", "term", "kind", "start").agg(F.min("context").alias("context"))
-    together = places.groupBy("term", "kind", "context").agg(F.count(F.lit(1)).alias("n")).groupBy("term", "kind").agg(F.sum("n").alias("n_near"), F.count(F.lit(1)).alias("contexts"))
+def disclosing_terms(docs: DataFrame, marked: DataFrame, text_col: str = "text", support: int = SUPPORT, hidden_bits: float = HIDDEN_BITS) -> DataFrame:
+    """`term`, `kind`, `hidden` (bits) of the terms that disclose a kind.  Both
+    counts are places outside base spans, of every row."""
+    # a term may stand near several entities of a kind: its place counts once
+    together = near_terms(marked).groupBy("term", "kind", "context").agg(F.sum("once").alias("n")).groupBy("term", "kind").agg(F.sum("n").alias("n_near"), F.count(F.lit(1)).alias("contexts"))
     suspects = stable(together.where(F.col("contexts") >= support))
     terms = suspects.select("term").distinct()
     words = F.regexp_extract_all(F.translate(F.coalesce(col(text_col).cast("string"), F.lit("")), _UPPER, _LOWER), F.lit(_JAVA_WORDS), F.lit(0))
     tokens = docs.select(F.explode(words).alias("term"))
     parts = [tokens.join(F.broadcast(p), "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_all")) for p in in_blocks(terms, suspects.count(), "term")]
     totals = reduce(DataFrame.unionByName, parts)
-    hidden = -F.log2(F.least(F.lit(1.0), F.col("n_near") / F.col("n_all")))
-    return suspects.join(totals, "term").select("term", "kind", hidden.alias("hidden")).where(F.col("hidden") <= hidden_bits)
+    within = marked.select(F.explode("inside").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_in"))
+    outside = F.col("n_all") - F.coalesce("n_in", F.lit(0))
+    hidden = -F.log2(F.col("n_near") / F.greatest(outside, "n_near"))
+    return suspects.join(totals, "term").join(within, "term", "left").select("term", "kind", hidden.alias("hidden")).where(F.col("hidden") <= hidden_bits)
+
+
+def near_terms(marked: DataFrame) -> DataFrame:
+    """The entries of `near` of every row, with `doc_id` and `hash`."""
+    return marked.where(F.size("near") > 0).select("doc_id", "hash", F.explode("near").alias("n")).select("doc_id", "hash", "n.*")
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = CONTEXT_WORDS, support: int = SUPPORT, hidden_bits: float = HIDDEN_BITS):
     """(marked rows, term spans): `mark`'s result, stored, and per document
     with disclosing terms `doc_id`, `hash`, `terms` (start, kind, end, hidden)."""
     marked = stable(mark(docs, id_col, text_col, width))
-    near = marked.where(F.size("near") > 0).select("doc_id", "hash", F.explode("near").alias("n")).select("doc_id", "hash", "n.*").distinct()
-    telling = stable(disclosing_terms(docs, near, text_col, support, hidden_bits))
-    hits = near.join(small_side(telling, telling.count()), ["term", "kind"])
+    telling = stable(disclosing_terms(docs, marked, text_col, support, hidden_bits))
+    hits = near_terms(marked).join(small_side(telling, telling.count()), ["term", "kind"])
     # a term between two entities discloses the kind it hides least of
     hits = hits.groupBy("doc_id", "hash", "start", "end").agg(F.min(F.struct("hidden", "kind")).alias("h"))
     span = F.struct("start", F.col("h.kind").alias("kind"), "end", F.col("h.hidden").alias("hidden"))

@@ -127,3 +127,30 @@ def test_query_on_the_table(spark):
 def test_support_counts_contexts_not_copies(spark):
     docs = spark.createDataFrame([(i, "copied phrase around +1 (299) 555-7999 repeated often") for i in range(30)], "doc_id long, text string")
     assert pii.spans_of(docs).where(F.size("spans") > F.size("base")).count() == 0
+
+
+def added_terms(docs):
+    """Texts of the disclosing terms, per row."""
+    rows = docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(-1)))
+    texts = {r["doc_id"]: r["text"] or "" for r in rows.collect()}
+    return sorted((i, tuple(texts[i][s["start"] : s["end"]] for s in r["spans"] if s["kind"] == "term")) for r in pii.spans_of(docs).collect() for i in [-1 if r["doc_id"] is None else r["doc_id"]])
+
+
+def test_repeated_rows_hide_nothing(spark):
+    r = random.Random(11)
+    say = lambda n: " ".join(f"word{r.randrange(20)}" for _ in range(n))
+    once = [(i, f"{say(12)} hotline +1 (2{i:02}) 555-7{i:03} {say(12)}") for i in range(12)] + [(i, say(30)) for i in range(12, 40)]
+    for rows in (once, once * 3):
+        got = added_terms(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert got == sorted((i, ("hotline",) if "hotline" in t else ()) for i, t in rows)
+    # rows without an id count like rows with ids of their own
+    copies = [added_terms(spark.createDataFrame(once + [(i, once[0][1]) for i in ids], "doc_id long, text string")) for ids in ([None] * 90, range(100, 190))]
+    assert [t for _, t in copies[0]][90:] == [t for _, t in copies[1]][:40] and {t for i, t in copies[0] if i < 0} == {t for i, t in copies[1] if i >= 100}
+    assert all("hotline" in t for i, t in copies[0] if i < 12)
+
+
+def test_names_in_the_address_hide_nothing(spark):
+    r = random.Random(12)
+    say = lambda n: " ".join(f"word{r.randrange(20)}" for _ in range(n))
+    rows = [(i, f"{say(12)} smith john.smith{'' if i % 2 else '.smith'}@smith.com {say(12)}") for i in range(12)] + [(i, say(30)) for i in range(12, 40)]
+    assert added_terms(spark.createDataFrame(rows, "doc_id long, text string")) == [(i, ("smith",) if i < 12 else ()) for i, _ in rows]
