@@ -14,19 +14,29 @@ discloses the kind: inside contexts of that kind it is generalised to a label,
 or removed if it leaves at most `REMOVED_BITS`.  Copies of a context count
 once towards the support, so a copied text cannot make its own words suspect.
 
+The same is asked of every single entity, that is, of all mentions of one
+value: IC(entity) - PMI(term; entity) is -log2 (occurrences near the entity /
+all occurrences).  Here chance decides instead of a fixed support: a term that
+leaves at most `HIDDEN_BITS` discloses the entity if words that fell at random
+would stand in so many contexts of it with a probability of at most `CHANCE`
+(a binomial tail, for as many terms as the corpus has words).  It is replaced
+near that entity only.
+
 All counts are over all documents.  Null texts count as empty; repeated rows
 each get their result; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 import re
 import zlib
 from functools import reduce
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +49,7 @@ CONTEXT_WORDS = 6
 SUPPORT = 5
 HIDDEN_BITS = 1.0
 REMOVED_BITS = 0.1
+CHANCE = 0.01
 
 # --- base spans ---------------------------------------------------------------------
 
@@ -96,10 +107,20 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def entity(text: str, kind: int) -> int:
+    """Hash of the kind and value of a match, however it is written."""
+    if KINDS[kind] == "ip":
+        value = ".".join(p.lstrip("0") or "0" for p in text.split("."))
+    else:
+        value = text.translate(_TO_LOWER) if KINDS[kind] == "email" else re.sub("[^0-9]", "", text)
+    return int.from_bytes(hashlib.blake2b(f"{kind} {value}".encode(), digest_size=8).digest(), "big", signed=True)
+
+
 def contexts(text: str, spans: list[tuple[int, int, int]], width: int = CONTEXT_WORDS) -> list[dict]:
     """Terms within `width` words of a span and outside all spans: `term`
     (A-Z lowered), `start`, `end`, `kind`, `context` (a hash of all its terms),
-    `once` (1 for the first entry of a place and kind, else 0)."""
+    `once` (1 for the first entry of a place and kind, else 0), `value` (see
+    `entity`), `own` (1 for the first entry of a place and value, else 0)."""
     taken = [(s, e) for s, _, e in spans]
     out, seen = [], set()
     for start, kind, end in spans:
@@ -109,9 +130,10 @@ def contexts(text: str, spans: list[tuple[int, int, int]], width: int = CONTEXT_
         right = [m.span() for m in _WORDS.finditer(text, end, hi) if m.end() < hi or hi == len(text) or not text[hi].isalnum()][:width]
         near = [(a, b, text[a:b].translate(_TO_LOWER)) for a, b in left + right if not any(a < e and s < b for s, e in taken[_first(taken, a) :][:8])]
         mark = zlib.crc32(" ".join(t for _, _, t in near).encode())
+        value = entity(text[start:end], kind)
         for a, b, t in near:
-            out.append({"term": t, "start": a, "end": b, "kind": kind, "context": mark, "once": int((a, kind) not in seen)})
-            seen.add((a, kind))
+            out.append({"term": t, "start": a, "end": b, "kind": kind, "context": mark, "once": int((a, kind) not in seen), "value": value, "own": int((a, kind, value) not in seen)})
+            seen |= {(a, kind), (a, kind, value)}
     return out
 
 
@@ -141,7 +163,8 @@ def _first(spans: list[tuple[int, int]], at: int) -> int:
 
 _FOUND = T.ArrayType(T.StructType([T.StructField(c, T.IntegerType()) for c in ("start", "kind", "end")]))
 _NEAR = T.ArrayType(T.StructType([T.StructField("term", T.StringType())] + [T.StructField(c, t) for c, t in (
-    ("start", T.IntegerType()), ("end", T.IntegerType()), ("kind", T.IntegerType()), ("context", T.LongType()), ("once", T.IntegerType()))]))
+    ("start", T.IntegerType()), ("end", T.IntegerType()), ("kind", T.IntegerType()), ("context", T.LongType()), ("once", T.IntegerType()),
+    ("value", T.LongType()), ("own", T.IntegerType()))]))
 
 
 def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = CONTEXT_WORDS) -> DataFrame:
@@ -171,21 +194,42 @@ def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
 
 # --- corpus statistics ------------------------------------------------------------------
 
-def disclosing_terms(docs: DataFrame, marked: DataFrame, text_col: str = "text", support: int = SUPPORT, hidden_bits: float = HIDDEN_BITS) -> DataFrame:
-    """`term`, `kind`, `hidden` (bits) of the terms that disclose a kind.  Both
-    counts are places outside base spans, of every row."""
+def disclosing_terms(docs: DataFrame, marked: DataFrame, text_col: str = "text", width: int = CONTEXT_WORDS, support: int = SUPPORT, hidden_bits: float = HIDDEN_BITS) -> DataFrame:
+    """`term`, `kind`, `value` (null: any of the kind), `hidden` (bits) of the
+    terms that disclose a kind or an entity.  All counts are places outside
+    base spans, of every row."""
     # a term may stand near several entities of a kind: its place counts once
-    together = near_terms(marked).groupBy("term", "kind", "context").agg(F.sum("once").alias("n")).groupBy("term", "kind").agg(F.sum("n").alias("n_near"), F.count(F.lit(1)).alias("contexts"))
-    suspects = stable(together.where(F.col("contexts") >= support))
-    terms = suspects.select("term").distinct()
+    counts = stable(near_terms(marked).groupBy("term", "kind", "value", "context").agg(F.sum("once").alias("n"), F.sum("own").alias("n_own")))
+    kinds = stable(counts.groupBy("term", "kind", "context").agg(F.sum("n").alias("n")).groupBy("term", "kind").agg(F.sum("n").alias("n_near"), F.count(F.lit(1)).alias("contexts")))
+    entities = counts.groupBy("term", "kind", "value").agg(F.sum("n_own").alias("n_near"), F.count(F.lit(1)).alias("contexts"))
+    # one context is never beyond chance, and a term occurs at least where it is near the kind
+    entities = entities.where(F.col("contexts") > 1).join(kinds.select("term", "kind", F.col("n_near").alias("n_kind")), ["term", "kind"])
+    entities = entities.where(F.col("n_near") >= F.col("n_kind") * 2.0**-hidden_bits).drop("n_kind")
+    sizes = counts.groupBy("kind", "value").agg(F.count_distinct("context").alias("entity_contexts"))
+    suspects = kinds.where(F.col("contexts") >= support).withColumns({"value": F.lit(None).cast("long"), "entity_contexts": F.lit(None).cast("long")})
+    suspects = stable(suspects.unionByName(entities.join(sizes, ["kind", "value"])))
+    terms = stable(suspects.select("term").distinct().withColumn("known", F.lit(True)))
     words = F.regexp_extract_all(F.translate(F.coalesce(col(text_col).cast("string"), F.lit("")), _UPPER, _LOWER), F.lit(_JAVA_WORDS), F.lit(0))
     tokens = docs.select(F.explode(words).alias("term"))
-    parts = [tokens.join(F.broadcast(p), "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_all")) for p in in_blocks(terms, suspects.count(), "term")]
-    totals = reduce(DataFrame.unionByName, parts)
+    # the first pass counts all words, others under a null term
+    parts = [tokens.join(F.broadcast(p), "term", "inner" if i else "left").groupBy(F.expr("if(known, term, null)").alias("term")).agg(F.count(F.lit(1)).alias("n_all")).withColumn("part", F.lit(i))
+             for i, p in enumerate(in_blocks(terms, terms.count(), "term"))]
+    totals = stable(reduce(DataFrame.unionByName, parts))
+    n_words = totals.where("part = 0").agg(F.coalesce(F.sum("n_all"), F.lit(0))).first()[0]
     within = marked.select(F.explode("inside").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_in"))
-    outside = F.col("n_all") - F.coalesce("n_in", F.lit(0))
-    hidden = -F.log2(F.col("n_near") / F.greatest(outside, "n_near"))
-    return suspects.join(totals, "term").join(within, "term", "left").select("term", "kind", hidden.alias("hidden")).where(F.col("hidden") <= hidden_bits)
+    outside = F.greatest(F.col("n_all") - F.coalesce("n_in", F.lit(0)), "n_near")
+    found = suspects.join(totals.drop("part"), "term").join(within, "term", "left").withColumn("outside", outside)
+    hidden = -F.log2(F.col("n_near") / F.col("outside"))
+    telling = F.col("value").isNull() | beyond_chance(F.col("contexts"), F.col("contexts") + F.col("outside") - F.col("n_near"), 2 * width * F.col("entity_contexts"), max(n_words, 1))
+    return found.withColumn("hidden", hidden).where((F.col("hidden") <= hidden_bits) & telling).select("term", "kind", "value", "hidden")
+
+
+def beyond_chance(k: Column, n: Column, near: Column, words: int, chance: float = CHANCE) -> Column:
+    """Whether `k` of `n` random words fall on `near` of all `words` places with
+    a probability of at most `chance` / `words` (Chernoff's bound of the tail)."""
+    share = F.least(F.lit(1.0), near / F.lit(words))
+    bits = k * F.log2(k / n / share) + F.when(n > k, (n - k) * F.log2((n - k) / n / (1 - share))).otherwise(0.0)
+    return (k / n > share) & (bits >= math.log2(words / chance))
 
 
 def near_terms(marked: DataFrame) -> DataFrame:
@@ -197,8 +241,11 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     """(marked rows, term spans): `mark`'s result, stored, and per document
     with disclosing terms `doc_id`, `hash`, `terms` (start, kind, end, hidden)."""
     marked = stable(mark(docs, id_col, text_col, width))
-    telling = stable(disclosing_terms(docs, marked, text_col, support, hidden_bits))
-    hits = near_terms(marked).join(small_side(telling, telling.count()), ["term", "kind"])
+    telling = stable(disclosing_terms(docs, marked, text_col, width, support, hidden_bits))
+    near, place = near_terms(marked), ["doc_id", "hash", "start", "end", "kind", "hidden"]
+    kinds, entities = telling.where(F.col("value").isNull()).drop("value"), telling.where(F.col("value").isNotNull())
+    hits = near.join(small_side(kinds, kinds.count()), ["term", "kind"]).select(place)
+    hits = hits.unionByName(near.join(small_side(entities, entities.count()), ["term", "kind", "value"]).select(place))
     # a term between two entities discloses the kind it hides least of
     hits = hits.groupBy("doc_id", "hash", "start", "end").agg(F.min(F.struct("hidden", "kind")).alias("h"))
     span = F.struct("start", F.col("h.kind").alias("kind"), "end", F.col("h.hidden").alias("hidden"))

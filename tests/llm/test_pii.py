@@ -154,3 +154,30 @@ def test_names_in_the_address_hide_nothing(spark):
     say = lambda n: " ".join(f"word{r.randrange(20)}" for _ in range(n))
     rows = [(i, f"{say(12)} smith john.smith{'' if i % 2 else '.smith'}@smith.com {say(12)}") for i in range(12)] + [(i, say(30)) for i in range(12, 40)]
     assert added_terms(spark.createDataFrame(rows, "doc_id long, text string")) == [(i, ("smith",) if i < 12 else ()) for i, _ in rows]
+
+
+def test_terms_of_one_entity(spark):
+    r = random.Random(13)
+    say = lambda n: " ".join(f"word{r.randrange(20)}" for _ in range(n))
+    forms = ["+49 (30) 1234-5678", "+49 30 12345678", "+493012345678"]
+    texts = [f"{say(12)} Zimmermann {p} {say(12)}" for p in forms] + [f"{say(12)} Mara {m} {say(12)}" for m in ("m.k@x.org", "M.K@x.org", "m.k@X.org")]
+    texts += [f"{say(12)} seldom z@x.org {say(12)}"] + [say(40) for _ in range(100)]
+    for copies in (1, 4):
+        rows = [(i, t) for i, t in enumerate(texts * copies)]
+        want = [("Zimmermann",)] * 3 + [("Mara",)] * 3 + [()] * 101
+        assert added_terms(spark.createDataFrame(rows, "doc_id long, text string")) == list(enumerate(want * copies))
+    # the name elsewhere as often tells too little
+    more = texts + [f"{say(12)} zimmermann {say(3)}"] * 4
+    assert added_terms(spark.createDataFrame(list(enumerate(more)), "doc_id long, text string"))[:4] == [(i, ()) for i in range(3)] + [(3, ("Mara",))]
+
+
+def test_beyond_chance(spark):
+    tail = lambda k, n, q: sum(math.comb(n, j) * q**j * (1 - q) ** (n - j) for j in range(k, n + 1))
+    cases = [(k, n, near, words) for words in (500, 5000, 10**6) for near in (12, 24, 120) for n in (1, 2, 3, 6, 12) for k in range(1, n + 1)]
+    df = spark.createDataFrame(cases, "k long, n long, near long, words long")
+    flags = [F.when(F.col("words") == w, pii.beyond_chance(F.col("k"), F.col("n"), F.col("near"), w)) for w in (500, 5000, 10**6)]
+    got = df.select("*", F.coalesce(*flags).alias("yes")).collect()
+    assert any(x["yes"] for x in got) and not any(x["yes"] and x["k"] == 1 for x in got)
+    for x in got:  # never where the exact tail is above, always where it is far below
+        p = tail(x["k"], x["n"], x["near"] / x["words"]) * x["words"]
+        assert not (x["yes"] and p > pii.CHANCE) and (x["yes"] or p * 50 > pii.CHANCE), (x, p)
