@@ -32,6 +32,9 @@ import hashlib
 import math
 import re
 import zlib
+from array import array
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
@@ -121,14 +124,20 @@ def contexts(text: str, spans: list[tuple[int, int, int]], width: int = CONTEXT_
     (A-Z lowered), `start`, `end`, `kind`, `context` (a hash of all its terms),
     `once` (1 for the first entry of a place and kind, else 0), `value` (see
     `entity`), `own` (1 for the first entry of a place and value, else 0)."""
-    taken = [(s, e) for s, _, e in spans]
+    starts, ends, taken = array("q"), array("q"), bytearray()
+    last, more = max((e for _, _, e in spans), default=0), 0
+    for a, b, over in _words(text, spans):
+        starts.append(a)
+        ends.append(b)
+        taken.append(over)
+        more += a >= last
+        if more == width:
+            break
     out, seen = [], set()
     for start, kind, end in spans:
-        # as far as 64 characters a word; a word that this would cut is left out
-        lo, hi = max(0, start - 64 * width), min(len(text), end + 64 * width)
-        left = [m.span() for m in _WORDS.finditer(text, lo, start) if m.start() > lo or not lo or not text[lo - 1].isalnum()][-width:]
-        right = [m.span() for m in _WORDS.finditer(text, end, hi) if m.end() < hi or hi == len(text) or not text[hi].isalnum()][:width]
-        near = [(a, b, text[a:b].translate(_TO_LOWER)) for a, b in left + right if not any(a < e and s < b for s, e in taken[_first(taken, a) :][:8])]
+        before, behind = bisect_right(ends, start), bisect_left(starts, end)
+        beside = (*range(max(0, before - width), before), *range(behind, min(behind + width, len(starts))))
+        near = [(starts[i], ends[i], text[starts[i] : ends[i]].translate(_TO_LOWER)) for i in beside if not taken[i]]
         mark = zlib.crc32(" ".join(t for _, _, t in near).encode())
         value = entity(text[start:end], kind)
         for a, b, t in near:
@@ -139,26 +148,18 @@ def contexts(text: str, spans: list[tuple[int, int, int]], width: int = CONTEXT_
 
 def inside(text: str, spans: list[tuple[int, int, int]]) -> list[str]:
     """Terms (A-Z lowered) of the words that overlap a span, one per place."""
-    out, i, reach = [], 0, 0
+    return [text[a:b].translate(_TO_LOWER) for a, b, over in _words(text, spans) if over]
+
+
+def _words(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, bool]]:
+    """(start, end, overlaps a span) of every word of a text with spans."""
+    i, reach = 0, 0
     for m in _WORDS.finditer(text) if spans else ():
-        while i < len(spans) and spans[i][0] < m.end():
+        a, b = m.span()
+        while i < len(spans) and spans[i][0] < b:
             reach = max(reach, spans[i][2])
             i += 1
-        if reach > m.start():
-            out.append(m[0].translate(_TO_LOWER))
-        elif i == len(spans):
-            break
-    return out
-
-
-def _first(spans: list[tuple[int, int]], at: int) -> int:
-    """Index of the first span that may reach position `at` (spans by start;
-    at most one of each kind overlaps a position)."""
-    lo, hi = 0, len(spans)
-    while lo < hi:
-        mid = (lo + hi) // 2
-        lo, hi = (mid + 1, hi) if spans[mid][0] < at else (lo, mid)
-    return max(0, lo - len(KINDS))
+        yield a, b, reach > a
 
 
 _FOUND = T.ArrayType(T.StructType([T.StructField(c, T.IntegerType()) for c in ("start", "kind", "end")]))

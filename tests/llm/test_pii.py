@@ -181,3 +181,25 @@ def test_beyond_chance(spark):
     for x in got:  # never where the exact tail is above, always where it is far below
         p = tail(x["k"], x["n"], x["near"] / x["words"]) * x["words"]
         assert not (x["yes"] and p > pii.CHANCE) and (x["yes"] or p * 50 > pii.CHANCE), (x, p)
+
+
+def plain_contexts(text, width=6):
+    """(start, kind) of the words beside the spans, all words of the text at hand."""
+    spans, words = plain_spans(text), [m.span() for m in pii._WORDS.finditer(text)]
+    out = []
+    for s, k, e in spans:
+        beside = [w for w in words if w[1] <= s][-width:] + [w for w in words if w[0] >= e][:width]
+        out += [(a, k) for a, b in beside if not any(a < y and x < b for x, _, y in spans)]
+    return out
+
+
+def test_contexts_reach_any_distance():
+    padded = "Zimmermann" + " " * 500 + "+1 (017) 555-7713" + "." * 5000 + "w" * 1000 + " | " * 300 + "tail"
+    assert [c["term"] for c in pii.contexts(padded, pii.base_spans(padded))] == ["zimmermann", "w" * 1000, "tail"]
+    r = random.Random(5)
+    pieces = ["+1 (017) 555-7713", "a@b.cc", "1.2.3.4", "4111111111111111", "\u00e9", " ", "  ", ".", " " * 200, "-" * 200, "word", "x", "w" * 300]
+    for _ in range(500):
+        text = "".join(r.choice(pieces) for _ in range(r.randrange(40)))
+        assert [(c["start"], c["kind"]) for c in pii.contexts(text, pii.base_spans(text))] == plain_contexts(text), text
+        inside = [m for m in pii._WORDS.finditer(text) if any(m.start() < e and s < m.end() for s, _, e in plain_spans(text))]
+        assert pii.inside(text, pii.base_spans(text)) == [m[0].lower() for m in inside]
