@@ -2,9 +2,12 @@
 
 The standard library's parser sends tags and text; nothing is built of the
 page but its lines: a line is the text of one block element, with the number
-of tags met in it.  Elements that are never part of an article (menus, forms,
-scripts, asides, and containers named so by class, id or role) are left out
-as they stream by.
+of tags met in it.  Elements that are never part of an article (menus, form
+controls, scripts, asides) are left out as they stream by.
+
+Forms and elements that class, id or role name as something else than the
+article are regions, judged when the page is read (`judged`): how much of the
+text they hold, and whether an article stands in them, decides what goes.
 
 For the other lines the text-to-tag ratio is smoothed with a Gaussian over
 neighbouring lines; lines above the threshold between the two clusters of
@@ -36,25 +39,30 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup "
     "option p pre section summary table caption tbody td tfoot th thead title tr ul".split())
-_SKIP = frozenset("head title script style noscript template iframe object svg math canvas audio video nav header footer aside form button select textarea menu dialog".split())
+_SKIP = frozenset("head title script style noscript template iframe object svg math canvas audio video nav header footer aside button select textarea menu dialog".split())
 #: Elements that a start tag of the same group ends.
 _ENDS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = frozenset("article section main div ul ol dl table body td th blockquote nav aside header footer form".split())
 _ARTICLE = frozenset(("article", "main"))
-_BOILER = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adbox|sponsor\w*|promo\w*|banner|sidebar|side|aside|nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|foot|cookies?|consent|gdpr|notices?|alert|disclaimer|"
-    r"popup|modal|overlay|share|sharing|social|related|recommend\w*|newsletter|subscribe|subscription|signup|login|search|pagination|pager|comments?|commentlist|respond|responses?|replies|reply|disqus|widget|toolbar|copyright|legal)(?:$|[\s_-])")
+_NAMES = (
+    r"(?:ad|ads|advert\w*|adbox|sponsor\w*|promo\w*|banner|sidebar|side|aside|nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|foot|cookies?|consent|gdpr|notices?|alert|disclaimer|"
+    r"popup|modal|overlay|share|sharing|social|related|recommend\w*|newsletter|subscribe|subscription|signup|login|search|pagination|pager|comments?|commentlist|respond|responses?|replies|reply|disqus|widget|toolbar|copyright|legal)")
+#: A name that is a part of a class or id, and one that is all of it.
+_BOILER = re.compile(r"(?:^|[\s_-])" + _NAMES + r"(?:$|[\s_-])")
+_BOILER_TOKEN = re.compile(r"(?:^|\s)" + _NAMES + r"(?:$|\s)")
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 
 
 class Lines(HTMLParser):
-    """Collects `lines`: (text, tags, container number, article number or -1)."""
+    """Collects `lines`: (text, tags, container number, article number or -1,
+    region number)."""
 
-    def __init__(self, names: bool = True):
+    def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.names = names  # whether class, id and role count
-        self.lines: list[tuple[str, int, int, int]] = []
-        self.open: list[tuple[str, int, int]] = []  # tag, container, article
+        self.lines: list[tuple[str, int, int, int, int]] = []
+        self.open: list[tuple[str, int, int, int]] = []  # tag, container, article, region
+        self.regions = [(-1, False, False)]  # parent, named in full, an article; 0 is the page
+        self.within = {}  # of the articles that are no region: their region
         self.skipped = 0  # depth of `open` from which everything is left out
         self.parts: list[str] = []
         self.tags = 0
@@ -65,12 +73,11 @@ class Lines(HTMLParser):
             text = " ".join("".join(self.parts).split())
             self.parts.clear()
             if text:
-                container, article = self._where()
-                self.lines.append((text, self.tags, container, article))
+                self.lines.append((text, self.tags, *self._where()))
         self.tags = 0
 
-    def _where(self) -> tuple[int, int]:
-        return self.open[-1][1:] if self.open else (0, -1)
+    def _where(self) -> tuple[int, int, int]:
+        return self.open[-1][1:] if self.open else (0, -1, 0)
 
     def handle_starttag(self, tag, attrs):
         if tag in _ENDS:
@@ -87,15 +94,24 @@ class Lines(HTMLParser):
             self.parts.append(" ")
         if tag in _VOID:
             return
-        container, article = self._where()
+        container, article, region = self._where()
         if tag in _SCOPE or tag in _ARTICLE:
             self.parents.append(container)
             container = len(self.parents) - 1
         names = dict(attrs)
-        if tag in _ARTICLE or names.get("role") in _ARTICLE:
+        is_article = tag in _ARTICLE or names.get("role") in _ARTICLE
+        if is_article:
             article = container if article < 0 else article
-        self.open.append((tag, container, article))
-        if not self.skipped and tag not in ("html", "body") and self._boiler(tag, names):
+        named = 0 if self.skipped or tag in ("html", "body") else self._named(tag, names, is_article)
+        if named:
+            self._end_line()
+            self.tags = 0
+            self.regions.append((region, named == 2, is_article))
+            region = len(self.regions) - 1
+        elif article == container and is_article:
+            self.within[article] = region
+        self.open.append((tag, container, article, region))
+        if not self.skipped and tag in _SKIP:
             self._end_line()
             self.skipped = len(self.open)
 
@@ -105,14 +121,18 @@ class Lines(HTMLParser):
         else:  # as browsers do, the slash of other elements is ignored
             self.handle_starttag(tag, attrs)
 
-    def _boiler(self, tag: str, names: dict) -> bool:
-        if tag in _SKIP:
-            return True
-        if not self.names or tag in ("main", "h1"):
-            return False
+    def _named(self, tag: str, names: dict, is_article: bool) -> int:
+        """Whether an element is a region: 2 if named in full, 1 if in part."""
+        if tag in _SKIP or tag in ("main", "h1"):
+            return 0
         if "hidden" in names or names.get("aria-hidden") == "true" or (names.get("role") or "").lower() in _ROLES:
-            return True
-        return bool(_BOILER.search(f"{names.get('class') or ''} {names.get('id') or ''}".lower()))
+            return 2
+        name = f"{names.get('class') or ''} {names.get('id') or ''}".lower()
+        if tag == "form":
+            return 1
+        if _BOILER_TOKEN.search(name):
+            return 2
+        return 1 if not is_article and _BOILER.search(name) else 0
 
     def handle_endtag(self, tag):
         self.tags += 1
@@ -125,9 +145,12 @@ class Lines(HTMLParser):
 
     def _pop(self, i: int) -> None:
         """Close the open elements from number `i` on."""
-        if not self.skipped and any(t[0] in _BLOCK for t in self.open[i:]):
+        left = self._where()[2]
+        if not self.skipped and (any(t[0] in _BLOCK for t in self.open[i:]) or left != (self.open[i - 1][3] if i else 0)):
             self._end_line()
         del self.open[i:]
+        if left != self._where()[2]:
+            self.tags = 0
         if self.skipped > len(self.open):
             self.skipped = 0
             self.tags = 0
@@ -137,17 +160,39 @@ class Lines(HTMLParser):
             self.parts.append(data)
 
 
-def lines_of(html: str) -> tuple[list[tuple[str, int, int, int]], list[int]]:
-    """Lines of a page and the parents of its containers.  Where class, id and
-    role would leave nothing of it, they do not count."""
-    for names in (True, False):
-        parser = Lines(names)
-        parser.feed(html)
-        parser.close()
-        parser._end_line()
-        if parser.lines:
-            break
-    return parser.lines, parser.parents
+def lines_of(html: str) -> tuple[list[tuple[str, int, int, int, int]], list[int]]:
+    """Lines of a page outside the regions that go, and the parents of its
+    containers."""
+    parser = Lines()
+    parser.feed(html)
+    parser.close()
+    parser._end_line()
+    return judged(parser.lines, parser.regions, parser.within), parser.parents
+
+
+def judged(lines: list[tuple[str, int, int, int, int]], regions: list[tuple[int, bool, bool]], within: dict[int, int]) -> list[tuple[str, int, int, int, int]]:
+    """Lines outside the regions that go.  A region stays, as if it were not
+    named, if it holds the page's only articles or, unless it is named in full,
+    most of the text.  Where a tenth of the text or less would be left, and no
+    article, all regions stay."""
+    size, holds, outside = [0] * len(regions), [False] * len(regions), False
+    for text, _, _, article, region in lines:
+        size[region] += len(text)
+        at = within.get(article, -1)
+        outside |= at == 0
+        if at >= 0:
+            holds[at] = True
+    for r in range(len(regions) - 1, 0, -1):  # a region comes after its parent
+        size[regions[r][0]] += size[r]
+        holds[regions[r][0]] |= holds[r]
+    stays = [True] * len(regions)
+    for r, (parent, full, is_article) in enumerate(regions[1:], 1):
+        most = 2 * size[r] > size[0] and (not outside if is_article else not full)
+        stays[r] = stays[parent] and (most or holds[r] and not outside)
+    left = [x for x in lines if stays[x[4]]]
+    if 10 * sum(len(x[0]) for x in left) <= size[0] and not any(x[3] >= 0 for x in left):
+        return lines
+    return left
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -177,7 +222,7 @@ def main_text(html: str | None) -> str:
     lines, parents = lines_of(html or "")
     if not lines:
         return ""
-    ratio = smoothed(np.array([len(t) / max(1, tags) for t, tags, _, _ in lines], np.float64))
+    ratio = smoothed(np.array([len(t) / max(1, tags) for t, tags, *_ in lines], np.float64))
     content = np.flatnonzero(ratio >= threshold(ratio))
     articles = {lines[i][3] for i in content} - {-1} or {x[3] for x in lines} - {-1}
     if articles:

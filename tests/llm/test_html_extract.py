@@ -72,3 +72,21 @@ def test_nulls_repeats_extra_columns_and_no_rows(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
     assert sorted(map(tuple, H.extract(pages).collect()), key=str) == sorted([(1, "u", "", 0), (1, "u", "", 0), (None, None, "a é", 3)], key=str)
     assert H.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("around", [
+    '<div class="content has-sidebar"><article>{}</article></div>', '<div class="content has-sidebar">{}</div>', '<article class="post category-legal">{}</article>',
+    '<article class="tag-search">{}</article>', '<article class="post comments-open">{}</article>', '<article class="post legal">{}</article>', '<div class="sidebar"><main>{}</main></div>',
+    '<form id="aspnetForm" action="/"><input type="hidden"><div><article>{}</article></div><button>Send</button></form>', '<form><div>{}</div><select><option>a</select></form>',
+])
+@pytest.mark.parametrize("stray", ["", "<p>1 May</p>"])
+def test_wrappers_named_like_boilerplate(around, stray):
+    page = around.format(BODY)
+    assert H.main_text(f"<body>{stray}{page}") in (WANT, f"1 May\n{WANT}")
+    assert H.main_text(PAGE.format(body=page)) == WANT
+
+
+def test_comments_longer_than_the_article():
+    comment = "<article class='comment'><p>" + "reader comment " * 60 + "</p></article>"
+    for talk in (f"<div id='comments'>{comment * 3}</div>", f"<div class='comments-area'>{comment * 3}</div>", comment * 3, f"<div id='comments'>{comment.replace('article', 'div') * 3}</div>"):
+        assert H.main_text(f"<body><article>{BODY}</article>{talk}") == WANT
