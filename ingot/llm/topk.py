@@ -18,7 +18,8 @@ integer.  The search itself is pruned with floating-point bounds:
 Queries go out in blocks of `QUERY_BLOCK`, a pass over the vectors each.
 
 Vectors that are null, or hold a null or a component that is not finite, take
-no part.  Shorter vectors count as padded with zeros.  Equal query rows are
+no part.  A component or score that does not fit into 64 bits is an error, as
+in SQL.  Shorter vectors count as padded with zeros.  Equal query rows are
 answered once; as candidates, repeated rows count each.  A query's own row is
 every row with its id.
 """
@@ -48,8 +49,9 @@ SLACK = 1e-9
 def integer_vectors(vectors: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
     """`id`, `v` (array of bigint) and `sq` (squared length) of the usable rows."""
     x = col(vec_col).cast("array<double>")
-    usable = x.isNotNull() & F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < 2.0**40))
-    v = F.transform(x, lambda e: F.floor(e * F.lit(float(scale))).cast("long"))
+    usable = x.isNotNull() & F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf")))
+    fits = lambda e: F.abs(e * F.lit(float(scale))) < 2.0**63
+    v = F.transform(x, lambda e: F.when(fits(e), F.floor(e * F.lit(float(scale)))).otherwise(F.raise_error(F.lit("vector component beyond 64 bits"))).cast("long"))
     out = vectors.where(usable & col(id_col).isNotNull()).select(col(id_col).cast("long").alias("id"), v.alias("v"))
     return out.withColumn("sq", F.aggregate("v", F.lit(0.0), lambda s, e: s + e.cast("double") * e.cast("double")))
 
@@ -124,7 +126,18 @@ def _search(best: _Best, ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np
         i, j = i[other], j[other]
         for part in range(0, len(i), 1 << 18):
             pi, pj = i[part : part + (1 << 18)], j[part : part + (1 << 18)]
-            best.add(pj, ids[to][pi], np.einsum("ij,ij->i", x[to][pi], q[pj]))
+            best.add(pj, ids[to][pi], _scores(x[to][pi], q[pj], length[at] * qlength.max()))
+
+
+def _scores(x: np.ndarray, q: np.ndarray, most: float) -> np.ndarray:
+    """Inner products of the rows, none longer than `most`."""
+    if most >= 2.0**62:  # sums modulo 2**64 are right where the result fits
+        rough = np.einsum("ij,ij->i", x.astype(np.float64), q.astype(np.float64))
+        error = 1e-12 * np.sqrt((x.astype(np.float64) ** 2).sum(1) * (q.astype(np.float64) ** 2).sum(1))
+        for i in np.flatnonzero(np.abs(rough) + error >= 2.0**63):
+            if not -(2**63) < sum(a * b for a, b in zip(x[i].tolist(), q[i].tolist())) < 2**63:
+                raise OverflowError("score beyond 64 bits")
+    return np.einsum("ij,ij->i", x, q)
 
 
 def _partition_best(spark, qids, q, basis, lead, k, seeds, dim):

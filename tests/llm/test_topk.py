@@ -45,3 +45,14 @@ def test_empty_table_and_no_query(spark):
     assert topk.top_k(empty, F.col("id") % 50 == 0).count() == 0
     assert topk.top_k(spark.createDataFrame([(1, [1.0])], "vec_id long, embedding array<float>"), F.col("id") % 50 == 0).count() == 0
     assert topk.top_k(spark.createDataFrame([(50, [1.0])], "vec_id long, embedding array<float>"), F.col("id") % 50 == 0).count() == 0
+
+
+def test_large_components_and_scores(spark):
+    r = random.Random(9)
+    rows = [(i, [r.uniform(-3, 3) * (1 if i % 50 == 0 else 2.0 ** r.choice((0, 20, 40))) for _ in range(8)]) for i in range(120)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert max(abs(c) for _, x in rows for c in x) > 2.0**40
+    assert result(topk.top_k(df, F.col("id") % 50 == 0)) == brute(rows, 5, lambda i: i % 50 == 0)
+    for rows in ([(0, [2.0**30] * 4), (1, [2.0**30] * 4), (2, [1.0] * 4)], [(0, [1.0]), (1, [2.0**56])]):
+        with pytest.raises(Exception, match="beyond 64 bits"):
+            topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % 50 == 0).collect()
