@@ -10,7 +10,7 @@ from ingot.session import build_session, ensure_checkpoint_dir  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app_name="ingot-tests", shuffle_partitions=8)
+    s = build_session("local[4]", app_name="ingot-tests", shuffle_partitions=8, extra={"spark.sql.maxMetadataStringLength": "2000"})
     s.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(s)
     yield s

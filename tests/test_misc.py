@@ -1,3 +1,4 @@
+import os
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,3 +158,13 @@ def test_date_alone_is_the_same_in_any_zone(spark):
             assert got == ["2019-11-01 00:00:00", "2019-11-01 07:30:00", "2019-11-01 10:00:00.500000"], zone
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_entry_survives_a_missing_library():
+    """Any library that only the training-data operators need may be absent."""
+    import subprocess
+    import sys
+
+    for name in ("tiktoken", "regex", "xxhash", "zstandard", "public_tokenizers", "tokenizers", "corpus_pipeline"):
+        code = f"import sys; sys.modules[{name!r}] = None; import __spark_entry__ as e; assert 'dim_products' in e.queries() and len(e.oracle_sql()) >= 42"
+        subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

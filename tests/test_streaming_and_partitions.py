@@ -7,7 +7,7 @@ from ingot.plans import medallion as M
 from ingot.plans import sinks as S
 from ingot.streaming.incremental import ingest_new_files
 
-from test_pipeline import _rows, _write
+from tests.test_pipeline import _rows, _write
 
 
 def test_incremental_ingest_loads_only_new_files(spark, tmp_path):
