@@ -65,8 +65,10 @@ class WordCache(dict):
 
         super().__init__()
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        #: Beginnings that the added tokens share, such as "<|" (the library
+        #: also finds them in other letter case).
+        self.marks = {t.content[:2] for t in self.library.get_added_tokens_decoder().values()}
         self.pieces: dict[str, bytes] = {}
         self.letters = _byte_letters()
 
@@ -87,8 +89,9 @@ class WordCache(dict):
             self.pieces.clear()
 
     def encode(self, text: str) -> bytes:
-        """The ids that the library gives for the whole text, without special tokens."""
-        if _PLAIN.search(text):
+        """The ids that the library gives for the whole text, adding none.  A
+        text in which the vocabulary's added tokens may stand goes through it whole."""
+        if any(m in text for m in self.marks) or _PLAIN.search(text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
         return b"".join(map(self.__getitem__, text.split()))
 

@@ -8,9 +8,10 @@ position:
    partition) becomes a dictionary of its distinct words and, per document,
    the word codes in text order: position n of the sequence is pre-token n.
 2. The dictionary goes out in buckets by a hash of the word, so that equal
-   words of all blocks meet in one task; the sequences travel by block.  In a
-   bucket each distinct word is encoded once and its ids go back to the block.
-3. Per block, the ids of its words take the places of the codes.
+   words of all blocks meet in one task; the sequences travel by block, once.
+   In a bucket each distinct word is encoded once and its ids go to the block.
+3. Sequences and ids of a block are joined on the block: the ids of its words
+   take the places of the codes.
 
 Words are exchanged as one packed row per block and bucket, not as one row
 per occurrence: the shuffles carry a fraction of the input, and a word that is
@@ -19,7 +20,9 @@ input's partitions; if a lost executor makes a partition run again on an input
 whose order is not fixed, a checksum tells the old and the new block apart and
 the job fails instead of mixing them.  Stored tables have a fixed order.
 
-Decoding joins each id with its bytes in the token table.
+Decoding joins each id with its bytes in the token table: the table is one
+byte string with the place of every token, and an array of ids becomes the
+array of the bytes that stand at their places.
 
 A null text counts as empty: no ids, empty bytes.  Other columns are passed
 through; an empty table gives an empty result.
@@ -45,13 +48,13 @@ from pyspark.sql import types as T
 from ingot.llm.common import col, whole_row
 
 #: Characters of text that one block gathers (a longer text is a block alone).
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 4_000_000
 #: Most buckets that the words are dealt to.
 MAX_BUCKETS = 4096
 #: Distinct words whose ids a task remembers at a time.
 MEMORY_WORDS = 1_000_000
-#: Documents a result batch holds, and ids after which it is sent on.
-BATCH_IDS = 1_000_000
+#: Ids that are looked up in the token table at a time.
+CHUNK_IDS = 250_000
 
 
 # --- vocabulary -----------------------------------------------------------------
@@ -211,72 +214,72 @@ def _blocks(pattern: str, buckets: int, block_chars: int):
 
 # --- 2: each distinct word once ------------------------------------------------------
 
+def _rows(batches) -> Iterator[dict]:
+    """The rows of all batches, one at a time."""
+    for b in batches:
+        for i in range(b.num_rows):
+            yield b.slice(i, 1).to_pylist()[0]
+
+
 def _encode_buckets(path: str, pattern: str):
-    """Puts the ids of its words into each bucket row; others pass unchanged."""
+    """Puts the ids of its words into each bucket row, which then goes to its
+    block: `key` becomes that of the block's documents."""
     schema = _arrow(_ROW)
 
     def run(batches):
         encode, known, now = word_encoder(path, pattern), {}, None
-        for b in batches:
-            for r in b.to_pylist():
-                if r["key"] >= 0:
-                    if r["bucket"] != now or len(known) > MEMORY_WORDS:
-                        now, known = r["bucket"], {}
-                    words = _unpack_words(r["words"])
-                    known.update((w, np.array(encode(w), np.uint32)) for w in words if w not in known)
-                    ids = [known[w] for w in words]
-                    r |= {"words": None, "numbers": _pack_numbers(np.concatenate(ids)), "sizes": _pack_numbers(np.fromiter(map(len, ids), np.uint32, len(ids)))}
-                yield pa.RecordBatch.from_pylist([r], schema)
+        for r in _rows(batches):
+            if r["bucket"] != now or len(known) > MEMORY_WORDS:
+                now, known = r["bucket"], {}
+            words = _unpack_words(r["words"])
+            known.update((w, np.array(encode(w), np.uint32)) for w in words if w not in known)
+            ids = [known[w] for w in words]
+            r |= {"key": -1 - r["block"], "words": None, "numbers": _pack_numbers(np.concatenate(ids)), "sizes": _pack_numbers(np.fromiter(map(len, ids), np.uint32, len(ids)))}
+            yield pa.RecordBatch.from_pylist([r], schema)
 
     return run
 
 
 # --- 3: reassembly by position -----------------------------------------------------
 
-def _reassemble(out: pa.Schema):
-    """Input sorted by block, the bucket rows in order before the documents."""
-
-    def batch(rows: pa.Array, ids: list[np.ndarray]) -> pa.RecordBatch:
-        values = np.concatenate([np.empty(0, np.uint32), *ids]).astype(np.int32)
-        offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-        return pa.RecordBatch.from_arrays([rows.cast(out.field(0).type), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], schema=out)
-
-    def run(batches):
-        block, parts = None, []
-        for b in batches:
-            for r in b.to_pylist():
-                if r["block"] != block:
-                    block, parts = r["block"], []
-                if r["key"] >= 0:
-                    parts.append(r)
-                    continue
-                if len(parts) != r["bucket"] or any(p["crc"] != r["crc"] for p in parts):
-                    raise RuntimeError("a block was read again in another order; write the input to a table first")
-                none = np.empty(0, np.uint32)
-                ids = np.concatenate([none] + [_unpack_numbers(p["numbers"]) for p in parts])
-                n = np.concatenate([none] + [_unpack_numbers(p["sizes"]) for p in parts]).astype(np.int64)
-                first = np.cumsum(n) - n
-                order = np.argsort(_unpack_numbers(r["words"]), kind="stable")
-                back = np.empty(len(order), np.int64)
-                back[order] = np.arange(len(order))
-                n, first = n[back], first[back]  # by the codes of the texts
-                codes, docs = _unpack_numbers(r["numbers"]), _unpack_rows(r["docs"])
-                if zlib.crc32(codes.tobytes()) != r["crc"]:
-                    raise RuntimeError("the codes of a block were damaged")
-                ends = np.cumsum(_unpack_numbers(r["sizes"]), dtype=np.int64).tolist()
-                parts, ready, at, done, waiting = [], [], 0, 0, 0
-                for d, end in enumerate(ends):
-                    c = codes[at:end]
-                    each = n[c]
-                    place = np.arange(each.sum()) + np.repeat(first[c] - (np.cumsum(each) - each), each)
-                    ready.append(ids[place])
-                    waiting += len(place)
-                    at = end
-                    if waiting > BATCH_IDS:
-                        yield batch(docs.slice(done, d + 1 - done), ready)
-                        ready, done, waiting = [], d + 1, 0
-                if ready:
-                    yield batch(docs.slice(done), ready)
+def _spread(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The places first[i], ..., first[i] + n[i] - 1 of every i, one after the other."""
+    return np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+
+
+def _ids_by_code(parts: list[dict], bucket_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of all words of a block, and where those of each code begin and how
+    many they are."""
+    none = np.empty(0, np.uint32)
+    ids = np.concatenate([none] + [_unpack_numbers(p["numbers"]) for p in parts])
+    n = np.concatenate([none] + [_unpack_numbers(p["sizes"]) for p in parts]).astype(np.int64)
+    back = np.empty(len(bucket_of), np.int64)
+    back[np.argsort(bucket_of, kind="stable")] = np.arange(len(bucket_of))
+    return ids, (np.cumsum(n) - n)[back], n[back]
+
+
+def _reassemble(out: pa.Schema, table: str | None):
+    """Joins the documents row of a block (left) with its bucket rows (right)."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if len(left) != 1:
+            raise RuntimeError("a block was read again in another order; write the input to a table first")
+        r, parts = left.to_pylist()[0], sorted(right.to_pylist(), key=lambda p: p["bucket"])
+        if len(parts) != r["bucket"] or any(p["crc"] != r["crc"] for p in parts):
+            raise RuntimeError("a block was read again in another order; write the input to a table first")
+        codes, docs = _unpack_numbers(r["numbers"]), _unpack_rows(r["docs"])
+        if zlib.crc32(codes.tobytes()) != r["crc"]:
+            raise RuntimeError("the codes of a block were damaged")
+        ids, first, n = _ids_by_code(parts, _unpack_numbers(r["words"]))
+        ends = np.cumsum(_unpack_numbers(r["sizes"]), dtype=np.int64)
+        del parts, r
+        each = n[codes]
+        values = ids[_spread(first[codes], each)].astype(np.int32)
+        offsets = np.concatenate([[0], np.cumsum(each)])[np.concatenate([[0], ends])].astype(np.int32)
+        del codes, each
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+        columns = [docs.cast(out.field(0).type), lists]
+        return pa.Table.from_arrays(columns + ([_bytes_of(lists, table)] if table else []), schema=out)
 
     return run
 
@@ -292,40 +295,42 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", kee
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     row = whole_row(docs.select(*[col(c) for c in keep])) if keep else F.struct(F.lit(None).cast("int").alias("none"))
     source = docs.select(col(text_col).cast("string").alias("text"), row.alias("row"))
-    out = T.StructType([T.StructField("row", source.schema["row"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    out = T.StructType([T.StructField("row", source.schema["row"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))] + [T.StructField("decoded", T.BinaryType())] * decoded)
     blocks = source.mapInArrow(_blocks(pattern, max(1, min(MAX_BUCKETS, partitions)), block_chars), _ROW)
-    dealt = blocks.repartition(partitions, "key").sortWithinPartitions("key")
-    encoded = dealt.mapInArrow(_encode_buckets(path, pattern), _ROW)
-    gathered = encoded.repartition(partitions, "block").sortWithinPartitions("block", F.col("key") < 0, "bucket")
-    whole = _reassemble(_arrow(out))
-    if not decoded:
-        return gathered.mapInArrow(whole, out)
-    back = _decode(path, "ids", "decoded")
-    return gathered.mapInArrow(lambda batches: back(whole(batches)), T.StructType([*out.fields, T.StructField("decoded", T.BinaryType())]))
+    dealt = blocks.repartition(partitions, "key")  # one exchange, read by both sides
+    encoded = dealt.where("key >= 0").sortWithinPartitions("key").mapInArrow(_encode_buckets(path, pattern), _ROW)
+    texts, ids = dealt.where("key < 0"), encoded.repartition(partitions, "key")
+    return texts.groupBy("key").cogroup(ids.groupBy("key")).applyInArrow(_reassemble(_arrow(out), path if decoded else None), out)
 
 
-def _decode(path: str, ids_col: str, as_col: str):
-    """Adds the bytes of the ids to each batch."""
+# --- decoding -----------------------------------------------------------------------
 
-    def run(batches):
+def _places(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All token bytes one after the other, where each begins and its length."""
+    if (path, "places") not in _LOADED:
         table = token_table(path)
-        for b in batches:
-            at = b.schema.get_field_index(ids_col)
-            done = [None if v is None else b"".join(map(table.__getitem__, v)) for v in _lists(b.column(at))]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(done, pa.binary())], names=[*b.schema.names, as_col])
+        n = np.fromiter(map(len, table), np.int64, len(table))
+        _LOADED[path, "places"] = np.frombuffer(b"".join(table), np.uint8), np.cumsum(n) - n, n
+    return _LOADED[path, "places"]
 
-    return run
+
+def _bytes_of(column: pa.ListArray, path: str) -> pa.Array:
+    """The bytes that the ids of each list stand for; null for null."""
+    data, first, n = _places(path)
+    values, offsets = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    done = []
+    for i, ok in enumerate(column.is_valid().to_pylist()):
+        parts = [values[k : min(k + CHUNK_IDS, offsets[i + 1])] for k in range(offsets[i], offsets[i + 1], CHUNK_IDS)]
+        done.append(b"".join(data[_spread(first[x], n[x])].tobytes() for x in parts) if ok else None)
+    return pa.array(done, pa.binary())
 
 
 def decode(rows: DataFrame, path: str, ids_col: str = "ids", as_col: str = "decoded") -> DataFrame:
     """`rows` with the bytes of their ids as a binary column `as_col`; null
     ids give null."""
-    schema = T.StructType([*rows.schema.fields, T.StructField(as_col, T.BinaryType())])
-    return rows.mapInArrow(_decode(path, ids_col, as_col), schema)
 
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, _bytes_of(b.column(b.schema.get_field_index(ids_col)), path)], names=[*b.schema.names, as_col])
 
-def _lists(column: pa.ListArray) -> Iterator[list[int] | None]:
-    """Values of a list column, one list at a time."""
-    values, offsets = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
-    for i, ok in enumerate(column.is_valid().to_pylist()):
-        yield values[offsets[i] : offsets[i + 1]].tolist() if ok else None
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(as_col, T.BinaryType())]))

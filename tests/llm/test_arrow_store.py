@@ -11,14 +11,12 @@ from tokenizers import Tokenizer
 from ingot.llm import arrow_store as A
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
-TEXTS = ["Hello World's 123 ### !!", "", None, "naïve ÜNÏCODE İstanbul ΟΔΟΣ ς 漢字 🙂", "á é Å", "x\x1cy z\x85w v u\x0bq", "<|endoftext|> don't", "ß" * 3000, "word, " * 9000, "Hello World's 123 ### !!", "²½ ĳ ǅ"]
+TEXTS = ["Hello World's 123 ### !!", "", None, "naïve ÜNÏCODE İstanbul ΟΔΟΣ ς 漢字 🙂", "á é Å", "x\x1cy z\x85w v u\x0bq", "<|endoftext|> don't", "a <|endoftext|> b", "x<|startoftext|>y <|endoftext|>", "<|ENDOFTEXT|> <| end |>", "<|endoftext", "ß" * 3000, "word, " * 9000, "Hello World's 123 ### !!", "²½ ĳ ǅ"]
 
 
 @pytest.fixture(scope="module")
 def library():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)  # as it comes
 
 
 def expected(library, rows):
