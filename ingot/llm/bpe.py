@@ -41,11 +41,11 @@ import pyarrow as pa
 import regex
 import tiktoken
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ingot.llm.common import col, whole_row
+from ingot.llm.common import col, spread, whole_row
 
 #: Characters of text that one block gathers (a longer text is a block alone).
 BLOCK_CHARS = 4_000_000
@@ -242,11 +242,6 @@ def _encode_buckets(path: str, pattern: str):
 
 # --- 3: reassembly by position -----------------------------------------------------
 
-def _spread(first: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """The places first[i], ..., first[i] + n[i] - 1 of every i, one after the other."""
-    return np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
-
-
 def _ids_by_code(parts: list[dict], bucket_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of all words of a block, and where those of each code begin and how
     many they are."""
@@ -274,7 +269,7 @@ def _reassemble(out: pa.Schema, table: str | None):
         ends = np.cumsum(_unpack_numbers(r["sizes"]), dtype=np.int64)
         del parts, r
         each = n[codes]
-        values = ids[_spread(first[codes], each)].astype(np.int32)
+        values = ids[spread(first[codes], each)].astype(np.int32)
         offsets = np.concatenate([[0], np.cumsum(each)])[np.concatenate([[0], ends])].astype(np.int32)
         del codes, each
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
@@ -286,6 +281,12 @@ def _reassemble(out: pa.Schema, table: str | None):
 
 # --- the operator -------------------------------------------------------------------
 
+def _here(condition: str) -> Column:
+    """`condition`, in a form that Spark does not move below the exchange, so
+    that two filters over one exchange read the same shuffle."""
+    return F.expr(f"if(spark_partition_id() >= 0, {condition}, false)")
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", keep: list[str] | None = None, block_chars: int = BLOCK_CHARS, decoded: bool = False) -> DataFrame:
     """`row` (a struct of the columns `keep`, all but the text by default) and
     `ids` (array of int) of every row of `docs`; with `decoded` also what
@@ -298,8 +299,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", kee
     out = T.StructType([T.StructField("row", source.schema["row"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))] + [T.StructField("decoded", T.BinaryType())] * decoded)
     blocks = source.mapInArrow(_blocks(pattern, max(1, min(MAX_BUCKETS, partitions)), block_chars), _ROW)
     dealt = blocks.repartition(partitions, "key")  # one exchange, read by both sides
-    encoded = dealt.where("key >= 0").sortWithinPartitions("key").mapInArrow(_encode_buckets(path, pattern), _ROW)
-    texts, ids = dealt.where("key < 0"), encoded.repartition(partitions, "key")
+    encoded = dealt.where(_here("key >= 0")).sortWithinPartitions("key").mapInArrow(_encode_buckets(path, pattern), _ROW)
+    texts, ids = dealt.where(_here("key < 0")), encoded.repartition(partitions, "key")
     return texts.groupBy("key").cogroup(ids.groupBy("key")).applyInArrow(_reassemble(_arrow(out), path if decoded else None), out)
 
 
@@ -321,7 +322,7 @@ def _bytes_of(column: pa.ListArray, path: str) -> pa.Array:
     done = []
     for i, ok in enumerate(column.is_valid().to_pylist()):
         parts = [values[k : min(k + CHUNK_IDS, offsets[i + 1])] for k in range(offsets[i], offsets[i + 1], CHUNK_IDS)]
-        done.append(b"".join(data[_spread(first[x], n[x])].tobytes() for x in parts) if ok else None)
+        done.append(b"".join(data[spread(first[x], n[x])].tobytes() for x in parts) if ok else None)
     return pa.array(done, pa.binary())
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,3 +75,8 @@ def text_bytes(column: pa.Array) -> Iterator[bytes | None]:
 def texts(column: pa.Array) -> Iterator[str | None]:
     for v in column:
         yield v.as_py()
+
+
+def spread(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The places first[i], ..., first[i] + n[i] - 1 of every i, one after the other."""
+    return np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)

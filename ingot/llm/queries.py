@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ingot.llm import arrow_store, bpe, decontaminate, html_extract, pii, quality, simhash, token_counts, topk, url_rules
+from ingot.llm import alignment, arrow_store, bpe, decontaminate, html_extract, langid, lexical, pii, quality, simhash, token_counts, topk, url_rules
 from ingot.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -178,6 +178,49 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, labels, host_col="source", path_col="lang")
 
 
+@register
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learnt on three of four folds of the ids, predicted for every text."""
+    return langid.cross_identify(read_table(spark, sf_dir, "documents"))
+
+
+@register
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best of all documents for every benchmark item."""
+    return lexical.rank(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=20)
+
+
+SQL["op12_ranked_search"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents),
+b AS (
+  SELECT row_number() OVER () AS iid, item_id,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM benchmark),
+q AS (SELECT iid, item_id, t, count(*) AS q FROM (SELECT iid, item_id, unnest(w) AS t FROM b) GROUP BY ALL),
+c AS (SELECT CAST(count(*) FILTER (len(w) > 0) AS BIGINT) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d),
+p AS (SELECT rid, t, count(*) AS tf FROM (SELECT rid, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+v AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * c.n + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM p, c GROUP BY t, c.n),
+m AS (SELECT rid, doc_id, 100 - 25 + ((25 * CAST(len(d.w) AS BIGINT) * c.n) // c.l) AS m FROM d, c),
+s AS (
+  SELECT q.iid, q.item_id, m.rid, m.doc_id, CAST(sum(q.q * v.w * ((1000000000 * p.tf) // (1000 * p.tf + 12 * m.m))) AS BIGINT) AS score
+  FROM q JOIN v USING (t) JOIN p USING (t) JOIN m USING (rid) GROUP BY ALL),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id, rid) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+
+@register
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the 50k byte vocabulary and the 32k pieces."""
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.Aligned(read_table(spark, sf_dir, "documents"), *paths).result()
+
+
 @register
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of `corpus_pipeline`."""

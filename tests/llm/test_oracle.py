@@ -28,4 +28,4 @@ def test_query_matches_its_sql(spark, duck, key):
 
 
 def test_one_query_for_each_operator():
-    assert [k.split("_")[0] for k in sorted(QUERIES, key=lambda k: (len(k.split("_")[0]), k))] == [f"op{n}" for n in range(1, 11)] + ["pipeline"]
+    assert [k.split("_")[0] for k in sorted(QUERIES, key=lambda k: (len(k.split("_")[0]), k))] == [f"op{n}" for n in range(1, 14)] + ["pipeline"]
