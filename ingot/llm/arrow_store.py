@@ -24,6 +24,7 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +41,7 @@ from ingot.llm.common import col, field, shared_folder, stable, text_bytes
 LENGTH = 2048
 BATCH_SEQUENCES = 256
 #: Encoded words a worker remembers.
-MEMORY_WORDS = 500_000
+MEMORY_WORDS = 1_000_000
 #: Python characters of which every word of a text can be encoded alone: none
 #: that composes, changes case by its neighbours or counts as white space in
 #: one of the two libraries only.
@@ -69,24 +70,23 @@ class WordCache(dict):
         #: Beginnings that the added tokens share, such as "<|" (the library
         #: also finds them in other letter case).
         self.marks = {t.content[:2] for t in self.library.get_added_tokens_decoder().values()}
-        self.pieces: dict[str, bytes] = {}
         self.letters = _byte_letters()
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
 
-    def _piece(self, piece: str) -> bytes:
-        if piece not in self.pieces:
-            word = "".join(map(self.letters.__getitem__, piece.encode()))
-            self.pieces[piece] = np.array([t.id for t in self.library.model.tokenize(word)], self.dtype).tobytes()
-        return self.pieces[piece]
+    def _tokenize(self, piece: str) -> bytes:
+        word = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
+        return array(self.code, [t.id for t in self.library.model.tokenize(word)]).tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        self[word] = ids = b"".join(map(self._piece, _WORD.findall(word.lower())))
+        low = word.lower()
+        pieces = [low] if low.isalpha() else _WORD.findall(low)
+        self[word] = ids = self._tokenize(word) if pieces == [word] else b"".join(map(self.__getitem__, pieces))
         return ids
 
     def trim(self) -> None:
         """Forget everything once there is too much of it (between texts)."""
-        if len(self) + len(self.pieces) > MEMORY_WORDS:
+        if len(self) > MEMORY_WORDS:
             self.clear()
-            self.pieces.clear()
 
     def encode(self, text: str) -> bytes:
         """The ids that the library gives for the whole text, adding none.  A
