@@ -118,6 +118,15 @@ def test_bitmaps_merge_and_count(monkeypatch):
         assert total[d] == sum(int(score[i]) * m for i, m in mine) and n_best[d] == sum(m for i, m in mine if best[i])
 
 
+def test_the_faster_library_gives_the_same_ids(tools):
+    mine, r = A.aligner(*PATHS), np.random.default_rng(5)
+    assert mine.fast is not None
+    alphabet = list("aaeeiinnrstt'  \n\t.,!-0179AÉéßñçüøşŁ×÷ªºµ¡¿<|>_")
+    for _ in range(3000):
+        text = "".join(r.choice(alphabet, int(r.integers(1, 60))))
+        assert mine.encode_a(text) == tools[0].encode(text, add_special_tokens=False).ids, text
+
+
 def test_empty_table(spark):
     assert A.Aligned(spark.createDataFrame([], "doc_id string, text string"), *PATHS).result().count() == 0
     only = A.Aligned(spark.createDataFrame([("x", None), ("y", "")], "doc_id string, text string"), *PATHS).result().collect()
