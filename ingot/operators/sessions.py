@@ -1,10 +1,9 @@
 """User sessions, journeys and event counts (README-described behaviour).
 
 A new session starts when a user has been inactive for more than two hours.
-`sessionize` numbers sessions per user without ever ordering all of one
-user's events in a single task: a user's timeline is cut into chunks of fixed
-length, numbered locally with `lag` and a running sum, and the chunks are
-stitched by a small per-chunk summary (first/last time, local starts).
+`sessionize` numbers sessions per user without ordering events: a user's
+timeline is cut into chunks no longer than that gap, and the sessions are
+stitched from the chunks' first and last times.
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ingot import schemas
 
-# Length of a chunk: what one task orders is one user's events within it.
+# Length of a chunk (at most; never longer than the gap).
 CHUNK_SECONDS = 900
 
 # Event types of the clickstream (fixed values).
@@ -25,66 +24,52 @@ def _gap(seconds: int) -> Column:
     return F.expr(f"INTERVAL {int(seconds)} SECONDS")
 
 
+def _chunk(events: DataFrame, ts: str, chunk_us: int) -> Column:
+    """Number of the stretch of `chunk_us` microseconds that an event falls in."""
+    micros = F.unix_micros(F.col(ts).cast("timestamp")) if dict(events.dtypes)[ts] == "timestamp" else F.timestamp_diff(
+        "MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col(ts).cast("timestamp_ntz"))
+    return F.floor(micros / F.lit(chunk_us)).cast("long")
+
+
+def session_chunks(events: DataFrame, user: str, ts: str, gap_seconds: int, chunk_us: int) -> DataFrame:
+    """`_ss_user`, `_ss_chunk`, `_ss_seq`: the session of every chunk of a
+    user's timeline that holds events, from the chunks' first and last times.
+
+    A chunk is no longer than the gap, so no session starts inside one; it
+    starts one where its first event is more than the gap behind the last
+    event of the chunk before."""
+    spans = events.groupBy(F.col(user).alias("_ss_user"), _chunk(events, ts, chunk_us).alias("_ss_chunk")).agg(F.min(ts).alias("_ss_first"), F.max(ts).alias("_ss_last"))
+    order = Window.partitionBy("_ss_user").orderBy(F.col("_ss_chunk").asc_nulls_first())
+    starts = F.coalesce((F.col("_ss_first") - F.lag("_ss_last").over(order)) > _gap(gap_seconds), F.lit(False))
+    flagged = spans.withColumn("_ss_new", starts.cast("long"))
+    seq = 1 + F.sum("_ss_new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return flagged.select("_ss_user", "_ss_chunk", seq.alias("_ss_seq"))
+
+
 def sessionize(
     events: DataFrame,
     user: str = "user_id",
     ts: str = "ts",
     gap_seconds: int = schemas.SESSION_GAP_SECONDS,
-    tie: str | None = None,
     out: str = "session_seq",
     chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
     """Add `out` = 1, 2, ... per user; a gap above `gap_seconds` starts a new one.
 
-    A gap of exactly `gap_seconds` stays in the same session.  `tie` names
-    a column that orders events with equal timestamps (it cannot change the
-    numbering, only make the plan deterministic).  Events without a user are
-    one user of their own; events without a time come first in their user's
-    first session.
+    A gap of exactly `gap_seconds` stays in the same session.  Events without
+    a user are one user of their own; events without a time come first in
+    their user's first session.
 
-    The chunk of an event is an expression of its time, so both branches of
-    the plan (per-chunk summary, per-row numbering) agree without a stored
-    copy.  They share one hash layout on (user, chunk); a user with a third of
-    all events is spread over the chunks of their timeline.
+    Only the chunk summaries, partially aggregated where the events are read,
+    are ordered by user.  The events themselves are joined with their chunk's
+    session, never sorted: a user with a third of all events is spread over
+    the chunks of their timeline.
     """
-    order = [F.col(ts)] + ([F.col(tie)] if tie else [])
-    seconds = F.unix_micros(F.col(ts).cast("timestamp")) if dict(events.dtypes)[ts] == "timestamp" else F.timestamp_diff(
-        "MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col(ts).cast("timestamp_ntz"))
-    e = events.withColumn("_ss_chunk", F.floor(seconds / F.lit(chunk_seconds * 1_000_000)).cast("long"))
-
-    local = Window.partitionBy(user, "_ss_chunk").orderBy(*order)
-    prev = F.lag(ts).over(local)
-    first = F.row_number().over(local) == 1
-    e = e.withColumn("_ss_flag", F.when(first | ((F.col(ts) - prev) > _gap(gap_seconds)), 1).otherwise(0))
-    e = e.withColumn(
-        "_ss_local",
-        F.sum("_ss_flag").over(local.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-    )
-
-    chunks = e.groupBy(user, "_ss_chunk").agg(
-        F.min(ts).alias("_ss_first"),
-        F.max(ts).alias("_ss_last"),
-        F.sum("_ss_flag").alias("_ss_starts"),
-    )
-    by_user = Window.partitionBy(user).orderBy(F.col("_ss_chunk").asc_nulls_first())
-    prev_last = F.lag("_ss_last").over(by_user)
-    follows = F.lag(F.lit(1)).over(by_user).isNotNull()
-    chunks = chunks.withColumn(
-        "_ss_cont",
-        F.when(follows & (prev_last.isNull() | ((F.col("_ss_first") - prev_last) <= _gap(gap_seconds))), 1).otherwise(0),
-    ).withColumn("_ss_adj", F.col("_ss_starts") - F.col("_ss_cont"))
-    chunks = chunks.withColumn(
-        "_ss_off",
-        F.coalesce(
-            F.sum("_ss_adj").over(by_user.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ),
-    ).select(F.col(user).alias("_ss_user"), F.col("_ss_chunk").alias("_ss_key"), "_ss_off", "_ss_cont")
-
+    chunk_us = max(1, 1_000_000 * min(chunk_seconds, gap_seconds))
+    found = session_chunks(events, user, ts, gap_seconds, chunk_us).withColumnRenamed("_ss_chunk", "_ss_key")
+    e = events.withColumn("_ss_chunk", _chunk(events, ts, chunk_us))
     same = F.col(user).eqNullSafe(F.col("_ss_user")) & F.col("_ss_chunk").eqNullSafe(F.col("_ss_key"))
-    seq = (F.col("_ss_off") + F.col("_ss_local") - F.col("_ss_cont")).cast("long")
-    return e.join(chunks, same, "inner").withColumn(out, seq).drop(
-        "_ss_chunk", "_ss_flag", "_ss_local", "_ss_off", "_ss_cont", "_ss_user", "_ss_key"
-    )
+    return e.join(found, same, "inner").withColumn(out, F.col("_ss_seq")).drop("_ss_chunk", "_ss_seq", "_ss_user", "_ss_key")
 
 
 def journeys(

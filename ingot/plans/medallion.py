@@ -44,7 +44,7 @@ def load_bronze(
     whole file with them, as the source does.  The text is parsed once; row
     counts are observed during the writes, without another scan.
     """
-    text = CSV.head_n_per_file(CSV.read_events_text(lh.spark, source), limit_per_file)
+    text = CSV.head_n_per_file(CSV.read_events_text(lh.spark, source, first=limit_per_file), limit_per_file)
     return _append_bronze(lh, text, on_error, uuid.uuid4().hex)
 
 
@@ -204,7 +204,7 @@ def load_bronze_increment(
 ) -> dict:
     """Batch flavour of the incremental path: load the files into bronze and
     carry exactly those rows on to silver, the dimension and the fact."""
-    text = CSV.head_n_per_file(CSV.read_events_text(lh.spark, source), limit_per_file)
+    text = CSV.head_n_per_file(CSV.read_events_text(lh.spark, source, first=limit_per_file), limit_per_file)
     return increment_from_text(lh, text, on_error, load_id)
 
 

@@ -271,7 +271,7 @@ def q_load_counts(spark, sf_dir):
 # --- sessions (README-described behaviour) --------------------------------------------
 
 def _sessions(spark, sf_dir):
-    return X.sessionize(tb.session_events(spark, sf_dir), tie="event_id")
+    return X.sessionize(tb.session_events(spark, sf_dir))
 
 
 @register("sessionize")
@@ -339,6 +339,15 @@ def q_csv_ingest(spark, sf_dir):
     return accepted.drop(CSV.SOURCE_FILE)
 
 
+@register("csv_head_n")
+def q_csv_head_n(spark, sf_dir):
+    """The accepted ones of the first 100 rows of each of five CSV files; no
+    file is read beyond them."""
+    text = CSV.read_events_text(spark, tb.write_csv_heads(spark, sf_dir), first=100)
+    accepted, _ = CSV.to_bronze_rows(CSV.head_n_per_file(text, 100))
+    return accepted.drop(CSV.SOURCE_FILE, CSV.ROW_INDEX)
+
+
 @register("csv_rejects")
 def q_csv_rejects(spark, sf_dir):
     """Rows rejected from the same files, by reason."""

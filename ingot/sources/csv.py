@@ -1,11 +1,19 @@
 """Clickstream CSV ingest (S1-S6): text scan, per-file head-N, typing, rejects.
 
-One `spark.read.csv` covers a single file or a glob (S1/S2): the files are
-split and read in parallel, and each row keeps its source file through the
+One `spark.read.text` covers a single file or a glob (S1/S2): the files are
+split and read in parallel, and each line keeps its source file through the
 scan's `_metadata` column, so nothing loops over files on the driver.  The
-text is parsed once, into a staging table in the shared checkpoint folder;
+lines are written once, into a staging table in the shared checkpoint folder;
 headers, counts, accepted and rejected rows all come from there.
 
+A quoted field may hold separators, doubled quotes and line feeds, as in any
+CSV reader, yet files stay splittable.  Each line is a map of two states, "not
+in quotes" and "in quotes", to the state behind it: lines without a quote keep
+the state, some turn it over, some end in one state whatever came before.  Such
+maps compose, so running counts over the lines of a split, and over the splits
+of a file, tell where every line begins; the lines of a record that spans
+several are then joined, across splits too.
+
 Columns are bound by the header of each file, as a CSV reader with named
 columns does: order does not matter, a column that a file lacks is NULL, short
 rows are padded with NULL.  Missing-value tokens, numbers, decimals and zoned
@@ -15,10 +23,12 @@ reason instead of an exception.
 
 from __future__ import annotations
 
+import re
 import uuid
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,9 +40,6 @@ from ingot.session import ensure_checkpoint_dir
 SOURCE_FILE = "source_file"
 ROW_INDEX = "_row_in_file"
 BLOCK = "_rf_block"
-#: Most columns a file may have.
-MAX_COLUMNS = 40
-FIELDS_SCHEMA = T.StructType([T.StructField(f"_f{i}", T.StringType(), True) for i in range(MAX_COLUMNS)])
 #: Reason of a file-level problem, beside the rows' own ones.
 HEADER_REASON = "_header_reason"
 
@@ -40,65 +47,209 @@ _LONG_COLS = ("product_id", "category_id", "user_id")
 _TEXT_COLS = ("event_type", "category_code", "brand", "user_session")
 
 
+# --- quotes -------------------------------------------------------------------
+
+class Quotes:
+    """Patterns for fields between separators; valid in Java and in Python.
+
+    A quote opens a field only at its beginning, two of them inside stand for
+    one, and what follows the closing one belongs to the field as it is."""
+
+    def __init__(self, sep: str = ","):
+        s, end, text = re.escape(sep), r"(?![\s\S])", r'[^"]*+(?:""[^"]*+)*+'
+        self.sep = sep
+        whole, open_ = rf'(?:"{text}"[^{s}]*+|(?!")[^{s}]*+)', rf'"{text}{end}'
+        behind = rf"(?:{whole}{s})*+{open_}"
+        #: Of lines that begin outside and inside quotes: those which end inside.
+        self.opens, self.stays = f"^{behind}", rf'^{text}(?:{end}|"[^{s}]*+{s}{behind})'
+        #: A field with the separator before it, and its parts.
+        self.field, self.parts = rf'{s}(?:"{text}(?:"[^{s}]*+|{end})|[^{s}]*+)', rf'^"({text})"?([\s\S]*)'
+
+    def ends_inside(self, line: str, inside: bool) -> bool:
+        return inside if '"' not in line else re.search(self.stays if inside else self.opens, line) is not None
+
+    def fields(self, record: Column) -> Column:
+        """Record -> array of text."""
+        text = F.regexp_replace(record, r"\r\z", "")
+        cut = F.regexp_extract_all(F.concat(F.lit(self.sep), text), F.lit(self.field), F.lit(0))
+
+        def plain(x: Column) -> Column:
+            x = F.substring(x, 2, 1 << 30)
+            quoted = F.concat(F.replace(F.regexp_extract(x, self.parts, 1), F.lit('""'), F.lit('"')), F.regexp_extract(x, self.parts, 2))
+            return F.when(F.startswith(x, F.lit('"')), quoted).otherwise(x)
+
+        return F.when(F.contains(text, F.lit('"')), F.transform(cut, plain)).otherwise(F.split(text, re.escape(self.sep), -1))
+
+
 # --- scan and staging ---------------------------------------------------------
 
-def csv_options(reader):
-    """Options of the text scan: every line is a row, the header included."""
-    return reader.schema(FIELDS_SCHEMA).option("header", "false").option("mode", "PERMISSIVE").option("enforceSchema", "true")
+def text_lines(reader) -> DataFrame:
+    """Options of the text scan: lines end with a line feed alone."""
+    return reader.option("lineSep", "\n")
 
 
 def with_source(df: DataFrame) -> DataFrame:
-    """`fields` (array of text), source file and block start of each line."""
-    fields = F.array(*[F.col(f.name) for f in FIELDS_SCHEMA])
-    return df.select(fields.alias("fields"), F.col("_metadata.file_path").alias(SOURCE_FILE), F.col("_metadata.file_block_start").alias(BLOCK))
+    """`value`, source file and block start of each line."""
+    return df.select("value", F.col("_metadata.file_path").alias(SOURCE_FILE), F.col("_metadata.file_block_start").alias(BLOCK))
 
 
-def stage(lines: DataFrame) -> DataFrame:
-    """The parsed lines, written once to the shared checkpoint folder, with a
-    number `_line` that follows the file order within a block."""
-    spark = lines.sparkSession
+def stage(lines: DataFrame, sep: str = ",") -> DataFrame:
+    """The lines, written once to the shared checkpoint folder, with a number
+    `_line` that follows the file order within a block, and the states behind
+    each: `_out` and `_in` (in quotes?) if it began outside or inside."""
+    spark, q = lines.sparkSession, Quotes(sep)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-staging-{uuid.uuid4().hex}"
-    used = F.expr("filter(transform(fields, (x, i) -> if(x IS NULL, -1, i)), i -> i >= 0)")
-    width = F.coalesce(F.array_max(used), F.lit(-1)) + 1  # trailing NULLs are not stored
-    lines.withColumn("fields", F.slice("fields", F.lit(1), width)).withColumn("_line", F.monotonically_increasing_id()).write.parquet(path)
+    quoted = F.contains("value", F.lit('"'))
+    out, in_ = quoted & F.rlike("value", F.lit(q.opens)), ~quoted | F.rlike("value", F.lit(q.stays))
+    lines.withColumn("_out", out).withColumn("_in", in_).withColumn("_line", F.monotonically_increasing_id()).write.parquet(path)
     return spark.read.parquet(path)
 
 
+def _open_text(uri: str):
+    """A file's lines, decompressed by its name's ending, as they are read."""
+    import io
+
+    import pyarrow.fs as pafs
+
+    local = uri.startswith("file:") or "://" not in uri
+    fs, path = (pafs.LocalFileSystem(), "/" + unquote(uri.removeprefix("file:")).lstrip("/")) if local else pafs.FileSystem.from_uri(uri)
+    return io.TextIOWrapper(fs.open_input_stream(path, compression="detect", buffer_size=1 << 16), encoding="utf-8", errors="replace", newline="\n")
+
+
+def _first_records(spark: SparkSession, files: list[str], n: int, sep: str) -> DataFrame | None:
+    """The lines of the header and the first `n` records of every file, read by
+    tasks that open their files and stop there; None if the files are in a
+    store that only Spark opens."""
+    import pyarrow as pa
+
+    try:
+        with _open_text(files[0]):
+            pass
+    except (OSError, ValueError, ImportError):
+        return None
+    q, schema = Quotes(sep), f"value string, {SOURCE_FILE} string, {BLOCK} long"
+
+    def head(batches):
+        for b in batches:
+            for file in b.column(0).to_pylist():
+                kept, left, inside = [], n + 1, False
+                with _open_text(file) as lines:
+                    for line in lines:
+                        line, begun = line.removesuffix("\n"), not inside
+                        kept.append(line)
+                        inside = q.ends_inside(line, inside)
+                        left -= not inside and not (begun and not line.strip())
+                        if left == 0:
+                            break
+                yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string()), pa.array([file] * len(kept), pa.string()), pa.array([0] * len(kept), pa.int64())], names=["value", SOURCE_FILE, BLOCK])
+
+    tasks = min(len(files), 4 * spark.sparkContext.defaultParallelism)
+    return spark.createDataFrame([(f,) for f in files], "file string").repartition(tasks).mapInArrow(head, schema)
+
+
 def read_events_text(
     spark: SparkSession,
     path: str | list[str],
     on_missing: str = "empty",
-    **options: str,
+    first: int | None = None,
+    sep: str = ",",
 ) -> DataFrame:
     """Scan CSV file(s) with a header as nine text columns.
 
     Besides them: the source file, its block and line, and `_header_reason`
     for files whose columns cannot be bound.  A path that matches nothing
     gives an empty frame (`on_missing='empty'`, as the source loader reports
-    and carries on) or raises (`'raise'`).
+    and carries on) or raises (`'raise'`).  With `first`, no file is read much
+    beyond its first `first` rows (S3); `head_n_per_file` cuts them exactly.
     """
-    reader = csv_options(spark.read).option("ignoreMissingFiles", "true")
-    for k, v in options.items():
-        reader = reader.option(k, v)
     try:
-        lines = with_source(reader.csv(path))
+        lines = with_source(text_lines(spark.read.option("ignoreMissingFiles", "true")).text(path))
     except AnalysisException as e:
         if on_missing == "empty" and "PATH_NOT_FOUND" in str(e):
-            empty = T.StructType([T.StructField("fields", T.ArrayType(T.StringType())), T.StructField(SOURCE_FILE, T.StringType()), T.StructField(BLOCK, T.LongType())])
-            lines = spark.createDataFrame([], empty)
+            lines = spark.createDataFrame([], f"value string, {SOURCE_FILE} string, {BLOCK} long")
         else:
             raise
-    return bind_columns(stage(lines))
-
-
-def bind_columns(staged: DataFrame) -> DataFrame:
-    """Lines -> the nine columns by the name in their file's header.
-
-    The header is the first line of a file's first block.  An unknown or
+    if first is not None and (files := lines.inputFiles()):
+        heads = _first_records(spark, sorted(files), first, sep)
+        lines = lines if heads is None else heads
+    return bind_columns(stage(lines, sep), sep)
+
+
+# --- records --------------------------------------------------------------------
+
+def _turned(state: Column, times: Column) -> Column:
+    return state != (times % 2 == 1)
+
+
+def _composed(rows: DataFrame, by: list[str], order: str, swaps: Column, constant: Column, value: Column) -> DataFrame:
+    """Running composition of maps of a state: `_s` how often it was turned
+    over, `_c` the last constant map (its value and `_s` there)."""
+    upto = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    turned = rows.withColumn("_s", F.sum(swaps.cast("long")).over(upto))
+    return turned.withColumn("_c", F.last(F.when(constant, F.struct(value.alias("v"), F.col("_s").alias("s"))), ignorenulls=True).over(upto))
+
+
+def _state(start: Column) -> Column:
+    """The state behind the maps composed in `_s` and `_c`."""
+    return F.when(F.col("_c").isNotNull(), _turned(F.col("_c.v"), F.col("_s") - F.col("_c.s"))).otherwise(_turned(start, F.col("_s")))
+
+
+def _spanning(staged: DataFrame) -> DataFrame:
+    """`value` (whole records), file, block, line and `_open` of lines among
+    which some end inside quotes."""
+    block, file = [SOURCE_FILE, BLOCK], Window.partitionBy(SOURCE_FILE).orderBy(BLOCK)
+    before = file.rowsBetween(Window.unboundedPreceding, -1)
+    lines = _composed(staged, block, "_line", F.col("_out") & ~F.col("_in"), F.col("_out") == F.col("_in"), F.col("_out"))
+    # the map of a block is that of its last line; a file begins outside
+    maps = lines.groupBy(*block).agg(F.max_by(F.struct("_s", "_c"), "_line").alias("e")).select(*block, "e.*")
+    is_constant, turns = F.col("_c").isNotNull(), F.col("_s") % 2 == 1
+    value = F.when(is_constant, _turned(F.col("_c.v"), F.col("_s") - F.col("_c.s")))
+    maps = maps.select(*block, is_constant.alias("_k"), (~is_constant & turns).alias("_t"), value.alias("_v"))
+    ends = _composed(maps, [SOURCE_FILE], BLOCK, F.col("_t"), F.col("_k"), F.col("_v")).withColumn("_end", _state(F.lit(False)))
+    starts = ends.select(*block, "_end", F.coalesce(F.lag("_end").over(file), F.lit(False)).alias("_start"))
+    within = Window.partitionBy(*block).orderBy("_line")
+    lines = lines.join(starts.select(*block, "_start"), block).withColumn("_after", _state(F.col("_start")))
+    lines = lines.withColumn("_begins", ~F.coalesce(F.lag("_after").over(within), F.col("_start")))
+    lines = lines.withColumn("_rec", F.sum(F.col("_begins").cast("long")).over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    # lines before the first beginning in a block go on with the last record before it
+    counts = lines.groupBy(*block).agg(F.max("_rec").alias("n")).join(starts.select(*block, "_end"), block)
+    last = F.when(F.col("n") > 0, F.struct(F.col(BLOCK).alias("b"), F.col("n").alias("r")))
+    owners = counts.withColumn("_owner", F.last(last, ignorenulls=True).over(before)).withColumn("_own", F.coalesce(last, "_owner"))
+    unclosed = owners.groupBy(SOURCE_FILE).agg(F.max_by(F.struct("_end", "_own"), BLOCK).alias("e")).where("e._end").select(F.col(SOURCE_FILE).alias("_ufile"), F.col("e._own").alias("_unclosed"))
+    lines = lines.join(owners.select(*block, "_owner"), block)
+    key = F.when(F.col("_rec") > 0, F.struct(F.col(BLOCK).alias("b"), F.col("_rec").alias("r"))).otherwise(F.col("_owner"))
+    lines = lines.withColumn("_key", key).join(unclosed, (F.col(SOURCE_FILE) == F.col("_ufile")) & (F.col("_key") == F.col("_unclosed")), "left")
+    lines = lines.withColumn("_open", F.col("_ufile").isNotNull())
+    # what is not closed at the end of its file stays line by line: it may be all the rest
+    alone = lines.where("_open OR (_begins AND NOT _after)").select("value", *block, "_line", "_open")
+    parts = lines.where("NOT _open AND NOT (_begins AND NOT _after)").groupBy(SOURCE_FILE, "_key").agg(F.array_sort(F.collect_list(F.struct(BLOCK, "_line", "value"))).alias("p"))
+    joined = parts.select(F.array_join("p.value", "\n").alias("value"), SOURCE_FILE, F.col("_key.b").alias(BLOCK), F.col("p")[0]["_line"].alias("_line"), F.lit(False).alias("_open"))
+    return alone.unionByName(joined)
+
+
+def records(staged: DataFrame, sep: str = ",") -> DataFrame:
+    """Staged lines -> `fields` of every record, with file, block, the number
+    of its first line, and `_open` if its file ends before its last quote.
+    Blank lines are no records.  Where no line ends inside quotes, each line
+    is one."""
+    if staged.where("_out").isEmpty():
+        rows = staged.select("value", SOURCE_FILE, BLOCK, "_line", F.lit(False).alias("_open"))
+    else:
+        rows = _spanning(staged)
+    return rows.where("_open OR trim(translate(value, '\r\t', '  ')) <> ''").select(Quotes(sep).fields(F.col("value")).alias("fields"), SOURCE_FILE, BLOCK, "_line", "_open")
+
+
+def bind_columns(staged: DataFrame, sep: str = ",") -> DataFrame:
+    """Staged lines -> the nine columns by the name in their file's header.
+
+    The header is the first record of a file.  An unknown or
     repeated column is a problem of the whole file, more fields than the
     header names one of the row; both become reject reasons.
     """
-    first = staged.where(F.col(BLOCK) == 0).groupBy(SOURCE_FILE).agg(F.min_by("fields", "_line").alias("_names"), F.min("_line").alias("_header_line"))
+    staged = records(staged, sep)
+    # the block of a blank beginning has none: the first record is looked up over the first record of each block
+    tops = staged.groupBy(SOURCE_FILE, BLOCK).agg(F.min_by("fields", "_line").alias("_names"), F.min("_line").alias("_header_line"))
+    first = tops.groupBy(SOURCE_FILE).agg(F.min_by("_names", BLOCK).alias("_names"), F.min_by("_header_line", BLOCK).alias("_header_line"))
     names = F.transform("_names", lambda x: F.trim(F.regexp_replace(F.coalesce(x, F.lit("")), "^\ufeff", "")))
     known = F.array(*[F.lit(c) for c in schemas.CSV_COLUMNS])
     unknown = F.array_except(names, known)
@@ -108,8 +259,9 @@ def bind_columns(staged: DataFrame) -> DataFrame:
                           *[F.array_position(names, c).cast("int").alias(f"_at_{c}") for c in schemas.CSV_COLUMNS])
     rows = staged.join(header, staged[SOURCE_FILE] == header["_hfile"], "left").where("_line <> _header_line OR _header_line IS NULL")
     cols = [F.when(F.col(f"_at_{c}") > 0, F.get("fields", F.col(f"_at_{c}") - 1)).alias(c) for c in schemas.CSV_COLUMNS]
-    wide = F.when(F.size("fields") > F.col("_width"), F.lit("more fields than the header"))
-    problem = F.coalesce(F.col(HEADER_REASON), wide)
+    used = F.expr("filter(transform(fields, (x, i) -> if(x = '', -1, i)), i -> i >= 0)")
+    wide = F.when(F.coalesce(F.array_max(used), F.lit(-1)) >= F.col("_width"), F.lit("more fields than the header"))
+    problem = F.coalesce(F.col(HEADER_REASON), F.when(F.col("_open"), F.lit("quote not closed")), wide)
     return rows.select(*cols, SOURCE_FILE, BLOCK, "_line", problem.alias(HEADER_REASON))
 
 

@@ -132,14 +132,16 @@ def session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stand-in as CSV text: times with a zone, dates alone, bad ids."""
+    """The stand-in as CSV text: times with a zone, dates alone, bad ids,
+    brands with quotes, line feeds and commas in them."""
     b = bronze_src(spark, sf_dir)
     eid = F.col("event_id")
     text = F.substr(F.col("event_time").cast("string"), F.lit(1), F.lit(19))
     time = F.when(eid % 41 == 0, F.substr(text, F.lit(1), F.lit(10))).otherwise(F.concat(text, F.lit(" UTC")))
     product = F.when(eid % 43 == 0, F.concat(F.col("product_id").cast("string"), F.lit(".0"))).when(eid % 47 == 0, F.lit("n1")).otherwise(F.col("product_id").cast("string"))
-    rest = [F.col(c).cast("string").alias(c) for c in schemas.CSV_COLUMNS if c not in ("event_time", "product_id")]
-    return b.select("event_id", time.alias("event_time"), product.alias("product_id"), *rest)
+    brand = F.when(eid % 53 == 0, F.concat(F.lit('a "'), F.coalesce("brand", F.lit("")), F.lit('"\n\nb, c'))).otherwise(F.col("brand"))
+    rest = [F.col(c).cast("string").alias(c) for c in schemas.CSV_COLUMNS if c not in ("event_time", "product_id", "brand")]
+    return b.select("event_id", time.alias("event_time"), product.alias("product_id"), brand.alias("brand"), *rest)
 
 
 #: Layouts of the CSV files, by event_id % 3: the usual columns; ids swapped and
@@ -157,10 +159,23 @@ def write_csv_files(spark: SparkSession, sf_dir: str) -> list[str]:
     rows, out = csv_rows(spark, sf_dir), []
     for i, columns in enumerate(CSV_LAYOUTS):
         out.append(f"{root}/layout{i}")
-        rows.where(F.col("event_id") % len(CSV_LAYOUTS) == i).select(*columns).write.option("header", "true").csv(out[-1])
+        rows.where(F.col("event_id") % len(CSV_LAYOUTS) == i).select(*columns).write.option("header", "true").option("escape", '"').csv(out[-1])
     return out
 
 
+#: Files of the head-N fixture, by event_id.
+HEAD_FILES = 5
+
+
+def write_csv_heads(spark: SparkSession, sf_dir: str) -> str:
+    """The rows as CSV, a file for each event_id % 5, in the order of event_id."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    rows = csv_rows(spark, sf_dir).withColumn("part", F.col("event_id") % HEAD_FILES)
+    ordered = rows.repartition(HEAD_FILES, "part").sortWithinPartitions("part", "event_id").select("part", *schemas.CSV_COLUMNS)
+    ordered.write.partitionBy("part").option("header", "true").option("escape", '"').csv(root)
+    return f"{root}/part=*"
+
+
 def orders_dated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order dates spanning several years (some NULL) for range buckets."""
     o = table(spark, sf_dir, "orders")

@@ -94,7 +94,7 @@ def test_session_gap_boundary(spark):
     ev = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz")
     want = {1: 1, 2: 1, 3: 2, 4: 1, 5: 1, 6: 2, 7: 1, 8: 2}
     for chunk in (X.CHUNK_SECONDS, 60, 10**6):
-        got = {r.event_id: r.session_seq for r in X.sessionize(ev, tie="event_id", chunk_seconds=chunk).collect()}
+        got = {r.event_id: r.session_seq for r in X.sessionize(ev, chunk_seconds=chunk).collect()}
         assert got == want, chunk
 
 
@@ -118,7 +118,7 @@ def test_sessionize_matches_brute_force(spark):
         expected[e] = n
     ev = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz, event_type string")
     for chunk in (X.CHUNK_SECONDS, 3600, 86400):
-        got = {r.event_id: r.session_seq for r in X.sessionize(ev, tie="event_id", chunk_seconds=chunk).collect()}
+        got = {r.event_id: r.session_seq for r in X.sessionize(ev, chunk_seconds=chunk).collect()}
         assert got == expected, chunk
     j = X.journeys(X.sessionize(ev)).agg(F.sum("n_events")).first()[0]
     assert j == len(rows)
@@ -129,7 +129,7 @@ def test_sessionize_hot_user_single_day_is_split(spark):
     rows = [(i, 1, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=7 * i)) for i in range(5000)]
     rows += [(10_000 + i, 2 + i % 3, dt.datetime(2024, 1, 1, 5) + dt.timedelta(hours=3 * i)) for i in range(30)]
     ev = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz")
-    s = X.sessionize(ev, tie="event_id")
+    s = X.sessionize(ev)
     got = {r.event_id: r.session_seq for r in s.collect()}
     assert all(got[i] == 1 for i in range(5000))      # 7 s gaps: one session
     assert max(got[10_000 + i] for i in range(30)) == 10  # 9 h gaps per user: all new
@@ -140,11 +140,11 @@ def test_sessionize_hot_user_single_day_is_split(spark):
 def test_sessions_without_user_or_time_and_ordered_journey(spark):
     rows = [(1, None, _ts(10)), (2, None, _ts(15)), (3, 1, _ts(10)), (4, 1, None), (5, None, None)]
     ev = spark.createDataFrame([(*r, "view", 7) for r in rows], "event_id long, user_id long, ts timestamp_ntz, event_type string, product_id long")
-    got = {r.event_id: r.session_seq for r in X.sessionize(ev, tie="event_id").collect()}
+    got = {r.event_id: r.session_seq for r in X.sessionize(ev).collect()}
     assert got == {1: 1, 2: 2, 3: 1, 4: 1, 5: 1}
     tied = [(9, 1, _ts(10), "purchase", 1), (2, 1, _ts(10), "view", 2), (5, 1, _ts(10), "cart", 3)]
     ev = spark.createDataFrame(tied, ev.schema)
-    s = X.sessionize(ev, tie="event_id")
+    s = X.sessionize(ev)
     j = X.journeys(s, tie="event_id").first()
     assert (j.first_event_type, j.last_event_type) == ("view", "purchase")
     assert [(r.step, r.event_type, r.product_id) for r in X.journey_steps(s).orderBy("step").collect()] == [(1, "view", 2), (2, "cart", 3), (3, "purchase", 1)]
