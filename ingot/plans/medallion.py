@@ -8,7 +8,6 @@ table.  Nothing gates on a check unless `fail_on` asks for it.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -45,18 +44,20 @@ def load_bronze(
     counts are observed during the writes, without another scan.
     """
     text = CSV.head_n_per_file(CSV.read_events_text(lh.spark, source, first=limit_per_file), limit_per_file)
-    return _append_bronze(lh, text, on_error, uuid.uuid4().hex)
+    parts = _write_bronze(lh, text, on_error, uuid.uuid4().hex)
+    lh.publish(*parts)
+    return LoadReport(parts[0].rows, sum(p.rows for p in parts[1:]))
 
 
-def _append_bronze(lh: S.Lakehouse, text: DataFrame, on_error: str, load_id: str) -> LoadReport:
-    counter, ok = Observation(f"bronze_rejected_{load_id}"), Observation(f"bronze_ok_{load_id}")
+def _write_bronze(lh: S.Lakehouse, text: DataFrame, on_error: str, load_id: str) -> list[S.Part]:
+    """The load's part of bronze, and that of the rejects if there are any
+    (their pass only runs when something was rejected)."""
+    counter = Observation(f"bronze_rejected_{uuid.uuid4().hex}")
     accepted, rejects = CSV.to_bronze_rows(text, on_error=on_error, reject_counter=counter)
-    accepted = CSV.with_load_stamp(accepted, load_id).observe(ok, F.count(F.lit(1)).alias("n"))
-    lh.append(accepted, S.BRONZE)
-    rejected = int(counter.get.get("rejected") or 0)
-    if rejected:  # the rejects pass only runs when something was rejected
-        lh.append(CSV.with_load_stamp(rejects, load_id), S.BRONZE_REJECTS)
-    return LoadReport(int(ok.get.get("n", 0)), rejected)
+    parts = [lh.write(CSV.with_load_stamp(accepted), S.BRONZE, load_id)]
+    if int(counter.get.get("rejected") or 0):
+        parts.append(lh.write(CSV.with_load_stamp(rejects), S.BRONZE_REJECTS, load_id))
+    return parts
 
 
 def bronze_file_counts(lh: S.Lakehouse) -> DataFrame:
@@ -78,9 +79,7 @@ def bronze_checks(lh: S.Lakehouse) -> dict[str, DataFrame]:
 def load_silver(lh: S.Lakehouse) -> None:
     """Full refresh of silver from bronze (T7 + L3), partitioned by month.
     Every bronze row is kept: the split columns are as wide as the code."""
-    bronze = lh.table(S.BRONZE)
-    silver = to_silver(bronze, keep=("load_id",))
-    lh.overwrite(lh.partitioned(silver), S.SILVER)
+    lh.overwrite(lh.partitioned(to_silver(lh.table(S.BRONZE))), S.SILVER)
 
 
 def silver_checks(lh: S.Lakehouse) -> dict[str, DataFrame]:
@@ -101,100 +100,70 @@ def load_dim_products(lh: S.Lakehouse, collation: str | None = None, strict: boo
     they are summarised in the dim rejects table (or raise with strict).
     Returns the number of such events.
     """
-    # the events without a product id are profiled while the dimension is
-    # written (one pass over silver)
-    missing = F.col("product_id").isNull()
-    obs = Observation(f"dim_missing_{uuid.uuid4().hex}")
-    silver = lh.table(S.SILVER).observe(
-        obs,
-        F.sum(F.when(missing, 1).otherwise(0)).alias("events"),
-        F.max(F.when(missing, F.col("category_id"))).alias("category_id"),
-        F.max(F.when(missing, F.col("brand"))).alias("brand"),
-    )
-    lh.overwrite(to_dim_products(silver, collation=collation), S.DIM_PRODUCTS)
-    m = obs.get
-    events = int(m.get("events") or 0)
+    parts, events = _write_dim(lh, lh.table(S.SILVER), uuid.uuid4().hex, collation)
     if events and strict:
         raise ValueError(f"{events} silver events have no product_id")
-    if events:
-        _note_missing(lh, m)
+    lh.publish(*parts)
     return events
 
 
-def _fact_log(lh: S.Lakehouse) -> DataFrame:
-    """Log rows of the loads since the last overwrite."""
-    log = lh.table(S.FACT_LOADS)
-    cut = log.where("mode = 'overwrite'").agg(F.max("run_at").alias("_cut"))
-    return log.join(cut, F.col("_cut").isNull() | (F.col("run_at") >= F.col("_cut")))
+def _write_dim(lh: S.Lakehouse, silver: DataFrame, load_id: str, collation: str | None = None, merge: bool = False) -> tuple[list[S.Part], int]:
+    """A new version of the dimension, and a rejects part that sums up the
+    events without a product id (and their number); these are profiled while
+    the dimension is written, in the same pass over `silver`.
+
+    `merge` takes MAX over the stored dimension and the new rows: a repeat
+    changes nothing, and the new version may be made from the old one.
+    """
+    missing, obs = F.col("product_id").isNull(), Observation(f"dim_missing_{uuid.uuid4().hex}")
+    seen = silver.observe(obs, F.sum(F.when(missing, 1).otherwise(0)).alias("events"),
+                          F.max(F.when(missing, F.col("category_id"))).alias("category_id"), F.max(F.when(missing, F.col("brand"))).alias("brand"))
+    dim = to_dim_products(seen, collation=collation)
+    if merge:
+        dim = to_dim_products(lh.table(S.DIM_PRODUCTS).select(*dim.columns).unionByName(dim))
+    parts, m = [lh.write(dim, S.DIM_PRODUCTS, load_id, "overwrite")], obs.get
+    events = int(m.get("events") or 0)
+    if events:
+        row = lh.spark.createDataFrame([(m.get("category_id"), m.get("brand"), events, "product_id is null")], "category_id bigint, brand string, events bigint, reject_reason string")
+        parts.append(lh.write(S.stamp(row), S.DIM_REJECTS, load_id))
+    return parts, events
 
 
 def logged_key(lh: S.Lakehouse, verify: bool = False) -> int:
-    """Last key of the stored fact according to the load log.
+    """Last key of the stored fact according to the journal.
 
-    `verify=True` compares the log with the stored rows and takes the largest
-    stored key instead if somebody wrote the fact around the pipeline; that
-    opens every fact file, so it is done on demand only.
+    `verify=True` compares the journal with the stored rows and takes the
+    largest stored key instead if rows came without their keys being noted;
+    that opens every fact file, so it is done on demand only.
     """
-    log = _fact_log(lh).agg(F.coalesce(F.sum("rows"), F.lit(0)), F.max(F.when(F.col("rows") > 0, F.col("last_key")))).first()
-    if verify and log[0] != lh.table(S.FACT).count():
+    noted = [p for p in lh.parts(S.FACT)[S.FACT] if p.last_key is not None]
+    if verify and sum(p.rows for p in noted) != lh.table(S.FACT).count():
         return next_key_start(lh.table(S.FACT))
-    return int(log[1] or 0)
+    return max((p.last_key for p in noted), default=0)
 
 
-def load_fact(lh: S.Lakehouse, mode: str = "append", silver_rows: DataFrame | None = None, load_id: str | None = None, verify: bool = False) -> int:
+def _write_fact(lh: S.Lakehouse, silver: DataFrame, load_id: str, mode: str = "append", verify: bool = False) -> S.Part:
+    start = logged_key(lh, verify) if mode == "append" else 0
+    fact = with_surrogate_key(to_fact_columns(silver), start=start, stable_input=True)
+    return lh.write(lh.partitioned(fact), S.FACT, load_id, mode, key="event_key")
+
+
+def load_fact(lh: S.Lakehouse, mode: str = "append", verify: bool = False) -> int:
     """Load the fact from silver with dense surrogate keys (T8 + K1 + L4).
 
     mode='append' (the source's behaviour): every run adds all of silver
-    again under new keys continuing after the largest logged key.
+    again under new keys continuing after the largest noted key.
     mode='overwrite': idempotent reruns, keys restart at 1.
     Silver is read straight from its files, a deterministic scan, so the
     key assignment needs no extra checkpoint.
-
-    `silver_rows` loads only those rows (the incremental path); they must be
-    a deterministic relation (stored files or a checkpoint).
     """
-    start = logged_key(lh, verify) if mode == "append" else 0
-    silver = lh.table(S.SILVER) if silver_rows is None else silver_rows
-    fact = with_surrogate_key(to_fact_columns(silver), start=start, stable_input=True)
-    obs = Observation(f"fact_rows_{uuid.uuid4().hex}")
-    fact = lh.partitioned(fact).withColumn("load_id", F.lit(load_id).cast("string")).observe(obs, F.count(F.lit(1)).alias("n"))
-    if mode == "append":
-        lh.append(fact, S.FACT)
-    else:
-        lh.overwrite(fact, S.FACT)
-    n = int(obs.get.get("n", 0))
-    _log_fact(lh, mode, n, start, load_id)
-    return n
-
-
-def _log_fact(lh: S.Lakehouse, mode: str, n: int, start: int, load_id: str | None) -> None:
-    row = lh.spark.createDataFrame([(mode, n, start + 1, start + n, load_id)], "mode string, rows bigint, first_key bigint, last_key bigint, load_id string")
-    lh.append(S.stamp(row, "run_at"), S.FACT_LOADS)
+    part = _write_fact(lh, lh.frozen(S.SILVER), uuid.uuid4().hex, mode, verify)
+    lh.publish(part)
+    return part.rows
 
 
 # --- increments -------------------------------------------------------------------------
 
-def _once(lh: S.Lakehouse, load_id: str, step: str, table: str, write: Callable[[], object]) -> bool:
-    """Run `write` unless this load's step is done; True if it ran.
-
-    A step is noted before and after.  One that was begun but not ended is
-    done if the table holds rows of the load: an append is one job commit, all
-    of its rows or none.
-    """
-    steps = lh.table(S.LOAD_STEPS).where((F.col("load_id") == load_id) & (F.col("step") == step))
-    states = {r["state"] for r in steps.select("state").distinct().collect()}
-    if "done" in states:
-        return False
-    ran = not states or lh.table(table).where(F.col("load_id") == load_id).isEmpty()
-    note = lambda state: lh.append(S.stamp(lh.spark.createDataFrame([(load_id, step, state)], "load_id string, step string, state string"), "run_at"), S.LOAD_STEPS)
-    if ran:
-        if not states:
-            note("begun")
-        write()
-    note("done")
-    return ran
-
-
 def load_bronze_increment(
     lh: S.Lakehouse,
     source: str | list[str],
@@ -204,6 +173,8 @@ def load_bronze_increment(
 ) -> dict:
     """Batch flavour of the incremental path: load the files into bronze and
     carry exactly those rows on to silver, the dimension and the fact."""
+    if load_id and (done := lh.load_parts(load_id)):
+        return _load_report(load_id, done)
     text = CSV.head_n_per_file(CSV.read_events_text(lh.spark, source, first=limit_per_file), limit_per_file)
     return increment_from_text(lh, text, on_error, load_id)
 
@@ -211,9 +182,8 @@ def load_bronze_increment(
 def bronze_from_text(lh: S.Lakehouse, text: DataFrame, on_error: str = "quarantine", load_id: str | None = None) -> str:
     """Append a text scan to bronze and its rejects, once per `load_id`."""
     load_id = load_id or uuid.uuid4().hex
-    accepted, rejects = CSV.to_bronze_rows(text, on_error=on_error)
-    _once(lh, load_id, "bronze", S.BRONZE, lambda: lh.append(CSV.with_load_stamp(accepted, load_id), S.BRONZE))
-    _once(lh, load_id, "bronze rejects", S.BRONZE_REJECTS, lambda: lh.append(CSV.with_load_stamp(rejects, load_id), S.BRONZE_REJECTS))
+    if not lh.load_parts(load_id):
+        lh.publish(*_write_bronze(lh, text, on_error, load_id))
     return load_id
 
 
@@ -221,48 +191,28 @@ def increment_from_text(lh: S.Lakehouse, text: DataFrame, on_error: str = "quara
     """Carry a text scan (or a stream's micro-batch) through all layers.
 
     Equivalent to the full refresh when bronze is append-only, at the cost of
-    the new rows plus the dimension: the load's stored bronze rows are appended
-    to silver, merged into the dimension (MAX over old dimension and new rows
-    is the MAX over all rows) and appended to the fact under keys that
-    continue the logged ones.  Each step is done once per `load_id`, so a
-    load that broke off can be run again under its id.
+    the new rows plus the dimension: the load's part of bronze becomes its part
+    of silver, which is merged into the dimension (MAX over old dimension and
+    new rows is the MAX over all rows) and becomes its part of the fact, under
+    keys that continue the noted ones.  Each step reads the part before it, no
+    other file.  All parts are published together, at the end and once per
+    `load_id`: a load that broke off has published nothing and is run again.
     """
-    load_id = bronze_from_text(lh, text, on_error, load_id)
-    mine = F.col("load_id") == load_id
-    new = lh.table(S.BRONZE).where(mine)
-    _once(lh, load_id, "silver", S.SILVER, lambda: lh.append(lh.partitioned(to_silver(new, keep=("load_id",))), S.SILVER))
-    silver = lh.table(S.SILVER).where(mine)
-    missing = _merge_dim(lh, silver, load_id)
-    _once(lh, load_id, "fact", S.FACT, lambda: load_fact(lh, "append", silver_rows=silver, load_id=load_id))
-    if lh.table(S.FACT_LOADS).where(mine).isEmpty():  # broke off between the append and its log entry
-        n, first = lh.table(S.FACT).where(mine).agg(F.count(F.lit(1)), F.min("event_key")).first()
-        _log_fact(lh, "append", n, (first or 1) - 1, load_id)
-    return {
-        "load_id": load_id,
-        "silver_rows": silver.count(),
-        "dim_events_without_product": missing,
-        "bronze_rejects": lh.table(S.BRONZE_REJECTS).where(mine).count(),
-    }
-
-
-def _merge_dim(lh: S.Lakehouse, silver: DataFrame, load_id: str) -> int:
-    """MAX over the stored dimension and new silver rows; a repeat changes
-    nothing.  The refresh writes a new version, so it may read the old one."""
-    missing = F.col("product_id").isNull()
-    obs = Observation(f"dim_missing_{uuid.uuid4().hex}")
-    seen = silver.observe(obs, F.sum(F.when(missing, 1).otherwise(0)).alias("events"),
-                          F.max(F.when(missing, F.col("category_id"))).alias("category_id"), F.max(F.when(missing, F.col("brand"))).alias("brand"))
-    lh.overwrite(to_dim_products(lh.table(S.DIM_PRODUCTS).unionByName(to_dim_products(seen))), S.DIM_PRODUCTS)
-    m = obs.get
-    events = int(m.get("events") or 0)
-    if events:
-        _once(lh, load_id, "dim rejects", S.DIM_REJECTS, lambda: _note_missing(lh, m, load_id))
-    return events
-
-
-def _note_missing(lh: S.Lakehouse, m: dict, load_id: str | None = None) -> None:
-    row = [(m.get("category_id"), m.get("brand"), int(m["events"]), "product_id is null", load_id)]
-    lh.append(S.stamp(lh.spark.createDataFrame(row, "category_id bigint, brand string, events bigint, reject_reason string, load_id string")), S.DIM_REJECTS)
+    load_id = load_id or uuid.uuid4().hex
+    if done := lh.load_parts(load_id):
+        return _load_report(load_id, done)
+    parts = _write_bronze(lh, text, on_error, load_id)
+    silver = lh.write(lh.partitioned(to_silver(lh.read(parts[0]))), S.SILVER, load_id)
+    mine = lh.read(silver)
+    dim, missing = _write_dim(lh, mine, load_id, merge=True)
+    parts += [silver, *dim, _write_fact(lh, mine, load_id)]
+    lh.publish(*parts)
+    return _load_report(load_id, {p.table: p for p in parts}, missing)
+
+
+def _load_report(load_id: str, parts: dict[str, S.Part], missing: int | None = None) -> dict:
+    rows = {t: p.rows for t, p in parts.items()}
+    return {"load_id": load_id, "silver_rows": rows.get(S.SILVER, 0), "dim_events_without_product": missing, "bronze_rejects": rows.get(S.BRONZE_REJECTS, 0)}
 
 
 def gold_checks(lh: S.Lakehouse) -> dict[str, DataFrame]:

@@ -367,7 +367,7 @@ def q_medallion_layers(spark, sf_dir):
         M.load_bronze_increment(lh, files[-1:], load_id="again")
     counts = []
     for name in (S.BRONZE, S.BRONZE_REJECTS, S.SILVER, S.DIM_PRODUCTS, S.FACT):
-        t = spark.read.parquet(lh.current_folder(name))  # the files: the table may be switched later
+        t = lh.frozen(name)  # the files: more may be published later
         ids = F.sum("product_id").cast("long") if name != S.BRONZE_REJECTS else F.lit(None).cast("long")
         key = F.max("event_key") if name == S.FACT else F.lit(None).cast("long")
         keys = F.countDistinct("event_key") if name == S.FACT else F.lit(None).cast("long")

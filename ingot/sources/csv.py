@@ -377,9 +377,10 @@ def to_bronze_rows(
     return accepted, rejects
 
 
-def with_load_stamp(df: DataFrame, load_id: str | None = None) -> DataFrame:
-    """`loaded_at DEFAULT GETDATE()` (L2) and the id of the load."""
-    return df.withColumn("loaded_at", F.current_timestamp()).withColumn("load_id", F.lit(load_id).cast("string"))
+def with_load_stamp(df: DataFrame) -> DataFrame:
+    """`loaded_at DEFAULT GETDATE()` (L2); the load's id is a property of the
+    part that the rows are written to."""
+    return df.withColumn("loaded_at", F.current_timestamp())
 
 
 def load_counts(df: DataFrame) -> DataFrame:

@@ -7,9 +7,10 @@ everything new and stops, so a rerun adds only files that arrived since.
 Each micro-batch goes through the same typing and reject split as the
 batch loader and is appended to the bronze and rejects tables.
 
-A micro-batch is a load with an id of its own (stream and batch number): after
-a crash between its writes and its commit it runs again, and every step that
-was done before is left out (`medallion._once`), so its rows are stored once.
+A micro-batch is a load with an id of its own (stream and batch number), whose
+parts are published together: after a crash before that it runs again from the
+start, after a crash between that and its commit it finds itself published, so
+its rows are stored once.
 """
 
 from __future__ import annotations
@@ -66,5 +67,4 @@ def ingest_new_files(
     )
     if wait:
         query.awaitTermination()
-        lh.refresh()
     return query

@@ -1,5 +1,7 @@
 import csv
 import os
+import threading
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -254,21 +256,24 @@ def test_incremental_path_equals_full_refresh(spark, tmp_path, monkeypatch):
     lh.create(recreate=True)
     r1 = M.load_bronze_increment(lh, str(d1))
 
-    # the second load breaks off at every step in turn, then runs to its end, then again
-    real, calls = lh.append, []
-    for stop in range(1, 9):
-        def flaky(df, table, stop=stop):
+    # the second load breaks off at every step in turn (its files are there, whole or in part), then runs to its end, then again
+    real, calls = lh.write, []
+    before = {t: lh.table(t).count() for t in (S.BRONZE, S.SILVER, S.DIM_PRODUCTS, S.FACT)}
+    for stop in range(1, 6):
+        def flaky(df, table, *args, stop=stop, **named):
             calls.append(table)
+            part = real(df, table, *args, **named)
             if len(calls) == stop:
+                for f in sorted(Path(part.folder).rglob("part-*"))[::2]:
+                    f.rename(f"{f}.lost")
                 raise OSError("lost")
-            real(df, table)
+            return part
         calls.clear()
-        monkeypatch.setattr(lh, "append", flaky)
-        try:
+        monkeypatch.setattr(lh, "write", flaky)
+        with pytest.raises(OSError):
             M.load_bronze_increment(lh, str(d2), load_id="second")
-        except OSError:
-            pass
-    monkeypatch.setattr(lh, "append", real)
+        assert {t: lh.table(t).count() for t in before} == before
+    monkeypatch.setattr(lh, "write", real)
     for _ in range(2):
         r2 = M.load_bronze_increment(lh, str(d2), load_id="second")
     assert (r1["silver_rows"], r2["silver_rows"], r2["bronze_rejects"]) == (35, 17, 1)
@@ -308,3 +313,57 @@ def test_parallel_gold_loads(spark, src, tmp_path):
     lh = S.Lakehouse(spark, root)
     assert r["fact_rows"] == 35 and lh.table(S.DIM_PRODUCTS).count() == 7
     assert r["checks"][("gold", "referential_integrity")] == (0, "PASS")
+
+
+def test_a_load_reads_its_own_files(spark, tmp_path, monkeypatch):
+    """Silver and the fact of an increment are made from the load's parts."""
+    for k in range(2):
+        (tmp_path / f"in{k}").mkdir()
+        _write(tmp_path / f"in{k}" / "a.csv", _rows(40, start=100 * k))
+    lh = S.Lakehouse(spark, str(tmp_path / "lake_own"))
+    lh.create(recreate=True)
+    first = M.load_bronze_increment(lh, str(tmp_path / "in0"))
+    old = {f for t in (S.BRONZE, S.SILVER, S.FACT) for f in lh.table(t).inputFiles()}
+    read, real = [], lh.write
+
+    def watched(df, table, *args, **named):
+        read.append((table, set(df.inputFiles())))
+        return real(df, table, *args, **named)
+
+    monkeypatch.setattr(lh, "write", watched)
+    second = M.load_bronze_increment(lh, str(tmp_path / "in1"))
+    mine = {p.table: p.folder for p in lh.load_parts(second["load_id"]).values()}
+    for table, files in read:
+        assert not files & old, table
+    assert all(mine[S.BRONZE] in f for f in dict(read)[S.SILVER]) and all(mine[S.SILVER] in f for f in dict(read)[S.FACT])
+    assert first["load_id"] != second["load_id"] and lh.table(S.FACT).where(F.col("load_id") == second["load_id"]).count() == 40
+
+
+def test_no_moment_without_the_table(spark, src, tmp_path):
+    """A reader that goes on during refreshes sees 35 rows each time."""
+    M.run_medallion(spark, f"{src}/*.csv", str(tmp_path / "lake_gap"), on_error="skip_file", recreate=True)
+    lh, seen, stop = S.Lakehouse(spark, str(tmp_path / "lake_gap")), [], threading.Event()
+
+    def reader():
+        while not stop.is_set():
+            try:
+                seen.append(spark.sql("SELECT count(*) FROM silver.ecommerce_behavior").first()[0])
+            except Exception as e:
+                seen.append(str(e)[:200])
+
+    t = threading.Thread(target=reader)
+    t.start()
+    for _ in range(6):
+        M.load_silver(lh)
+    stop.set()
+    t.join()
+    assert len(seen) > 5 and set(seen) == {35}
+
+
+def test_text_too_long_stops_the_write(spark, tmp_path):
+    lh = S.Lakehouse(spark, str(tmp_path / "lake_w"))
+    lh.create(recreate=True)
+    with pytest.raises(Exception, match="longer than 50"):
+        lh.append(spark.createDataFrame([(1, 2, "x" * 51)], "product_id long, category_id long, brand string"), S.DIM_PRODUCTS)
+    lh.append(spark.createDataFrame([(1, 2, "x" * 50)], "product_id long, category_id long, brand string"), S.DIM_PRODUCTS)
+    assert lh.table(S.DIM_PRODUCTS).count() == 1 and "varchar(50)" in spark.sql(f"SHOW CREATE TABLE {lh._stored(S.DIM_PRODUCTS)}").first()[0].lower()
