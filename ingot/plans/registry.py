@@ -25,6 +25,7 @@ from ingot.plans import sinks as S
 from ingot.session import ensure_checkpoint_dir, reliable_checkpoint
 from ingot.sources import csv as CSV
 from ingot.sources import testbed as tb
+from ingot.streaming.incremental import ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -365,6 +366,10 @@ def q_medallion_layers(spark, sf_dir):
     M.run_medallion(spark, files[:-1], root, recreate=True)
     for _ in range(2):
         M.load_bronze_increment(lh, files[-1:], load_id="again")
+    return _table_counts(lh)
+
+
+def _table_counts(lh):
     counts = []
     for name in (S.BRONZE, S.BRONZE_REJECTS, S.SILVER, S.DIM_PRODUCTS, S.FACT):
         t = lh.frozen(name)  # the files: more may be published later
@@ -376,3 +381,47 @@ def q_medallion_layers(spark, sf_dir):
     for c in counts[1:]:
         out = out.unionByName(c)
     return out
+
+
+@register("medallion_stream")
+def q_medallion_stream(spark, sf_dir):
+    """The same tables by a file stream: two drops of files, a run after each,
+    and one run more that finds nothing new."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lake-{uuid.uuid4().hex}"
+    lh = S.Lakehouse(spark, root)
+    lh.create(recreate=True)
+    for drop in ((0,), (1, 2), ()):
+        if drop:
+            tb.write_csv_files(spark, sf_dir, f"{root}/incoming", drop)
+        ingest_new_files(lh, f"{root}/incoming", downstream=True)
+    return _table_counts(lh)
+
+
+@register("medallion_checks")
+def q_medallion_checks(spark, sf_dir):
+    """The verdicts that a whole run records."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lake-{uuid.uuid4().hex}"
+    M.run_medallion(spark, tb.write_csv_files(spark, sf_dir), root, recreate=True)
+    return S.Lakehouse(spark, root).frozen(S.DQ_RESULTS).drop("run_at")
+
+
+@register("dq_incremental_profiles")
+def q_dq_incremental_profiles(spark, sf_dir):
+    """The metrics of all layers after three loads, from their states."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lake-{uuid.uuid4().hex}"
+    lh = S.Lakehouse(spark, root)
+    lh.create(recreate=True)
+    for files in tb.write_csv_files(spark, sf_dir):
+        M.load_bronze_increment(lh, files)
+        M.update_profiles(lh)
+    return M.incremental_metrics(lh)
+
+
+@register("dq_orphans_filtered")
+def q_dq_orphans_filtered(spark, sf_dir):
+    """The check of `dq_referential_integrity` with a filter of the orphans'
+    keys in front of the exact join."""
+    silver = tb.silver(spark, sf_dir)
+    old = (F.col("event_date") < F.lit(STALE_DIM_DATE).cast("date")) & (F.col("event_type") == "purchase")
+    stale = T.to_dim_products(silver.where(old))
+    return Q.referential_integrity(T.to_fact_columns(silver), stale, filtered=True)

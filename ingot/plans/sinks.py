@@ -41,6 +41,7 @@ DIM_REJECTS = "gold.dim_products_rejects"
 FACT = "gold.fact_ecommerce"
 DQ_RESULTS = "gold.dq_results"
 DQ_METRICS = "gold.dq_metrics"
+PROFILES = "gold.profile_states"
 
 #: Columns and types, without the partition columns.
 _DDL = {
@@ -75,6 +76,8 @@ _DDL = {
     DQ_METRICS: """
         run_at TIMESTAMP, layer STRING, check_name STRING, metric STRING, value BIGINT,
         status STRING""",
+    PROFILES: """
+        table_name STRING, folder STRING, kind STRING, name STRING, n BIGINT, value STRING, sketch BINARY""",
 }
 #: Tables whose parts have a folder for each month.
 _BY_MONTH = {SILVER, FACT}
@@ -167,12 +170,13 @@ class Lakehouse:
 
     # --- parts --------------------------------------------------------------------
 
-    def write(self, df: DataFrame, table: str, load_id: str, mode: str = "append", key: str | None = None) -> Part:
+    def write(self, df: DataFrame, table: str, load_id: str, mode: str = "append", key: str | None = None, by_month: bool = False) -> Part:
         """Write `df` as a part of `table` without publishing it.  Text longer
-        than its column stops the write, as an insert would."""
-        folder, counter = f"{self.path(table)}/{mode}-{uuid.uuid4().hex}", Observation(f"part_{uuid.uuid4().hex}")
+        than its column stops the write, as an insert would.  `by_month`: the
+        tasks of `df` already have few months each, so nothing is shuffled."""
+        folder, counter = f"{self.path(table)}/part={mode}-{uuid.uuid4().hex}", Observation(f"part_{uuid.uuid4().hex}")
         seen = [F.count(F.lit(1)).alias("rows")] + ([F.min(key).alias("first"), F.max(key).alias("last")] if key else [])
-        out = self._ordered(df.observe(counter, *seen), table)
+        out = self._ordered(df.observe(counter, *seen), table, by_month)
         writer = out.write.partitionBy(PARTITION_COLUMN) if table in _BY_MONTH else out.write
         writer.parquet(folder)
         got = counter.get
@@ -180,7 +184,8 @@ class Lakehouse:
 
     def read(self, *parts: Part) -> DataFrame:
         """The rows of parts of one table: their files and no others."""
-        return self.spark.read.schema(_schema(parts[0].table)).parquet(*[p.folder for p in parts])
+        schema, top = _schema(parts[0].table), self.path(parts[0].table)
+        return self.spark.read.schema(schema).option("basePath", top).parquet(*[p.folder for p in parts]).select(*schema.names)
 
     def frozen(self, table: str) -> DataFrame:
         """The rows a table has now, whatever is published later."""
@@ -192,7 +197,7 @@ class Lakehouse:
         names = [s.getPath().getName() for s in path.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(path)]
         return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{PARTITION_COLUMN}="))
 
-    def _ordered(self, df: DataFrame, table: str) -> DataFrame:
+    def _ordered(self, df: DataFrame, table: str, by_month: bool = False) -> DataFrame:
         widths = _widths(table)
 
         def value(f: T.StructField):
@@ -207,7 +212,7 @@ class Lakehouse:
         # each writer would else write a file per month: rows are grouped by
         # month first, and AQE splits a heavy month into advisory-size
         # pieces, so no task gets a whole hot partition
-        return out.hint("rebalance", PARTITION_COLUMN) if table in _BY_MONTH else out
+        return out.hint("rebalance", PARTITION_COLUMN) if table in _BY_MONTH and not by_month else out
 
     # --- catalog --------------------------------------------------------------------
 
@@ -259,7 +264,7 @@ class Lakehouse:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{self.root.rstrip('/')}/{db}'")
         if recreate:
             load_id = f"recreate-{uuid.uuid4().hex}"
-            self.publish(*[Part(load_id, t, "overwrite", f"{self.path(t)}/overwrite-{uuid.uuid4().hex}", [], 0) for t in _DDL])
+            self.publish(*[Part(load_id, t, "overwrite", f"{self.path(t)}/part=overwrite-{uuid.uuid4().hex}", [], 0) for t in _DDL])
         else:
             self.refresh()
 

@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from ingot import schemas
 from ingot.functions import columns as C
 from ingot.operators.constraints import ConstraintViolation
-from ingot.session import ensure_checkpoint_dir
+from ingot.session import ensure_checkpoint_dir, reliable_checkpoint
 
 SOURCE_FILE = "source_file"
 ROW_INDEX = "_row_in_file"
@@ -181,36 +181,40 @@ def _turned(state: Column, times: Column) -> Column:
     return state != (times % 2 == 1)
 
 
-def _composed(rows: DataFrame, by: list[str], order: str, swaps: Column, constant: Column, value: Column) -> DataFrame:
-    """Running composition of maps of a state: `_s` how often it was turned
-    over, `_c` the last constant map (its value and `_s` there)."""
-    upto = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    turned = rows.withColumn("_s", F.sum(swaps.cast("long")).over(upto))
-    return turned.withColumn("_c", F.last(F.when(constant, F.struct(value.alias("v"), F.col("_s").alias("s"))), ignorenulls=True).over(upto))
+def _block_starts(staged: DataFrame) -> DataFrame:
+    """`_start`, `_end` of every block: in quotes where it begins and ends?
 
-
-def _state(start: Column) -> Column:
-    """The state behind the maps composed in `_s` and `_c`."""
-    return F.when(F.col("_c").isNotNull(), _turned(F.col("_c.v"), F.col("_s") - F.col("_c.s"))).otherwise(_turned(start, F.col("_s")))
+    A block's map is that of its last constant line, turned over as often as
+    lines behind that one do; two aggregations of the lines' maps.  The maps
+    of a file's blocks compose in the same way; a file begins outside."""
+    block, file = [SOURCE_FILE, BLOCK], Window.partitionBy(SOURCE_FILE).orderBy(BLOCK)
+    upto = file.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    maps = staged.groupBy(*block).agg(F.max_by("_out", F.when(F.col("_out") == F.col("_in"), F.col("_line"))).alias("_v"),
+                                      F.max(F.when(F.col("_out") == F.col("_in"), F.col("_line"))).alias("_last"))
+    turning = staged.where("_out AND NOT _in").select(*block, "_line").join(maps, block).where("_last IS NULL OR _line > _last")
+    maps = maps.join(turning.groupBy(*block).agg(F.count(F.lit(1)).alias("_n")), block, "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    # as above: constant blocks, and how often the others turn the state behind them
+    turned = maps.withColumn("_s", F.sum(F.when(F.col("_v").isNull(), F.col("_n")).otherwise(0)).over(upto))
+    constant = F.when(F.col("_v").isNotNull(), F.struct(_turned(F.col("_v"), F.col("_n")).alias("v"), F.col("_s").alias("s")))
+    known = turned.withColumn("_c", F.last(constant, ignorenulls=True).over(upto))
+    ends = known.withColumn("_end", F.when(F.col("_c").isNotNull(), _turned(F.col("_c.v"), F.col("_s") - F.col("_c.s"))).otherwise(_turned(F.lit(False), F.col("_s"))))
+    return ends.select(*block, "_end", F.coalesce(F.lag("_end").over(file), F.lit(False)).alias("_start"))
 
 
 def _spanning(staged: DataFrame) -> DataFrame:
     """`value` (whole records), file, block, line and `_open` of lines among
     which some end inside quotes."""
     block, file = [SOURCE_FILE, BLOCK], Window.partitionBy(SOURCE_FILE).orderBy(BLOCK)
-    before = file.rowsBetween(Window.unboundedPreceding, -1)
-    lines = _composed(staged, block, "_line", F.col("_out") & ~F.col("_in"), F.col("_out") == F.col("_in"), F.col("_out"))
-    # the map of a block is that of its last line; a file begins outside
-    maps = lines.groupBy(*block).agg(F.max_by(F.struct("_s", "_c"), "_line").alias("e")).select(*block, "e.*")
-    is_constant, turns = F.col("_c").isNotNull(), F.col("_s") % 2 == 1
-    value = F.when(is_constant, _turned(F.col("_c.v"), F.col("_s") - F.col("_c.s")))
-    maps = maps.select(*block, is_constant.alias("_k"), (~is_constant & turns).alias("_t"), value.alias("_v"))
-    ends = _composed(maps, [SOURCE_FILE], BLOCK, F.col("_t"), F.col("_k"), F.col("_v")).withColumn("_end", _state(F.lit(False)))
-    starts = ends.select(*block, "_end", F.coalesce(F.lag("_end").over(file), F.lit(False)).alias("_start"))
+    before, starts = file.rowsBetween(Window.unboundedPreceding, -1), reliable_checkpoint(_block_starts(staged))
     within = Window.partitionBy(*block).orderBy("_line")
-    lines = lines.join(starts.select(*block, "_start"), block).withColumn("_after", _state(F.col("_start")))
-    lines = lines.withColumn("_begins", ~F.coalesce(F.lag("_after").over(within), F.col("_start")))
-    lines = lines.withColumn("_rec", F.sum(F.col("_begins").cast("long")).over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lines = staged.join(starts.select(*block, "_start"), block).withColumn("_s", F.sum((F.col("_out") & ~F.col("_in")).cast("long")).over(upto))
+    constant = F.when(F.col("_out") == F.col("_in"), F.struct(F.col("_out").alias("v"), F.col("_s").alias("s")))
+    lines = lines.withColumn("_c", F.last(constant, ignorenulls=True).over(upto))
+    after = F.when(F.col("_c").isNotNull(), _turned(F.col("_c.v"), F.col("_s") - F.col("_c.s"))).otherwise(_turned(F.col("_start"), F.col("_s")))
+    lines = lines.withColumn("_after", after).withColumn("_begins", ~F.coalesce(F.lag("_after").over(within), F.col("_start")))
+    lines = lines.withColumn("_rec", F.sum(F.col("_begins").cast("long")).over(upto))
+    lines = reliable_checkpoint(lines.select("value", *block, "_line", "_begins", "_after", "_rec"))
     # lines before the first beginning in a block go on with the last record before it
     counts = lines.groupBy(*block).agg(F.max("_rec").alias("n")).join(starts.select(*block, "_end"), block)
     last = F.when(F.col("n") > 0, F.struct(F.col(BLOCK).alias("b"), F.col("n").alias("r")))
@@ -230,12 +234,13 @@ def _spanning(staged: DataFrame) -> DataFrame:
 def records(staged: DataFrame, sep: str = ",") -> DataFrame:
     """Staged lines -> `fields` of every record, with file, block, the number
     of its first line, and `_open` if its file ends before its last quote.
-    Blank lines are no records.  Where no line ends inside quotes, each line
-    is one."""
-    if staged.where("_out").isEmpty():
-        rows = staged.select("value", SOURCE_FILE, BLOCK, "_line", F.lit(False).alias("_open"))
-    else:
-        rows = _spanning(staged)
+    Blank lines are no records.  In a file in which no line ends inside quotes,
+    each line is one; the records of the other files are written once more."""
+    rows = staged.select("value", SOURCE_FILE, BLOCK, "_line", F.lit(False).alias("_open"))
+    if not staged.where("_out").isEmpty():
+        files = staged.where("_out").select(SOURCE_FILE).distinct()
+        spanning = _spanning(staged.join(files, SOURCE_FILE, "left_semi"))
+        rows = rows.join(files, SOURCE_FILE, "left_anti").select(*spanning.columns).unionByName(spanning)
     return rows.where("_open OR trim(translate(value, '\r\t', '  ')) <> ''").select(Quotes(sep).fields(F.col("value")).alias("fields"), SOURCE_FILE, BLOCK, "_line", "_open")
 
 

@@ -153,11 +153,12 @@ CSV_LAYOUTS = (
 )
 
 
-def write_csv_files(spark: SparkSession, sf_dir: str) -> list[str]:
+def write_csv_files(spark: SparkSession, sf_dir: str, root: str | None = None, layouts: tuple[int, ...] = (0, 1, 2)) -> list[str]:
     """The rows as CSV under the shared checkpoint folder; a folder a layout."""
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    root = root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
     rows, out = csv_rows(spark, sf_dir), []
-    for i, columns in enumerate(CSV_LAYOUTS):
+    for i in layouts:
+        columns = CSV_LAYOUTS[i]
         out.append(f"{root}/layout{i}")
         rows.where(F.col("event_id") % len(CSV_LAYOUTS) == i).select(*columns).write.option("header", "true").option("escape", '"').csv(out[-1])
     return out

@@ -27,8 +27,8 @@ MAX_FILES_PER_TRIGGER = 1000
 
 
 def events_text_stream(spark: SparkSession, folder: str, max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
-    """Lines of the CSV files arriving in `folder`, as a stream."""
-    reader = CSV.text_lines(spark.readStream).option("maxFilesPerTrigger", str(max_files_per_trigger))
+    """Lines of the CSV files arriving in `folder` or below, as a stream."""
+    reader = CSV.text_lines(spark.readStream).option("maxFilesPerTrigger", str(max_files_per_trigger)).option("recursiveFileLookup", "true")
     return CSV.with_source(reader.text(folder))
 
 
