@@ -90,3 +90,38 @@ def test_comments_longer_than_the_article():
     comment = "<article class='comment'><p>" + "reader comment " * 60 + "</p></article>"
     for talk in (f"<div id='comments'>{comment * 3}</div>", f"<div class='comments-area'>{comment * 3}</div>", comment * 3, f"<div id='comments'>{comment.replace('article', 'div') * 3}</div>"):
         assert H.main_text(f"<body><article>{BODY}</article>{talk}") == WANT
+
+
+PARAGRAPHS = ["The first paragraph of the text has a good number of words and goes on for a while, as they do.", "Short one.", "A second long paragraph follows here, and it also holds <a href=x>a link</a> among many other words.",
+              "The third one is as long as the others are, with words upon words, until it has been long enough."]
+TEXT = "\n".join(re.sub("<[^>]*>", "", p) for p in PARAGRAPHS)
+MENU = "".join(f"<a href=/{x}>{x}</a> " for x in ("Home", "News", "Sports", "About us", "Contact"))
+MENU_LIST = "<ul>" + "".join(f"<li><a href=/{x}>{x}</a></li>" for x in ("Home", "News", "Sports", "About us", "Contact")) + "</ul>"
+FLOW = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+
+
+@pytest.mark.parametrize("menu", [f"<div>{MENU}</div>", MENU_LIST, f"<div>{MENU_LIST}</div>"])
+@pytest.mark.parametrize("footer", ["<div>(c) 2024 Example</div>", f"<div>{MENU} (c) 2024</div>", f"<div><div>{MENU}</div><div>All rights reserved</div></div>", ""])
+def test_pages_without_names_lose_menus_and_footers(menu, footer):
+    assert H.main_text(f"<html><body>{menu}{FLOW}{footer}</body></html>") == TEXT
+    assert H.main_text(f"<html><body>{menu}<div>{FLOW}</div>{footer}</body></html>") == TEXT
+
+
+@pytest.mark.parametrize("inside", [MENU_LIST, f"<div>{MENU}</div>", f"<section>{MENU_LIST}</section>"])
+def test_menus_and_link_lists_inside_articles(inside):
+    assert H.main_text(f"<article>{inside}{FLOW}</article>") == TEXT
+    assert H.main_text(f"<article>{FLOW}{inside}</article>") == TEXT
+    half = "".join(f"<p>{p}</p>" for p in PARAGRAPHS[:2]) + inside + "".join(f"<p>{p}</p>" for p in PARAGRAPHS[2:])
+    assert H.main_text(f"<article>{half}</article>") == TEXT
+
+
+def test_what_is_short_but_of_the_article_stays():
+    items = "<ul><li>One item</li><li>Another item</li></ul>"
+    want = TEXT + "\nOne item\nAnother item"
+    assert H.main_text(f"<article>{FLOW}{items}</article>") == want and H.main_text(f"<body>{FLOW}{items}</body>") == want
+    divs = "".join(f"<div>{p}</div>" for p in [*PARAGRAPHS, "Yes."])
+    assert H.main_text(f"<body>{divs}</body>") == TEXT + "\nYes." == H.main_text(f"<article>{divs}</article>")
+    assert H.main_text(f"<body><div><h1>The headline</h1></div>{FLOW}</body>") == "The headline\n" + TEXT
+    assert H.main_text(f"<article><header><h1>The headline</h1><p>1 May</p></header>{FLOW}</article>") == "The headline\n" + TEXT
+    assert H.main_text(f"<body><header><h1>Site</h1></header><article>{FLOW}</article></body>") == TEXT
+    assert H.main_text(f"<article><a href=x>{FLOW}</article>") == TEXT  # a link never closed
