@@ -140,9 +140,8 @@ def _scores(x: np.ndarray, q: np.ndarray, most: float) -> np.ndarray:
     return np.einsum("ij,ij->i", x, q)
 
 
-def _partition_best(spark, qids, q, basis, lead, k, seeds, dim):
+def _partition_best(sent, lead: int, k: int, dim: int):
     """mapInArrow function: the best of one partition for a block of queries."""
-    sent = spark.sparkContext.broadcast((qids, q, basis, seeds))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         qids, q, basis, (seed_ids, seed_x) = sent.value
@@ -173,7 +172,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id
     the smaller id."""
     spark = vectors.sparkSession
     rows = stable(integer_vectors(vectors, id_col, vec_col, scale))
-    asked = stable(rows.where(queries).select("id", "v").distinct().withColumn("block", F.lit(0)))
+    asked = stable(rows.where(queries).select("id", "v").distinct())
     n, dim = asked.count(), rows.agg(F.coalesce(F.max(F.size("v")), F.lit(0))).first()[0]
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     if not n:
@@ -191,11 +190,16 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id
         part = asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("id", "v"), F.lit(blocks)) == b)
         qids, q = _numpy(part, dim)
         if len(q):
-            run = _partition_best(spark, qids, q, basis, lead, k, seeds, dim)
-            best = ordered.mapInArrow(run, "query_id long, q long, vec_id long, score long")
-            found.append(best.withColumn("block", F.lit(b)))
-    best = reduce(DataFrame.unionByName, found)
+            sent = spark.sparkContext.broadcast((qids, q, basis, seeds))
+            best = ordered.mapInArrow(_partition_best(sent, lead, k, dim), "query_id long, q long, vec_id long, score long")
+            # the answers are written, so that a block's queries leave the driver and the executors with it
+            found.append(stable(_merged(best, k)))
+            sent.destroy()
+    return reduce(DataFrame.unionByName, found)
+
+
+def _merged(best: DataFrame, k: int) -> DataFrame:
+    """The k best of each query, of which at most k rows of each partition meet."""
     order = F.struct((-F.col("score")).alias("s"), F.col("vec_id").alias("vec_id"))
-    # at most k rows of each partition meet here
-    merged = best.groupBy("query_id", "block", "q").agg(F.slice(F.array_sort(F.collect_list(order)), 1, k).alias("top"))
+    merged = best.groupBy("query_id", "q").agg(F.slice(F.array_sort(F.collect_list(order)), 1, k).alias("top"))
     return merged.select("query_id", F.posexplode("top").alias("p", "t")).select("query_id", (F.col("p") + 1).cast("int").alias("rank"), "t.vec_id", (-F.col("t.s")).alias("score"))

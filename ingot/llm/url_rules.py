@@ -80,8 +80,11 @@ def token_counts(pages: DataFrame, rules, url_col: str = "url") -> dict[str, int
     """URLs that hold each of the rules' tokens (one row per token comes back)."""
     wanted = sorted({t for r in rules for t in r.tokens})
     rest = F.regexp_extract(F.translate(col(url_col).cast("string"), _UPPER, _LOWER), r"(?s)://([^?#]*)", 1)
-    tokens = F.array_intersect(F.split(rest, _SEPARATORS), F.array(*[F.lit(t) for t in wanted]))
-    return {r["token"]: r["n"] for r in pages.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n")).collect()}
+    tokens = pages.select(F.explode(F.array_distinct(F.split(rest, _SEPARATORS))).alias("token"))
+    # the rules are an argument of this call, so their tokens are as bounded as it is
+    known = F.broadcast(pages.sparkSession.createDataFrame([(t,) for t in wanted], "known string"))
+    found = tokens.join(known, F.col("token") == F.col("known")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return {r["token"]: r["n"] for r in found.collect()}
 
 
 def index_rules(rules, counts: dict[str, int]) -> dict[str, list[Rule]]:
@@ -100,15 +103,20 @@ def judge(pages: DataFrame, rules, id_col: str = "page_id", url_col: str = "url"
     schema = T.StructType([field(pages, id_col, "page_id")] + [T.StructField(c, T.StringType()) for c in ("host", "path", "rule", "verdict")])
 
     def run(batches):
-        # equal patterns are compiled once per task
-        filed = {t: [(r, re.compile(r.pattern)) for r in rs] for t, rs in index.items()}
-        always = filed.get("", [])
+        compiled: dict[str, re.Pattern] = {}  # on first use: most rules meet no URL of a task
+
+        def fits(r: Rule, text: str) -> bool:
+            if r.pattern not in compiled:
+                compiled[r.pattern] = re.compile(r.pattern)
+            return compiled[r.pattern].match(text) is not None
+
+        always = index.get("", [])
         for b in batches:
             out = []
             for url in b.column(1).to_pylist():
                 host, path = split_url(url)
-                fit = [r for t in _tokens(host, path) & filed.keys() - {""} for r, p in filed[t] if p.match(host + path)]
-                fit += [r for r, p in always if p.match(host + path)]
+                fit = [r for t in _tokens(host, path) & index.keys() - {""} for r in index[t] if fits(r, host + path)]
+                fit += [r for r in always if fits(r, host + path)]
                 sites = [r for r in fit if r.site]
                 best = max(sites, key=lambda r: (len(r.name), r.name), default=None)
                 verdict = best.verdict if best else "block" if any(r.verdict == "block" for r in fit) else "allow"

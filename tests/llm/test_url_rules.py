@@ -58,3 +58,14 @@ def test_rule_without_tokens_and_empty_table(spark):
     pages = spark.createDataFrame([(1, "http://x.y/")], "page_id long, url string")
     assert U.judge(pages, rules).first()["verdict"] == "block"
     assert U.judge(pages.limit(0), RULES).count() == 0
+
+
+def test_very_many_rules(spark):
+    """A hundred thousand rules are filed and met without being compiled."""
+    import time
+
+    rules = [U.word_rule("block", f"word{i}", "x") for i in range(100_000)]
+    pages = spark.createDataFrame([(i, f"http://a.org/word{i * 400}/{'x' if i % 2 else 'y'}") for i in range(250)], "page_id long, url string")
+    began = time.time()
+    got = {r["page_id"]: r["verdict"] for r in U.judge(pages, rules).collect()}
+    assert got == {i: "block" if i % 2 else "allow" for i in range(250)} and time.time() - began < 60
