@@ -47,6 +47,7 @@ def load_bronze(
     text = CSV.head_n_per_file(CSV.read_events_text(lh.spark, source, first=limit_per_file), limit_per_file)
     parts = _write_bronze(lh, text, on_error, uuid.uuid4().hex)
     lh.publish(*parts)
+    CSV.drop_staging(text)
     return LoadReport(parts[0].rows, sum(p.rows for p in parts[1:]))
 
 
@@ -187,6 +188,7 @@ def bronze_from_text(lh: S.Lakehouse, text: DataFrame, on_error: str = "quaranti
     load_id = load_id or uuid.uuid4().hex
     if not lh.load_parts(load_id):
         lh.publish(*_write_bronze(lh, text, on_error, load_id))
+    CSV.drop_staging(text)
     return load_id
 
 
@@ -203,6 +205,7 @@ def increment_from_text(lh: S.Lakehouse, text: DataFrame, on_error: str = "quara
     """
     load_id = load_id or uuid.uuid4().hex
     if done := lh.load_parts(load_id):
+        CSV.drop_staging(text)
         return _load_report(load_id, done)
     parts = _write_bronze(lh, text, on_error, load_id)
     silver = lh.write(lh.partitioned(to_silver(lh.read(parts[0]))), S.SILVER, load_id)
@@ -210,6 +213,7 @@ def increment_from_text(lh: S.Lakehouse, text: DataFrame, on_error: str = "quara
     dim, missing = _write_dim(lh, mine, load_id, merge=True)
     parts += [silver, *dim, _write_fact(lh, mine, load_id)]
     lh.publish(*parts)
+    CSV.drop_staging(text)
     return _load_report(load_id, {p.table: p for p in parts}, missing)
 
 

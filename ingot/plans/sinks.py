@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ingot.operators.partitions import PARTITION_COLUMN, with_partition
+from ingot.session import drop_folder
 
 BRONZE = "bronze.ecommerce_behavior"
 BRONZE_REJECTS = "bronze.ecommerce_behavior_rejects"
@@ -304,13 +305,10 @@ class Lakehouse:
     def vacuum(self, table: str) -> int:
         """Delete the folders of parts no longer in use, and those of loads that
         broke off; returns how many.  Not beside a running load."""
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        keep, top = {p.folder.rsplit("/", 1)[-1] for p in self.parts(table)[table]}, jvm.org.apache.hadoop.fs.Path(self.path(table))
-        fs, n = top.getFileSystem(conf), 0
-        for status in fs.listStatus(top) if fs.exists(top) else []:
-            if status.getPath().getName() not in keep:
-                n += bool(fs.delete(status.getPath(), True))
-        return n
+        top = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
+        fs, keep = top.getFileSystem(self.spark._jsc.hadoopConfiguration()), {p.folder.rsplit("/", 1)[-1] for p in self.parts(table)[table]}
+        gone = [s.getPath().toString() for s in (fs.listStatus(top) if fs.exists(top) else []) if s.getPath().getName() not in keep]
+        return sum(drop_folder(self.spark, g) for g in gone)
 
 
 def stamp(df: DataFrame, col: str = "loaded_at") -> DataFrame:

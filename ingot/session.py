@@ -113,3 +113,9 @@ def reliable_checkpoint(df, eager: bool = True):
     """`DataFrame.checkpoint` into the session's shared checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def drop_folder(spark: SparkSession, folder: str) -> bool:
+    """Delete a folder that a job of ours wrote and no longer needs."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))

@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from ingot import schemas
 from ingot.functions import columns as C
 from ingot.operators.constraints import ConstraintViolation
-from ingot.session import ensure_checkpoint_dir, reliable_checkpoint
+from ingot.session import drop_folder, ensure_checkpoint_dir, reliable_checkpoint
 
 SOURCE_FILE = "source_file"
 ROW_INDEX = "_row_in_file"
@@ -105,6 +105,13 @@ def stage(lines: DataFrame, sep: str = ",") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def drop_staging(text: DataFrame) -> int:
+    """Delete the staged lines behind `text`, once its rows are stored; returns
+    how many folders went."""
+    folders = {m[1] for f in text.inputFiles() if (m := re.match(r"(.*/csv-staging-[0-9a-f]{32})/", f))}
+    return sum(drop_folder(text.sparkSession, f) for f in folders)
+
+
 def _open_text(uri: str):
     """A file's lines, decompressed by its name's ending, as they are read."""
     import io

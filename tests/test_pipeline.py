@@ -1,13 +1,16 @@
 import csv
 import os
 import threading
+import time
 from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
 
 from ingot.plans import medallion as M
 from ingot.plans import sinks as S
+from ingot.session import ensure_checkpoint_dir
 from ingot.sources import csv as CSV
 
 HEADER = ["event_time", "event_type", "product_id", "category_id", "category_code",
@@ -324,7 +327,7 @@ def test_a_load_reads_its_own_files(spark, tmp_path, monkeypatch):
     lh.create(recreate=True)
     first = M.load_bronze_increment(lh, str(tmp_path / "in0"))
     old = {f for t in (S.BRONZE, S.SILVER, S.FACT) for f in lh.table(t).inputFiles()}
-    read, real = [], lh.write
+    read, real, began = [], lh.write, time.time()
 
     def watched(df, table, *args, **named):
         read.append((table, set(df.inputFiles())))
@@ -333,6 +336,7 @@ def test_a_load_reads_its_own_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(lh, "write", watched)
     second = M.load_bronze_increment(lh, str(tmp_path / "in1"))
     mine = {p.table: p.folder for p in lh.load_parts(second["load_id"]).values()}
+    assert not [f for f in Path(urlparse(ensure_checkpoint_dir(spark)).path).glob("csv-staging-*") if f.stat().st_mtime > began]
     for table, files in read:
         assert not files & old, table
     assert all(mine[S.BRONZE] in f for f in dict(read)[S.SILVER]) and all(mine[S.SILVER] in f for f in dict(read)[S.FACT])
