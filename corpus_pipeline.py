@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ingot.llm import bpe, decontaminate, pii, quality, simhash
 from ingot.llm.common import read_table, shared_folder
+from ingot.session import drop_folder
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,9 +58,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage."""
-    docs, folder = read_table(spark, sf_dir, "documents"), shared_folder(spark, "pipeline")
+    docs, folder, before = read_table(spark, sf_dir, "documents"), shared_folder(spark, "pipeline"), None
     for i, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{i}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:  # the stage's input has been stored anew
+            drop_folder(spark, before)
+        before = path
     return docs
