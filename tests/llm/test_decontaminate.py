@@ -57,6 +57,33 @@ def test_equals_brute_force(spark, monkeypatch, block_rows):
     assert result(D.judge(docs_df.repartition(5), items_df)) == brute(docs, items)
 
 
+def brute_near(docs, items, width=13):
+    """Items by document: a word among a window's rarest, around which four
+    fifths of the window's distinct words stand."""
+    from collections import Counter
+
+    texts = [words(t) for _, t in docs]
+    freq, out = Counter(w for t in texts for w in t), []
+    wins = {(str(i), tuple(w[k : k + width])) for i, t in items if i is not None and (w := words(t)) for k in range(max(1, len(w) - width + 1))}
+    for (d, _), t in zip(docs, texts):
+        found = set()
+        for i, v in wins:
+            need = -(-4 * len(set(v)) // 5)
+            rare = sorted(set(v), key=lambda w: (freq[w], w.encode()))[: 1 + len(set(v)) - need]
+            if i not in found and any(w in rare and len(set(v) & set(t[max(0, p - 12) : p + 13])) >= need for p, w in enumerate(t)):
+                found.add(i)
+        out.append((d, sorted(found)))
+    return sorted(out, key=str)
+
+
+def test_items_near_equal_brute_force(spark):
+    docs, items, docs_df, items_df = tables(spark, 3)
+    docs, docs_df = [x for x in docs if len(x[1] or "") < 5000], docs_df.where("text IS NULL OR length(text) < 5000")
+    got = D.judge(docs_df.repartition(5), items_df, near_share=D.NEAR_SHARE)
+    assert result(got) == brute(docs, items)
+    assert sorted(((r["row"]["doc_id"], list(r["near"])) for r in got.collect()), key=str) == brute_near(docs, items)
+
+
 def test_filter_keeps_columns(spark):
     docs, items, docs_df, items_df = tables(spark, 2)
     kept = D.decontaminate(docs_df, items_df)
@@ -81,5 +108,5 @@ def test_proximity_matches(spark):
 
 def test_main_path_has_no_python(spark):
     _, _, docs, items = tables(spark)
-    plan = D.judge(docs, items)._jdf.queryExecution().executedPlan().toString()
+    plan = D.judge(docs, items, near_share=D.NEAR_SHARE)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
