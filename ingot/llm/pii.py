@@ -35,7 +35,6 @@ import zlib
 from array import array
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
-from functools import reduce
 
 import pyarrow as pa
 import regex
@@ -43,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ingot.llm.common import col, field, in_blocks, small_side, stable, whole_row
+from ingot.llm.common import col, field, small_side, stable, whole_row
 
 KINDS = ("email", "ip", "card", "phone")
 #: Spans that the corpus statistics add.
@@ -212,14 +211,14 @@ def disclosing_terms(docs: DataFrame, marked: DataFrame, text_col: str = "text",
     terms = stable(suspects.select("term").distinct().withColumn("known", F.lit(True)))
     words = F.regexp_extract_all(F.translate(F.coalesce(col(text_col).cast("string"), F.lit("")), _UPPER, _LOWER), F.lit(_JAVA_WORDS), F.lit(0))
     tokens = docs.select(F.explode(words).alias("term"))
-    # the first pass counts all words, others under a null term
-    parts = [tokens.join(F.broadcast(p), "term", "inner" if i else "left").groupBy(F.expr("if(known, term, null)").alias("term")).agg(F.count(F.lit(1)).alias("n_all")).withColumn("part", F.lit(i))
-             for i, p in enumerate(in_blocks(terms, terms.count(), "term"))]
-    totals = stable(reduce(DataFrame.unionByName, parts))
-    n_words = totals.where("part = 0").agg(F.coalesce(F.sum("n_all"), F.lit(0))).first()[0]
+    # one pass, however many suspects: words are counted where they are read,
+    # and what is no suspect adds up under a null term
+    counted = tokens.groupBy("term").agg(F.count(F.lit(1)).alias("n_all")).join(terms, "term", "left")
+    totals = stable(counted.groupBy(F.expr("if(known, term, null)").alias("term")).agg(F.sum("n_all").alias("n_all")))
+    n_words = totals.agg(F.coalesce(F.sum("n_all"), F.lit(0))).first()[0]
     within = marked.select(F.explode("inside").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_in"))
     outside = F.greatest(F.col("n_all") - F.coalesce("n_in", F.lit(0)), "n_near")
-    found = suspects.join(totals.drop("part"), "term").join(within, "term", "left").withColumn("outside", outside)
+    found = suspects.join(totals, "term").join(within, "term", "left").withColumn("outside", outside)
     hidden = -F.log2(F.col("n_near") / F.col("outside"))
     telling = F.col("value").isNull() | beyond_chance(F.col("contexts"), F.col("contexts") + F.col("outside") - F.col("n_near"), 2 * width * F.col("entity_contexts"), max(n_words, 1))
     return found.withColumn("hidden", hidden).where((F.col("hidden") <= hidden_bits) & telling).select("term", "kind", "value", "hidden")
