@@ -425,3 +425,20 @@ def q_dq_orphans_filtered(spark, sf_dir):
     old = (F.col("event_date") < F.lit(STALE_DIM_DATE).cast("date")) & (F.col("event_type") == "purchase")
     stale = T.to_dim_products(silver.where(old))
     return Q.referential_integrity(T.to_fact_columns(silver), stale, filtered=True)
+
+
+@register("load_stamps")
+def q_load_stamps(spark, sf_dir):
+    """L2: rows of each of three loads, each under one stamp of its own."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lake-{uuid.uuid4().hex}"
+    lh = S.Lakehouse(spark, root)
+    lh.create(recreate=True)
+    for files in tb.write_csv_files(spark, sf_dir):
+        M.load_bronze(lh, files)
+    layout = F.regexp_extract("source_file", "layout([0-9])", 1).cast("int")
+    stamps = lh.frozen(S.BRONZE).groupBy(layout.alias("layout")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("loaded_at").alias("first"), F.max("loaded_at").alias("last"))
+    other = stamps.select(F.col("layout").alias("other"), F.col("last").alias("other_last"))
+    earlier = stamps.join(other, F.col("other") < F.col("layout"), "left").groupBy("layout", "rows", "first", "last").agg(F.max("other_last").alias("before"))
+    once = (F.col("first") == F.col("last")) & (F.col("before").isNull() | (F.col("before") < F.col("first")))
+    return earlier.select("layout", "rows", once.alias("one_later_stamp"))
