@@ -12,7 +12,8 @@
    posterior minus those of the global rate.  Below `THRESHOLD` it is rejected.
 
 Null texts count as empty; null hosts and paths are groups of their own;
-labels that are null or for unknown documents are ignored.  Without labels of
+labels that are null or for unknown documents are ignored; repeated labels of a
+document, contradictory ones too, count once each in the fit.  Without labels of
 both classes there is no evidence and every document is kept.  Repeated rows
 each get their result; an empty table gives an empty result.
 """
