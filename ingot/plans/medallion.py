@@ -57,7 +57,7 @@ def _write_bronze(lh: S.Lakehouse, text: DataFrame, on_error: str, load_id: str)
     counter = Observation(f"bronze_rejected_{uuid.uuid4().hex}")
     accepted, rejects = CSV.to_bronze_rows(text, on_error=on_error, reject_counter=counter)
     parts = [lh.write(CSV.with_load_stamp(accepted), S.BRONZE, load_id)]
-    if int(counter.get.get("rejected") or 0):
+    if int(S.observed(counter).get("rejected") or 0):
         parts.append(lh.write(CSV.with_load_stamp(rejects), S.BRONZE_REJECTS, load_id))
     return parts
 
@@ -123,7 +123,7 @@ def _write_dim(lh: S.Lakehouse, silver: DataFrame, load_id: str, collation: str
     dim = to_dim_products(seen, collation=collation)
     if merge:
         dim = to_dim_products(lh.table(S.DIM_PRODUCTS).select(*dim.columns).unionByName(dim))
-    parts, m = [lh.write(dim, S.DIM_PRODUCTS, load_id, "overwrite")], obs.get
+    parts, m = [lh.write(dim, S.DIM_PRODUCTS, load_id, "overwrite")], S.observed(obs)
     events = int(m.get("events") or 0)
     if events:
         row = lh.spark.createDataFrame([(m.get("category_id"), m.get("brand"), events, "product_id is null")], "category_id bigint, brand string, events bigint, reject_reason string")

@@ -26,6 +26,7 @@ import time
 import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -180,8 +181,9 @@ class Lakehouse:
         out = self._ordered(df.observe(counter, *seen), table, by_month)
         writer = out.write.partitionBy(PARTITION_COLUMN) if table in _BY_MONTH else out.write
         writer.parquet(folder)
-        got = counter.get
-        return Part(load_id, table, mode, folder, self._months(folder) if table in _BY_MONTH else [], int(got.get("rows") or 0), got.get("first"), got.get("last"))
+        got = observed(counter)
+        rows = got["rows"] if got else self.spark.read.schema(_schema(table)).parquet(folder).count()
+        return Part(load_id, table, mode, folder, self._months(folder) if table in _BY_MONTH else [], int(rows), got.get("first"), got.get("last"))
 
     def read(self, *parts: Part) -> DataFrame:
         """The rows of parts of one table: their files and no others."""
@@ -311,5 +313,14 @@ class Lakehouse:
         return sum(drop_folder(self.spark, g) for g in gone)
 
 
+def observed(counter: Observation) -> dict:
+    """The metrics of a finished write; none if its plan was found to be empty
+    before it ran (AQE then leaves out the node that counts)."""
+    try:
+        return counter.get
+    except Py4JJavaError:
+        return {}
+
+
 def stamp(df: DataFrame, col: str = "loaded_at") -> DataFrame:
     return df.withColumn(col, F.current_timestamp())

@@ -371,3 +371,21 @@ def test_text_too_long_stops_the_write(spark, tmp_path):
         lh.append(spark.createDataFrame([(1, 2, "x" * 51)], "product_id long, category_id long, brand string"), S.DIM_PRODUCTS)
     lh.append(spark.createDataFrame([(1, 2, "x" * 50)], "product_id long, category_id long, brand string"), S.DIM_PRODUCTS)
     assert lh.table(S.DIM_PRODUCTS).count() == 1 and "varchar(50)" in spark.sql(f"SHOW CREATE TABLE {lh._stored(S.DIM_PRODUCTS)}").first()[0].lower()
+
+
+def test_loads_of_nothing(spark, tmp_path):
+    """Header-only files, and files of rejects alone, are loads without rows."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "bad").mkdir()
+    _write(tmp_path / "in" / "a.csv", [])
+    _write(tmp_path / "bad" / "b.csv", _rows(1, bad_at=0))
+    lh = S.Lakehouse(spark, str(tmp_path / "lake_nothing"))
+    lh.create(recreate=True)
+    first = M.load_bronze_increment(lh, str(tmp_path / "in"))
+    assert (first["silver_rows"], first["bronze_rejects"], first["dim_events_without_product"]) == (0, 0, 0)
+    assert M.load_bronze_increment(lh, str(tmp_path / "in"), load_id=first["load_id"])["silver_rows"] == 0  # published, so not run again
+    assert M.load_bronze_increment(lh, str(tmp_path / "bad"))["bronze_rejects"] == 1
+    assert lh.table(S.FACT).count() == 0 and M.logged_key(lh) == 0 and lh.table(S.BRONZE_REJECTS).count() == 1
+    _write(tmp_path / "in" / "c.csv", _rows(3))
+    assert M.load_bronze_increment(lh, str(tmp_path / "in"))["silver_rows"] == 3
+    assert lh.table(S.FACT).agg(F.max("event_key")).first()[0] == 3 and M.incremental_metrics(lh).count() > 0
