@@ -268,7 +268,8 @@ def pruned(lines: list[tuple], chosen: list[int], own: np.ndarray, border: float
             for n in (size, linked, good, best, heads):
                 n[parents[c]] += n[c]
     edges = edges and 2 * direct >= len(strong)
-    outer = {lines[i][2] for i in chosen if i < min(strong) or i > max(strong)}
+    first, last = min(strong), max(strong)
+    outer = {lines[i][2] for i in chosen if i < first or i > last}
     gone: dict[int, bool] = {}
 
     def goes(c: int) -> bool:
