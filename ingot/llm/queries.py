@@ -64,15 +64,16 @@ cover AS (SELECT rid, count(DISTINCT q) AS n_hit FROM (SELECT rid, unnest(range(
 own AS (
   SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
   FROM (SELECT DISTINCT rid, item_id FROM hit WHERE item_id IS NOT NULL) GROUP BY rid),
-freq AS (SELECT w[p] AS a, count(*) AS n FROM tok GROUP BY 1),
+tk AS (SELECT rid, unnest(w) AS a, unnest(range(1, len(w) + 1)) AS p FROM d),
+freq AS (SELECT a, count(*) AS n FROM tk GROUP BY 1),
 words AS (SELECT v, list_distinct(v) AS u, len(list_distinct(v)) AS k FROM (SELECT DISTINCT v FROM win)),
 ranked AS (
   SELECT v, u, k, a, coalesce(n, 0) AS n, row_number() OVER (PARTITION BY v ORDER BY coalesce(n, 0), a) AS place
   FROM (SELECT v, u, k, unnest(u) AS a FROM words) LEFT JOIN freq USING (a)),
 near AS (
   SELECT DISTINCT t.rid, r.v
-  FROM ranked r JOIN (SELECT rid, p, w[p] AS a, w[greatest(1, p - 12) : p + 12] AS c FROM tok) t USING (a)
-  WHERE r.place <= 1 + r.k - (4 * r.k + 4) // 5 AND len(list_intersect(r.u, t.c)) >= (4 * r.k + 4) // 5),
+  FROM (SELECT * FROM ranked WHERE place <= 1 + k - (4 * k + 4) // 5) r JOIN tk t USING (a) JOIN d USING (rid)
+  WHERE len(list_intersect(r.u, d.w[greatest(1, t.p - 12) : t.p + 12])) >= (4 * r.k + 4) // 5),
 nearby AS (
   SELECT rid, count(*) AS n_near, string_agg(item_id, ',' ORDER BY item_id) AS ids
   FROM (SELECT DISTINCT rid, item_id FROM near JOIN win USING (v) WHERE item_id IS NOT NULL) GROUP BY rid)
