@@ -97,3 +97,19 @@ def test_first_rows_without_reading_on(spark, tmp_path):
     assert got == {"f0.csv.gz": (500, sum(range(500))), "f1.csv.gz": (500, sum(range(500))), "tiny.csv.gz": (1, 5)}
     with pytest.raises(Exception):
         CSV.read_events_text(spark, str(tmp_path)).count()
+
+
+def test_only_lines_of_longer_records_are_shuffled(spark, tmp_path):
+    """Lines that are records by themselves stay where they are read, whatever
+    the other lines of their file; a block's state goes on over Arrow batches."""
+    head, row = ",".join(schemas.CSV_COLUMNS), '2020-01-01 00:00:00 UTC,view,{},2,a.b,"a ""{}""\n\nb, c",3.50,7,s\n2020-01-01 00:00:00 UTC,view,{},2,a.b,x,3.50,7,s\n'
+    (tmp_path / "a.csv").write_text(head + "\n" + "".join(row.format(i, i, i) for i in range(40)), newline="")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        text = CSV.read_events_text(spark, str(tmp_path))
+        plan = text._jdf.queryExecution().executedPlan().toString()
+        got = sorted((int(r["product_id"]), r["brand"]) for r in text.collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == sorted((i, b) for i in range(40) for b in (f'a "{i}"\n\nb, c', "x"))
+    assert "hashpartitioning" not in plan and "Window" not in plan and "SortMergeJoin" not in plan
