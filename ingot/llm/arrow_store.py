@@ -40,8 +40,10 @@ from ingot.llm.common import col, field, shared_folder, stable, text_bytes
 #: Ids of a sequence, and sequences of a record batch.
 LENGTH = 2048
 BATCH_SEQUENCES = 256
-#: Encoded words a worker remembers.
-MEMORY_WORDS = 1_000_000
+#: Encoded words of each of the two generations that a worker remembers (about 35
+#: MB); an executor keeps a worker for each core, and more for a while when short
+#: tasks follow each other.
+MEMORY_WORDS = 200_000
 #: Python characters of which every word of a text can be encoded alone: none
 #: that composes, changes case by its neighbours or counts as white space in
 #: one of the two libraries only.
@@ -65,6 +67,7 @@ class WordCache(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.older: dict[str, bytes] = {}
         self.library = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         #: Beginnings that the added tokens share, such as "<|" (the library
@@ -78,19 +81,25 @@ class WordCache(dict):
         return array(self.code, [t.id for t in self.library.model.tokenize(word)]).tobytes()
 
     def __missing__(self, word: str) -> bytes:
+        if (ids := self.older.get(word)) is not None:
+            self[word] = ids
+            return ids
         low = word.lower()
         pieces = [low] if low.isalpha() else _WORD.findall(low)
         self[word] = ids = self._tokenize(word) if pieces == [word] else b"".join(map(self.__getitem__, pieces))
         return ids
 
     def trim(self) -> None:
-        """Forget everything once there is too much of it (between texts)."""
+        """Once there are too many words, forget those not met since the last
+        time (before each text)."""
         if len(self) > MEMORY_WORDS:
+            self.older = dict(self)
             self.clear()
 
     def encode(self, text: str) -> bytes:
         """The ids that the library gives for the whole text, adding none.  A
         text in which the vocabulary's added tokens may stand goes through it whole."""
+        self.trim()
         if any(m in text for m in self.marks) or _PLAIN.search(text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
         return b"".join(map(self.__getitem__, text.split()))
@@ -103,7 +112,6 @@ def word_cache(path: str) -> WordCache:
     """This worker's cache for a tokenizer file."""
     if path not in _CACHES:
         _CACHES[path] = WordCache(path)
-    _CACHES[path].trim()
     return _CACHES[path]
 
 

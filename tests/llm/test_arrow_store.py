@@ -79,3 +79,14 @@ def test_query_on_the_table(spark, library):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()]
     got = sorted(tuple(r[c] for c in ("doc_id", "start", "n_tokens", "ids_crc32")) for r in QUERIES["op8_token_id_files"](spark, d).collect())
     assert got == expected(library, rows)
+
+
+def test_a_worker_remembers_a_bounded_number_of_words(monkeypatch, library):
+    """However many words one batch brings, and words met again stay known."""
+    monkeypatch.setattr(A, "MEMORY_WORDS", 50)
+    cache, most = A.WordCache(PATH), 0
+    for i in range(300):
+        text = f"the same words and {i}x{i} y{i * 7919}"
+        assert np.frombuffer(cache.encode(text), cache.dtype).tolist() == library.encode(text, add_special_tokens=False).ids
+        most = max(most, len(cache) + len(cache.older))
+    assert most < 150 and "same" in cache.keys() | cache.older.keys()
